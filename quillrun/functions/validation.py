@@ -1,8 +1,9 @@
 """JSON-Schema validation compiled to Columns over VARIANT.
 
 ``violations`` turns a schema into one expression that lists everything wrong with a JSON text
-as (path, message) structs: no UDF, no second parse per rule. Types are tested with
-``schema_of_variant``, never with casts, because variant casts are lenient (``"5"`` casts to 5).
+as (path, message) structs: no UDF, no second parse per rule. Scalar types are tested with
+``schema_of_variant``, never with casts, because scalar variant casts are lenient (``"5"`` casts
+to 5); only objects cast to maps and only arrays to arrays, so those casts are tests.
 """
 
 from __future__ import annotations
@@ -48,17 +49,13 @@ def _checked(path: Column, rules: list[tuple[Column, str]]) -> Column:
         return _none()
     return F.array_compact(F.array(*[
         F.when(~F.coalesce(met, F.lit(False)), _violation(path, message))
-        for met, message in rules])).cast(VIOLATIONS)
+        for met, message in rules]))
 
 
 def _child_path(path: Column, key: Column) -> Column:
     return F.when(path == "", key).otherwise(F.concat(path, F.lit("/"), key))
 
 
-def _key_path(key: str) -> str:
-    return "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
-
-
 def _pointer(key: str) -> str:
     return key.replace("~", "~0").replace("/", "~1")
 
@@ -75,9 +72,8 @@ def _bound(value: Column, compute: Callable[[Column], Column]) -> Column:
 def _leaf(node: Node, value: Column, path: Column) -> Column:
     kind_name = node["type"]
 
-    def check(typed: Column) -> Column:
-        v, kind = typed["v"], typed["kind"]
-        number = F.try_variant_get(v, "$", "double")
+    def check(kind: Column) -> Column:
+        number = F.try_variant_get(value, "$", "double")
         is_type = {
             "string": kind == "STRING",
             "boolean": kind == "BOOLEAN",
@@ -100,18 +96,17 @@ def _leaf(node: Node, value: Column, path: Column) -> Column:
             numbers = [float(x) for x in allowed if not isinstance(x, str)]
             hit = F.lit(False)
             if texts:
-                hit = hit | ((kind == "STRING") & F.try_variant_get(v, "$", "string").isin(texts))
+                hit = hit | ((kind == "STRING") & F.try_variant_get(value, "$", "string").isin(texts))
             if numbers:
                 hit = hit | (numeric & number.isin(numbers))
             rules.append((hit, MUST_BE_ALLOWED))
         return _checked(path, rules)
 
-    return _bound(F.struct(value.alias("v"), F.schema_of_variant(value).alias("kind")), check)
+    return _bound(F.schema_of_variant(value), check)
 
 
 def _array(node: Node, value: Column, path: Column) -> Column:
-    def check(typed: Column) -> Column:
-        items = typed["items"]
+    def check(items: Column) -> Column:
         rules = []
         if "minItems" in node:
             rules.append((F.size(items) >= node["minItems"],
@@ -124,33 +119,32 @@ def _array(node: Node, value: Column, path: Column) -> Column:
         return F.when(items.isNull(), _checked(path, [(F.lit(False), MUST_BE.format("array"))])) \
             .otherwise(F.concat(_checked(path, rules), inside))
 
-    items = F.when(F.schema_of_variant(value).startswith("ARRAY"),
-                   F.try_variant_get(value, "$", "array<variant>"))
-    return _bound(F.struct(items.alias("items")), check)
+    return _bound(F.try_variant_get(value, "$", "array<variant>"), check)
 
 
 def _object(node: Node, value: Column, path: Column) -> Column:
     properties: dict[str, Node] = node.get("properties", {})
 
-    def check(typed: Column) -> Column:
-        v, keys = typed["v"], typed["keys"]
-        found = [_checked(path, [(F.array_contains(keys, key), MUST_HAVE.format(key))
+    def child(key: str, node: Node) -> Callable[[Column], Column]:
+        at = _child_path(path, F.lit(_pointer(key)))
+        # an explicit null is a value; only an absent key is NULL here
+        return lambda part: F.when(part.isNotNull(), _node(node, part, at)).otherwise(_none())
+
+    def check(fields: Column) -> Column:
+        def field(key: str) -> Column:
+            return F.try_element_at(fields, F.lit(key))
+
+        found = [_checked(path, [(field(key).isNotNull(), MUST_HAVE.format(key))
                                  for key in node.get("required", [])])]
         if not node.get("additionalProperties", True):
+            keys = F.map_keys(fields)
             extra = F.filter(keys, lambda k: ~k.isin(list(properties))) if properties else keys
-            found.append(F.transform(
-                extra, lambda _: _violation(path, MUST_NOT_HAVE_MORE_KEYS)).cast(VIOLATIONS))
-        for key, child in properties.items():
-            part = F.try_variant_get(v, _key_path(key), "variant")
-            found.append(F.when(
-                F.array_contains(keys, key),
-                _node(child, part, _child_path(path, F.lit(_pointer(key))))).otherwise(_none()))
-        return F.when(keys.isNull(), _checked(path, [(F.lit(False), MUST_BE.format("object"))])) \
+            found.append(F.transform(extra, lambda _: _violation(path, MUST_NOT_HAVE_MORE_KEYS)))
+        found += [_bound(field(key), child(key, sub)) for key, sub in properties.items()]
+        return F.when(fields.isNull(), _checked(path, [(F.lit(False), MUST_BE.format("object"))])) \
             .otherwise(F.concat(*found))
 
-    is_object = F.schema_of_variant(value).startswith("OBJECT")
-    keys = F.when(is_object, F.map_keys(F.try_variant_get(value, "$", "map<string,variant>")))
-    return _bound(F.struct(value.alias("v"), keys.alias("keys")), check)
+    return _bound(F.try_variant_get(value, "$", "map<string,variant>"), check)
 
 
 def _node(node: Node, value: Column, path: Column) -> Column:

@@ -66,16 +66,18 @@ def with_batches(df: DataFrame, line: str, order_by: OrderBy, max_rows: int | No
     """
     _positive("max_bytes", max_bytes)
     size = F.octet_length(F.col(line)) + 1
-    longest = df.agg(F.max(size)).first()[0] or 0
-    if longest >= max_bytes:
-        raise ValueError(f"a line of {longest} bytes does not fit a {max_bytes}-byte batch file")
     placed = with_position(df, order_by, "__position", {"__bytes_before": size},
-                           rows_per_bucket=rows_per_bucket)
-    number = F.floor(F.col("__bytes_before") / F.lit(max_bytes - longest)) + 1
+                           {"__longest": size}, rows_per_bucket=rows_per_bucket)
+    longest = F.col("__longest")
+    refuse = F.raise_error(F.concat(F.lit("a line of "), longest.cast("string"),
+                                    F.lit(f" bytes does not fit a {max_bytes}-byte batch file")))
+    room = F.when(longest < max_bytes, F.lit(max_bytes) - longest).otherwise(refuse.cast("int"))
+    number = F.floor(F.col("__bytes_before") / room) + 1
     if max_rows is not None:
         _positive("max_rows", max_rows)
         number = number + piece_number(F.col("__position"), max_rows) - 1
-    return placed.withColumn(batch, number.cast("bigint")).drop("__position", "__bytes_before")
+    return placed.withColumn(batch, number.cast("bigint")) \
+        .drop("__position", "__bytes_before", "__longest")
 
 
 def multi_text_requests(df: DataFrame, text: str, build: Callable[[Column], Column],

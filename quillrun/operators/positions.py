@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The bucket table is broadcast and its prefix sum runs in one task: this is its size bound.
-MAX_BUCKETS = 16_384
-SAMPLES_PER_BUCKET = 16
+MAX_BUCKETS = 65_536
+SAMPLES_PER_BUCKET = 8
 ROWS_PER_BUCKET = 250_000
 MIN_ROWS_PER_BUCKET = 1_000
+TREE_LEAVES = 64
 
 _BUCKET = "__bucket"
 
@@ -49,40 +50,90 @@ def _sampled_cuts(df: DataFrame, order_by: Sequence[str], buckets: int, total: i
     return list(dict.fromkeys(picks))
 
 
+def _literals(cuts: list[str], shape: str, schema: T.StructType) -> Column:
+    """Cuts (JSON keys, or lists of them) as one constant the optimizer folds."""
+    return F.from_json(F.lit("[" + ",".join(cuts) + "]"), shape.format(schema.simpleString()))
+
+
+def _reaches(key: list[Column], cut: Column, names: Sequence[str]) -> Column:
+    """Is the key at or above the cut, column by column, nulls first."""
+    last = len(names) - 1
+
+    def compare(i: int) -> Column:
+        ours, theirs = key[i], cut[names[i]]
+        above = F.coalesce(ours > theirs, theirs.isNull() & ours.isNotNull())
+        rest = F.lit(True) if i == last else compare(i + 1)
+        return above | (ours.eqNullSafe(theirs) & rest)
+
+    return compare(0)
+
+
 def _bucket_of(df: DataFrame, order_by: Sequence[str], cuts: list[str]) -> Column:
-    """How many cuts are at or below the row's key, looked up in two levels."""
+    """How many cuts are at or below the row's key.
+
+    A few dozen cuts are a compiled decision tree. More are found in two further levels: the
+    tree picks a group, and short arrays of the group's cuts are counted.
+    """
     if not cuts:
         return F.lit(0)
-    key_type = T.ArrayType(T.StructType([df.schema[c] for c in order_by]))
-    group = max(1, math.isqrt(len(cuts)))
-    groups = [cuts[i:i + group] for i in range(0, len(cuts), group)]
-
-    def literal(items: list[str]) -> str:
+    schema = T.StructType([df.schema[c] for c in order_by])
+    key = [F.col(c) for c in order_by]
+    size = math.ceil((len(cuts) + 1) / TREE_LEAVES)
+    groups = [cuts[i:i + size] for i in range(0, len(cuts), size)]
+    heads = _literals([g[0] for g in groups[1:]] if size > 1 else cuts, "array<{}>", schema)
+
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        here = F.get(heads, F.lit(middle))
+        return F.when(_reaches(key, here, order_by), tree(middle + 1, high)) \
+            .otherwise(tree(low, middle))
+
+    if size == 1:
+        return tree(0, len(cuts))
+    step = max(1, math.isqrt(size))
+    parts = [[g[i:i + step] for i in range(0, len(g), step)] for g in groups]
+
+    def listed(items: list[str]) -> str:
         return "[" + ",".join(items) + "]"
 
-    last_of_group = F.from_json(F.lit(literal([g[-1] for g in groups])), key_type)
-    members = F.from_json(F.lit(literal([literal(g) for g in groups])), T.ArrayType(key_type))
-    key = F.struct(*order_by)
+    part_heads = _literals([listed([p[0] for p in g[1:]]) for g in parts],
+                           "array<array<{}>>", schema)
+    members = _literals([listed([listed(p) for p in g]) for g in parts],
+                        "array<array<array<{}>>>", schema)
+
+    def reached(bounds: Column) -> Column:
+        return F.size(F.filter(bounds, lambda b: _reaches(key, b, order_by)))
+
+    place = F.struct(tree(0, len(groups) - 1).alias("group"))
+
+    def within(at: Column) -> Column:
+        part = reached(F.get(part_heads, at["group"]))
+        return F.struct(at["group"].alias("group"), part.alias("part"))
 
-    def at_or_below(bounds: Column) -> Column:
-        return F.size(F.filter(bounds, lambda b: b <= key))
+    def count(at: Column) -> Column:
+        cell = F.get(F.get(members, at["group"]), at["part"])
+        return at["group"] * size + at["part"] * step + reached(cell)
 
-    passed = at_or_below(last_of_group)
-    inside = F.coalesce(F.get(members, passed), F.array().cast(key_type))
-    return passed * group + at_or_below(inside)
+    found = F.transform(F.transform(F.array(place), within), count)
+    return F.get(found, F.lit(0))
 
 
 def with_position(df: DataFrame, order_by: str | Sequence[str], position: str = "position",
                   running: Mapping[str, Column] | None = None,
+                  highest: Mapping[str, Column] | None = None,
                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add the 1-based position of each row in the order of ``order_by``.
 
     ``order_by`` must tell rows apart (add the id). ``running`` names long expressions: each
-    becomes the running total *before* the row. ``df`` should be a stored table: it is read
-    for the count, for a key sample, for the bucket sizes and for the result.
+    becomes the running total *before* the row. ``highest`` names expressions whose maximum over
+    the table goes on every row; it comes from the same pass as the bucket sizes. ``df`` should
+    be a stored table: its keys are read for the count and a sample, the measured columns for
+    the bucket sizes, and all of it for the result.
     """
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    running = dict(running or {})
+    running, highest = dict(running or {}), dict(highest or {})
     total = df.select(*order_by).count()
     buckets = _bucket_count(df, total, rows_per_bucket)
     cuts = _sampled_cuts(df, order_by, buckets, total) if buckets > 1 else []
@@ -92,20 +143,30 @@ def with_position(df: DataFrame, order_by: str | Sequence[str], position: str =
     bucketed = measured.withColumn(_BUCKET, _bucket_of(df, order_by, cuts))
     sizes = bucketed.groupBy(_BUCKET).agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[F.sum(f"__m_{n}").alias(f"__sum_{n}") for n in running])
+        *[F.sum(f"__m_{n}").alias(f"__sum_{n}") for n in running],
+        *[F.max(e).alias(f"__max_{n}") for n, e in highest.items()])
     before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         _BUCKET, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"),
         *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__start_{n}")
-          for n in running])
+          for n in running],
+        *[F.max(f"__max_{n}").over(Window.orderBy(_BUCKET).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing)).alias(n) for n in highest])
 
     inside = Window.partitionBy(_BUCKET).orderBy(*order_by)
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    numbered = bucketed.withColumns({
+    # one bucket per task, so the shuffle is as even as the quantiles and files come out in order
+    placed = bucketed.repartitionById(buckets, F.col(_BUCKET))
+    numbered = placed.withColumns({
         "__rank": F.row_number().over(inside),
         **{f"__run_{n}": F.coalesce(F.sum(f"__m_{n}").over(earlier), F.lit(0)) for n in running}})
-    joined = numbered.join(F.broadcast(starts), _BUCKET)
+    if cuts:
+        joined = numbered.join(F.broadcast(starts), _BUCKET)
+    else:  # a single small bucket starts at zero
+        joined = numbered.withColumns({
+            "__start": F.lit(0), **{f"__start_{n}": F.lit(0) for n in running},
+            **{n: F.max(e).over(Window.partitionBy(_BUCKET)) for n, e in highest.items()}})
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns],
-        (F.col("__start") + F.col("__rank")).alias(position),
-        *[(F.col(f"__start_{n}") + F.col(f"__run_{n}")).alias(n) for n in running])
+        (F.col("__start") + F.col("__rank")).cast("bigint").alias(position),
+        *[(F.col(f"__start_{n}") + F.col(f"__run_{n}")).alias(n) for n in running], *highest)

@@ -14,13 +14,16 @@ def _share(part: Column, whole: Column) -> Column:
     return F.round(F.try_divide(part * F.lit(100.0), whole), 1)
 
 
-def job_summary(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Total, succeeded and failed rows with percentages, in all or per group."""
+def job_summary(results: DataFrame, by: Sequence[str] = (), *more: Column) -> DataFrame:
+    """Total, succeeded and failed rows with percentages, in all or per group.
+
+    ``more`` are further aggregates of the same pass.
+    """
     total, failed = F.count(F.lit(1)), F.count_if("error")
     return results.groupBy(*by).agg(
         total.alias("total"), (total - failed).alias("succeeded"), failed.alias("failed"),
         _share(total - failed, total).alias("succeeded_pct"),
-        _share(failed, total).alias("failed_pct"))
+        _share(failed, total).alias("failed_pct"), *more)
 
 
 def chunk_summary(results: DataFrame) -> DataFrame:

@@ -29,16 +29,17 @@ def chunk_files(spark, sf_dir):
 
 
 @query("a4_read_chunks", """
-WITH placed AS (
-  SELECT l_extendedprice, CAST(ceil(row_number() OVER (
-           ORDER BY l_orderkey, l_linenumber) / 20000.0) AS INTEGER) AS chunk FROM lineitem)
-SELECT chunk, count(*) AS n, round(sum(l_extendedprice), 2) AS total FROM placed GROUP BY chunk""")
+SELECT CAST(ceil(position / 2500.0) AS INTEGER) AS chunk, count(*) AS n,
+  min(event_id) AS first_id, max(event_id) AS last_id
+FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS position FROM events)
+GROUP BY 1""")
 def read_chunks(spark, sf_dir):
     path = fresh_dir(spark, "chunks")
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    runs.write_chunks(with_chunk(items, 20000, ["l_orderkey", "l_linenumber"]), path)
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    runs.write_chunks(with_chunk(events, 2500, ["ts", "event_id"]), path)
     return runs.read_chunks(spark, path).groupBy("chunk").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("total"))
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"),
+        F.max("event_id").alias("last_id"))
 
 
 @query("a5_run_log", """

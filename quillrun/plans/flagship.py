@@ -34,7 +34,7 @@ def structured_batch(spark, sf_dir):
         F.col("doc_id"), F.col("text"), system_prompt="Review the document.",
         schema=an.REVIEW).alias("line"))
     batched = batching.with_batches(lines, "line", "doc_id", max_rows=batching.CHAT_BATCH_ROWS)
-    jsonl.write_batches(batched, "line", f"{folder}/requests", order_by="doc_id")
+    jsonl.write_batches(batched, "line", f"{folder}/requests", single_file=False)
 
     # what the provider would send back, landed as files
     an.chat_lines(documents, an.review_content()).select("line").write.text(f"{folder}/answers")
@@ -45,9 +45,8 @@ def structured_batch(spark, sf_dir):
         "custom_id", "error", "valid", "parsed.grade", F.col("parsed.n_chars").alias("chars"))
     joined = joining.attach_results(documents.select("doc_id", "lang"), checked, "doc_id") \
         .withColumn("error", F.coalesce("error", F.lit(True)))
-    summary = reports.job_summary(joined, ["lang"])
-    grades = joined.groupBy("lang").agg(
+    return reports.job_summary(
+        joined, ["lang"],
         F.count_if(F.coalesce("valid", F.lit(False))).alias("valid"),
         F.round(F.avg("grade"), 6).alias("mean_grade"),
         F.sum("chars").alias("reviewed_chars"))
-    return summary.join(grades, "lang")

@@ -141,11 +141,11 @@ WITH came AS (
   UNION ALL SELECT CAST(user_id AS VARCHAR) FROM events),
 asked AS (SELECT CAST(doc_id AS VARCHAR) AS id, count(*) AS n FROM documents GROUP BY doc_id),
 back AS (SELECT id, count(*) AS n FROM came GROUP BY id),
-both AS (
+matched AS (
   SELECT coalesce(asked.id, back.id) AS custom_id, coalesce(asked.n, 0) AS n_requests,
     coalesce(back.n, 0) AS n_results FROM asked FULL JOIN back ON asked.id = back.id)
 SELECT *, CASE WHEN n_results = 0 THEN 'missing' WHEN n_requests = 0 THEN 'unknown'
-  ELSE 'repeated' END AS state FROM both WHERE n_requests <> 1 OR n_results <> 1""")
+  ELSE 'repeated' END AS state FROM matched WHERE n_requests <> 1 OR n_results <> 1""")
 def completeness(spark, sf_dir):
     results = answered(spark, sf_dir).select("custom_id").unionAll(
         table(spark, sf_dir, "events").select(F.col("user_id").cast("string")))

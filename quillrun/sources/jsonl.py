@@ -50,18 +50,18 @@ def line_numbers(lines: DataFrame, wanted: Column | None = None) -> DataFrame:
         "file", number.cast("int").alias("line_no"), "line")
 
 
-def write_batches(df: DataFrame, line: str, path: str, batch: str | None = "batch",
-                  order_by: str | Sequence[str] | None = None) -> None:
-    """One JSONL file per batch below ``path``.
+def write_batches(df: DataFrame, line: str, path: str, batch: str = "batch",
+                  order_by: str | Sequence[str] | None = None, single_file: bool = True) -> None:
+    """JSONL files below ``path``, one folder per batch.
 
-    A batch is capped by rows and bytes, so one task per batch is bounded work.
+    With ``single_file`` the lines of a batch meet in one task, in ``order_by`` order; a batch is
+    capped by rows and bytes, so that is bounded work. Without it nothing is shuffled: a batch
+    that spans tasks is several files, to be sent one after the other.
     """
-    if batch is None:
-        df.select(F.col(line).alias("value")).write.text(path)
-        return
     order = [order_by] if isinstance(order_by, str) else list(order_by or [])
     rows = df.select(batch, *[F.col(c) for c in order if c != batch], F.col(line).alias("value"))
-    spread = rows.repartition(batch)
-    if order:
-        spread = spread.sortWithinPartitions(batch, *order)
-    spread.select(batch, "value").write.partitionBy(batch).text(path)
+    if single_file:
+        rows = rows.repartition(batch)
+        if order:
+            rows = rows.sortWithinPartitions(batch, *order)
+    rows.select(batch, "value").write.partitionBy(batch).text(path)

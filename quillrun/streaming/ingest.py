@@ -1,23 +1,55 @@
-"""Result files and input tables that keep arriving."""
+"""Result files and input tables that keep arriving.
+
+Ids already seen are remembered in the stream's own state, so a micro-batch costs what it holds
+and not what has been written before. Each micro-batch writes its own folder, replacing it if the
+batch runs again after a failure.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillrun.functions.responses import parse_json
 from quillrun.operators.inference import BackendFactory, Retry, Task, perform, request_table, \
     tidy_responses
-from quillrun.operators.resume import pending, written
-from quillrun.operators.results import parse_placed_lines
-from quillrun.sources.jsonl import file_lines
+from quillrun.operators.resume import written
+from quillrun.operators.results import parse_lines
+from quillrun.sources.jsonl import line_numbers, read_lines
+
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession):
+    """Seen ids go to RocksDB rather than the heap while a query starts."""
+    before = spark.conf.get(_STATE_STORE)
+    spark.conf.set(_STATE_STORE, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_STATE_STORE, before)
+
+
+def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
+         trigger: dict | None) -> None:
+    with _state_on_disk(stream.sparkSession):
+        query = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint) \
+            .trigger(**(trigger or {"availableNow": True})).start()
+        query.awaitTermination()
 
 
-def _run(stream: DataFrame, handle, checkpoint: str, trigger: dict) -> None:
-    query = stream.writeStream.foreachBatch(handle) \
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    query.awaitTermination()
+def _write_epoch(rows: DataFrame, target: str, epoch: int) -> None:
+    rows.write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+
+
+def _read_epochs(spark: SparkSession, target: str) -> DataFrame | None:
+    rows = written(spark, target)
+    return None if rows is None else rows.drop("epoch")
 
 
 def ingest_results(spark: SparkSession, source: str, kind: str, target: str, checkpoint: str,
@@ -25,23 +57,38 @@ def ingest_results(spark: SparkSession, source: str, kind: str, target: str, che
                    trigger: dict | None = None) -> DataFrame:
     """Parse provider result files as they land in ``source`` and append new ids to ``target``.
 
-    The same parser as for a batch read. An id already written, or repeated in the micro-batch,
-    is not written again; unreadable lines are told apart by file and line.
+    The same parser as for a batch read. A result line that repeats an id seen before, in any
+    file, is left out. Lines without an id (unreadable ones above all) are never left out: they are
+    reported by file and line number, for which only the files that hold some are read again.
     """
-    files = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(source) \
-        .select("value", "_metadata")
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(source) \
+        .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")) \
+        .where(F.length("line") > 0).withColumn("line_no", F.lit(None).cast("int"))
+    rows = parse_lines(lines, kind, "__id", keep=("file",))
+    key = F.coalesce(F.concat(F.lit("id:"), "__id"), F.concat(F.lit("file:"), "file"))
+    seen_once = rows.withColumn("__key", key).dropDuplicates(["__key"])
 
-    def handle(batch: DataFrame, _epoch: int) -> None:
-        rows = parse_placed_lines(file_lines(batch), kind, id, keep=("file",))
-        rows = rows.withColumn("file", F.regexp_extract("file", r"[^/]+\z", 0))
-        key = F.when(F.col(id).startswith("__PARSE_ERROR_LINE_"),
-                     F.concat_ws("#", "file", id)).otherwise(F.col(id))
-        fresh = rows.withColumn("row_key", key).dropDuplicates(["row_key"])
-        pending(fresh, written(batch.sparkSession, target), "row_key") \
-            .write.mode("append").parquet(target)
+    def handle(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            good = batch.where("__id is not null").drop("__key").withColumnRenamed("__id", id)
+            # at most files_per_batch names
+            damaged = [r["file"] for r in batch.where("__id is null").select("file").collect()]
+            if damaged:
+                again = read_lines(batch.sparkSession, damaged)
+                without_id = F.try_variant_get(parse_json(F.col("line")), "$.custom_id", "string")
+                bad = line_numbers(again, without_id.isNull())
+                good = good.unionByName(parse_lines(bad, kind, id, keep=("file",)))
+            _write_epoch(good, target, epoch)
+        finally:
+            batch.unpersist()
 
-    _run(files, handle, checkpoint, trigger or {"availableNow": True})
-    return spark.read.parquet(target).drop("row_key")
+    _run(seen_once, handle, checkpoint, trigger)
+    results = _read_epochs(spark, target)
+    if results is None:
+        nothing = spark.createDataFrame([], "file string, line_no int, line string")
+        return parse_lines(nothing, kind, id, keep=("file",))
+    return results
 
 
 def infer_arrivals(spark: SparkSession, source: str, schema, text: str, id: str, task: Task,
@@ -50,14 +97,15 @@ def infer_arrivals(spark: SparkSession, source: str, schema, text: str, id: str,
                    keep: Sequence[str] = (), files_per_batch: int = 1000,
                    trigger: dict | None = None) -> DataFrame:
     """Call the model for rows of parquet files arriving in ``source``, each id once."""
-    arrivals = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch) \
-        .parquet(source)
+    def responses(rows: DataFrame) -> DataFrame:
+        requests = request_table(rows, text, id, task, on_invalid=on_invalid, keep=keep)
+        return perform(requests, backend, concurrency, retry)
 
-    def handle(batch: DataFrame, _epoch: int) -> None:
-        requests = request_table(batch.dropDuplicates([id]), text, id, task,
-                                 on_invalid=on_invalid, keep=keep)
-        todo = pending(requests, written(batch.sparkSession, target), id)
-        perform(todo, backend, concurrency, retry).write.mode("append").parquet(target)
-
-    _run(arrivals, handle, checkpoint, trigger or {"availableNow": True})
-    return tidy_responses(spark.read.parquet(target), task)
+    arrivals = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch) \
+        .parquet(source).dropDuplicates([id])
+    _run(arrivals, lambda batch, epoch: _write_epoch(responses(batch), target, epoch),
+         checkpoint, trigger)
+    found = _read_epochs(spark, target)
+    if found is None:
+        found = responses(spark.createDataFrame([], schema))
+    return tidy_responses(found, task)
