@@ -80,6 +80,12 @@ def _embedding_body(inputs: Slot, model: str, dimensions: int | None, keep_null:
             "encoding_format": ENCODING_FORMAT}
 
 
+def embedding_constants(model: str = EMBEDDING_MODEL,
+                        dimensions: int | None = None) -> dict[str, Any]:
+    """What an embedding request holds beside its texts."""
+    return {"model": model, "dimensions": dimensions, "encoding_format": ENCODING_FORMAT}
+
+
 def embedding_request(text: Column, model: str = EMBEDDING_MODEL,
                       dimensions: int | None = None) -> Column:
     return _only_valid(text, render(_embedding_body(text_slot(text), model, dimensions, True)))

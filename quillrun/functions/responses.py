@@ -114,6 +114,12 @@ def indexed_embedding(body: Column) -> Column:
     return F.get(indexed_embeddings(body), F.lit(0))["embedding"]
 
 
+def indexed_embedding_list(body: Column) -> Column:
+    """The vectors of an embeddings body in the order of its texts."""
+    ordered = F.array_sort(indexed_embeddings(body))
+    return F.transform(ordered, lambda item: item["embedding"])
+
+
 def _scores_map(entries: Column) -> Column:
     """label -> score; NULL when a label is missing or given twice."""
     labels = F.transform(entries, lambda e: e["label"])

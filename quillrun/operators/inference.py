@@ -29,6 +29,7 @@ from quillrun.operators.batching import with_chunk
 from quillrun.operators.tables import INVALID_TEXT, apply_invalid_policy, require_columns
 from quillrun.schema import JsonSchema
 from quillrun.session import fresh_dir
+from quillrun.sources.runs import write_metadata
 
 Backend = Callable[[str, float], tuple[int, str]]
 BackendFactory = Callable[[], Backend]
@@ -275,17 +276,28 @@ def tidy_batched(responses: DataFrame, result: str, many: Callable[[Column], Col
 
 
 def request_table(df: DataFrame, text: str, id: str, task: Task, chunk_size: int | None = None,
-                  on_invalid: str = "error_row", keep: Sequence[str] = ()) -> DataFrame:
-    """id, kept columns, chunk and request of each row.
+                  on_invalid: str = "error_row", keep: Sequence[str] = (),
+                  index: str | None = None) -> DataFrame:
+    """id, kept columns, chunk (and position ``index``) and request of each row.
 
     The id is a column of the request's row, so nothing has to be matched up afterwards.
     """
     require_columns(df, id, text, *keep)
     rows = apply_invalid_policy(df.select(*dict.fromkeys([id, text, *keep])), text, on_invalid)
+    placed = []
     if chunk_size is not None:
-        rows = with_chunk(rows, chunk_size, id)
-    chunk = ["chunk"] if chunk_size is not None else []
-    return rows.select(id, *keep, *chunk, task.build(F.col(text)).alias("request"))
+        rows = with_chunk(rows, chunk_size, id, index=index)
+        placed = ["chunk"] if index is None else ["chunk", index]
+    return rows.select(id, *keep, *placed, task.build(F.col(text)).alias("request"))
+
+
+def write_run_metadata(spark: SparkSession, run_dir: str, task: Task, n_texts: int,
+                       chunk_size: int | None, concurrency: int, retry: Retry) -> None:
+    write_metadata(spark, run_dir, {
+        **task.metadata, "n_texts": n_texts, "chunk_size": chunk_size,
+        "n_chunks": None if chunk_size is None else -(-n_texts // chunk_size),
+        "concurrent_requests": concurrency, "max_retries": retry.max_tries,
+        "timeout": retry.timeout})
 
 
 def infer(df: DataFrame, text: str, id: str, task: Task, backend: BackendFactory, *,
@@ -295,15 +307,20 @@ def infer(df: DataFrame, text: str, id: str, task: Task, backend: BackendFactory
     """One model call per text; one result row per text.
 
     Responses are written to ``run_dir`` (default: a new folder below the shared one) and read
-    back, so the result can be filtered, joined and counted freely without calling again.
-    ``partitions`` times ``concurrency`` bounds the calls in flight.
+    back, so the result can be filtered, joined and counted freely without calling again. A given
+    ``run_dir`` also gets the run's metadata. ``chunk_size=None`` leaves chunk numbers out, and
+    with them the only shuffle. ``partitions`` times ``concurrency`` bounds the calls in flight.
     """
+    spark = df.sparkSession
     requests = request_table(df, text, id, task, chunk_size, on_invalid, keep)
     if partitions is not None:
         requests = requests.repartition(partitions)
-    path = f"{(run_dir or fresh_dir(df.sparkSession, task.name)).rstrip('/')}/responses"
-    perform(requests, backend, concurrency, retry).write.parquet(path)
-    return tidy_responses(df.sparkSession.read.parquet(path), task)
+    folder = (run_dir or fresh_dir(spark, task.name)).rstrip("/")
+    perform(requests, backend, concurrency, retry).write.parquet(f"{folder}/responses")
+    responses = spark.read.parquet(f"{folder}/responses")
+    if run_dir is not None:
+        write_run_metadata(spark, folder, task, responses.count(), chunk_size, concurrency, retry)
+    return tidy_responses(responses, task)
 
 
 def infer_batched(df: DataFrame, text: str, id: str, backend: BackendFactory, *, result: str,

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillrun.operators.inference import (BackendFactory, Retry, Task, infer, perform,
-                                          request_table, tidy_responses)
+                                          request_table, tidy_responses, write_run_metadata)
+from quillrun.sources.runs import has_metadata
 
 
 def written(spark: SparkSession, path: str) -> DataFrame | None:
@@ -22,9 +23,9 @@ def written(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def pending(requests: DataFrame, done: DataFrame | None, id: str) -> DataFrame:
+def pending(requests: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
     """Requests without a written response."""
-    return requests if done is None else requests.join(done.select(id), id, "left_anti")
+    return requests if done is None else requests.join(done.select(key), key, "left_anti")
 
 
 def run_in_waves(df: DataFrame, text: str, id: str, task: Task, backend: BackendFactory,
@@ -33,29 +34,32 @@ def run_in_waves(df: DataFrame, text: str, id: str, task: Task, backend: Backend
                  keep: Sequence[str] = ()) -> DataFrame:
     """Inference that loses at most the running wave when it is cut off.
 
-    The request table is written once, by wave, so each wave reads its own requests only. A wave
-    calls what has no response yet and appends; calling again with the same ``run_dir`` goes on
-    where the last run stopped.
+    The request table is written once, by wave, so each wave reads its own requests only; the
+    run's metadata is written after it and marks it complete. A wave calls what has no response
+    yet and appends. Calling again with the same ``run_dir`` goes on where the last run stopped.
     """
     spark = df.sparkSession
     requests_path, responses_path = f"{run_dir}/requests", f"{run_dir}/responses"
-    requests = written(spark, requests_path)
-    if requests is None:
+    if not has_metadata(spark, run_dir):
         wave = F.floor((F.col("chunk") - 1) / F.lit(chunks_per_wave)).cast("int")
-        request_table(df, text, id, task, chunk_size, on_invalid, keep) \
-            .withColumn("wave", wave).write.partitionBy("wave").parquet(requests_path)
-        requests = spark.read.parquet(requests_path)
+        request_table(df, text, id, task, chunk_size, on_invalid, keep, index="row_index") \
+            .withColumn("wave", wave).write.mode("overwrite").partitionBy("wave") \
+            .parquet(requests_path)
+        n_texts = spark.read.parquet(requests_path).count()
+        write_run_metadata(spark, run_dir, task, n_texts, chunk_size, concurrency, retry)
+    requests = spark.read.parquet(requests_path)
     waves = sorted(r["wave"] for r in requests.select("wave").distinct().collect())
     for wave in waves:
         done = written(spark, responses_path)
         if done is not None:
             done = done.where(F.col("wave") == wave)
-        todo = pending(requests.where(F.col("wave") == wave), done, id)
+        # rows are told apart by position, so a repeated id is no row's stand-in
+        todo = pending(requests.where(F.col("wave") == wave), done, "row_index")
         if done is not None and todo.isEmpty():
             continue
         perform(todo, backend, concurrency, retry) \
             .write.mode("append").partitionBy("wave").parquet(responses_path)
-    return tidy_responses(spark.read.parquet(responses_path).drop("wave"), task)
+    return tidy_responses(spark.read.parquet(responses_path).drop("wave", "row_index"), task)
 
 
 def latest_attempt(attempts: DataFrame, id: str, attempt: str = "attempt") -> DataFrame:

@@ -244,6 +244,14 @@ class IndexedEmbedBackend(_Planted):
         return {"data": [{"object": "embedding", "index": 0, "embedding": vector_of(text)}]}
 
 
+class IndexedEmbedManyBackend(IndexedEmbedBackend):
+    """Many texts per request, answered in reverse order under their index."""
+
+    def answer(self, texts):
+        data = [{"index": i, "embedding": vector_of(t)} for i, t in enumerate(texts)]
+        return {"data": data[::-1]}
+
+
 class ClassifyBackend(_Planted):
     def answer(self, text):
         return [[{"label": "LABEL_1", "score": score_of(text)},

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from quillrun.functions import requests as rq
 from quillrun.functions import responses as rs
 from quillrun.operators import tables
-from quillrun.operators.batching import MESSAGES_BATCH_ROWS, with_batches, with_row_batches
-from quillrun.operators.ids import enforce_ids
 from quillrun.operators.inference import chat_task, classify_task, request_table
+from quillrun.operators.prepare import prepare_batches
 from quillrun.operators.results import parse_lines
 from quillrun.plans.answers import LINE_ID_SQL, REVIEW, chat_lines
 from quillrun.plans.registry import query, table
@@ -130,32 +129,39 @@ def chat_batch_lines(spark, sf_dir):
         F.col("doc_id"), F.col("text"), system_prompt=PROMPT).alias("line"))
 
 
-@query("b10_prepare_batches", f"""
-SELECT doc_id, CAST(1 + (row_number() OVER (ORDER BY doc_id) - 1) // 50000 AS BIGINT) AS batch,
+@query("b10_prepare_embeddings", """
+SELECT doc_id, CAST(1 + (row_number() OVER (ORDER BY doc_id) - 1) // 50000
+    + floor(before / (200000000 - longest)) AS BIGINT) AS batch, line
+FROM (
+  SELECT *, coalesce(sum(strlen(line) + 1) OVER (ORDER BY doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    max(strlen(line) + 1) OVER () AS longest
+  FROM (SELECT doc_id, '{"custom_id":"' || doc_id || '","method":"POST","url":"/v1/embeddings",'
+    || '"body":{"input":' || to_json(text) || ',"model":"text-embedding-3-small",'
+    || '"encoding_format":"float"}}' AS line FROM documents))""")
+def prepare_embeddings(spark, sf_dir):
+    return prepare_batches(table(spark, sf_dir, "documents"), "text", "doc_id", "embeddings")
+
+
+@query("b10_prepare_completions", f"""
+SELECT doc_id, CAST(1 + (row_number() OVER (ORDER BY doc_id) - 1) // 400 AS BIGINT) AS batch,
   {CHAT_LINE_SQL} || ',"response_format":{REVIEW_FORMAT_SQL}}}}}' AS line FROM documents""")
-def prepare_batches(spark, sf_dir):
-    documents = enforce_ids(table(spark, sf_dir, "documents"), "doc_id")
-    lines = documents.select("doc_id", rq.chat_batch_line(
-        F.col("doc_id"), F.col("text"), system_prompt=PROMPT, schema=REVIEW).alias("line"))
-    return with_row_batches(lines, "doc_id")
+def prepare_completions(spark, sf_dir):
+    return prepare_batches(table(spark, sf_dir, "documents"), "text", "doc_id", "completions",
+                           max_rows=400, max_bytes=10 ** 15, system_prompt=PROMPT, schema=REVIEW)
 
 
 @query("b11_messages_entries", f"""
-SELECT {TURN_ID} AS turn_id, '{{"custom_id":"' || {TURN_ID}
+SELECT turn_id, '{{"custom_id":"' || turn_id
   || '","params":{{"model":"claude-haiku-4-5","max_tokens":1024,"temperature":0,"messages":'
   || '[{{"role":"user","content":' || to_json(text) || '}}],"system":' || {PROMPT_SQL}
   || ',"cache_control":{{"type":"ephemeral"}},"output_config":{{"format":{{"type":"json_schema",'
-  || '"schema":{REVIEW_SQL}}}}}}}}}' AS entry,
-  CAST(1 + (row_number() OVER (ORDER BY conv_id, turn) - 1) // 100000 AS BIGINT) AS batch
-FROM conversations""")
+  || '"schema":{REVIEW_SQL}}}}}}}}}' AS line,
+  CAST(1 + (row_number() OVER (ORDER BY turn_id) - 1) // 100000 AS BIGINT) AS batch
+FROM (SELECT {TURN_ID} AS turn_id, text FROM conversations)""")
 def messages_entries(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").withColumn(
-        "turn_id", F.concat_ws("-", "conv_id", "turn"))
-    enforce_ids(rows, "turn_id", messages_rules=True)
-    entries = rows.select("conv_id", "turn", "turn_id", rq.messages_batch_entry(
-        F.col("turn_id"), F.col("text"), system_prompt=PROMPT, schema=REVIEW).alias("entry"))
-    placed = with_batches(entries, "entry", ["conv_id", "turn"], max_rows=MESSAGES_BATCH_ROWS)
-    return placed.select("turn_id", "entry", "batch")
+    return prepare_batches(turns(spark, sf_dir), "text", "turn_id", "messages",
+                           max_bytes=10 ** 15, system_prompt=PROMPT, schema=REVIEW)
 
 
 @query("b12_request_ids", f"""

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import pathlib
-import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _LOCAL_SHARED: dict[str, str] = {}
-_SHIPPED: set[str] = set()
 
 
 def build_session(app_name: str = "quillrun", cores: int | str = "*",
@@ -60,14 +57,3 @@ def materialise(df, label: str, partition_by: tuple[str, ...] = ()):
     path = fresh_dir(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors of a cluster; local workers share the driver's files."""
-    context = spark.sparkContext
-    if context.master.startswith("local") or context.applicationId in _SHIPPED:
-        return
-    root = pathlib.Path(__file__).resolve().parent
-    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{root.name}", "zip", root.parent, root.name)
-    context.addPyFile(archive)
-    _SHIPPED.add(context.applicationId)

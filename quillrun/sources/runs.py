@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from datetime import datetime, timezone
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from quillrun.session import fresh_dir
@@ -62,6 +63,15 @@ def write_metadata(spark: SparkSession, run_dir: str, values: Mapping[str, Any])
         .write.mode("overwrite").text(f"{run_dir}/metadata")
 
 
+def has_metadata(spark: SparkSession, run_dir: str) -> bool:
+    try:
+        return not spark.read.text(f"{run_dir}/metadata").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def run_log(spark: SparkSession, *run_dirs: str) -> DataFrame:
     """The metadata of many runs as one table."""
     return spark.read.schema(METADATA).json([f"{d}/metadata" for d in run_dirs])

@@ -252,3 +252,24 @@ def test_arrivals_are_called_once(spark, folder):
     got = run()
     assert got.count() == 30 and got.select("id").distinct().count() == 30
     assert calls.value == 30
+
+
+def test_a_given_run_folder_gets_metadata(spark, folder):
+    from quillrun.sources.runs import has_metadata, run_log
+
+    assert not has_metadata(spark, folder)
+    task = inf.chat_task(system_prompt="p", schema=an.REVIEW)
+    inf.infer(texts(spark, 10), "text", "id", task, an.ChatBackend, chunk_size=4,
+              retry=an.FAST_RETRY, run_dir=folder)
+    row = run_log(spark, folder).first()
+    assert (row["n_texts"], row["n_chunks"], row["chunk_size"]) == (10, 3, 4)
+    assert (row["model"], row["system_prompt"], row["max_retries"]) == ("gpt-4.1-nano", "p", 3)
+    assert json.loads(row["schema"])["json_schema"]["name"] == "review"
+    assert has_metadata(spark, folder)
+
+
+def test_waves_keep_repeated_ids(spark, folder):
+    rows = spark.createDataFrame([(1, "abc"), (1, "abcd"), (2, "x")], "id int, text string")
+    got = resume.run_in_waves(rows, "text", "id", inf.embed_task(), an.EmbedBackend, folder,
+                              chunk_size=2, chunks_per_wave=1, retry=an.FAST_RETRY)
+    assert sorted(r["id"] for r in got.collect()) == [1, 1, 2]

@@ -430,3 +430,22 @@ def test_run_difference(spark):
     first, second = vectors(spark, [(1, [1, 2]), (2, [1, 2])]), vectors(spark, [(1, [1, 2.5]), (2, [1])])
     got = {r["vec_id"]: r["max_abs_diff"] for r in joining.run_difference(first, second, "vec_id").collect()}
     assert got == {1: 0.5, 2: None}
+
+
+def test_prepare_batches(spark):
+    from quillrun.operators.prepare import prepare_batches
+
+    rows = frame(spark, [("a", "Hello"), ("b", "World")], "id string, text string")
+    got = prepare_batches(rows, "text", "id", "completions").orderBy("id").collect()
+    parsed = [json.loads(r["line"]) for r in got]
+    assert [p["custom_id"] for p in parsed] == ["a", "b"] and {r["batch"] for r in got} == {1}
+    assert parsed[0]["body"]["messages"][0]["content"] == "Hello"
+    empty = prepare_batches(rows.where("false"), "text", "id", "embeddings")
+    assert empty.columns == ["id", "line", "batch"] and empty.count() == 0
+    twice = frame(spark, [("a", "x"), ("a", "y"), ("b", "z")], "id string, text string")
+    with pytest.raises(ValueError, match="unique"):
+        prepare_batches(twice, "text", "id", "embeddings")
+    with pytest.raises(ValueError, match="64 characters"):
+        prepare_batches(frame(spark, [("a b", "x")], "id string, text string"), "text", "id", "messages")
+    with pytest.raises(ValueError, match="kind"):
+        prepare_batches(rows, "text", "id", "other")
