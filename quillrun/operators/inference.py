@@ -275,20 +275,28 @@ def tidy_batched(responses: DataFrame, result: str, many: Callable[[Column], Col
                        *error_columns(response, unreadable, WRONG_COUNT))
 
 
+def text_rows(df: DataFrame, text: str, id: str, chunk_size: int | None = None,
+              on_invalid: str = "error_row", keep: Sequence[str] = (),
+              index: str | None = None) -> DataFrame:
+    """id, text, kept columns, and with a chunk size the chunk (and position ``index``)."""
+    require_columns(df, id, text, *keep)
+    rows = apply_invalid_policy(df.select(*dict.fromkeys([id, text, *keep])), text, on_invalid)
+    return rows if chunk_size is None else with_chunk(rows, chunk_size, id, index=index)
+
+
+def with_request(rows: DataFrame, text: str, task: Task, keep: Sequence[str] = ()) -> DataFrame:
+    """The text column turned into the request; kept as well if ``keep`` names it."""
+    carried = [c for c in rows.columns if c != text or c in keep]
+    return rows.select(*carried, task.build(F.col(text)).alias("request"))
+
+
 def request_table(df: DataFrame, text: str, id: str, task: Task, chunk_size: int | None = None,
-                  on_invalid: str = "error_row", keep: Sequence[str] = (),
-                  index: str | None = None) -> DataFrame:
-    """id, kept columns, chunk (and position ``index``) and request of each row.
+                  on_invalid: str = "error_row", keep: Sequence[str] = ()) -> DataFrame:
+    """id, kept columns, chunk and request of each row.
 
     The id is a column of the request's row, so nothing has to be matched up afterwards.
     """
-    require_columns(df, id, text, *keep)
-    rows = apply_invalid_policy(df.select(*dict.fromkeys([id, text, *keep])), text, on_invalid)
-    placed = []
-    if chunk_size is not None:
-        rows = with_chunk(rows, chunk_size, id, index=index)
-        placed = ["chunk"] if index is None else ["chunk", index]
-    return rows.select(id, *keep, *placed, task.build(F.col(text)).alias("request"))
+    return with_request(text_rows(df, text, id, chunk_size, on_invalid, keep), text, task, keep)
 
 
 def write_run_metadata(spark: SparkSession, run_dir: str, task: Task, n_texts: int,
@@ -312,9 +320,10 @@ def infer(df: DataFrame, text: str, id: str, task: Task, backend: BackendFactory
     with them the only shuffle. ``partitions`` times ``concurrency`` bounds the calls in flight.
     """
     spark = df.sparkSession
-    requests = request_table(df, text, id, task, chunk_size, on_invalid, keep)
-    if partitions is not None:
-        requests = requests.repartition(partitions)
+    rows = text_rows(df, text, id, chunk_size, on_invalid, keep)
+    if partitions is not None:  # texts are moved, not the larger requests
+        rows = rows.repartition(partitions)
+    requests = with_request(rows, text, task, keep)
     folder = (run_dir or fresh_dir(spark, task.name)).rstrip("/")
     perform(requests, backend, concurrency, retry).write.parquet(f"{folder}/responses")
     responses = spark.read.parquet(f"{folder}/responses")

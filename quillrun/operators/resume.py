@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillrun.operators.inference import (BackendFactory, Retry, Task, infer, perform,
-                                          request_table, tidy_responses, write_run_metadata)
+                                          text_rows, tidy_responses, with_request,
+                                          write_run_metadata)
 from quillrun.sources.runs import has_metadata
 
 
@@ -34,30 +35,33 @@ def run_in_waves(df: DataFrame, text: str, id: str, task: Task, backend: Backend
                  keep: Sequence[str] = ()) -> DataFrame:
     """Inference that loses at most the running wave when it is cut off.
 
-    The request table is written once, by wave, so each wave reads its own requests only; the
-    run's metadata is written after it and marks it complete. A wave calls what has no response
-    yet and appends. Calling again with the same ``run_dir`` goes on where the last run stopped.
+    The texts are written once, by wave, so each wave reads its own only; the run's metadata is
+    written after them and marks them complete. A wave calls what has no response yet and
+    appends. Calling again with the same ``run_dir`` goes on where the last run stopped.
     """
     spark = df.sparkSession
-    requests_path, responses_path = f"{run_dir}/requests", f"{run_dir}/responses"
+    texts_path, responses_path = f"{run_dir}/texts", f"{run_dir}/responses"
     if not has_metadata(spark, run_dir):
         wave = F.floor((F.col("chunk") - 1) / F.lit(chunks_per_wave)).cast("int")
-        request_table(df, text, id, task, chunk_size, on_invalid, keep, index="row_index") \
+        text_rows(df, text, id, chunk_size, on_invalid, keep, index="row_index") \
             .withColumn("wave", wave).write.mode("overwrite").partitionBy("wave") \
-            .parquet(requests_path)
-        n_texts = spark.read.parquet(requests_path).count()
+            .parquet(texts_path)
+        stored = written(spark, texts_path)
+        n_texts = 0 if stored is None else stored.count()
         write_run_metadata(spark, run_dir, task, n_texts, chunk_size, concurrency, retry)
-    requests = spark.read.parquet(requests_path)
-    waves = sorted(r["wave"] for r in requests.select("wave").distinct().collect())
+    texts = written(spark, texts_path)
+    if texts is None:  # an empty table has no waves
+        return infer(df, text, id, task, backend, chunk_size=chunk_size, keep=keep)
+    waves = sorted(r["wave"] for r in texts.select("wave").distinct().collect())
     for wave in waves:
         done = written(spark, responses_path)
         if done is not None:
             done = done.where(F.col("wave") == wave)
         # rows are told apart by position, so a repeated id is no row's stand-in
-        todo = pending(requests.where(F.col("wave") == wave), done, "row_index")
+        todo = pending(texts.where(F.col("wave") == wave), done, "row_index")
         if done is not None and todo.isEmpty():
             continue
-        perform(todo, backend, concurrency, retry) \
+        perform(with_request(todo, text, task, keep), backend, concurrency, retry) \
             .write.mode("append").partitionBy("wave").parquet(responses_path)
     return tidy_responses(spark.read.parquet(responses_path).drop("wave", "row_index"), task)
 

@@ -155,12 +155,18 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, id: str = "vec_id",
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     rows = df.select(id, as_doubles(F.col(vector)).alias("v"))
-    first = exact_copies(rows, id, "v")
-    distinct = materialise(
-        first.select(id, _unit(F.col("v")).alias("u"), "copies").where("u is not null"), "distinct")
-    total, n_rows = distinct.agg(F.count(F.lit(1)), F.sum("copies")).first()
-    if not total:
-        return rows.select(id, F.col(id).alias("duplicate_of")).limit(0)
+    first = materialise(exact_copies(rows, id, "v").withColumn("u", _unit(F.col("v"))), "distinct")
+    distinct = first.where("u is not null").select(id, "u")
+    total = distinct.count()
+    n_rows = first.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    # without any direction only identical vectors are left to find
+    lowest = _matches(distinct, total, threshold, id, pivots, block_rows) if total else None
+    return _with_copies(rows, first, lowest, n_rows, id)
+
+
+def _matches(distinct: DataFrame, total: int, threshold: float, id: str, pivots: int,
+             block_rows: int) -> DataFrame:
+    """The lowest similar id of each distinct vector that has one."""
     wanted = max(1, min(pivots, math.isqrt(total)))
     chosen = distinct.select("u").orderBy(F.xxhash64(id)).limit(wanted).collect()
     places = _cells(unit_rows(np.array([r[0] for r in chosen])),
@@ -173,11 +179,17 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, id: str = "vec_id",
     early = materialise(_lowest_match(low, placed, id, threshold, block_rows, wanted), "early")
     late = _lowest_match(high, high.join(early.select(id), id, "left_anti"), id, threshold,
                          block_rows, wanted)
-    lowest = materialise(early.unionAll(late), "lowest")
+    return materialise(early.unionAll(late), "lowest")
 
-    # a copy's match is its group's match, or else the group's first vector
-    groups = first.select(F.col(id).alias("__first"), "v", "copies") \
-        .join(lowest.withColumnRenamed(id, "__first"), "__first", "left")
+
+def _with_copies(rows: DataFrame, first: DataFrame, lowest: DataFrame | None, n_rows: int,
+                 id: str) -> DataFrame:
+    """Matches for every row: a copy has its group's match, or else the group's first vector."""
+    groups = first.select(F.col(id).alias("__first"), "v", "copies")
+    if lowest is None:
+        groups = groups.withColumn("duplicate_of", F.lit(None).cast(first.schema[id].dataType))
+    else:
+        groups = groups.join(lowest.withColumnRenamed(id, "__first"), "__first", "left")
     lone = groups.where("copies = 1 and duplicate_of is not null").select(
         F.col("__first").alias(id), "duplicate_of")
     repeated = groups.where("copies > 1")

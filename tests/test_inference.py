@@ -273,3 +273,12 @@ def test_waves_keep_repeated_ids(spark, folder):
     got = resume.run_in_waves(rows, "text", "id", inf.embed_task(), an.EmbedBackend, folder,
                               chunk_size=2, chunks_per_wave=1, retry=an.FAST_RETRY)
     assert sorted(r["id"] for r in got.collect()) == [1, 1, 2]
+
+
+def test_empty_tables_give_empty_results(spark, folder):
+    nothing = texts(spark, 5).where("false")
+    for got in (
+            inf.infer(nothing, "text", "id", inf.chat_task(), an.ChatBackend),
+            resume.run_in_waves(nothing, "text", "id", inf.chat_task(), an.ChatBackend, folder)):
+        assert got.count() == 0
+        assert got.columns == ["id", "content", "error", "error_msg", "status", "chunk"]
