@@ -16,10 +16,10 @@ import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from typing import Any
+from typing import Any, NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,23 +59,32 @@ class Retry:
             raise ValueError("timeout must be a positive number")
 
 
-def call_with_retry(backend: Backend, request: str | None, retry: Retry) -> dict[str, Any]:
-    """One request to one response record. Never raises: a failure is a value."""
+class Answer(NamedTuple):
+    """What came of a request: a status and body, or what failed, and after how many tries."""
+
+    status: int | None
+    body: str | None
+    failure: str | None
+    tries: int
+
+
+def call_with_retry(backend: Backend, request: str | None, retry: Retry) -> Answer:
+    """One request to one answer. Never raises: a failure is a value."""
     if request is None:
-        return {"status": None, "body": None, "failure": INVALID_TEXT, "tries": 0}
-    answer: dict[str, Any] = {}
-    for tries in range(1, retry.max_tries + 1):
+        return Answer(None, None, INVALID_TEXT, 0)
+    tries = 1
+    while True:
         try:
             status, body = backend(request, retry.timeout)
-            answer = {"status": int(status), "body": body, "failure": None, "tries": tries}
+            answer = Answer(int(status), body, None, tries)
             if status not in retry.statuses:
                 return answer
         except Exception as error:  # any failure of the caller's client becomes a row
-            answer = {"status": None, "body": None, "tries": tries,
-                      "failure": str(error) or type(error).__name__}
-        if tries < retry.max_tries:
-            retry.sleep(retry.backoff ** tries)
-    return answer
+            answer = Answer(None, None, str(error) or type(error).__name__, tries)
+        if tries >= retry.max_tries:
+            return answer
+        retry.sleep(retry.backoff ** tries)
+        tries += 1
 
 
 def _call_all(backend: Backend, pool: ThreadPoolExecutor | None, requests: Sequence[str | None],
@@ -83,8 +92,11 @@ def _call_all(backend: Backend, pool: ThreadPoolExecutor | None, requests: Seque
     def call(request):
         return call_with_retry(backend, request, retry)
 
-    answers = map(call, requests) if pool is None else pool.map(call, requests)
-    return pa.array(list(answers), type=_ARROW_RESPONSE)
+    answers = list(map(call, requests) if pool is None else pool.map(call, requests))
+    columns = zip(*answers) if answers else [()] * len(_ARROW_RESPONSE)
+    return pa.StructArray.from_arrays(
+        [pa.array(values, field.type) for values, field in zip(columns, _ARROW_RESPONSE)],
+        fields=list(_ARROW_RESPONSE))
 
 
 def _pool(concurrency: int) -> ThreadPoolExecutor | None:

@@ -28,7 +28,7 @@ ROWS_PER_BUCKET = 250_000
 MIN_ROWS_PER_BUCKET = 1_000
 TREE_LEAVES = 64
 
-_BUCKET = "__bucket"
+_BUCKET, _TIE = "__bucket", "__tie"
 
 
 def _bucket_count(df: DataFrame, total: int, rows_per_bucket: int) -> int:
@@ -46,8 +46,14 @@ def _sampled_cuts(df: DataFrame, order_by: Sequence[str], buckets: int, total: i
         keys = keys.sample(fraction=min(1.0, wanted / total), seed=17)
     ordered = [r[0] for r in keys.orderBy(*order_by)
                .select(F.to_json(F.struct(*order_by), {"ignoreNullFields": "false"})).collect()]
-    picks = [ordered[len(ordered) * i // buckets] for i in range(1, buckets)] if ordered else []
-    return list(dict.fromkeys(picks))
+    return [ordered[len(ordered) * i // buckets] for i in range(1, buckets)] if ordered else []
+
+
+def _tie_break(df: DataFrame) -> Column:
+    """A hash of the row: an order among rows with equal keys that every task agrees on."""
+    hashable = [f"`{f.name}`" for f in df.schema.fields
+                if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*hashable)
 
 
 def _literals(cuts: list[str], shape: str, schema: T.StructType) -> Column:
@@ -126,7 +132,8 @@ def with_position(df: DataFrame, order_by: str | Sequence[str], position: str =
                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add the 1-based position of each row in the order of ``order_by``.
 
-    ``order_by`` must tell rows apart (add the id). ``running`` names long expressions: each
+    ``order_by`` should tell rows apart (add the id); rows with equal keys follow each other in an
+    order of no meaning, and a key that fills more than a bucket is split. ``running`` names long expressions: each
     becomes the running total *before* the row. ``highest`` names expressions whose maximum over
     the table goes on every row; it comes from the same pass as the bucket sizes. ``df`` should
     be a stored table: its keys are read for the count and a sample, the measured columns for
@@ -137,10 +144,13 @@ def with_position(df: DataFrame, order_by: str | Sequence[str], position: str =
     total = df.select(*order_by).count()
     buckets = _bucket_count(df, total, rows_per_bucket)
     cuts = _sampled_cuts(df, order_by, buckets, total) if buckets > 1 else []
-
     measured = df.withColumns({f"__m_{n}": e.cast("bigint") for n, e in running.items()}) \
         if running else df
-    bucketed = measured.withColumn(_BUCKET, _bucket_of(df, order_by, cuts))
+    if len(set(cuts)) < len(cuts):  # one key fills more than a bucket: split it by row content
+        measured = measured.withColumn(_TIE, _tie_break(df))
+        order_by = [*order_by, _TIE]
+        cuts = list(dict.fromkeys(_sampled_cuts(measured, order_by, buckets, total)))
+    bucketed = measured.withColumn(_BUCKET, _bucket_of(measured, order_by, cuts))
     sizes = bucketed.groupBy(_BUCKET).agg(
         F.count(F.lit(1)).alias("__rows"),
         *[F.sum(f"__m_{n}").alias(f"__sum_{n}") for n in running],

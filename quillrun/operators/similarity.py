@@ -100,7 +100,9 @@ def _low_cut(distinct: DataFrame, id: str, wanted: int, total: int):
     share = min(1.0, sample / total)
     ids = distinct.select(id) if share == 1.0 else distinct.select(id).sample(share, 17)
     drawn = [r[0] for r in ids.orderBy(id).limit(4 * sample).collect()]
-    return drawn[min(len(drawn) - 1, len(drawn) * wanted // total)] if drawn else None
+    if not drawn:
+        drawn = [distinct.agg(F.min(id)).first()[0]]
+    return drawn[min(len(drawn) - 1, len(drawn) * wanted // total)]
 
 
 def _lowest_match(candidates: DataFrame, probes: DataFrame, id: str, threshold: float,
@@ -174,7 +176,10 @@ def _matches(distinct: DataFrame, total: int, threshold: float, id: str, pivots:
     placed = materialise(distinct.withColumn("at", places("u")).select(
         id, "u", "at.home", "at.cells"), "cells")
 
-    cut = _low_cut(distinct, id, min(total, block_rows * wanted), total)
+    low_rows = block_rows * wanted
+    if total <= low_rows:
+        return materialise(_lowest_match(placed, placed, id, threshold, block_rows, wanted), "lowest")
+    cut = _low_cut(distinct, id, low_rows, total)
     low, high = placed.where(F.col(id) <= F.lit(cut)), placed.where(F.col(id) > F.lit(cut))
     early = materialise(_lowest_match(low, placed, id, threshold, block_rows, wanted), "early")
     late = _lowest_match(high, high.join(early.select(id), id, "left_anti"), id, threshold,

@@ -449,3 +449,17 @@ def test_prepare_batches(spark):
         prepare_batches(frame(spark, [("a b", "x")], "id string, text string"), "text", "id", "messages")
     with pytest.raises(ValueError, match="kind"):
         prepare_batches(rows, "text", "id", "other")
+
+
+def test_a_hot_key_is_split_and_still_in_order(spark):
+    rows = spark.range(6000).select(
+        "id", F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000).alias("k"))
+    got = positions.with_position(rows, "k", rows_per_bucket=100).cache()
+    assert got.agg(F.min("position"), F.max("position"), F.count_distinct("position")).first()[:] \
+        == (1, 6000, 6000)
+    spans = got.groupBy("k").agg(F.min("position").alias("a"), F.max("position").alias("z"),
+                                 F.count("*").alias("n")).orderBy("k").collect()
+    assert all(r["z"] - r["a"] + 1 == r["n"] for r in spans)
+    assert [r["a"] for r in spans] == sorted(r["a"] for r in spans)
+    hot = got.where("k = 500").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot > 1
