@@ -13,7 +13,6 @@ The rows cross the network once and nothing has to be checkpointed.
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Mapping, Sequence
 

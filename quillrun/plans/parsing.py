@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillrun.functions import responses as rs
 from quillrun.functions.payload import NULL, Slot, render, text_slot
 from quillrun.operators import reports, results
-from quillrun.operators.inference import tidy_responses, messages_task, tidy_batched
+from quillrun.operators.inference import messages_task, tidy_batched, tidy_responses
 from quillrun.plans import answers as an
 from quillrun.plans.registry import query, table
 
@@ -34,48 +34,49 @@ def error_rows(spark, sf_dir):
     return tidy.where("error").select("doc_id", "error", "error_msg", "status")
 
 
-WIDE = [f"V{i}" for i in range(1, 9)]
-WIDE_SQL = ", ".join(
-    f"CASE WHEN kind < 3 THEN CAST(embedding[{i}] AS DOUBLE) END AS V{i}" for i in range(1, 9))
+SIZE = 64
 
 
-@query("e3_embedding_bodies", f"""
-SELECT vec_id, {WIDE_SQL} FROM (SELECT *, vec_id % 4 AS kind FROM embeddings)""")
+def wide_sql(condition: str, first: int = 1, count: int = SIZE) -> str:
+    """V1..Vn out of a SQL list, NULL where the condition does not hold."""
+    return ", ".join(f"CASE WHEN {condition} THEN CAST(embedding[{first + i}] AS DOUBLE) END "
+                     f"AS V{i + 1}" for i in range(count))
+
+
+def vectors(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").withColumn(
+        "vector", F.col("embedding").cast("array<double>"))
+
+
+@query("e3_embedding_bodies", f"SELECT vec_id, {wide_sql('vec_id % 4 < 3')} FROM embeddings")
 def embedding_bodies(spark, sf_dir):
-    vector = F.to_json(F.slice(F.col("embedding").cast("array<double>"), 1, 8))
-    kind = F.col("vec_id") % 4
+    vector, kind = F.to_json("vector"), F.col("vec_id") % 4
     body = F.when(kind == 0, F.concat(F.lit("["), vector, F.lit("]"))) \
         .when(kind == 1, F.concat(F.lit('{"embedding":'), vector, F.lit("}"))) \
         .when(kind == 2, vector).otherwise('{"error":"none"}')
-    return table(spark, sf_dir, "embeddings").withColumn("v", rs.embedding_vector(body)).select(
-        "vec_id", *rs.widen(F.col("v"), 8))
+    return vectors(spark, sf_dir).withColumn("v", rs.embedding_vector(body)).select(
+        "vec_id", *rs.widen(F.col("v"), SIZE))
 
 
-@query("e4_indexed_embeddings", """
-SELECT vec_id, CAST(unnest([0, 1]) AS INTEGER) AS oai_index,
-  unnest([CAST(embedding[1] AS DOUBLE), CAST(embedding[3] AS DOUBLE)]) AS V1,
-  unnest([CAST(embedding[2] AS DOUBLE), CAST(embedding[4] AS DOUBLE)]) AS V2 FROM embeddings""")
+@query("e4_indexed_embeddings", f"""
+SELECT vec_id, CAST(0 AS INTEGER) AS oai_index, {wide_sql("true", 1, 32)} FROM embeddings
+UNION ALL
+SELECT vec_id, CAST(1 AS INTEGER), {wide_sql("true", 33, 32)} FROM embeddings""")
 def indexed_embeddings(spark, sf_dir):
-    vector = F.col("embedding").cast("array<double>")
     data = [{"object": "embedding", "index": i,
-             "embedding": Slot(F.to_json(F.slice(vector, 2 * i + 1, 2)))} for i in (0, 1)]
+             "embedding": Slot(F.to_json(F.slice("vector", 32 * i + 1, 32)))} for i in (0, 1)]
     body = F.when(F.col("vec_id") % 2 == 0, render({"data": data})).otherwise(render(data))
-    rows = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.inline(rs.indexed_embeddings(body)))
+    rows = vectors(spark, sf_dir).select("vec_id", F.inline(rs.indexed_embeddings(body)))
     return rows.select("vec_id", F.col("index").alias("oai_index"),
-                       *rs.widen(F.col("embedding"), 2))
+                       *rs.widen(F.col("embedding"), 32))
 
 
-@query("e5_widen", """
-SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN CAST(embedding[1] AS DOUBLE) END AS V1,
-  CASE WHEN vec_id % 3 = 0 THEN CAST(embedding[2] AS DOUBLE) END AS V2,
-  CASE WHEN vec_id % 3 = 0 THEN CAST(embedding[3] AS DOUBLE) END AS V3 FROM embeddings""")
+@query("e5_widen", f"SELECT vec_id, {wide_sql('vec_id % 3 = 0')} FROM embeddings")
 def widen(spark, sf_dir):
-    vector = F.slice(F.col("embedding").cast("array<double>"), F.lit(1),
-                     F.when(F.col("vec_id") % 3 == 0, 3).otherwise(2))
-    vector = F.when(F.col("vec_id") % 3 != 1, vector)
-    return table(spark, sf_dir, "embeddings").withColumn("v", vector).select(
-        "vec_id", *rs.widen(F.col("v"), 3))
+    kind = F.col("vec_id") % 3
+    vector = F.when(kind == 0, F.col("vector")).when(kind == 2, F.slice("vector", 1, SIZE - 1))
+    return vectors(spark, sf_dir).withColumn("v", vector).select(
+        "vec_id", *rs.widen(F.col("v"), SIZE))
 
 
 def score():
@@ -180,20 +181,18 @@ def extract_field(spark, sf_dir):
         .select("event_id", "value", (F.col("at") + 1).alias("place"))
 
 
-@query("e15_embedding_lines", """
+@query("e15_embedding_lines", f"""
 SELECT CASE WHEN vec_id % 10 = 6 THEN '__PARSE_ERROR_LINE_' || (vec_id + 1)
     ELSE CAST(vec_id AS VARCHAR) END AS custom_id, vec_id % 10 IN (3, 5, 6, 7) AS error,
   CASE vec_id % 10 WHEN 3 THEN 'Too many tokens' WHEN 5 THEN 'plain text'
     WHEN 6 THEN 'Failed to parse JSONL line ' || (vec_id + 1)
     WHEN 7 THEN 'No embedding found in response' END AS error_msg,
-  CASE WHEN vec_id % 10 NOT IN (3, 5, 6, 7) THEN CAST(embedding[1] AS DOUBLE) END AS V1,
-  CASE WHEN vec_id % 10 NOT IN (3, 5, 6, 7) THEN CAST(embedding[64] AS DOUBLE) END AS V64
+  {wide_sql("vec_id % 10 NOT IN (3, 5, 6, 7)")}
 FROM embeddings""")
 def embedding_lines(spark, sf_dir):
     lines = an.embedding_lines(table(spark, sf_dir, "embeddings"))
-    parsed = results.parse_lines(lines, "embeddings")
-    wide = rs.widen(F.col("embedding"), 64)
-    return parsed.select("custom_id", "error", "error_msg", wide[0], wide[63])
+    return results.parse_lines(lines, "embeddings").select(
+        "custom_id", "error", "error_msg", *rs.widen(F.col("embedding"), SIZE))
 
 
 @query("e16_completion_lines", f"""

@@ -21,16 +21,16 @@ def reviews(spark, sf_dir):
 
 
 @query("f9_schema_payloads", f"""
-SELECT page_id, '{{"model":"gpt-4.1-nano","messages":[{{"role":"user","content":' || to_json(url)
+SELECT page_id, '{{"model":"gpt-4.1-nano","messages":[{{"role":"user","content":' || to_json(html)
   || '}}],"temperature":0,"max_tokens":500,"response_format":{REVIEW_FORMAT_SQL}}}' AS chat,
-  '{{"model":"claude-haiku-4-5","messages":[{{"role":"user","content":' || to_json(url)
+  '{{"model":"claude-haiku-4-5","messages":[{{"role":"user","content":' || to_json(html)
   || '}}],"max_tokens":500,"temperature":0,"output_config":{{"format":{{"type":"json_schema",'
   || '"schema":{REVIEW_SQL}}}}}}}' AS messages FROM pages""")
 def schema_payloads(spark, sf_dir):
-    url = F.col("url")
+    html = F.col("html")
     return table(spark, sf_dir, "pages").select(
-        "page_id", rq.chat_request(url, schema=an.REVIEW).alias("chat"),
-        rq.messages_request(url, schema=an.REVIEW).alias("messages"))
+        "page_id", rq.chat_request(html, schema=an.REVIEW).alias("chat"),
+        rq.messages_request(html, schema=an.REVIEW).alias("messages"))
 
 
 @query("f13_raw_schema", f"""

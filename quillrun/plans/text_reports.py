@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from quillrun.functions import requests as rq
 from quillrun.functions import text as tx
+from quillrun.functions.responses import widen
 from quillrun.operators import batching, ids, joining, pieces, reports, tables
 from quillrun.operators import inference as inf
 from quillrun.operators.results import parse_lines
 from quillrun.plans import answers as an
+from quillrun.plans.parsing import SIZE, wide_sql
 from quillrun.plans.registry import query, table
 
 # --- filters -----------------------------------------------------------------------------------
@@ -107,12 +109,12 @@ def score_pieces(spark, sf_dir):
 
 
 @query("t5_max_length", """
-SELECT page_id, '{"inputs":' || to_json(url)
+SELECT page_id, '{"inputs":' || to_json(html)
   || ',"parameters":{"return_all_scores":true,"truncation":true,"max_length":460}}' AS request
 FROM pages""")
 def max_length(spark, sf_dir):
     task = inf.classify_task(rq.safe_max_length(512))
-    return inf.request_table(table(spark, sf_dir, "pages"), "url", "page_id", task)
+    return inf.request_table(table(spark, sf_dir, "pages"), "html", "page_id", task)
 
 
 @query("t6_request_chars", """
@@ -200,14 +202,14 @@ def bind_rows(spark, sf_dir):
                                                  F.lit("item").alias("kind")))
 
 
-@query("s2_bind_columns", """
-SELECT vec_id, false AS error, CAST(NULL AS VARCHAR) AS error_msg,
-  CAST(embedding[1] AS DOUBLE) AS V1, CAST(embedding[2] AS DOUBLE) AS V2 FROM embeddings""")
+@query("s2_bind_columns", f"""
+SELECT vec_id, false AS error, CAST(NULL AS VARCHAR) AS error_msg, {wide_sql("true")}
+FROM embeddings""")
 def bind_columns(spark, sf_dir):
     vector = F.col("embedding").cast("array<double>")
     return table(spark, sf_dir, "embeddings").select(
         "vec_id", F.lit(False).alias("error"), F.lit(None).cast("string").alias("error_msg"),
-        F.get(vector, F.lit(0)).alias("V1"), F.get(vector, F.lit(1)).alias("V2"))
+        *widen(vector, SIZE))
 
 
 # --- reports -----------------------------------------------------------------------------------

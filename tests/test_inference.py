@@ -2,6 +2,7 @@ import json
 import threading
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,13 +134,12 @@ def test_wrong_number_of_results_fails_the_request(spark):
 
 def test_tidy_may_be_an_arrow_function(spark):
     @F.pandas_udf("array<double>")
-    def second_try(body):
-        return body.map(lambda b: [float(len(b))] if b else None)
+    def length_of(bodies: pd.Series) -> pd.Series:
+        return bodies.map(lambda body: [float(len(body))], na_action="ignore")
 
-    import pandas as pd  # noqa: F401
-    task = inf.embed_task(tidy=lambda body: F.array(F.length(body).cast("double")))
-    got = inf.infer(texts(spark, 2), "text", "id", task, an.PatientBackend, chunk_size=None)
-    assert all(len(r["embedding"]) == 1 for r in got.collect())
+    got = inf.infer(texts(spark, 4), "text", "id", inf.embed_task(tidy=length_of),
+                    an.PatientBackend, chunk_size=None).collect()
+    assert [r["embedding"] for r in sorted(got)] == [[len("[[2.0, 1.0, 1.0]]")]] * 4
 
 
 def test_waves_go_on_where_they_stopped(spark, folder):
