@@ -55,17 +55,19 @@ def with_row_batches(df: DataFrame, order_by: OrderBy, max_rows: int = CHAT_BATC
         .drop("__position")
 
 
-def with_batches(df: DataFrame, line: str, order_by: OrderBy, max_rows: int | None = None,
+def with_batches(df: DataFrame, line: str | Column, order_by: OrderBy, max_rows: int | None = None,
                  max_bytes: int = BATCH_FILE_BYTES, batch: str = "batch",
                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Provider batches whose files hold at most ``max_bytes`` (and ``max_rows``).
 
+    ``line`` may be an expression over ``df``: then only its length is used here and the line
+    itself is best built afterwards, so that the shuffle moves texts and not whole requests.
     A batch closes by the bytes before the row, with room left for the longest line, so every
     file stays under the limit whatever the line lengths. Row and byte numbers both only grow
     along the order, so their sum changes whenever either does.
     """
     _positive("max_bytes", max_bytes)
-    size = F.octet_length(F.col(line)) + 1
+    size = F.octet_length(F.col(line) if isinstance(line, str) else line) + 1
     placed = with_position(df, order_by, "__position", {"__bytes_before": size},
                            {"__longest": size}, rows_per_bucket=rows_per_bucket)
     longest = F.col("__longest")

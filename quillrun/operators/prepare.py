@@ -38,5 +38,6 @@ def prepare_batches(df: DataFrame, text: str, id: str, kind: str, *, max_rows: i
     rows = df.select(id, text)
     if check_ids:
         enforce_ids(rows, id, messages_rules=kind == "messages")
-    lines = rows.select(id, batch_line(kind, F.col(id), F.col(text), **settings).alias("line"))
-    return with_batches(lines, "line", id, max_rows or ROW_CAPS[kind], max_bytes)
+    line = batch_line(kind, F.col(id), F.col(text), **settings)
+    placed = with_batches(rows, line, id, max_rows or ROW_CAPS[kind], max_bytes)
+    return placed.select(id, line.alias("line"), "batch")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillrun.functions import requests as rq
-from quillrun.operators.batching import CHAT_BATCH_ROWS, with_batches, with_chunk
+from quillrun.operators.batching import with_chunk
+from quillrun.operators.prepare import prepare_batches
 from quillrun.operators.tables import scan_text
 from quillrun.plans.registry import query, table
 from quillrun.session import fresh_dir
@@ -76,12 +77,9 @@ SELECT CAST(floor(before / (200000000 - longest)) + 1 + (position - 1) // 50000
        line
 FROM placed""")
 def jsonl_files(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    lines = documents.select("doc_id", rq.embedding_batch_line(
-        F.col("doc_id"), F.col("text")).alias("line"))
     path = fresh_dir(spark, "jsonl")
-    placed = with_batches(lines, "line", "doc_id", max_rows=CHAT_BATCH_ROWS)
-    jsonl.write_batches(placed, "line", path, order_by="doc_id")
+    lines = prepare_batches(table(spark, sf_dir, "documents"), "text", "doc_id", "embeddings")
+    jsonl.write_batches(lines, "line", path, order_by="doc_id")
     return spark.read.text(path).select(F.col("batch").cast("int"), F.col("value").alias("line"))
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillrun.functions import requests as rq
-from quillrun.operators import batching, joining, reports, results
+from quillrun.operators import joining, reports, results
 from quillrun.operators import structured as st
+from quillrun.operators.prepare import prepare_batches
 from quillrun.plans import answers as an
 from quillrun.plans.registry import query, table
 from quillrun.session import fresh_dir
@@ -30,11 +30,9 @@ def structured_batch(spark, sf_dir):
     folder = fresh_dir(spark, "flagship")
 
     # request lines, in files under the provider's caps
-    lines = documents.select("doc_id", rq.chat_batch_line(
-        F.col("doc_id"), F.col("text"), system_prompt="Review the document.",
-        schema=an.REVIEW).alias("line"))
-    batched = batching.with_batches(lines, "line", "doc_id", max_rows=batching.CHAT_BATCH_ROWS)
-    jsonl.write_batches(batched, "line", f"{folder}/requests", single_file=False)
+    lines = prepare_batches(documents, "text", "doc_id", "completions",
+                            system_prompt="Review the document.", schema=an.REVIEW)
+    jsonl.write_batches(lines, "line", f"{folder}/requests", single_file=False)
 
     # what the provider would send back, landed as files
     an.chat_lines(documents, an.review_content()).select("line").write.text(f"{folder}/answers")
