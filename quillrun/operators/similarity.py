@@ -8,12 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrun.functions.vectors import as_doubles, cosine, norm
+from quillrun.functions.vectors import as_doubles, norm
 from quillrun.operators.search import unit_rows
 from quillrun.session import materialise
 
@@ -208,26 +207,3 @@ def _with_copies(rows: DataFrame, first: DataFrame, lowest: DataFrame | None, n_
         id, F.coalesce("duplicate_of", F.when(F.col(id) != F.col("__first"), F.col("__first")))
         .alias("duplicate_of")).where("duplicate_of is not null")
     return lone.unionAll(copied)
-
-
-def approximate_duplicates(df: DataFrame, threshold: float = 0.95, id: str = "vec_id",
-                           vector: str = "embedding", tables: int = 3, bucket: float = 2.0,
-                           seed: int = 42) -> DataFrame:
-    """Opt-in: as ``near_duplicates`` through locality-sensitive hashing, which misses some."""
-    unit = df.select(id, _unit(as_doubles(F.col(vector))).alias("__u")).where("__u is not null") \
-        .withColumn("__x", array_to_vector("__u"))
-    model = BucketedRandomProjectionLSH(inputCol="__x", outputCol="__h", numHashTables=tables,
-                                        bucketLength=bucket, seed=seed).fit(unit)
-    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
-    pairs = model.approxSimilarityJoin(unit, unit, reach, "distance")
-    later, earlier = F.col("datasetA"), F.col("datasetB")
-    return pairs.where((later[id] > earlier[id])
-                       & (cosine(later["__u"], earlier["__u"]) >= threshold)) \
-        .groupBy(later[id].alias(id)).agg(F.min(earlier[id]).alias("duplicate_of"))
-
-
-def recall(exact: DataFrame, approximate: DataFrame, id: str = "vec_id") -> DataFrame:
-    """How many of the exact duplicates an approximate run found."""
-    both = exact.select(id).join(approximate.select(id, F.lit(1).alias("hit")), id, "left")
-    return both.agg(F.count(F.lit(1)).alias("duplicates"), F.count("hit").alias("found"),
-                    F.try_divide(F.count("hit"), F.count(F.lit(1))).alias("recall"))

@@ -397,15 +397,6 @@ def test_near_duplicates_with_one_huge_group(spark):
     assert got.count() == got.select("vec_id").distinct().count()
 
 
-def test_approximate_duplicates_are_a_subset(spark, sf_dir):
-    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    exact = similarity.near_duplicates(embeddings, 0.35)
-    some = similarity.approximate_duplicates(embeddings, 0.35)
-    report = similarity.recall(exact, some).first()
-    assert some.join(exact, "vec_id", "left_anti").count() == 0
-    assert 0 < report["recall"] <= 1
-
-
 def test_search_ties_and_blocks(spark):
     corpus = vectors(spark, [(3, [1, 0]), (1, [2, 0]), (2, [0, 1]), (4, [0, 0]), (5, [-1, 0])])
     queries = frame(spark, [("q", [1.0, 0.0]), ("p", [0.0, 5.0])], "query_id string, embedding array<double>")
