@@ -15,7 +15,9 @@ from quillrun.functions.vectors import as_doubles
 from quillrun.session import fresh_dir
 
 # A block of query vectors is broadcast; a larger query set is searched block by block.
-QUERY_BLOCK_BYTES = 64_000_000
+QUERY_BLOCK_BYTES = 16_000_000
+QUERY_OVERHEAD = 64
+SCORES_AT_ONCE = 4_000_000
 SCORE_DIGITS = 9
 
 
@@ -58,27 +60,33 @@ def _search_block(corpus: DataFrame, queries: list, size: int, k: int, id: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, targets = shared.value
-        kept_ids = [np.empty(0)] * len(names)
-        kept_scores = [np.empty(0)] * len(names)
+        step = max(1, SCORES_AT_ONCE // len(names))
+        kept: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(names)
+        floor = np.full(len(names), -np.inf)  # the k-th best score so far
         for batch in batches:
             ids = batch.column(id).to_numpy(zero_copy_only=False)
             rows = matrix(batch.column(vector), size)
             # a zero vector has no direction: it is near nothing
             usable = np.flatnonzero(np.linalg.norm(rows, axis=1) > 0)
-            if not len(usable):
-                continue
-            ids = ids[usable]
-            scores = np.round(unit_rows(rows[usable]) @ targets.T, SCORE_DIGITS)
-            for q in range(len(names)):
-                all_ids = np.concatenate([kept_ids[q].astype(ids.dtype), ids])
-                all_scores = np.concatenate([kept_scores[q], scores[:, q]])
-                top = best(all_scores, all_ids, k)
-                kept_ids[q], kept_scores[q] = all_ids[top], all_scores[top]
-        for q in range(len(names)):
-            if len(kept_ids[q]):
+            ids, rows = ids[usable], unit_rows(rows[usable])
+            for at in range(0, len(ids), step):
+                some = ids[at:at + step]
+                scores = np.round(rows[at:at + step] @ targets.T, SCORE_DIGITS)
+                for q in np.flatnonzero((scores >= floor).any(axis=0)):
+                    places = np.flatnonzero(scores[:, q] >= floor[q])
+                    found_ids, found = some[places], scores[places, q]
+                    if kept[q] is not None:
+                        found_ids = np.concatenate([kept[q][0], found_ids])
+                        found = np.concatenate([kept[q][1], found])
+                    top = best(found, found_ids, k)
+                    kept[q] = found_ids[top], found[top]
+                    if len(top) == k:
+                        floor[q] = found[top[-1]]
+        for q, best_of in enumerate(kept):
+            if best_of is not None:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(kept_ids[q]), q, np.int32)), pa.array(kept_ids[q]),
-                     pa.array(kept_scores[q])], ["query_no", id, "score"])
+                    [pa.array(np.full(len(best_of[0]), q, np.int32)), pa.array(best_of[0]),
+                     pa.array(best_of[1])], ["query_no", id, "score"])
 
     found = corpus.select(id, as_doubles(F.col(vector)).alias(vector)).mapInArrow(run, schema)
     ranked = Window.partitionBy("query_no").orderBy(F.desc("score"), id)
@@ -113,7 +121,7 @@ def semantic_search(queries: DataFrame, corpus: DataFrame, k: int = 5, id: str =
         return spark.createDataFrame([], T.StructType([
             query_field, T.StructField("rank", T.IntegerType()), corpus.schema[id],
             T.StructField("score", T.DoubleType())]))
-    blocks = math.ceil(total * size * 8 / block_bytes)
+    blocks = math.ceil(total * (size * 8 + QUERY_OVERHEAD) / block_bytes)
     if blocks <= 1:
         return _search_block(corpus, vectors.collect(), size, k, id, vector, query_field)
     path = fresh_dir(spark, "search")

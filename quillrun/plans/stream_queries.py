@@ -23,7 +23,8 @@ def ingest_results(spark, sf_dir):
     lines = an.chat_lines(table(spark, sf_dir, "documents"), F.col("source")).select("line")
     lines.repartition(4).write.text(f"{folder}/landing")
     arrived = ingest.ingest_results(spark, f"{folder}/landing", "completions",
-                                    f"{folder}/results", f"{folder}/checkpoint", files_per_batch=2)
+                                    f"{folder}/results", f"{folder}/checkpoint", files_per_batch=2,
+                                    state_partitions=spark.sparkContext.defaultParallelism)
     # which file, and so which line, an unreadable line lands in is not fixed
     readable = ~F.col("custom_id").startswith("__PARSE_ERROR_LINE_")
     return arrived.select(F.when(readable, F.col("custom_id")).alias("custom_id"), "content",
@@ -38,6 +39,6 @@ def infer_arrivals(spark, sf_dir):
     results = ingest.infer_arrivals(
         spark, f"{folder}/landing", pages.schema, "html", "page_id", inf.embed_task(),
         an.EmbedBackend, f"{folder}/responses", f"{folder}/checkpoint", retry=an.FAST_RETRY,
-        files_per_batch=2)
+        files_per_batch=2, state_partitions=spark.sparkContext.defaultParallelism)
     rest = [c for c in results.columns if c != "embedding"]
     return results.select(*rest, *widen(F.col("embedding"), 3))

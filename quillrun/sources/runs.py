@@ -43,9 +43,14 @@ def output_file(spark: SparkSession, given: str | None = None,
     return given
 
 
-def write_chunks(results: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Results as parquet, one folder and file per chunk."""
-    results.repartition("chunk").write.mode(mode).partitionBy("chunk").parquet(path)
+def write_chunks(results: DataFrame, path: str, mode: str = "errorifexists",
+                 single_file: bool = True) -> None:
+    """Results as parquet, one folder per chunk.
+
+    ``single_file`` brings a chunk's rows together in one file; without it nothing is shuffled.
+    """
+    rows = results.repartition("chunk") if single_file else results
+    rows.write.mode(mode).partitionBy("chunk").parquet(path)
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:

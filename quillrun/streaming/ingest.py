@@ -22,22 +22,29 @@ from quillrun.sources.jsonl import line_numbers, read_lines
 
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 @contextmanager
-def _state_on_disk(spark: SparkSession):
-    """Seen ids go to RocksDB rather than the heap while a query starts."""
-    before = spark.conf.get(_STATE_STORE)
-    spark.conf.set(_STATE_STORE, _ROCKSDB)
+def _settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings a query takes over when it starts, put back afterwards."""
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_STATE_STORE, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
-         trigger: dict | None) -> None:
-    with _state_on_disk(stream.sparkSession):
+         trigger: dict | None, state_partitions: int | None) -> None:
+    # seen ids live in RocksDB and not on the heap
+    settings = {_STATE_STORE: _ROCKSDB}
+    if state_partitions is not None:
+        settings[_STATE_PARTITIONS] = str(state_partitions)
+    with _settings(stream.sparkSession, settings):
         query = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint) \
             .trigger(**(trigger or {"availableNow": True})).start()
         query.awaitTermination()
@@ -54,12 +61,14 @@ def _read_epochs(spark: SparkSession, target: str) -> DataFrame | None:
 
 def ingest_results(spark: SparkSession, source: str, kind: str, target: str, checkpoint: str,
                    id: str = "custom_id", files_per_batch: int = 1000,
-                   trigger: dict | None = None) -> DataFrame:
+                   trigger: dict | None = None,
+                   state_partitions: int | None = None) -> DataFrame:
     """Parse provider result files as they land in ``source`` and append new ids to ``target``.
 
     The same parser as for a batch read. A result line that repeats an id seen before, in any
     file, is left out. Lines without an id (unreadable ones above all) are never left out: they are
     reported by file and line number, for which only the files that hold some are read again.
+    ``state_partitions`` spreads the seen ids; it is fixed by the first run of a checkpoint.
     """
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(source) \
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")) \
@@ -83,7 +92,7 @@ def ingest_results(spark: SparkSession, source: str, kind: str, target: str, che
         finally:
             batch.unpersist()
 
-    _run(seen_once, handle, checkpoint, trigger)
+    _run(seen_once, handle, checkpoint, trigger, state_partitions)
     results = _read_epochs(spark, target)
     if results is None:
         nothing = spark.createDataFrame([], "file string, line_no int, line string")
@@ -95,8 +104,12 @@ def infer_arrivals(spark: SparkSession, source: str, schema, text: str, id: str,
                    backend: BackendFactory, target: str, checkpoint: str, *,
                    concurrency: int = 5, retry: Retry = Retry(), on_invalid: str = "error_row",
                    keep: Sequence[str] = (), files_per_batch: int = 1000,
-                   trigger: dict | None = None) -> DataFrame:
-    """Call the model for rows of parquet files arriving in ``source``, each id once."""
+                   trigger: dict | None = None,
+                   state_partitions: int | None = None) -> DataFrame:
+    """Call the model for rows of parquet files arriving in ``source``, each id once.
+
+    ``state_partitions`` spreads the seen ids; it is fixed by the first run of a checkpoint.
+    """
     def responses(rows: DataFrame) -> DataFrame:
         requests = request_table(rows, text, id, task, on_invalid=on_invalid, keep=keep)
         return perform(requests, backend, concurrency, retry)
@@ -104,7 +117,7 @@ def infer_arrivals(spark: SparkSession, source: str, schema, text: str, id: str,
     arrivals = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch) \
         .parquet(source).dropDuplicates([id])
     _run(arrivals, lambda batch, epoch: _write_epoch(responses(batch), target, epoch),
-         checkpoint, trigger)
+         checkpoint, trigger, state_partitions)
     found = _read_epochs(spark, target)
     if found is None:
         found = responses(spark.createDataFrame([], schema))

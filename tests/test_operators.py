@@ -454,3 +454,24 @@ def test_a_hot_key_is_split_and_still_in_order(spark):
     assert [r["a"] for r in spans] == sorted(r["a"] for r in spans)
     hot = got.where("k = 500").select(F.spark_partition_id().alias("p")).distinct().count()
     assert hot > 1
+
+
+def test_search_over_many_batches_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    points = np.round(rng.normal(size=(900, 4)), 1)
+    corpus = vectors(spark, list(enumerate(points))).repartition(3)
+    queries = frame(spark, [(i, list(map(float, rng.normal(size=4)))) for i in range(12)],
+                    "query_id int, embedding array<double>")
+    before = search.SCORES_AT_ONCE
+    search.SCORES_AT_ONCE = 120
+    try:
+        got = search.semantic_search(queries, corpus, 7).collect()
+    finally:
+        search.SCORES_AT_ONCE = before
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    for query in queries.collect():
+        q = np.array(query["embedding"])
+        scores = np.round(unit @ (q / np.linalg.norm(q)), 9)
+        expected = sorted(range(900), key=lambda i: (-scores[i], i))[:7]
+        mine = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == query["query_id"])
+        assert [i for _, i in mine] == expected
