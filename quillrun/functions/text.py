@@ -35,11 +35,10 @@ def truncate(text: Column, max_chars: int = TRUNCATE_CHARS) -> Column:
 def pieces(text: Column, max_chars: int = PIECE_CHARS) -> Column:
     """The text cut every ``max_chars`` characters; a short text is its only piece.
 
-    Whole text, no piece empty; NULL or empty text has no pieces.
+    Whole text, no piece empty; NULL or empty text has no pieces. One pass over the text, however
+    long (cutting by position would look for each piece from the start).
     """
-    last = F.ceil(F.length(text) / F.lit(max_chars)).cast("int") - 1
-    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(
-        text, i * max_chars + 1, F.lit(max_chars)))
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{int(max_chars)}}}"), F.lit(0))
     return F.when(F.length(text) > 0, cut)
 
 

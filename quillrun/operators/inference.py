@@ -292,7 +292,8 @@ def text_rows(df: DataFrame, text: str, id: str, chunk_size: int | None = None,
               index: str | None = None) -> DataFrame:
     """id, text, kept columns, and with a chunk size the chunk (and position ``index``)."""
     require_columns(df, id, text, *keep)
-    rows = apply_invalid_policy(df.select(*dict.fromkeys([id, text, *keep])), text, on_invalid)
+    rows = apply_invalid_policy(df.select(*dict.fromkeys([id, text, *keep])), text, on_invalid,
+                                id)
     return rows if chunk_size is None else with_chunk(rows, chunk_size, id, index=index)
 
 

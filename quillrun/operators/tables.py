@@ -40,16 +40,19 @@ def from_vectors(spark: SparkSession, texts: Sequence[str], ids: Sequence[Any],
     return spark.createDataFrame(rows, f"`{id}` {id_type}, `{text}` string")
 
 
-def apply_invalid_policy(df: DataFrame, text: str, on_invalid: str = "error_row") -> DataFrame:
+def apply_invalid_policy(df: DataFrame, text: str, on_invalid: str = "error_row",
+                         id: str | None = None) -> DataFrame:
     """What to do with NULL or empty texts.
 
-    ``drop`` filters them, ``fail`` raises when one is read, ``error_row`` keeps them: they get
-    no request and come back as error rows.
+    ``drop`` filters them, ``fail`` raises when one is read (naming its ``id``), ``error_row``
+    keeps them: they get no request and come back as error rows.
     """
     if on_invalid == "drop":
         return df.where(has_text(F.col(text)))
     if on_invalid == "fail":
-        refuse = F.raise_error(F.lit(f"{INVALID_TEXT}: filter or amend before proceeding"))
+        which = F.lit("") if id is None else F.concat(F.lit(", row "), F.col(id).cast("string"))
+        refuse = F.raise_error(F.concat(
+            F.lit(INVALID_TEXT), which, F.lit(": filter or amend before proceeding")))
         checked = F.when(has_text(F.col(text)), F.col(text)).otherwise(refuse.cast("string"))
         return df.withColumn(text, checked)
     if on_invalid == "error_row":

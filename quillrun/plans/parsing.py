@@ -10,6 +10,7 @@ from quillrun.operators import reports, results
 from quillrun.operators.inference import messages_task, tidy_batched, tidy_responses
 from quillrun.plans import answers as an
 from quillrun.plans.registry import query, table
+from quillrun.sources.jsonl import split_lines
 
 
 def documents_of(spark, sf_dir):
@@ -238,10 +239,8 @@ SELECT CAST(NULL AS VARCHAR) AS custom_id, CAST(NULL AS VARCHAR) AS content, fal
   CAST(NULL AS BIGINT) AS input_tokens, CAST(NULL AS BIGINT) AS output_tokens
 FROM documents WHERE false""")
 def empty_content(spark, sf_dir):
-    from quillrun.sources.jsonl import split_lines
-
-    blank = documents_of(spark, sf_dir).select(F.repeat(F.lit("\n"), (F.col("doc_id") % 3).cast("int"))
-                                               .alias("body"))
+    newlines = F.repeat(F.lit("\n"), (F.col("doc_id") % 3).cast("int"))
+    blank = documents_of(spark, sf_dir).select(newlines.alias("body"))
     return results.parse_lines(split_lines(blank, "body"), "messages")
 
 

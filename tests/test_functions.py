@@ -2,7 +2,7 @@ import datetime
 import json
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -205,6 +205,7 @@ def test_widen_needs_the_right_length(spark):
 
 @settings(max_examples=25, deadline=None)
 @given(PLAIN, st.integers(1, 7))
+@example("a\r\nb\U0001f600c\u2028\n", 2)
 def test_pieces_put_together_give_the_text(spark, text, size):
     got = one(spark, tx.pieces(F.col("t"), size), t=("string", text))
     if not text:

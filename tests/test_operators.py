@@ -44,6 +44,8 @@ def test_invalid_policies(spark):
     assert tables.apply_invalid_policy(rows, "t", "error_row").count() == 3
     with pytest.raises(Exception, match="non-empty string"):
         tables.apply_invalid_policy(rows, "t", "fail").collect()
+    with pytest.raises(Exception, match="row 2"):
+        tables.apply_invalid_policy(rows.where("id < 3"), "t", "fail", "id").collect()
     with pytest.raises(ValueError):
         tables.apply_invalid_policy(rows, "t", "other")
 
