@@ -27,14 +27,17 @@ def is_messages_id(id: Column) -> Column:
 
 
 def id_violations(df: DataFrame, id: str, messages_rules: bool = False) -> DataFrame:
-    """(rule, custom_id, n): duplicated ids, and badly formed ones under the messages rules."""
-    found = duplicate_ids(df, id).select(
-        F.lit("duplicate").alias("rule"), F.col(id).cast("string").alias("custom_id"), "n")
+    """(rule, custom_id, n): duplicated ids, and badly formed ones under the messages rules.
+
+    One count per id serves both rules.
+    """
+    counted = df.groupBy(id).agg(F.count(F.lit(1)).alias("n"))
+    broken = [F.when(F.col("n") > 1, F.lit("duplicate"))]
     if messages_rules:
-        bad = df.where(~is_messages_id(F.col(id))).groupBy(id).agg(F.count(F.lit(1)).alias("n"))
-        found = found.unionByName(bad.select(
-            F.lit("format").alias("rule"), F.col(id).cast("string").alias("custom_id"), "n"))
-    return found
+        broken.append(F.when(~is_messages_id(F.col(id)), F.lit("format")))
+    return counted.select(
+        F.explode(F.array_compact(F.array(*broken))).alias("rule"),
+        F.col(id).cast("string").alias("custom_id"), "n")
 
 
 def enforce_ids(df: DataFrame, id: str, messages_rules: bool = False) -> DataFrame:

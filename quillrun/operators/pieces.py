@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrun.functions import text as tx
+from quillrun.operators.exploding import each
 
 
 def split_text(df: DataFrame, text: str, keep: Sequence[str], max_chars: int = tx.PIECE_CHARS
                ) -> DataFrame:
     """One row per piece, numbered from 1. Pieces joined in order give the text back."""
-    return df.select(*keep, F.posexplode(tx.pieces(F.col(text), max_chars)).alias("__at", "piece")) \
+    return each(df, tx.pieces(F.col(text), max_chars), keep, "piece", "__at") \
         .select(*keep, (F.col("__at") + 1).alias("piece_no"), "piece")
 
 

@@ -23,13 +23,22 @@ def _line(kind: str, parsed: Column, line_no: Column, strict: bool) -> Column:
     raise ValueError(f"kind must be one of {', '.join(KINDS)}")
 
 
+def with_json(lines: DataFrame) -> DataFrame:
+    """Lines with their parsed form, NULL when unreadable.
+
+    The one-element explode keeps the parse in a step of its own: as a plain column, a filter on
+    it and the fields read from it would each parse the line again.
+    """
+    return lines.select("*", F.explode_outer(F.array(rs.parse_json(F.col("line")))).alias("__json"))
+
+
 def parse_lines(lines: DataFrame, kind: str, id: str = "custom_id", strict: bool = False,
                 keep: Sequence[str] = ()) -> DataFrame:
     """Rows of a (line, line_no) table. No lines give no rows, with the same columns.
 
     ``id`` renames ``custom_id`` to the caller's id column.
     """
-    parsed = lines.withColumn("__json", rs.parse_json(F.col("line")))
+    parsed = lines if "__json" in lines.columns else with_json(lines)
     read = parsed.select(*keep, _line(kind, F.col("__json"), F.col("line_no"), strict).alias("__r"))
     value = "embedding" if kind == "embeddings" else "content"
     usage = ["stop_reason", "input_tokens", "output_tokens"] if kind == "messages" else []
@@ -42,11 +51,12 @@ def parse_lines(lines: DataFrame, kind: str, id: str = "custom_id", strict: bool
 def parse_placed_lines(lines: DataFrame, kind: str, id: str = "custom_id", strict: bool = False,
                        keep: Sequence[str] = ()) -> DataFrame:
     """Rows of lines read from files. Only unreadable lines need, and get, a line number."""
-    unreadable = rs.parse_json(F.col("line")).isNull()
-    good = lines.where(~unreadable).withColumn("line_no", F.lit(None).cast("int"))
-    bad = line_numbers(lines, unreadable)
-    return parse_lines(good.select("file", "line_no", "line").unionByName(bad), kind, id, strict,
-                       keep)
+    good = with_json(lines).where(F.col("__json").isNotNull())
+    bad = line_numbers(lines, rs.parse_json(F.col("line")).isNull())
+    columns = ["file", "line_no", "line", "__json"]
+    return parse_lines(
+        good.withColumn("line_no", F.lit(None).cast("int")).select(*columns)
+        .unionByName(with_json(bad).select(*columns)), kind, id, strict, keep)
 
 
 def parse_files(spark: SparkSession, path: str | list[str], kind: str, id: str = "custom_id",

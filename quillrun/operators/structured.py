@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillrun.functions.responses import structured
 from quillrun.functions.validation import violation_texts, violations
+from quillrun.operators.exploding import each_object
 from quillrun.schema import JsonSchema
 
 
@@ -27,7 +28,7 @@ def parse_content(df: DataFrame, schema: JsonSchema, content: str = "content",
 
 def violation_rows(df: DataFrame, id: str) -> DataFrame:
     """One row per violation of a validated table."""
-    return df.select(id, F.inline("violations"))
+    return each_object(df, "violations", [id])
 
 
 def violation_messages(df: DataFrame) -> DataFrame:
@@ -44,5 +45,5 @@ def unnest_content(df: DataFrame, schema: JsonSchema, content: str = "content")
 def unnest_objects(df: DataFrame, objects: str, keep_empty: bool = False) -> DataFrame:
     """An array of objects to one row per object; ``keep_empty`` keeps rows without any."""
     rest = [c for c in df.columns if c != objects]
-    spread = F.inline_outer if keep_empty else F.inline
-    return df.select(*rest, spread(objects))
+    return df.select(*rest, F.inline_outer(objects)) if keep_empty \
+        else each_object(df, objects, rest)

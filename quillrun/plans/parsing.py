@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quillrun.functions import responses as rs
 from quillrun.functions.payload import NULL, Slot, render, text_slot
 from quillrun.operators import reports, results
+from quillrun.operators.exploding import each, each_object
 from quillrun.operators.inference import messages_task, tidy_batched, tidy_responses
 from quillrun.plans import answers as an
 from quillrun.plans.registry import query, table
@@ -67,7 +68,7 @@ def indexed_embeddings(spark, sf_dir):
     data = [{"object": "embedding", "index": i,
              "embedding": Slot(F.to_json(F.slice("vector", 32 * i + 1, 32)))} for i in (0, 1)]
     body = F.when(F.col("vec_id") % 2 == 0, render({"data": data})).otherwise(render(data))
-    rows = vectors(spark, sf_dir).select("vec_id", F.inline(rs.indexed_embeddings(body)))
+    rows = each_object(vectors(spark, sf_dir), rs.indexed_embeddings(body), ["vec_id"])
     return rows.select("vec_id", F.col("index").alias("oai_index"),
                        *rs.widen(F.col("embedding"), 32))
 
@@ -177,9 +178,9 @@ def extract_field(spark, sf_dir):
     nested = render({
         "props": Slot(F.col("props")), "list": [{"k": an.number(F.col("user_id"))}, 7, {"k": NULL}],
         "last": {"deep": [{"k": text_slot(F.col("event_type"))}], "k": []}})
-    found = table(spark, sf_dir, "events").select("event_id", rs.extract_field(nested, "k").alias("f"))
-    return found.select("event_id", F.posexplode("f").alias("at", "value")) \
-        .select("event_id", "value", (F.col("at") + 1).alias("place"))
+    events = table(spark, sf_dir, "events").select("event_id", rs.extract_field(nested, "k").alias("f"))
+    return each(events, "f", ["event_id"], "value").select(
+        "event_id", "value", (F.col("at") + 1).alias("place"))
 
 
 @query("e15_embedding_lines", f"""

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillrun.functions.text import lines as lines_of_text
+from quillrun.operators.exploding import each
 
 
 def split_lines(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame:
     """The non-empty lines of a string column, numbered from 1."""
-    return df.select(*keep, F.posexplode(lines_of_text(F.col(body))).alias("__at", "line")) \
+    return each(df, lines_of_text(F.col(body)), keep, "line", "__at") \
         .select(*keep, (F.col("__at") + 1).alias("line_no"), "line")
 
 
