@@ -1,4 +1,4 @@
-"""Arrays to rows, computing the array once.
+"""Arrays to rows, and expensive columns computed once.
 
 For a plain ``explode`` the optimizer adds a filter that drops empty arrays early, and with it a
 second evaluation of the array: of a parse, a validation or a Python function. An outer explode
@@ -23,3 +23,12 @@ def each(df: DataFrame, items: Column | str, keep: Sequence[str], item: str = "i
 def each_object(df: DataFrame, items: Column | str, keep: Sequence[str]) -> DataFrame:
     """The kept columns and the fields of each struct in an array."""
     return each(df, items, keep, "__item", "__at").select(*keep, "__item.*")
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add an expensive column in a step of its own.
+
+    A filter on a plain column moves below the projection that makes it, and then the filter and
+    the projection each compute the value. It cannot move below a one-element explode.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from quillrun.functions import requests as rq
 from quillrun.functions import responses as rs
 from quillrun.operators.batching import with_chunk
+from quillrun.operators.exploding import computed_once
 from quillrun.operators.tables import INVALID_TEXT, apply_invalid_policy, require_columns
 from quillrun.schema import JsonSchema
 from quillrun.session import fresh_dir
@@ -258,9 +259,12 @@ def tidy_responses(responses: DataFrame, task: Task) -> DataFrame:
     """Response rows to result rows: carried columns, the result, error, error_msg, status."""
     response = F.col("response")
     failed = response["status"].isNull() | (response["status"] >= 400)
-    parsed = responses.withColumn(
-        "__result", F.when(~failed, task.tidy(response["body"]).cast(task.result_type)))
-    unreadable = ~failed & F.col("__result").isNull() if task.required else F.lit(False)
+    result = F.when(~failed, task.tidy(response["body"]).cast(task.result_type))
+    if task.required:  # whether a row failed depends on its result, so filters will ask for it
+        parsed = computed_once(responses, "__result", result)
+        unreadable = ~failed & F.col("__result").isNull()
+    else:
+        parsed, unreadable = responses.withColumn("__result", result), F.lit(False)
     carried = [c for c in responses.columns if c not in ("response", "chunk")]
     return parsed.select(
         *carried, F.col("__result").alias(task.result),

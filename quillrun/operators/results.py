@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillrun.functions import responses as rs
+from quillrun.operators.exploding import computed_once
 from quillrun.sources.jsonl import line_numbers, read_lines
 
 KINDS = ("embeddings", "completions", "messages")
@@ -24,12 +25,8 @@ def _line(kind: str, parsed: Column, line_no: Column, strict: bool) -> Column:
 
 
 def with_json(lines: DataFrame) -> DataFrame:
-    """Lines with their parsed form, NULL when unreadable.
-
-    The one-element explode keeps the parse in a step of its own: as a plain column, a filter on
-    it and the fields read from it would each parse the line again.
-    """
-    return lines.select("*", F.explode_outer(F.array(rs.parse_json(F.col("line")))).alias("__json"))
+    """Lines with their parsed form, NULL when unreadable."""
+    return computed_once(lines, "__json", rs.parse_json(F.col("line")))
 
 
 def parse_lines(lines: DataFrame, kind: str, id: str = "custom_id", strict: bool = False,

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from quillrun.functions.responses import structured
 from quillrun.functions.validation import violation_texts, violations
-from quillrun.operators.exploding import each_object
+from quillrun.operators.exploding import computed_once, each_object
 from quillrun.schema import JsonSchema
 
 
 def validate_content(df: DataFrame, schema: JsonSchema, content: str = "content") -> DataFrame:
     """Add ``violations`` and ``valid``; both NULL where there is no content."""
-    return df.withColumn("violations", violations(F.col(content), schema)) \
+    return computed_once(df, "violations", violations(F.col(content), schema)) \
         .withColumn("valid", F.size("violations") == 0) \
         .withColumn("valid", F.when(F.col("violations").isNotNull(), F.col("valid")))
 
