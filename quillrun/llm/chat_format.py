@@ -43,8 +43,8 @@ def rotate_perspectives(turns: DataFrame, dialogue: str = "conv_id", turn: str =
             .withColumn("copies", F.least(F.lit(TURNS_PER_PART),
                                           F.expr(f"copies - run * {TURNS_PER_PART}")))
             .withColumn("part", F.floor(F.col("turn") / TURNS_PER_PART)))
-    sizes = (rows.groupBy("dialogue", "part").agg(F.sum("copies").alias("n"))
-             .where(f"n > {LARGE_PART}"))
+    sizes = (rows.groupBy("dialogue", "part").agg(F.sum("copies").alias("n"), F.max("copies").alias("most"))
+             .where(f"n > {LARGE_PART} OR most >= {TURNS_PER_PART}"))
     digits = F.greatest(F.lit(1), F.ceil(F.log(F.col("n") / TURNS_PER_PART) / F.log(F.lit(16.0))))
     rows = (rows.alias("r").join(sizes.alias("s"),
                                  F.col("r.dialogue").eqNullSafe(F.col("s.dialogue"))
