@@ -1,8 +1,8 @@
 """All queries of this folder."""
 
-from quillrun.llm import mixing_query, model_queries, native_queries
+from quillrun.llm import mixing_query, model_queries, native_queries, search_query
 from quillrun.llm.registry import QUERIES, SQL
 
-MODULES = (mixing_query, model_queries, native_queries)
+MODULES = (mixing_query, model_queries, native_queries, search_query)
 
 __all__ = ["MODULES", "QUERIES", "SQL"]
