@@ -5,9 +5,8 @@ into a second filter. Pass two tests each digest against the second filter: a te
 were not both set again cannot have a copy, so its row passes straight through. Only the others
 shuffle, by their full digest, which settles false positives exactly.
 
-The second filter has 16 cells a text up to ``MAX_CELLS`` (a 128 MB bitmap), which bounds the
-broadcast. With more texts than it can tell apart it lets more rows through to the exact step; no
-result changes.
+The second filter has 16 cells a text up to a 128 MB bitmap, which bounds the broadcast. With more
+texts than it can tell apart it lets more rows through to the exact step; no result changes.
 
 Defined cases: a null text equals the empty text; texts equal after deleting the characters
 ``[\\x20\\x09-\\x0D]`` are copies; of copies, the row with the most code points in its original text
@@ -20,53 +19,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillrun.llm import bitmaps
 from quillrun.session import materialise
 
 SPACES = "\t\n\x0b\x0c\r "
-CELLS_PER_TEXT = 16
-MAX_CELLS = 1 << 30
-PART_CELLS = 32768  # cells in one row of the bitmap table
 
 
 def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), SPACES, "")
 
 
-def _cell(digest: str, seed: int, cells: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), F.col(digest)), F.lit(cells))
-
-
-def repeated_cells(keys: DataFrame, digest: str, cells: int) -> DataFrame:
-    """The second filter as bitmaps: ``part``, ``bits`` (one bit a cell that was set twice)."""
-    again = (keys.select(F.explode(F.array(_cell(digest, 1, cells), _cell(digest, 2, cells)))
-                         .alias("cell"))
-             .groupBy("cell").agg(F.count("*").alias("n")).where("n > 1"))
-    return (again.groupBy((F.col("cell") / PART_CELLS).cast("long").alias("part"))
-            .agg(F.expr(f"bitmap_construct_agg(cell % {PART_CELLS})").alias("bits")))
-
-
 def with_possible_copies(keys: DataFrame, digest: str, count: int,
                          source: DataFrame | None = None) -> DataFrame:
     """``keys`` with ``maybe``: false only where no other row has the same digest.
 
     ``source`` holds the digests of the same rows, if reading those from it is cheaper.
     """
-    cells = PART_CELLS
-    while cells < min(MAX_CELLS, CELLS_PER_TEXT * count):
-        cells *= 2
-    bitmaps = materialise(repeated_cells(source if source is not None else keys, digest, cells), "bloom")
-    found = F.lit(True)
-    for seed in (1, 2):
-        part, bits, cell = f"part{seed}", f"bits{seed}", f"cell{seed}"
-        keys = keys.withColumn(cell, _cell(digest, seed, cells)).withColumn(
-            part, (F.col(cell) / PART_CELLS).cast("long"))
-        keys = keys.join(F.broadcast(bitmaps.select(F.col("part").alias(part),
-                                                    F.col("bits").alias(bits))), part, "left")
-        byte = F.conv(F.hex(F.expr(f"substring({bits}, cast({cell} % {PART_CELLS} div 8 as int) + 1, 1)")),
-                      16, 10).cast("int")
-        bit = F.expr(f"cast({cell} % 8 as int)")
-        found = found & F.coalesce((F.floor(byte / F.pow(F.lit(2), bit)) % 2) == 1, F.lit(False))
-    return keys.withColumn("maybe", found)
+    cells = bitmaps.cells_for(count)
+    once = (source if source is not None else keys).select(bitmaps.key_cells(F.col(digest), cells))
+    again = once.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell")
+    return bitmaps.with_test(keys, F.col(digest), bitmaps.bitmap_table(again, "bloom"), cells, "maybe")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -90,8 +90,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.n
         if b - a >= width:
             sets.append(np.unique(runs[a:b - width + 1]))
         elif b > a:
-            short = (hashes[a:b] * PLACE_VALUE[:b - a]).sum(dtype=np.uint64)
-            sets.append(mix(np.array([short + PLACE_VALUE[32 + b - a]], dtype=np.uint64)))
+            short = (hashes[a:b] * PLACE_VALUE[:b - a]).sum(dtype=np.uint64, keepdims=True)
+            sets.append(mix(short + PLACE_VALUE[32 + b - a]))
         else:
             sets.append(np.zeros(0, np.uint64))
     return sets
