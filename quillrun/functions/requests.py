@@ -39,14 +39,14 @@ def _check(model: str, temperature: float, max_tokens: int, allowed: tuple[float
            system_prompt: str | None) -> None:
     low, high = allowed
     if not isinstance(model, str) or not model:
-        raise ValueError("model must be a character string")
+        raise ValueError("model: a non-empty str is needed")
     if isinstance(temperature, bool) or not isinstance(temperature, (int, float)) \
             or not low <= temperature <= high:
-        raise ValueError(f"temperature must be numeric between {low} and {high}")
+        raise ValueError(f"temperature: a number from {low} to {high} is needed, got {temperature!r}")
     if not isinstance(max_tokens, (int, float)) or max_tokens <= 0:
-        raise ValueError("max_tokens must be a positive integer")
+        raise ValueError(f"max_tokens: a number above 0 is needed, got {max_tokens!r}")
     if system_prompt is not None and not isinstance(system_prompt, str):
-        raise TypeError("system_prompt must be a single character string")
+        raise TypeError("system_prompt: a str or None is needed")
 
 
 def is_valid_text(text: Column) -> Column:

@@ -79,17 +79,27 @@ def response_fields(status: Column, body: Column) -> Column:
 
 # --- bodies ---------------------------------------------------------------------------------
 
+def _whole(vector: Column) -> Column:
+    """Has numbers, and no gap among them."""
+    return F.coalesce((F.size(vector) > 0) & F.forall(vector, lambda x: x.isNotNull()), F.lit(False))
+
+
 def _one_vector(vector: Column) -> Column:
     return F.when(vector.isNotNull(), F.array(vector))
 
 
 def embedding_vectors(body: Column) -> Column:
-    """All vectors of an embedding body: nested lists, ``{"embedding": [...]}`` or one flat list."""
-    return F.coalesce(
+    """All vectors of an embedding body: nested lists, ``{"embedding": [...]}`` or one flat list.
+
+    NULL if there is none, or if one is missing, empty or lacks a number.
+    """
+    found = F.coalesce(
         F.from_json(body, "array<array<double>>"),
         _one_vector(F.from_json(body, "embedding array<double>")["embedding"]),
         _one_vector(F.from_json(body, "array<double>")),
     )
+    return F.get(F.filter(F.array(found), lambda vectors: (F.size(vectors) > 0)
+                          & F.forall(vectors, _whole)), F.lit(0))
 
 
 def embedding_vector(body: Column) -> Column:
@@ -101,7 +111,7 @@ _INDEXED = "array<struct<index int,embedding array<double>>>"
 
 
 def _all_embedded(items: Column) -> Column:
-    return F.when((F.size(items) > 0) & ~F.exists(items, lambda x: x["embedding"].isNull()), items)
+    return F.when((F.size(items) > 0) & F.forall(items, lambda x: _whole(x["embedding"])), items)
 
 
 def indexed_embeddings(body: Column) -> Column:
@@ -301,21 +311,22 @@ def extract_field(text: Column, field: str) -> Column:
     """
     @F.pandas_udf("array<string>")
     def collect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def walk(value, found: list) -> list:
-            if isinstance(value, dict):
-                if field in value:
-                    found.append(value[field])
-                children = value.values()
-            else:
-                children = value if isinstance(value, list) else ()
-            for child in children:
-                walk(child, found)
+        def walk(body) -> list:
+            found, waiting = [], [body]
+            while waiting:  # as deep as the JSON goes, which a recursion might not reach
+                value = waiting.pop()
+                if isinstance(value, dict):
+                    if field in value:
+                        found.append(value[field])
+                    value = list(value.values())
+                if isinstance(value, list):
+                    waiting.extend(reversed(value))
             return found
 
         def values(body):
             try:
-                found = walk(json.loads(body), [])
-            except (TypeError, ValueError):
+                found = walk(json.loads(body))
+            except (TypeError, ValueError, RecursionError):  # unreadable, or nested beyond the reader
                 return None
             return [json.dumps(v, ensure_ascii=False, separators=(",", ":"))
                     for v in found if v is not None and v != [] and v != {}]

@@ -27,3 +27,10 @@ def max_abs_difference(a: Column, b: Column) -> Column:
     """Largest per-dimension difference; NULL when the lengths differ."""
     gaps = F.zip_with(a, b, lambda x, y: F.abs(x - y))
     return F.when(F.size(a) == F.size(b), F.array_max(gaps))
+
+
+def finite(vector: Column) -> Column:
+    """Has numbers, and only finite ones."""
+    return F.coalesce(
+        (F.size(vector) > 0) & F.forall(vector, lambda x: F.coalesce(
+            ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))), F.lit(False))

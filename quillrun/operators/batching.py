@@ -7,15 +7,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrun.operators.positions import ROWS_PER_BUCKET, with_position
+from quillrun.operators.positions import (ROWS_PER_BUCKET, with_position, with_stored_numbers,
+                                          with_stored_position)
 
 # What the providers accept in one batch.
 CHAT_BATCH_ROWS = 50_000
 MESSAGES_BATCH_ROWS = 100_000
 BATCH_FILE_BYTES = 200_000_000
-LARGE_BATCH_NOTICE = 10_000
+SHORT_SHARE = 0.125  # of a batch file: a longer line has a file of its own
 
-OrderBy = str | Sequence[str]
+OrderBy = str | Sequence[str] | None
 
 
 def _positive(name: str, value: int) -> None:
@@ -28,17 +29,36 @@ def piece_number(position: Column, size: int) -> Column:
     return F.floor((position - 1) / F.lit(size)) + 1
 
 
-def with_chunk(df: DataFrame, chunk_size: int, order_by: OrderBy, chunk: str = "chunk",
-               index: str | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Number rows into consecutive chunks of at most ``chunk_size``; ``index`` keeps the position."""
+def _placed(df: DataFrame, order_by: OrderBy, position: str, fallback: OrderBy,
+            rows_per_bucket: int) -> DataFrame:
+    """Positions in the order of columns, or in stored order for None, or ``fallback``'s order where
+    rows aren't read from files."""
+    if order_by is None:
+        stored = with_stored_position(df, position)
+        if stored is not None:
+            return stored
+        if fallback is None:
+            raise ValueError("these rows have no stored order: name the columns to order by")
+        order_by = fallback
+    return with_position(df, order_by, position, rows_per_bucket=rows_per_bucket)
+
+
+def with_chunk(df: DataFrame, chunk_size: int, order_by: OrderBy = None, chunk: str = "chunk",
+               index: str | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
+               fallback: OrderBy = None) -> DataFrame:
+    """Number rows into consecutive chunks of at most ``chunk_size``; ``index`` keeps the position.
+
+    Without ``order_by`` rows are numbered as they are stored, which moves nothing; rows that don't
+    come from files are then ordered by ``fallback``.
+    """
     _positive("chunk_size", chunk_size)
     kept = index or "__position"
-    placed = with_position(df, order_by, kept, rows_per_bucket=rows_per_bucket).withColumn(
+    placed = _placed(df, order_by, kept, fallback, rows_per_bucket).withColumn(
         chunk, piece_number(F.col(kept), chunk_size).cast("int"))
     return placed if index else placed.drop(kept)
 
 
-def with_row_batches(df: DataFrame, order_by: OrderBy, max_rows: int = CHAT_BATCH_ROWS,
+def with_row_batches(df: DataFrame, order_by: OrderBy = None, max_rows: int = CHAT_BATCH_ROWS,
                      batch: str = "batch", on_excess: str = "split",
                      rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Provider batches of at most ``max_rows``. ``on_excess='fail'`` refuses to split."""
@@ -50,36 +70,54 @@ def with_row_batches(df: DataFrame, order_by: OrderBy, max_rows: int = CHAT_BATC
         if n > max_rows:
             raise ValueError(f"a batch takes at most {max_rows} requests, got {n}; "
                              "split the data into multiple batches")
-    placed = with_position(df, order_by, "__position", rows_per_bucket=rows_per_bucket)
+    placed = _placed(df, order_by, "__position", None, rows_per_bucket)
     return placed.withColumn(batch, piece_number(F.col("__position"), max_rows).cast("bigint")) \
         .drop("__position")
 
 
-def with_batches(df: DataFrame, line: str | Column, order_by: OrderBy, max_rows: int | None = None,
-                 max_bytes: int = BATCH_FILE_BYTES, batch: str = "batch",
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def with_batches(df: DataFrame, line: str | Column, order_by: OrderBy = None,
+                 max_rows: int | None = None, max_bytes: int = BATCH_FILE_BYTES,
+                 batch: str = "batch", rows_per_bucket: int = ROWS_PER_BUCKET,
+                 fallback: OrderBy = None) -> DataFrame:
     """Provider batches whose files hold at most ``max_bytes`` (and ``max_rows``).
 
     ``line`` may be an expression over ``df``: then only its length is used here and the line
-    itself is best built afterwards, so that the shuffle moves texts and not whole requests.
-    A batch closes by the bytes before the row, with room left for the longest line, so every
-    file stays under the limit whatever the line lengths. Row and byte numbers both only grow
-    along the order, so their sum changes whenever either does.
+    itself is best built afterwards, so that a shuffle moves texts and not whole requests.
+
+    Lines up to ``SHORT_SHARE`` of ``max_bytes`` are numbered by the bytes of such lines before
+    them, with room left for one more, whatever other lines there are. A longer line is a batch of
+    its own; one over ``max_bytes`` is refused. Every part of the number only grows along the order,
+    so the sum changes whenever one of them does.
     """
     _positive("max_bytes", max_bytes)
-    size = F.octet_length(F.col(line) if isinstance(line, str) else line) + 1
-    placed = with_position(df, order_by, "__position", {"__bytes_before": size},
-                           {"__longest": size}, rows_per_bucket=rows_per_bucket)
-    longest = F.col("__longest")
-    refuse = F.raise_error(F.concat(F.lit("a line of "), longest.cast("string"),
-                                    F.lit(f" bytes does not fit a {max_bytes}-byte batch file")))
-    room = F.when(longest < max_bytes, F.lit(max_bytes) - longest).otherwise(refuse.cast("int"))
-    number = F.floor(F.col("__bytes_before") / room) + 1
     if max_rows is not None:
         _positive("max_rows", max_rows)
-        number = number + piece_number(F.col("__position"), max_rows) - 1
-    return placed.withColumn(batch, number.cast("bigint")) \
-        .drop("__position", "__bytes_before", "__longest")
+    size = F.octet_length(F.col(line) if isinstance(line, str) else line) + 1
+    refuse = F.raise_error(F.concat(F.lit("a line of "), size.cast("string"),
+                                    F.lit(f" bytes does not fit a {max_bytes}-byte batch file")))
+    checked = F.when(size > max_bytes, refuse.cast("int")).otherwise(size)
+    short = max(1, int(max_bytes * SHORT_SHARE))
+    measures = {"short_bytes": F.when(size <= short, size).otherwise(0),
+                "long_lines": F.when(checked > short, 1).otherwise(0)}
+
+    def number(known) -> Column:
+        made = F.floor(known["short_bytes"] / (max_bytes - short)) + 2 * known["long_lines"] \
+            + known["own_long_lines"] + 1
+        return made if max_rows is None else made + piece_number(known["position"], max_rows) - 1
+
+    if order_by is None:
+        stored = with_stored_numbers(df, batch, measures, number)
+        if stored is not None:
+            return stored
+        order_by = fallback
+        if order_by is None:
+            raise ValueError("these rows have no stored order: name the columns to order by")
+    placed = with_position(df, order_by, "__position",
+                           {f"__{n}": e for n, e in measures.items()}, rows_per_bucket=rows_per_bucket)
+    known = {"position": F.col("__position"), **{n: F.col(f"__{n}") for n in measures},
+             **{f"own_{n}": e for n, e in measures.items()}}
+    return placed.withColumn(batch, number(known).cast("bigint")) \
+        .drop("__position", *[f"__{n}" for n in measures])
 
 
 def multi_text_requests(df: DataFrame, text: str, build: Callable[[Column], Column],

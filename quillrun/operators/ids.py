@@ -27,14 +27,14 @@ def is_messages_id(id: Column) -> Column:
 
 
 def id_violations(df: DataFrame, id: str, messages_rules: bool = False) -> DataFrame:
-    """(rule, custom_id, n): duplicated ids, and badly formed ones under the messages rules.
-
-    One count per id serves both rules.
+    """(rule, custom_id, n): missing and duplicated ids, and badly formed ones under the messages
+    rules. ``n`` is how many rows have the id. One count per id serves all rules.
     """
     counted = df.groupBy(id).agg(F.count(F.lit(1)).alias("n"))
-    broken = [F.when(F.col("n") > 1, F.lit("duplicate"))]
+    here = F.col(id).isNotNull()
+    broken = [F.when(~here, F.lit("missing")), F.when(here & (F.col("n") > 1), F.lit("duplicate"))]
     if messages_rules:
-        broken.append(F.when(~is_messages_id(F.col(id)), F.lit("format")))
+        broken.append(F.when(here & ~is_messages_id(F.col(id)), F.lit("format")))
     return counted.select(
         F.explode(F.array_compact(F.array(*broken))).alias("rule"),
         F.col(id).cast("string").alias("custom_id"), "n")
@@ -45,9 +45,9 @@ def enforce_ids(df: DataFrame, id: str, messages_rules: bool = False) -> DataFra
     broken = id_violations(df, id, messages_rules)
     counts = {r["rule"]: r["k"] for r in
               broken.groupBy("rule").agg(F.count(F.lit(1)).alias("k")).collect()}
-    for rule, text in (("duplicate", "custom ids must be unique within a batch: found {} duplicate"),
-                       ("format", "custom ids must be 1-64 characters using only letters, "
-                                  "numbers, hyphens, and underscores: {} do not")):
+    for rule, text in (("missing", "every request needs an id: {} kind of row has none"),
+                       ("duplicate", "{} ids are used by more than one request"),
+                       ("format", "{} ids do not match " + MESSAGES_ID)):
         if counts.get(rule):
             shown = [r["custom_id"] for r in broken.where(F.col("rule") == rule)
                      .orderBy("custom_id").limit(EXAMPLES).collect()]

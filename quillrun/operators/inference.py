@@ -298,7 +298,9 @@ def text_rows(df: DataFrame, text: str, id: str, chunk_size: int | None = None,
     require_columns(df, id, text, *keep)
     rows = apply_invalid_policy(df.select(*dict.fromkeys([id, text, *keep])), text, on_invalid,
                                 id)
-    return rows if chunk_size is None else with_chunk(rows, chunk_size, id, index=index)
+    # in stored order, which moves no text; a table that isn't read from files is ordered by id
+    return rows if chunk_size is None else with_chunk(rows, chunk_size, None, index=index,
+                                                      fallback=id)
 
 
 def with_request(rows: DataFrame, text: str, task: Task, keep: Sequence[str] = ()) -> DataFrame:
@@ -317,9 +319,9 @@ def request_table(df: DataFrame, text: str, id: str, task: Task, chunk_size: int
 
 
 def write_run_metadata(spark: SparkSession, run_dir: str, task: Task, n_texts: int,
-                       chunk_size: int | None, concurrency: int, retry: Retry) -> None:
+                       chunk_size: int | None, concurrency: int, retry: Retry, **more: Any) -> None:
     write_metadata(spark, run_dir, {
-        **task.metadata, "n_texts": n_texts, "chunk_size": chunk_size,
+        **task.metadata, **more, "n_texts": n_texts, "chunk_size": chunk_size,
         "n_chunks": None if chunk_size is None else -(-n_texts // chunk_size),
         "concurrent_requests": concurrency, "max_retries": retry.max_tries,
         "timeout": retry.timeout})
@@ -333,8 +335,8 @@ def infer(df: DataFrame, text: str, id: str, task: Task, backend: BackendFactory
 
     Responses are written to ``run_dir`` (default: a new folder below the shared one) and read
     back, so the result can be filtered, joined and counted freely without calling again. A given
-    ``run_dir`` also gets the run's metadata. ``chunk_size=None`` leaves chunk numbers out, and
-    with them the only shuffle. ``partitions`` times ``concurrency`` bounds the calls in flight.
+    ``run_dir`` also gets the run's metadata. ``chunk_size=None`` leaves chunk numbers out. They follow
+    the stored order and cost no shuffle, unless rows don't come from files. ``partitions`` times ``concurrency`` bounds the calls in flight.
     """
     spark = df.sparkSession
     rows = text_rows(df, text, id, chunk_size, on_invalid, keep)

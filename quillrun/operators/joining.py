@@ -9,10 +9,19 @@ from quillrun.functions.vectors import max_abs_difference
 
 
 def attach_results(source: DataFrame, results: DataFrame, id: str, custom_id: str = "custom_id",
-                   how: str = "left") -> DataFrame:
-    """Source rows with their results, matched by the id's text."""
+                   how: str = "left", suffix: str = "_result") -> DataFrame:
+    """Source rows with their results, matched by the id's text.
+
+    A result column named like a source column gets the ``suffix``. An id with several results gives
+    a row for each; ``completeness`` finds such ids, ``resume.latest_attempt`` leaves one.
+    """
+    taken = {c.lower() for c in source.columns}
+    renamed = {c: c + suffix for c in results.columns if c != custom_id and c.lower() in taken}
+    clash = [c for c in renamed.values() if c.lower() in taken or c in results.columns]
+    if clash:
+        raise ValueError(f"both tables have {', '.join(clash)}: choose another suffix")
     keyed = source.withColumn("__key", F.col(id).cast("string"))
-    right = results.withColumnRenamed(custom_id, "__key")
+    right = results.withColumnsRenamed({**renamed, custom_id: "__key"})
     return keyed.join(right, "__key", how).drop("__key")
 
 

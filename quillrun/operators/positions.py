@@ -1,6 +1,10 @@
 """Global row positions and running totals without a one-task window.
 
-A plain ``row_number()`` over an unpartitioned window sorts the whole table in one task. Here
+*Stored order.* Rows read from files stand in an order: file, split, row. Counting rows per split (no
+data column is read for it) gives each split's start, and a row's position is that start plus its
+number within the split. Nothing shuffles; see ``stored_rows``.
+
+*Order of a key.* A plain ``row_number()`` over an unpartitioned window sorts the whole table in one task. Here
 the key range is cut into buckets at sampled quantiles; the cuts become literals in the plan, so
 a row's bucket depends on its key alone and not on how tasks are scheduled or re-run. Then
 
@@ -14,12 +18,15 @@ The rows cross the network once and nothing has to be checkpointed.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillrun.session import materialise
+
 # The bucket table is broadcast and its prefix sum runs in one task: this is its size bound.
 MAX_BUCKETS = 65_536
 SAMPLES_PER_BUCKET = 8
@@ -49,10 +56,11 @@ def _sampled_cuts(df: DataFrame, order_by: Sequence[str], buckets: int, total: i
 
 
 def _tie_break(df: DataFrame) -> Column:
-    """A hash of the row: an order among rows with equal keys that every task agrees on."""
+    """A hash of the row and its place: an order among rows with equal keys. The place, 4,096 stretches
+    of the stored order, keeps rows that are alike in everything from sharing a bucket."""
     hashable = [f"`{f.name}`" for f in df.schema.fields
                 if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(*hashable)
+    return F.xxhash64(*hashable, F.pmod(F.monotonically_increasing_id(), F.lit(4096)))
 
 
 def _literals(cuts: list[str], shape: str, schema: T.StructType) -> Column:
@@ -128,14 +136,15 @@ def _bucket_of(df: DataFrame, order_by: Sequence[str], cuts: list[str]) -> Colum
 def with_position(df: DataFrame, order_by: str | Sequence[str], position: str = "position",
                   running: Mapping[str, Column] | None = None,
                   highest: Mapping[str, Column] | None = None,
-                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                  rows_per_bucket: int = ROWS_PER_BUCKET,
+                  between: tuple[int, int] | None = None) -> DataFrame:
     """Add the 1-based position of each row in the order of ``order_by``.
 
     ``order_by`` should tell rows apart (add the id); rows with equal keys follow each other in an
     order of no meaning, and a key that fills more than a bucket is split. ``running`` names long expressions: each
     becomes the running total *before* the row. ``highest`` names expressions whose maximum over
-    the table goes on every row; it comes from the same pass as the bucket sizes. ``df`` should
-    be a stored table: its keys are read for the count and a sample, the measured columns for
+    the table goes on every row; it comes from the same pass as the bucket sizes. ``between`` keeps
+    only rows of buckets that reach into those positions. ``df`` should be a stored table: its keys are read for the count and a sample, the measured columns for
     the bucket sizes, and all of it for the result.
     """
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
@@ -162,6 +171,11 @@ def with_position(df: DataFrame, order_by: str | Sequence[str], position: str =
         *[F.max(f"__max_{n}").over(Window.orderBy(_BUCKET).rowsBetween(
             Window.unboundedPreceding, Window.unboundedFollowing)).alias(n) for n in highest])
 
+    if between is not None and cuts:
+        low, high = between
+        reached = starts.join(sizes.select(_BUCKET, "__rows"), _BUCKET).where(
+            (F.col("__start") < high) & (F.col("__start") + F.col("__rows") >= low))
+        bucketed = bucketed.join(F.broadcast(reached.select(_BUCKET)), _BUCKET, "left_semi")
     inside = Window.partitionBy(_BUCKET).orderBy(*order_by)
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
     # one bucket per task, so the shuffle is as even as the quantiles and files come out in order
@@ -179,3 +193,86 @@ def with_position(df: DataFrame, order_by: str | Sequence[str], position: str =
         *[F.col(f"`{c}`") for c in df.columns],
         (F.col("__start") + F.col("__rank")).cast("bigint").alias(position),
         *[(F.col(f"__start_{n}") + F.col(f"__run_{n}")).alias(n) for n in running], *highest)
+
+
+# --- stored order ------------------------------------------------------------------------------
+
+FILE, SPLIT, SEQUENCE = "__file", "__split", "__sequence"
+# one row of 40 bytes per split is broadcast, or per change of batch
+MAX_SPLITS = 1 << 20
+
+
+def stored_rows(df: DataFrame, measures: Mapping[str, Column] | None = None
+                ) -> tuple[DataFrame, DataFrame] | None:
+    """Rows with the file, split and sequence they are read at, and a table of splits in order:
+    ``__first`` (its least sequence), ``__start`` (rows before it) and, for each measure, the total
+    before it. None where ``df`` isn't a plain read of files, or has too many splits to broadcast.
+    """
+    measures = dict(measures or {})
+    try:
+        read = df.select("*", F.xxhash64("_metadata.file_path").alias(FILE),
+                         F.col("_metadata.file_path").alias("__path"),
+                         F.col("_metadata.file_block_start").alias(SPLIT))
+        read.schema  # resolves the plan
+    except AnalysisException:
+        return None
+    read = read.withColumn(SEQUENCE, F.monotonically_increasing_id())
+    splits = read.groupBy(FILE, SPLIT).agg(
+        F.min("__path").alias("__path"), F.min(SEQUENCE).alias("__first"),
+        F.max(SEQUENCE).alias("__last"), F.count(F.lit(1)).alias("__rows"),
+        *[F.sum(e).alias(n) for n, e in measures.items()])
+    splits = materialise(splits, "splits")
+    shape = splits.agg(F.count(F.lit(1)), F.count_if(
+        F.col("__last") - F.col("__first") + 1 != F.col("__rows"))).first()
+    if shape[0] > MAX_SPLITS or shape[1]:  # rows of a split have been moved apart
+        return None
+    before = Window.orderBy("__path", SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select(
+        FILE, SPLIT, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"),
+        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in measures])
+    return read.drop("__path"), starts
+
+
+def with_stored_position(df: DataFrame, position: str = "position") -> DataFrame | None:
+    """Add the 1-based position of each row in stored order; None as for ``stored_rows``."""
+    found = stored_rows(df)
+    if found is None:
+        return None
+    rows, starts = found
+    at = F.col("__start") + F.col(SEQUENCE) - F.col("__first") + 1
+    return rows.join(F.broadcast(starts), [FILE, SPLIT]).select(
+        *[F.col(f"`{c}`") for c in df.columns], at.cast("bigint").alias(position))
+
+
+def with_stored_numbers(df: DataFrame, number: str, measures: Mapping[str, Column],
+                        build: Callable[[Mapping[str, Column]], Column]) -> DataFrame | None:
+    """Add a number that never falls along the stored order.
+
+    ``build`` makes it from the row's ``position``, from each measure's total before the row, and
+    from ``df``'s columns that the measures use, given under their names. Only the measures shuffle,
+    by split; the rows look their number up among the changes within their split.
+    """
+    found = stored_rows(df, measures)
+    if found is None:
+        return None
+    rows, starts = found
+    narrow = rows.select(FILE, SPLIT, SEQUENCE, *[e.alias(f"own_{n}") for n, e in measures.items()])
+    inside = Window.partitionBy(FILE, SPLIT).orderBy(SEQUENCE).rowsBetween(
+        Window.unboundedPreceding, -1)
+    running = narrow.withColumns({
+        f"run_{n}": F.coalesce(F.sum(f"own_{n}").over(inside), F.lit(0)) for n in measures})
+    known = {n: F.col(n) + F.col(f"run_{n}") for n in measures}
+    known |= {f"own_{n}": F.col(f"own_{n}") for n in measures}
+    known["position"] = F.col("__start") + F.col(SEQUENCE) - F.col("__first") + 1
+    changes = materialise(
+        running.join(F.broadcast(starts), [FILE, SPLIT])
+        .select(FILE, SPLIT, SEQUENCE, build(known).alias("__number"))
+        .groupBy(FILE, SPLIT, "__number").agg(F.min(SEQUENCE).alias("__from")), "changes")
+    if changes.count() > MAX_SPLITS:
+        return None
+    lists = changes.groupBy(FILE, SPLIT).agg(
+        F.array_sort(F.collect_list(F.struct("__from", "__number"))).alias("__changes"))
+    passed = F.filter("__changes", lambda c: c["__from"] <= F.col(SEQUENCE))
+    return rows.join(F.broadcast(lists), [FILE, SPLIT]).select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.element_at(passed, -1)["__number"].cast("bigint").alias(number))

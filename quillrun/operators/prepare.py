@@ -32,12 +32,13 @@ def prepare_batches(df: DataFrame, text: str, id: str, kind: str, *, max_rows: i
     """(id, line, batch): request lines in batches that keep the provider's caps.
 
     Ids must be unique, and well formed for messages; the schema in ``settings`` is serialised
-    once. An empty table gives an empty one. Write the result with ``sources.jsonl.write_batches``.
+    once. Batches follow the stored order, or that of the id for rows that don't come from files.
+    An empty table gives an empty one. Write the result with ``sources.jsonl.write_batches``.
     """
     require_columns(df, id, text)
     rows = df.select(id, text)
     if check_ids:
         enforce_ids(rows, id, messages_rules=kind == "messages")
     line = batch_line(kind, F.col(id), F.col(text), **settings)
-    placed = with_batches(rows, line, id, max_rows or ROW_CAPS[kind], max_bytes)
+    placed = with_batches(rows, line, None, max_rows or ROW_CAPS[kind], max_bytes, fallback=id)
     return placed.select(id, line.alias("line"), "batch")

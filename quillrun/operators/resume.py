@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import json
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from quillrun.operators.inference import (BackendFactory, Retry, Task, infer, perform,
                                           text_rows, tidy_responses, with_request,
                                           write_run_metadata)
-from quillrun.sources.runs import has_metadata
+from quillrun.sources.runs import read_metadata
 
 
 def written(spark: SparkSession, path: str) -> DataFrame | None:
@@ -29,6 +32,16 @@ def pending(requests: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
     return requests if done is None else requests.join(done.select(key), key, "left_anti")
 
 
+def run_digest(df: DataFrame, text: str, id: str, task: Task, keep: Sequence[str],
+               settings: Mapping[str, Any]) -> str:
+    """What decides a run's result: its rows (number and order-free hash sum), task and settings."""
+    columns = list(dict.fromkeys([id, text, *keep]))
+    rows = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))).first()
+    facts = {"rows": rows[0], "sum": str(rows[1]), "columns": columns, "task": task.name,
+             "parameters": task.metadata, **settings}
+    return hashlib.sha256(json.dumps(facts, sort_keys=True, default=str).encode()).hexdigest()
+
+
 def run_in_waves(df: DataFrame, text: str, id: str, task: Task, backend: BackendFactory,
                  run_dir: str, *, chunk_size: int = 5000, chunks_per_wave: int = 1000,
                  concurrency: int = 5, retry: Retry = Retry(), on_invalid: str = "error_row",
@@ -37,26 +50,31 @@ def run_in_waves(df: DataFrame, text: str, id: str, task: Task, backend: Backend
 
     The texts are written once, by wave, so each wave reads its own only; the run's metadata is
     written after them and marks them complete. A wave calls what has no response yet and
-    appends. Calling again with the same ``run_dir`` goes on where the last run stopped.
+    appends. Calling again with the same ``run_dir`` goes on where the last run stopped; with another
+    table, task or other settings that decide the result it is refused.
     """
     spark = df.sparkSession
     texts_path, responses_path = f"{run_dir}/texts", f"{run_dir}/responses"
-    if not has_metadata(spark, run_dir):
+    of_run = run_digest(df, text, id, task, keep, {"chunk_size": chunk_size, "on_invalid": on_invalid})
+    known = read_metadata(spark, run_dir)
+    if known is not None and known.get("run_digest") != of_run:
+        raise ValueError(f"{run_dir} holds a run of another table, task or settings")
+    if known is None:
         wave = F.floor((F.col("chunk") - 1) / F.lit(chunks_per_wave)).cast("int")
         text_rows(df, text, id, chunk_size, on_invalid, keep, index="row_index") \
             .withColumn("wave", wave).write.mode("overwrite").partitionBy("wave") \
             .parquet(texts_path)
         stored = written(spark, texts_path)
         n_texts = 0 if stored is None else stored.count()
-        write_run_metadata(spark, run_dir, task, n_texts, chunk_size, concurrency, retry)
+        write_run_metadata(spark, run_dir, task, n_texts, chunk_size, concurrency, retry,
+                           run_digest=of_run)
     texts = written(spark, texts_path)
-    if texts is None:  # an empty table has no waves
-        return infer(df, text, id, task, backend, chunk_size=chunk_size, keep=keep)
+    if texts is None:  # nothing to call: an empty table, or no text that may be sent
+        return infer(df.limit(0), text, id, task, backend, chunk_size=chunk_size, keep=keep,
+                     concurrency=concurrency, retry=retry)
     waves = sorted(r["wave"] for r in texts.select("wave").distinct().collect())
     for wave in waves:
-        done = written(spark, responses_path)
-        if done is not None:
-            done = done.where(F.col("wave") == wave)
+        done = written(spark, f"{responses_path}/wave={wave}")  # this wave's folder alone
         # rows are told apart by position, so a repeated id is no row's stand-in
         todo = pending(texts.where(F.col("wave") == wave), done, "row_index")
         if done is not None and todo.isEmpty():
@@ -74,15 +92,32 @@ def latest_attempt(attempts: DataFrame, id: str, attempt: str = "attempt") -> Da
 
 
 def retry_failed(results: DataFrame, source: DataFrame, text: str, id: str, task: Task,
-                 backend: BackendFactory, **settings) -> DataFrame:
-    """Call again for the error rows with other settings; one row per id, ``attempt`` 1 or 2.
-
-    ``results`` must be a stored table: it feeds both the kept rows and the retried ones.
+                 backend: BackendFactory, key: Sequence[str] | None = None,
+                 **settings) -> DataFrame:
+    """Call again for the error rows with other settings; one row per row, ``attempt`` 1 or 2.
+
+    ``results`` must be a stored table: it feeds both the kept rows and the retried ones. ``key``
+    (default: the id) names columns of both tables that tell failed rows apart, such as a row number
+    that ``infer`` was told to ``keep``. Failed rows that share a key are refused: which text belongs
+    to which could not be told.
     """
-    failed = results.where("error").select(id)
-    again = infer(source.join(failed, id, "left_semi"), text, id, task, backend,
-                  chunk_size=None, **settings)
+    key = [id] if key is None else list(key)
+    failed = results.where("error")
+    same = F.lit(True)
+    for name in key:
+        same = same & source[name].eqNullSafe(F.col(f"f.{name}"))
+    again = source.join(failed.select(*key).alias("f"), same, "left_semi")
+    repeated = failed.select(*key, F.lit(0).alias("side")).unionAll(
+        again.select(*key, F.lit(1).alias("side"))).groupBy(*key, "side").count().where("count > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"{', '.join(key)}: does not tell the failed rows apart; name a key that does")
+    kept = [c for c in dict.fromkeys([*key, *settings.pop("keep", ())]) if c != id]
+    retried = infer(again, text, id, task, backend, chunk_size=None, keep=kept, **settings)
     if "chunk" in results.columns:
-        again = again.join(results.where("error").select(id, "chunk"), id)
-    return results.where("not error").withColumn("attempt", F.lit(1)) \
-        .unionByName(again.withColumn("attempt", F.lit(2)))
+        at = F.lit(True)
+        for name in key:
+            at = at & retried[name].eqNullSafe(F.col(f"f.{name}"))
+        retried = retried.join(failed.select(*key, "chunk").alias("f"), at).select(
+            *[retried[c] for c in retried.columns], "f.chunk")
+    return results.where("not error").withColumn("attempt", F.lit(1)).unionByName(
+        retried.withColumn("attempt", F.lit(2)), allowMissingColumns=True)

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillrun.functions.vectors import as_doubles
-from quillrun.session import fresh_dir
+from quillrun.functions.vectors import as_doubles, finite
+from quillrun.session import fresh_dir, materialise
 
 # A block of query vectors is broadcast; a larger query set is searched block by block.
 QUERY_BLOCK_BYTES = 16_000_000
@@ -22,16 +22,8 @@ SCORE_DIGITS = 9
 
 
 def matrix(vectors: pa.Array, size: int) -> np.ndarray:
-    """Rows of a list array as a dense matrix; a missing or odd-sized vector is a zero row."""
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(vectors), -1))
-    good = lengths == size
-    out = np.zeros((len(vectors), size))
-    if good.any():
-        kept = vectors.filter(pa.array(good))
-        out[good] = np.nan_to_num(
-            pa.compute.fill_null(kept.flatten(), 0.0).to_numpy(zero_copy_only=False)
-            .reshape(-1, size))
-    return out
+    """Rows of a list array, all ``size`` long, as a dense matrix."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), size)
 
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
@@ -99,35 +91,68 @@ def _search_block(corpus: DataFrame, queries: list, size: int, k: int, id: str,
         .select(query_id, "rank", id, "score")
 
 
+def odd_vectors(corpus: DataFrame, size: int, id: str = "vec_id", vector: str = "embedding"
+                ) -> DataFrame:
+    """(id, reason) of rows whose vector can't be compared with vectors of ``size`` numbers."""
+    numbers = as_doubles(F.col(vector))
+    reason = F.when(numbers.isNull(), "missing") \
+        .when(F.size(numbers) != size, F.concat(F.lit("size "), F.size(numbers).cast("string"))) \
+        .when(~finite(numbers), "not finite")
+    return corpus.select(id, reason.alias("reason")).where("reason IS NOT NULL")
+
+
+def _comparable(corpus: DataFrame, size: int, id: str, vector: str, on_odd: str) -> DataFrame:
+    """Rows with a vector; odd ones raise when they are read, or are left out."""
+    numbers = as_doubles(F.col(vector))
+    fits = finite(numbers) & (F.size(numbers) == size)
+    if on_odd == "leave_out":
+        return corpus.where(numbers.isNotNull() & fits)
+    refuse = F.raise_error(F.concat(F.lit("the vector of "), F.col(id).cast("string"),
+                                    F.lit(f" is not {size} finite numbers")))
+    return corpus.where(F.col(vector).isNotNull()).select(
+        id, F.when(fits, numbers).otherwise(refuse.cast("array<double>")).alias(vector))
+
+
 def semantic_search(queries: DataFrame, corpus: DataFrame, k: int = 5, id: str = "vec_id",
                     vector: str = "embedding", query_id: str = "query_id",
-                    query_vector: str = "embedding",
-                    block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
+                    query_vector: str = "embedding", block_bytes: int = QUERY_BLOCK_BYTES,
+                    on_odd: str = "fail") -> DataFrame:
     """The ``k`` corpus vectors nearest to each query by cosine, ties to the lowest id.
 
     The corpus is read in place, scored a batch at a time against a block of query vectors, and
     each task passes on only its own best ``k`` per query. Query sets above ``block_bytes`` are
-    cut into blocks, one pass over the corpus each.
+    stored and cut into blocks, one pass over the corpus each. A corpus row without a vector is left
+    out; one of another size, or with a NULL, NaN or infinite part, raises, or is left out with
+    ``on_odd="leave_out"`` (``odd_vectors`` lists them). Such a query always raises.
     """
     if k < 1:
         raise ValueError("k must be a positive integer")
+    if on_odd not in ("fail", "leave_out"):
+        raise ValueError("on_odd must be 'fail' or 'leave_out'")
     vectors = queries.select(query_id, as_doubles(F.col(query_vector)).alias("__q")) \
         .where(F.col("__q").isNotNull())
-    shape = vectors.agg(F.count(F.lit(1)), F.max(F.size("__q"))).first()
-    total, size = shape[0], shape[1] or 0
+    shape = vectors.agg(F.count(F.lit(1)), F.min(F.size("__q")), F.max(F.size("__q")),
+                        F.count_if(~finite(F.col("__q")))).first()
+    total, size = shape[0], shape[2] or 0
     query_field = queries.schema[query_id]
     spark = corpus.sparkSession
     if not total:
         return spark.createDataFrame([], T.StructType([
             query_field, T.StructField("rank", T.IntegerType()), corpus.schema[id],
             T.StructField("score", T.DoubleType())]))
+    if shape[1] != size or shape[3]:
+        raise ValueError("every query needs a vector of finite numbers, all of one size")
+    corpus = _comparable(corpus, size, id, vector, on_odd)
     blocks = math.ceil(total * (size * 8 + QUERY_OVERHEAD) / block_bytes)
     if blocks <= 1:
         return _search_block(corpus, vectors.collect(), size, k, id, vector, query_field)
-    path = fresh_dir(spark, "search")
+    # stored with a block that has nothing to do with the id, so that repeated ids spread too;
     # twice the blocks, so that uneven hashing still keeps each under the bound
-    for block in range(2 * blocks):
-        part = vectors.where(F.pmod(F.xxhash64(query_id), F.lit(2 * blocks)) == block).collect()
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2 * blocks))
+    vectors = materialise(vectors.withColumn("__block", block), "queries", ("__block",))
+    path = fresh_dir(spark, "search")
+    for number in range(2 * blocks):
+        part = vectors.where(F.col("__block") == number).drop("__block").collect()
         if part:
             _search_block(corpus, part, size, k, id, vector, query_field) \
                 .write.mode("append").parquet(path)

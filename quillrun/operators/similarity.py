@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrun.functions.vectors import as_doubles, norm
+from quillrun.functions.vectors import as_doubles, finite, norm
 from quillrun.operators.search import unit_rows
 from quillrun.session import materialise
 
@@ -22,11 +22,22 @@ BLOCK_ROWS = 4_096
 
 def cluster(df: DataFrame, k: int, vector: str = "embedding", seed: int = 42,
             max_iter: int = 20) -> DataFrame:
-    """Rows with their k-means cluster. The model labels each row in place, so nothing is joined."""
-    features = df.withColumn("__x", array_to_vector(as_doubles(F.col(vector))))
+    """Rows with their k-means cluster. The model labels each row in place, so nothing is joined.
+
+    A row without a usable vector (NULL, empty, with a NULL, NaN or infinite part, or not as long as
+    most) stays, with a NULL cluster.
+    """
+    usable = finite(as_doubles(F.col(vector)))
+    lengths = df.where(usable).groupBy(F.size(vector).alias("size")).count()
+    most = lengths.orderBy(F.desc("count"), "size").first()
+    if most is None:
+        return df.withColumn("cluster", F.lit(None).cast("int"))
+    whole = usable & (F.size(vector) == most["size"])
+    features = df.where(whole).withColumn("__x", array_to_vector(as_doubles(F.col(vector))))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="__x",
                    predictionCol="cluster").fit(features)
-    return model.transform(features).drop("__x")
+    rest = df.where(~F.coalesce(whole, F.lit(False))).withColumn("cluster", F.lit(None).cast("int"))
+    return model.transform(features).drop("__x").unionByName(rest)
 
 
 def _unit(vector: Column) -> Column:
@@ -98,14 +109,14 @@ def _low_cut(distinct: DataFrame, id: str, wanted: int, total: int):
     sample = 1_000
     share = min(1.0, sample / total)
     ids = distinct.select(id) if share == 1.0 else distinct.select(id).sample(share, 17)
-    drawn = [r[0] for r in ids.orderBy(id).limit(4 * sample).collect()]
+    drawn = [r[0] for r in ids.orderBy(id).collect()]  # about `sample` of them
     if not drawn:
         drawn = [distinct.agg(F.min(id)).first()[0]]
     return drawn[min(len(drawn) - 1, len(drawn) * wanted // total)]
 
 
 def _lowest_match(candidates: DataFrame, probes: DataFrame, id: str, threshold: float,
-                  block_rows: int, cells: int) -> DataFrame:
+                  block_rows: int) -> DataFrame:
     """For each probe, the lowest candidate id that is below its own and similar enough.
 
     A cell's candidates are cut into slices of about ``block_rows``, its probes into lanes. A
@@ -117,7 +128,7 @@ def _lowest_match(candidates: DataFrame, probes: DataFrame, id: str, threshold:
         .groupBy("cell").agg(
             F.greatest(F.lit(1), F.ceil(F.sum("c") / block_rows)).cast("int").alias("slices"),
             F.greatest(F.lit(1), F.ceil(F.sum("p") / (64 * block_rows))).cast("int").alias("lanes"))
-    sized = F.broadcast(sized.limit(cells))  # one row per pivot
+    sized = F.broadcast(sized)  # one row per pivot
 
     def some(n: str) -> Column:
         return F.pmod(F.xxhash64(id), F.col(n)).cast("int")
@@ -155,7 +166,11 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, id: str = "vec_id",
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    rows = df.select(id, as_doubles(F.col(vector)).alias("v"))
+    # vectors are alike only with vectors as long as they are; unusable ones are alike with none
+    rows = df.select(id, as_doubles(F.col(vector)).alias("v")).where(finite(F.col("v")))
+    sizes = [r[0] for r in rows.select(F.size("v")).distinct().orderBy(F.size("v")).limit(2).collect()]
+    if len(sizes) > 1:
+        raise ValueError("vectors of several lengths: search each length by itself")
     first = materialise(exact_copies(rows, id, "v").withColumn("u", _unit(F.col("v"))), "distinct")
     distinct = first.where("u is not null").select(id, "u")
     total = distinct.count()
@@ -177,12 +192,12 @@ def _matches(distinct: DataFrame, total: int, threshold: float, id: str, pivots:
 
     low_rows = block_rows * wanted
     if total <= low_rows:
-        return materialise(_lowest_match(placed, placed, id, threshold, block_rows, wanted), "lowest")
+        return materialise(_lowest_match(placed, placed, id, threshold, block_rows), "lowest")
     cut = _low_cut(distinct, id, low_rows, total)
     low, high = placed.where(F.col(id) <= F.lit(cut)), placed.where(F.col(id) > F.lit(cut))
-    early = materialise(_lowest_match(low, placed, id, threshold, block_rows, wanted), "early")
+    early = materialise(_lowest_match(low, placed, id, threshold, block_rows), "early")
     late = _lowest_match(high, high.join(early.select(id), id, "left_anti"), id, threshold,
-                         block_rows, wanted)
+                         block_rows)
     return materialise(early.unionAll(late), "lowest")
 
 

@@ -19,14 +19,14 @@ INVALID_TEXT = "text must be a non-empty string"
 def require_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
-        raise ValueError(f"column {', '.join(missing)} not found in data frame")
+        raise ValueError(f"the table has no column {', '.join(missing)}")
 
 
 def scan_text(df: DataFrame, text: str, id: str, require_rows: bool = False) -> DataFrame:
     """The id and text columns; ``require_rows`` starts a job to refuse an empty table."""
     require_columns(df, id, text)
     if require_rows and df.isEmpty():
-        raise ValueError("the data frame has no rows")
+        raise ValueError("the table is empty")
     return df.select(id, text)
 
 
@@ -34,7 +34,7 @@ def from_vectors(spark: SparkSession, texts: Sequence[str], ids: Sequence[Any],
                  id: str = "id", text: str = "text") -> DataFrame:
     """A table from two equally long sequences held by the caller."""
     if len(texts) != len(ids):
-        raise ValueError("texts and ids must be the same length")
+        raise ValueError(f"{len(texts)} texts do not go with {len(ids)} ids")
     id_type = "bigint" if all(isinstance(i, int) for i in ids) else "string"
     rows = [(i if id_type == "bigint" else str(i), t) for i, t in zip(ids, texts)]
     return spark.createDataFrame(rows, f"`{id}` {id_type}, `{text}` string")
@@ -52,7 +52,7 @@ def apply_invalid_policy(df: DataFrame, text: str, on_invalid: str = "error_row"
     if on_invalid == "fail":
         which = F.lit("") if id is None else F.concat(F.lit(", row "), F.col(id).cast("string"))
         refuse = F.raise_error(F.concat(
-            F.lit(INVALID_TEXT), which, F.lit(": filter or amend before proceeding")))
+            F.lit(INVALID_TEXT), which, F.lit(" (drop such rows, or keep them as error rows)")))
         checked = F.when(has_text(F.col(text)), F.col(text)).otherwise(refuse.cast("string"))
         return df.withColumn(text, checked)
     if on_invalid == "error_row":
@@ -79,7 +79,7 @@ def slice_rows(df: DataFrame, order_by: str | Sequence[str], start: int, stop: i
     """Rows ``start`` to ``stop`` (1-based, both included) of the order, found in parallel."""
     if not 1 <= start <= stop:
         raise ValueError("need 1 <= start <= stop")
-    placed = with_position(df, order_by, "__position")
+    placed = with_position(df, order_by, "__position", between=(start, stop))
     return placed.where(F.col("__position").between(start, stop)).drop("__position")
 
 

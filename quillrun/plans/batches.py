@@ -40,7 +40,7 @@ SELECT CAST(ceil(position / 8.0) AS INTEGER) AS batch, CAST(count(*) AS INTEGER)
 FROM placed GROUP BY 1""")
 def multi_text_requests(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    placed = batching.with_chunk(documents, 8, "doc_id", chunk="batch", index="index")
+    placed = batching.with_chunk(documents, 8, chunk="batch", index="index")
     return batching.multi_text_requests(
         placed, "text", lambda texts: rq.inference_request_multi(texts, rq.EMBED_PARAMETERS),
         carry=["doc_id"]).drop("items")
@@ -55,17 +55,36 @@ def row_batches(spark, sf_dir):
     return batching.with_row_batches(items, ["l_orderkey", "l_linenumber"])
 
 
-@query("c5_byte_batches", """
-WITH sized AS (SELECT doc_id, strlen(text) + 1 AS size FROM documents),
-placed AS (
-  SELECT *, coalesce(sum(size) OVER (ORDER BY doc_id
-              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
-         max(size) OVER () AS longest FROM sized)
-SELECT doc_id, CAST(floor(before / (2 * longest - longest)) + 1 AS BIGINT) AS batch FROM placed""")
+def batch_number_sql(size: str, cap: int, max_rows: int | None = None, source: str = "documents") -> str:
+    """Rows of ``source`` with ``batch``: short lines by bytes, long lines one to a batch."""
+    short = int(cap * batching.SHORT_SHARE)
+    rows = "" if max_rows is None else f" + (position - 1) // {max_rows}"
+    return f"""
+SELECT *, CAST(short_before // {cap - short} + 2 * long_before + CAST(size > {short} AS INTEGER) + 1{rows}
+               AS BIGINT) AS batch
+FROM (SELECT *,
+        coalesce(sum(CASE WHEN size <= {short} THEN size ELSE 0 END) OVER earlier, 0) AS short_before,
+        coalesce(sum(CASE WHEN size > {short} THEN 1 ELSE 0 END) OVER earlier, 0) AS long_before,
+        row_number() OVER (ORDER BY doc_id) AS position
+      FROM (SELECT *, {size} AS size FROM {source})
+      WINDOW earlier AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+BATCH_BYTES = 130_000
+
+
+@query("c5_byte_batches",
+       f"SELECT doc_id, batch FROM ({batch_number_sql('strlen(text) + 1', BATCH_BYTES)})")
 def byte_batches(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    longest = documents.agg(F.max(F.octet_length("text") + 1)).first()[0]
-    return batching.with_batches(documents, "text", "doc_id", max_bytes=2 * longest).drop("text")
+    return batching.with_batches(documents, "text", max_bytes=BATCH_BYTES).drop("text")
+
+
+@query("c5_keyed_byte_batches",
+       f"SELECT doc_id, batch FROM ({batch_number_sql('strlen(text) + 1', BATCH_BYTES)})")
+def keyed_byte_batches(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return batching.with_batches(documents, "text", "doc_id", max_bytes=BATCH_BYTES).drop("text")
 
 
 @query("c6_id_violations", """

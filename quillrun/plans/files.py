@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillrun.functions import requests as rq
-from quillrun.operators.batching import with_chunk
+from quillrun.operators.batching import BATCH_FILE_BYTES, CHAT_BATCH_ROWS, with_chunk
 from quillrun.operators.prepare import prepare_batches
 from quillrun.operators.tables import scan_text
+from quillrun.plans.batches import batch_number_sql
 from quillrun.plans.registry import query, table
 from quillrun.session import fresh_dir
 from quillrun.sources import jsonl, runs
@@ -25,7 +26,7 @@ FROM events""")
 def chunk_files(spark, sf_dir):
     path = fresh_dir(spark, "chunks")
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    runs.write_chunks(with_chunk(events, 5000, "event_id"), path)
+    runs.write_chunks(with_chunk(events, 5000), path)
     return runs.read_chunks(spark, path)
 
 
@@ -66,16 +67,9 @@ LINE_SQL = """'{"custom_id":"' || doc_id || '","method":"POST","url":"/v1/embedd
 
 
 @query("a7_jsonl_files", f"""
-WITH lines AS (SELECT doc_id, {LINE_SQL} AS line FROM documents),
-sized AS (
-  SELECT *, strlen(line) + 1 AS size, row_number() OVER (ORDER BY doc_id) AS position FROM lines),
-placed AS (
-  SELECT *, coalesce(sum(size) OVER (ORDER BY doc_id
-              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
-         max(size) OVER () AS longest FROM sized)
-SELECT CAST(floor(before / (200000000 - longest)) + 1 + (position - 1) // 50000 AS INTEGER) AS batch,
-       line
-FROM placed""")
+SELECT CAST(batch AS INTEGER) AS batch, line
+FROM ({batch_number_sql('strlen(line) + 1', BATCH_FILE_BYTES, CHAT_BATCH_ROWS,
+                        f'(SELECT doc_id, {LINE_SQL} AS line FROM documents)')})""")
 def jsonl_files(spark, sf_dir):
     path = fresh_dir(spark, "jsonl")
     lines = prepare_batches(table(spark, sf_dir, "documents"), "text", "doc_id", "embeddings")

@@ -121,9 +121,9 @@ def max_length(spark, sf_dir):
 SELECT CAST(ceil(position / 10.0) AS INTEGER) AS batch, CAST(sum(length(html)) AS BIGINT) AS total_chars
 FROM (SELECT html, row_number() OVER (ORDER BY page_id) AS position FROM pages) GROUP BY 1""")
 def request_chars(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    return batching.with_chunk(pages, 10, "page_id", chunk="batch").groupBy("batch").agg(
-        F.sum(F.length("html")).cast("bigint").alias("total_chars"))
+    pages = table(spark, sf_dir, "pages").select(F.length("html").alias("chars"))
+    return batching.with_chunk(pages, 10, chunk="batch").groupBy("batch").agg(
+        F.sum("chars").cast("bigint").alias("total_chars"))
 
 
 # --- joins and sets ----------------------------------------------------------------------------
@@ -180,11 +180,11 @@ def parameter_grid(spark, sf_dir):
     place = F.array_position(F.array(*map(F.lit, [1, 4, 8, 16, 32])), F.col("batch_size")) * 4 - 4 \
         + F.array_position(F.array(*map(F.lit, [1, 5, 10, 20])), F.col("concurrent_requests"))
     grid = grid.withColumn("chunk_index", place % 20 + 1)
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    placed = batching.with_chunk(documents, 1, "doc_id", index="position")
+    documents = table(spark, sf_dir, "documents").select(F.length("text").alias("chars"))
+    placed = batching.with_chunk(documents, 1, index="position")
     sized = placed.groupBy(((F.col("position") - 1) % 20 + 1).alias("chunk_index")).agg(
         F.count(F.lit(1)).alias("n_texts"),
-        F.sum(F.length("text")).cast("bigint").alias("total_chars"))
+        F.sum("chars").cast("bigint").alias("total_chars"))
     return sized.join(F.broadcast(grid), "chunk_index").withColumn(
         "n_requests", F.ceil(F.col("n_texts") / F.col("batch_size")).cast("bigint"))
 

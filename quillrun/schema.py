@@ -62,7 +62,7 @@ def boolean(description: str | None = None) -> Node:
 
 def enum(values: Sequence[Any], description: str | None = None, type: str = "string") -> Node:
     if type not in ENUM_TYPES:
-        raise ValueError("Enum type must be 'string', 'integer', or 'number'")
+        raise ValueError(f"an enum of type {type!r}: use {', '.join(ENUM_TYPES)}")
     return _node(type, enum=list(values), description=description)
 
 
@@ -94,7 +94,7 @@ class JsonSchema:
 
     def __post_init__(self) -> None:
         if not isinstance(self.name, str) or not self.name:
-            raise ValueError("name must be a non-empty string")
+            raise ValueError("a schema needs a name")
         if not isinstance(self.schema, dict):
             raise TypeError("schema must be a dict")
         if not isinstance(self.strict, bool):

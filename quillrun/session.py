@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _LOCAL_SHARED:
         _LOCAL_SHARED[context.applicationId] = tempfile.mkdtemp(prefix="quillrun-")

@@ -68,13 +68,15 @@ def write_metadata(spark: SparkSession, run_dir: str, values: Mapping[str, Any])
         .write.mode("overwrite").text(f"{run_dir}/metadata")
 
 
-def has_metadata(spark: SparkSession, run_dir: str) -> bool:
+def read_metadata(spark: SparkSession, run_dir: str) -> dict[str, Any] | None:
+    """The settings a run has written, or None if it hasn't yet."""
     try:
-        return not spark.read.text(f"{run_dir}/metadata").isEmpty()
+        row = spark.read.text(f"{run_dir}/metadata").first()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
+    return None if row is None else json.loads(row[0])
 
 
 def run_log(spark: SparkSession, *run_dirs: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Result files and input tables that keep arriving.
 
-Ids already seen are remembered in the stream's own state, so a micro-batch costs what it holds
-and not what has been written before. Each micro-batch writes its own folder, replacing it if the
-batch runs again after a failure.
+A micro-batch costs what it holds and not what has been written before: a stream reads each file
+once, and where ids may only count once they are remembered in its own state. Each micro-batch
+writes its own folder, replacing it if the batch runs again after a failure.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def _settings(spark: SparkSession, values: dict[str, str]):
 
 def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
          trigger: dict | None, state_partitions: int | None) -> None:
-    # seen ids live in RocksDB and not on the heap
+    # ids to be remembered live in RocksDB and not on the heap
     settings = {_STATE_STORE: _ROCKSDB}
     if state_partitions is not None:
         settings[_STATE_PARTITIONS] = str(state_partitions)
@@ -61,28 +61,27 @@ def _read_epochs(spark: SparkSession, target: str) -> DataFrame | None:
 
 def ingest_results(spark: SparkSession, source: str, kind: str, target: str, checkpoint: str,
                    id: str = "custom_id", files_per_batch: int = 1000,
-                   trigger: dict | None = None,
-                   state_partitions: int | None = None) -> DataFrame:
-    """Parse provider result files as they land in ``source`` and append new ids to ``target``.
-
-    The same parser as for a batch read. A result line that repeats an id seen before, in any
-    file, is left out. Lines without an id (unreadable ones above all) are never left out: they are
-    reported by file and line number, for which only the files that hold some are read again.
-    ``state_partitions`` spreads the seen ids; it is fixed by the first run of a checkpoint.
+                   trigger: dict | None = None) -> DataFrame:
+    """Parse provider result files as they land in ``source`` and append their rows to ``target``.
+
+    The same rows as a batch read of all files gives, with the ``file`` they came from: batches may
+    use the same ids, and an error and a later success of one id are both kept
+    (``resume.latest_attempt`` picks). The stream reads every file once, so it keeps no ids. Lines
+    without a readable id are reported by file and line number, for which only the files that hold
+    some are read again.
     """
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(source) \
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")) \
         .where(F.length("line") > 0).withColumn("line_no", F.lit(None).cast("int"))
     rows = parse_lines(lines, kind, "__id", keep=("file",))
-    key = F.coalesce(F.concat(F.lit("id:"), "__id"), F.concat(F.lit("file:"), "file"))
-    seen_once = rows.withColumn("__key", key).dropDuplicates(["__key"])
 
     def handle(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         try:
-            good = batch.where("__id is not null").drop("__key").withColumnRenamed("__id", id)
+            good = batch.where("__id is not null").withColumnRenamed("__id", id)
             # at most files_per_batch names
-            damaged = [r["file"] for r in batch.where("__id is null").select("file").collect()]
+            damaged = [r["file"] for r in batch.where("__id is null").select("file").distinct()
+                       .collect()]
             if damaged:
                 again = read_lines(batch.sparkSession, damaged)
                 without_id = F.try_variant_get(parse_json(F.col("line")), "$.custom_id", "string")
@@ -92,7 +91,7 @@ def ingest_results(spark: SparkSession, source: str, kind: str, target: str, che
         finally:
             batch.unpersist()
 
-    _run(seen_once, handle, checkpoint, trigger, state_partitions)
+    _run(rows, handle, checkpoint, trigger, None)
     results = _read_epochs(spark, target)
     if results is None:
         nothing = spark.createDataFrame([], "file string, line_no int, line string")
@@ -104,18 +103,25 @@ def infer_arrivals(spark: SparkSession, source: str, schema, text: str, id: str,
                    backend: BackendFactory, target: str, checkpoint: str, *,
                    concurrency: int = 5, retry: Retry = Retry(), on_invalid: str = "error_row",
                    keep: Sequence[str] = (), files_per_batch: int = 1000,
-                   trigger: dict | None = None,
+                   trigger: dict | None = None, once_per_id: bool = False,
                    state_partitions: int | None = None) -> DataFrame:
-    """Call the model for rows of parquet files arriving in ``source``, each id once.
+    """Call the model for the rows of parquet files arriving in ``source``, one result per row.
 
-    ``state_partitions`` spreads the seen ids; it is fixed by the first run of a checkpoint.
+    ``once_per_id`` leaves out rows whose id an earlier row has had, in any file; rows without an id
+    are never each other's repeats. It remembers every id for as long as the checkpoint lives, spread
+    over ``state_partitions`` (fixed by its first run); without it the stream keeps nothing.
     """
     def responses(rows: DataFrame) -> DataFrame:
         requests = request_table(rows, text, id, task, on_invalid=on_invalid, keep=keep)
         return perform(requests, backend, concurrency, retry)
 
     arrivals = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch) \
-        .parquet(source).dropDuplicates([id])
+        .parquet(source)
+    if once_per_id:
+        place = F.concat_ws(":", F.lit("row"), "_metadata.file_path", "_metadata.row_index")
+        known = F.concat(F.lit("id:"), F.col(id).cast("string"))
+        arrivals = arrivals.select("*", F.coalesce(known, place).alias("__key")) \
+            .dropDuplicates(["__key"]).drop("__key")
     _run(arrivals, lambda batch, epoch: _write_epoch(responses(batch), target, epoch),
          checkpoint, trigger, state_partitions)
     found = _read_epochs(spark, target)

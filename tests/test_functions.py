@@ -81,9 +81,9 @@ def test_no_request_without_text(spark):
 
 
 def test_parameter_checks():
-    with pytest.raises(ValueError, match="between 0 and 2"):
+    with pytest.raises(ValueError, match="from 0 to 2"):
         rq.chat_request(TEXT, temperature=2.5)
-    with pytest.raises(ValueError, match="between 0 and 1"):
+    with pytest.raises(ValueError, match="from 0 to 1"):
         rq.messages_request(TEXT, temperature=1.5)
     with pytest.raises(ValueError, match="max_tokens"):
         rq.chat_request(TEXT, max_tokens=0)
@@ -93,14 +93,14 @@ def test_parameter_checks():
 
 
 @pytest.mark.parametrize("status, text, failure, message", [
-    (400, '{"error":{"message":"Invalid request","type":"x"}}', None, "Invalid request"),
-    (503, '{"error":"Model is loading"}', None, "Model is loading"),
-    (529, '{"message":"Overloaded"}', None, "Overloaded"),
+    (400, '{"error":{"message":"No such field","type":"x"}}', None, "No such field"),
+    (503, '{"error":"Still warming up"}', None, "Still warming up"),
+    (529, '{"message":"Come back later"}', None, "Come back later"),
     (502, '{"unexpected":"x"}', None, "HTTP 502"),
     (403, "Not JSON", None, "HTTP 403"),
     (404, None, None, "HTTP 404"),
     (200, '{"error":"ignored"}', None, None),
-    (None, None, "Connection timed out", "Connection timed out"),
+    (None, None, "no route to host", "no route to host"),
     (None, None, None, "Unknown error"),
 ])
 def test_api_error(spark, status, text, failure, message):
@@ -112,7 +112,7 @@ def test_api_error(spark, status, text, failure, message):
 @pytest.mark.parametrize("code", [400, 401, 403, 404, 429, 500, 502, 503])
 def test_api_error_for_each_status(spark, code):
     assert one(spark, rs.api_error(F.col("s"), F.col("b")), s=("int", code),
-               b=("string", json.dumps({"error": {"message": f"Error {code}"}}))) == f"Error {code}"
+               b=("string", json.dumps({"error": {"message": f"refused with {code}"}}))) == f"refused with {code}"
 
 
 def test_embedding_shapes(spark):
@@ -219,3 +219,19 @@ def test_text_limits(spark):
     frame = spark.createDataFrame([("word " * 100,), ("word " * 10000,)], "t string")
     flags = frame.select(tx.too_long(F.col("t")), tx.too_long(tx.truncate(F.col("t")))).collect()
     assert [tuple(r) for r in flags] == [(False, False), (True, False)]
+
+
+@pytest.mark.parametrize("body", ["[[1,null]]", "[[]]", "[]", "[1,null]", '{"embedding":[]}', "[null]"])
+def test_vectors_with_gaps_are_no_success(spark, body):
+    assert one(spark, rs.embedding_vectors(F.col("b")), b=("string", body)) is None
+    assert one(spark, rs.indexed_embeddings(F.col("b")), b=(
+        "string", '{"data":[{"index":0,"embedding":%s}]}' % body)) is None
+
+
+def test_fields_of_deep_and_unreadable_bodies(spark):
+    deep = "[" * 400 + '{"a":1}' + "]" * 400
+    hopeless = "[" * 200_000 + "]" * 200_000
+    assert one(spark, rs.extract_field(F.col("b"), "a"), b=("string", deep)) == ["1"]
+    assert one(spark, rs.extract_field(F.col("b"), "a"), b=("string", hopeless)) in (None, [])
+    assert one(spark, rs.extract_field(F.col("b"), "a"), b=(
+        "string", '{"a":{"a":2},"b":[{"a":3}]}')) == ['{"a":2}', "2", "3"]

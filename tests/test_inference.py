@@ -10,6 +10,7 @@ from quillrun.functions import responses as rs
 from quillrun.operators import inference as inf
 from quillrun.operators import resume
 from quillrun.plans import answers as an
+from quillrun.session import materialise
 from quillrun.streaming import ingest
 
 
@@ -214,12 +215,12 @@ def test_result_files_as_they_land(spark, folder):
     def run():
         return ingest.ingest_results(spark, landing, "completions", target, checkpoint)
 
-    assert sorted(r["custom_id"] for r in run().collect()) == ["__PARSE_ERROR_LINE_3", "a", "b"]
+    assert sorted(r["custom_id"] for r in run().collect()) == ["__PARSE_ERROR_LINE_3", "a", "a", "b"]
     write_lines(spark, landing, [line("b"), line("c"), '{"no":"id"}', "broken"])
     got = run().collect()
     assert sorted(str(r["custom_id"]) for r in got) == [
-        "None", "__PARSE_ERROR_LINE_3", "__PARSE_ERROR_LINE_4", "a", "b", "c"]
-    assert run().count() == 6
+        "None", "__PARSE_ERROR_LINE_3", "__PARSE_ERROR_LINE_4", "a", "a", "b", "b", "c"]
+    assert run().count() == 8
     assert {r["custom_id"]: r["content"] for r in got}["c"] == "cc"
 
 
@@ -244,7 +245,7 @@ def test_arrivals_are_called_once(spark, folder):
     def run():
         return ingest.infer_arrivals(
             spark, f"{folder}/landing", source.schema, "text", "id", inf.embed_task(), counting,
-            f"{folder}/target", f"{folder}/checkpoint", files_per_batch=1)
+            f"{folder}/target", f"{folder}/checkpoint", files_per_batch=1, once_per_id=True)
 
     source.where("id < 20").write.parquet(f"{folder}/landing")
     assert run().count() == 20
@@ -255,9 +256,9 @@ def test_arrivals_are_called_once(spark, folder):
 
 
 def test_a_given_run_folder_gets_metadata(spark, folder):
-    from quillrun.sources.runs import has_metadata, run_log
+    from quillrun.sources.runs import read_metadata, run_log
 
-    assert not has_metadata(spark, folder)
+    assert read_metadata(spark, folder) is None
     task = inf.chat_task(system_prompt="p", schema=an.REVIEW)
     inf.infer(texts(spark, 10), "text", "id", task, an.ChatBackend, chunk_size=4,
               retry=an.FAST_RETRY, run_dir=folder)
@@ -265,7 +266,7 @@ def test_a_given_run_folder_gets_metadata(spark, folder):
     assert (row["n_texts"], row["n_chunks"], row["chunk_size"]) == (10, 3, 4)
     assert (row["model"], row["system_prompt"], row["max_retries"]) == ("gpt-4.1-nano", "p", 3)
     assert json.loads(row["schema"])["json_schema"]["name"] == "review"
-    assert has_metadata(spark, folder)
+    assert read_metadata(spark, folder)["n_texts"] == 10
 
 
 def test_waves_keep_repeated_ids(spark, folder):
@@ -282,3 +283,72 @@ def test_empty_tables_give_empty_results(spark, folder):
             resume.run_in_waves(nothing, "text", "id", inf.chat_task(), an.ChatBackend, folder)):
         assert got.count() == 0
         assert got.columns == ["id", "content", "error", "error_msg", "status", "chunk"]
+
+
+def test_a_failure_and_a_later_success_of_one_id_both_land(spark, folder):
+    def line(id, **answer):
+        return json.dumps({"custom_id": id, **answer})
+
+    good = {"response": {"body": {"choices": [{"message": {"content": "fine"}}]}}}
+    for batch, lines in enumerate([[line("1", **good), line("3", error={"message": "busy"})],
+                                   [line("1", **good), line("2", **good)], [line("3", **good)]]):
+        write_lines(spark, f"{folder}/in/batch-{batch}", lines)
+    got = ingest.ingest_results(spark, f"{folder}/in/*", "completions", f"{folder}/t", f"{folder}/c")
+    found = sorted((r["custom_id"], r["content"]) for r in got.collect() if not r["error"])
+    assert found == [("1", "fine"), ("1", "fine"), ("2", "fine"), ("3", "fine")]
+    assert got.where("error").select("custom_id").collect()[0][0] == "3" and got.count() == 5
+
+
+@pytest.mark.parametrize("once, wanted", [(False, 6), (True, 5)])
+def test_arrivals_without_an_id_are_not_each_others_repeats(spark, folder, once, wanted):
+    rows = spark.createDataFrame([(None, "a"), (None, "b"), (None, "a"), (4, "x"), (4, "y"), (5, "z")],
+                                 "id long, text string")
+    rows.repartition(3).write.parquet(f"{folder}/in")
+    got = ingest.infer_arrivals(spark, f"{folder}/in", rows.schema, "text", "id", inf.embed_task(),
+                                an.EmbedBackend, f"{folder}/t", f"{folder}/c", retry=an.FAST_RETRY,
+                                once_per_id=once)
+    assert got.count() == wanted and got.where("id IS NULL").count() == 3
+
+
+def test_waves_refuse_another_run(spark, folder):
+    settings = dict(chunk_size=4, chunks_per_wave=1, retry=an.FAST_RETRY)
+    rows = texts(spark, 10)
+    resume.run_in_waves(rows, "text", "id", inf.embed_task(), an.EmbedBackend, folder, **settings)
+    again = resume.run_in_waves(rows.repartition(3), "text", "id", inf.embed_task(), an.EmbedBackend,
+                                folder, **settings)
+    assert again.count() == 10
+    for other, task, more in (
+            (rows.withColumn("id", F.col("id") + 1), inf.embed_task(), {}),
+            (rows, inf.chat_task(), {}), (rows, inf.embed_task({"truncate": False}), {}),
+            (rows, inf.embed_task(), {"chunk_size": 5}), (rows.limit(9), inf.embed_task(), {})):
+        with pytest.raises(ValueError, match="another table, task or settings"):
+            resume.run_in_waves(other, "text", "id", task, an.EmbedBackend, folder,
+                                **{**settings, **more})
+
+
+def test_waves_of_texts_that_are_all_dropped(spark, folder):
+    rows = spark.createDataFrame([(1, ""), (2, None)], "id int, text string")
+    got = resume.run_in_waves(rows, "text", "id", inf.embed_task(), an.EmbedBackend, folder,
+                              on_invalid="drop")
+    assert got.count() == 0 and "embedding" in got.columns
+
+
+def test_retry_of_repeated_ids(spark, folder):
+    long = {n: "x" * n for n in (1, 5, 6, 22)}  # lengths 5, 6 and 22 fail at first
+    rows = spark.createDataFrame([(7, 0, long[1]), (7, 1, long[5]), (7, 2, long[22]), (8, 3, long[6])],
+                                 "id int, place int, text string")
+    first = materialise(inf.infer(rows, "text", "id", inf.embed_task(), an.EmbedBackend, chunk_size=2,
+                                  retry=an.FAST_RETRY, keep=["place"]), "first")
+    with pytest.raises(ValueError, match="does not tell"):
+        resume.retry_failed(first, rows, "text", "id", inf.embed_task(), an.PatientBackend)
+    both = resume.retry_failed(first, rows, "text", "id", inf.embed_task(), an.PatientBackend,
+                               key=["id", "place"])
+    assert sorted((r["id"], r["place"], r["embedding"][0], r["attempt"], r["chunk"]) for r in both.collect()) == [
+        (7, 0, 1.0, 1, 1), (7, 1, 5.0, 2, 1), (7, 2, 22.0, 2, 2), (8, 3, 6.0, 2, 2)]
+
+
+def test_chunks_in_stored_order_move_no_text(spark, documents):
+    requests = inf.request_table(documents, "text", "doc_id", inf.embed_task(), chunk_size=50)
+    plan = requests._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+    assert requests.groupBy("chunk").count().where("count = 50").count() == documents.count() // 50

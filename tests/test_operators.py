@@ -24,9 +24,9 @@ def frame(spark, rows, schema):
 def test_scan_checks(spark):
     rows = frame(spark, [(1, "a")], "id int, t string")
     assert tables.scan_text(rows, "t", "id").columns == ["id", "t"]
-    with pytest.raises(ValueError, match="column missing not found"):
+    with pytest.raises(ValueError, match="no column missing"):
         tables.scan_text(rows, "missing", "id")
-    with pytest.raises(ValueError, match="no rows"):
+    with pytest.raises(ValueError, match="is empty"):
         tables.scan_text(rows.where("false"), "t", "id", require_rows=True)
 
 
@@ -34,7 +34,7 @@ def test_from_vectors(spark):
     got = tables.from_vectors(spark, ["x", "y"], [1, 2]).collect()
     assert [tuple(r) for r in got] == [(1, "x"), (2, "y")]
     assert tables.from_vectors(spark, ["x"], ["a"]).schema["id"].dataType.simpleString() == "string"
-    with pytest.raises(ValueError, match="same length"):
+    with pytest.raises(ValueError, match="do not go with"):
         tables.from_vectors(spark, ["x"], [1, 2])
 
 
@@ -161,9 +161,9 @@ def test_id_rules(spark):
     found = {(r["rule"], r["custom_id"]) for r in ids.id_violations(rows, "id", True).collect()}
     assert found == {("duplicate", "a"), ("format", "bad id"), ("format", "x" * 65),
                      ("format", "line\n"), ("format", "")}
-    with pytest.raises(ValueError, match="found 1 duplicate, for example a"):
+    with pytest.raises(ValueError, match="1 ids are used by more than one request, for example a"):
         ids.enforce_ids(rows, "id")
-    with pytest.raises(ValueError, match="64 characters"):
+    with pytest.raises(ValueError, match="do not match"):
         ids.enforce_ids(rows.where("id <> 'a'"), "id", messages_rules=True)
     good = rows.where("id in ('b', 'ok_-9')")
     assert ids.enforce_ids(good, "id", messages_rules=True) is good
@@ -436,9 +436,9 @@ def test_prepare_batches(spark):
     empty = prepare_batches(rows.where("false"), "text", "id", "embeddings")
     assert empty.columns == ["id", "line", "batch"] and empty.count() == 0
     twice = frame(spark, [("a", "x"), ("a", "y"), ("b", "z")], "id string, text string")
-    with pytest.raises(ValueError, match="unique"):
+    with pytest.raises(ValueError, match="more than one request"):
         prepare_batches(twice, "text", "id", "embeddings")
-    with pytest.raises(ValueError, match="64 characters"):
+    with pytest.raises(ValueError, match="do not match"):
         prepare_batches(frame(spark, [("a b", "x")], "id string, text string"), "text", "id", "messages")
     with pytest.raises(ValueError, match="kind"):
         prepare_batches(rows, "text", "id", "other")
@@ -477,3 +477,110 @@ def test_search_over_many_batches_equals_brute_force(spark):
         expected = sorted(range(900), key=lambda i: (-scores[i], i))[:7]
         mine = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == query["query_id"])
         assert [i for _, i in mine] == expected
+
+
+# --- stored order ------------------------------------------------------------------------------
+
+@pytest.fixture()
+def stored(spark, folder):
+    """3,000 rows in 6 files whose names are in order."""
+    rows = spark.range(3000).withColumn("text", F.repeat(F.lit("x"), (F.col("id") % 40).cast("int")))
+    rows.repartitionByRange(6, "id").sortWithinPartitions("id").write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def test_stored_positions(spark, stored):
+    got = batching.with_chunk(stored, 7, index="at")
+    assert got.where("at <> id + 1 OR chunk <> id div 7 + 1").count() == 0
+    some = batching.with_chunk(stored.where("id % 3 = 1"), 10, index="at")
+    assert some.where("at <> id div 3 + 1").count() == 0
+    moved = batching.with_chunk(stored.repartition(5), 10, index="at", fallback="id")
+    assert moved.where("at <> id + 1").count() == 0
+    with pytest.raises(ValueError, match="no stored order"):
+        batching.with_chunk(spark.range(3), 10)
+
+
+@pytest.mark.parametrize("max_rows", [None, 11])
+def test_stored_and_keyed_batches_are_the_same(stored, max_rows):
+    lines = stored.withColumn("text", F.when(F.col("id") == 700, F.repeat(F.lit("y"), 990)).otherwise(F.col("text")))
+    ours = batching.with_batches(lines, "text", None, max_rows, 1000)
+    keyed = batching.with_batches(lines, "text", "id", max_rows, 1000, rows_per_bucket=100)
+    assert ours.select("id", "batch").exceptAll(keyed.select("id", "batch")).count() == 0
+    sizes = ours.groupBy("batch").agg(F.sum(F.length("text") + 1).alias("b"), F.count("*").alias("n")).collect()
+    assert max(r["b"] for r in sizes) <= 1000 and max(r["n"] for r in sizes) <= (max_rows or 3000)
+    if max_rows is None:  # 3,000 lines of 20 bytes: the long one costs two batches more at most
+        assert len(sizes) <= 3000 * 20.5 / 875 + 4
+
+
+def test_equal_rows_are_spread(spark):
+    rows = spark.range(40_000).select(F.lit("same").alias("k"))
+    got = positions.with_position(rows, "k", rows_per_bucket=2_000)
+    per_task = got.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) >= 8 and max(r["count"] for r in per_task) < 10_000
+    assert got.agg(F.count_distinct("position"), F.max("position")).first()[:] == (40_000, 40_000)
+
+
+def test_a_slice_reads_only_the_buckets_it_reaches(spark, folder):
+    spark.range(60_000).write.parquet(folder)
+    placed = positions.with_position(spark.read.parquet(folder), "id", rows_per_bucket=1_000, between=(501, 1500))
+    assert placed.count() < 6_000
+    assert placed.where("position BETWEEN 501 AND 1500").count() == 1_000
+
+
+# --- odd input ---------------------------------------------------------------------------------
+
+def test_search_refuses_odd_vectors_or_leaves_them_out(spark):
+    corpus = frame(spark, [(1, [1.0, 0.0]), (2, [float("nan"), 1.0]), (3, [1.0]), (4, None), (5, [0.9, 0.1]),
+                           (6, [None, 1.0])], "vec_id long, embedding array<double>")
+    queries = frame(spark, [(9, [1.0, 0.0])], "query_id long, embedding array<double>")
+    with pytest.raises(Exception, match="vector of 2|vector of 3|vector of 6"):
+        search.semantic_search(queries, corpus, 5).collect()
+    got = search.semantic_search(queries, corpus, 5, on_odd="leave_out").collect()
+    assert [(r["rank"], r["vec_id"]) for r in got] == [(1, 1), (2, 5)]
+    odd = {r["vec_id"]: r["reason"] for r in search.odd_vectors(corpus, 2).collect()}
+    assert odd == {2: "not finite", 3: "size 1", 4: "missing", 6: "not finite"}
+    with pytest.raises(ValueError, match="query"):
+        search.semantic_search(queries.union(queries.select(F.lit(8), F.array(F.lit(1.0)))), corpus)
+
+
+def test_repeated_query_ids_fill_no_block(spark):
+    corpus = vectors(spark, [(i, [float(i + 1), 1.0]) for i in range(30)])
+    queries = frame(spark, [(1, [1.0, float(i)]) for i in range(64)], "query_id long, embedding array<double>")
+    got = search.semantic_search(queries, corpus, 2, block_bytes=800)
+    assert got.count() == 128
+
+
+def test_clusters_keep_rows_without_a_vector(spark):
+    rows = frame(spark, [(i, [float(i % 2), 1.0]) for i in range(20)] + [(90, None), (91, [1.0]), (92, [float("nan"), 0.0])],
+                 "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["cluster"] for r in similarity.cluster(rows, 2).collect()}
+    assert len(got) == 23 and {got[i] for i in (90, 91, 92)} == {None} and None not in {got[i] for i in range(20)}
+    nothing = similarity.cluster(rows.where("vec_id = 90"), 2).collect()
+    assert [r["cluster"] for r in nothing] == [None]
+
+
+def test_duplicates_skip_unusable_vectors_and_refuse_mixed_lengths(spark):
+    rows = frame(spark, [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [float("nan"), 1.0])],
+                 "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in similarity.near_duplicates(rows, 0.99).collect()] == [(2, 1)]
+    with pytest.raises(ValueError, match="lengths"):
+        similarity.near_duplicates(rows.union(rows.select(F.lit(9), F.array(F.lit(1.0)))), 0.99)
+
+
+def test_results_with_the_sources_column_names(spark):
+    source = frame(spark, [(1, "s", "t")], "id int, content string, error string")
+    results = frame(spark, [("1", "r", False), ("1", "q", True)], "custom_id string, content string, error boolean")
+    got = joining.attach_results(source, results, "id")
+    assert got.columns == ["id", "content", "error", "content_result", "error_result"]
+    assert sorted(r["content_result"] for r in got.collect()) == ["q", "r"]
+    with pytest.raises(ValueError, match="another suffix"):
+        joining.attach_results(source.withColumn("content_result", F.lit(1)), results, "id")
+
+
+def test_a_missing_id_breaks_both_rules(spark):
+    rows = frame(spark, [(None,), (None,), ("ok",)], "id string")
+    for messages in (False, True):
+        found = ids.id_violations(rows, "id", messages).collect()
+        assert [(r["rule"], r["n"]) for r in found] == [("missing", 2)]
+    with pytest.raises(ValueError, match="needs an id"):
+        ids.enforce_ids(rows, "id")
