@@ -45,11 +45,11 @@ def enforce_ids(df: DataFrame, id: str, messages_rules: bool = False) -> DataFra
     broken = id_violations(df, id, messages_rules)
     counts = {r["rule"]: r["k"] for r in
               broken.groupBy("rule").agg(F.count(F.lit(1)).alias("k")).collect()}
-    for rule, text in (("missing", "every request needs an id: {} kind of row has none"),
-                       ("duplicate", "{} ids are used by more than one request"),
-                       ("format", "{} ids do not match " + MESSAGES_ID)):
+    for rule, text in (("missing", "kind of row has no id, and every request needs an id"),
+                       ("duplicate", "ids are used by more than one request"),
+                       ("format", "ids do not match " + MESSAGES_ID)):
         if counts.get(rule):
             shown = [r["custom_id"] for r in broken.where(F.col("rule") == rule)
                      .orderBy("custom_id").limit(EXAMPLES).collect()]
-            raise ValueError(f"{text.format(counts[rule])}, for example {', '.join(map(str, shown))}")
+            raise ValueError(f"{counts[rule]} {text}, for example {', '.join(map(str, shown))}")
     return df
