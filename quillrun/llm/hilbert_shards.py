@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from quillrun.session import materialise
 
 BITS = 6
-ROWS_PER_BUCKET = 4096
+ROWS_PER_BUCKET = 512
 MAX_BUCKETS = 65536
 
 
