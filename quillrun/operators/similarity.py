@@ -21,7 +21,7 @@ BLOCK_ROWS = 4_096
 
 
 def cluster(df: DataFrame, k: int, vector: str = "embedding", seed: int = 42,
-            max_iter: int = 20) -> DataFrame:
+            max_iter: int = 20, tol: float = 1e-4) -> DataFrame:
     """Rows with their k-means cluster. The model labels each row in place, so nothing is joined.
 
     A row without a usable vector (NULL, empty, with a NULL, NaN or infinite part, or not as long as
@@ -34,7 +34,7 @@ def cluster(df: DataFrame, k: int, vector: str = "embedding", seed: int = 42,
         return df.withColumn("cluster", F.lit(None).cast("int"))
     whole = usable & (F.size(vector) == most["size"])
     features = df.where(whole).withColumn("__x", array_to_vector(as_doubles(F.col(vector))))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="__x",
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="__x",
                    predictionCol="cluster").fit(features)
     rest = df.where(~F.coalesce(whole, F.lit(False))).withColumn("cluster", F.lit(None).cast("int"))
     return model.transform(features).drop("__x").unionByName(rest)

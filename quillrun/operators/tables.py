@@ -86,15 +86,15 @@ def slice_rows(df: DataFrame, order_by: str | Sequence[str], start: int, stop: i
 def sample_rows(df: DataFrame, id: str, n: int, seed: int = 0) -> DataFrame:
     """A repeatable random sample of exactly ``n`` rows (or all, if fewer).
 
-    Rows are ranked by a seeded hash of the id. Only rows under a hash threshold that almost
-    surely holds ``n`` rows are ranked; if it does not, all are.
+    Rows are ranked by the md5 of ``id:seed``. Only rows under a threshold that almost surely holds
+    ``n`` rows are ranked; if it does not, all are. Rows of one id are ranked together.
     """
     total = df.count()
     if n >= total:
         return df
-    draw = F.xxhash64(F.col(id), F.lit(seed))
+    draw = F.md5(F.concat_ws(":", F.coalesce(F.col(id).cast("string"), F.lit("")), F.lit(str(seed))))
     share = min(1.0, (n + 10 * math.sqrt(n) + 100) / total)
-    threshold = int(-(2 ** 63) + share * (2 ** 64 - 1)) if share < 1 else 2 ** 63 - 1
+    threshold = format(int(share * (16 ** 12 - 1)), "012x") + "g"  # above all that start with it
     drawn = df.withColumn("__draw", draw)
     likely = drawn.where(F.col("__draw") <= F.lit(threshold))
     if likely.count() < n:

@@ -53,7 +53,7 @@ REVIEW = js.JsonSchema(
 def review_content() -> Column:
     """A review of a document as JSON; only remainder 0 keeps to the schema in full."""
     kind, n_chars = F.col("doc_id") % 8, F.col("n_chars")
-    tag = {"name": text_slot(F.col("source")), "weight": 0.5}
+    tag = {"name": text_slot(F.col("text")), "weight": 0.5}
 
     def review(**changes) -> Column:
         return render({"lang": text_slot(F.col("lang")), "n_chars": number(n_chars),
@@ -65,7 +65,7 @@ def review_content() -> Column:
         .when(kind == 3, review(n_chars=None))
         .when(kind == 4, review(extra=True))
         .when(kind == 5, review(grade="five"))
-        .when(kind == 6, F.concat(F.lit("no json: "), "source"))
+        .when(kind == 6, F.concat(F.lit("no json: "), "text"))
         .when(kind == 7, review(tags=[tag, {"name": number(n_chars), "weight": 2}]))
         .otherwise(review()))
 
@@ -96,7 +96,7 @@ def chat_answers(documents: DataFrame) -> DataFrame:
         .when(kind == 6, F.lit("<html>bad gateway</html>"))
         .when(kind == 7, render({"message": words("Overloaded ", "lang")}))
         .when(kind == 9, F.lit('{"choices":[]}'))
-        .when(kind != 8, chat_body(F.concat_ws(" ", "source", "lang"))))
+        .when(kind != 8, chat_body(F.concat_ws(" ", "text", "lang"))))
     status = F.when(kind == 3, 429).when(kind == 5, 500).when(kind == 6, 502) \
         .when(kind == 7, 529).when(kind != 8, 200)
     failure = F.when(kind == 8, F.concat(F.lit("Connection timed out: "), "source"))
@@ -158,7 +158,7 @@ def message_lines(documents: DataFrame) -> DataFrame:
             "usage": {"input_tokens": number(F.col("n_chars")),
                       "output_tokens": number(F.col("doc_id") % 100)}}}}
 
-    text = {"type": "text", "text": text_slot(F.concat_ws(" ", "source", "lang"))}
+    text = {"type": "text", "text": text_slot(F.concat_ws(" ", "text", "lang"))}
     tool = {"type": "tool_use", "name": "lookup"}
     line = (
         F.when(kind == 1, render(answer("tool_use", tool, text, {"type": "text", "text": "later"})))

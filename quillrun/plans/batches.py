@@ -113,7 +113,7 @@ SELECT CAST((position - 1) // 50000 + 1 AS INTEGER) AS batch, count(*) AS total,
   round(100.0 * count(*) FILTER (doc_id % 10 IN (3, 5, 6)) / count(*), 1) AS failed_pct
 FROM placed GROUP BY 1""")
 def split_and_merge(spark, sf_dir):
-    answered = chat_lines(table(spark, sf_dir, "documents"), F.col("source"))
+    answered = chat_lines(table(spark, sf_dir, "documents"), F.col("text"))
     placed = batching.with_row_batches(answered, "doc_id")
     path = fresh_dir(spark, "answers")
     jsonl.write_batches(placed, "line", path, order_by="doc_id")

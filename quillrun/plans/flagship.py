@@ -34,8 +34,13 @@ def structured_batch(spark, sf_dir):
                             system_prompt="Review the document.", schema=an.REVIEW)
     jsonl.write_batches(lines, "line", f"{folder}/requests", single_file=False)
 
-    # what the provider would send back, landed as files
-    an.chat_lines(documents, an.review_content()).select("line").write.text(f"{folder}/answers")
+    # what the provider would send back for the requests in those files, landed as files
+    sent = spark.read.text(f"{folder}/requests").select(
+        F.get_json_object("value", "$.custom_id").cast("bigint").alias("doc_id"),
+        F.get_json_object("value", "$.body.messages[1].content").alias("text")) \
+        .withColumn("n_chars", F.length("text").cast("bigint"))
+    asked = sent.join(documents.select("doc_id", "lang", "source"), "doc_id")
+    an.chat_lines(asked, an.review_content()).select("line").write.text(f"{folder}/answers")
 
     # answers to rows, checked against the schema and joined to their documents
     parsed = results.parse_files(spark, f"{folder}/answers", "completions")

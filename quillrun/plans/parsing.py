@@ -129,7 +129,7 @@ def pivot_labels(spark, sf_dir):
 
 
 @query("e8_completion_content", """
-SELECT doc_id, CASE WHEN doc_id % 10 IN (0, 1, 2, 4) THEN source || ' ' || lang END AS content
+SELECT doc_id, CASE WHEN doc_id % 10 IN (0, 1, 2, 4) THEN text || ' ' || lang END AS content
 FROM documents""")
 def completion_content(spark, sf_dir):
     return an.chat_answers(documents_of(spark, sf_dir)).select(
@@ -137,13 +137,13 @@ def completion_content(spark, sf_dir):
 
 
 @query("e9_message_content", """
-SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN source WHEN 1 THEN lang END AS content FROM documents""")
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN lang END AS content FROM documents""")
 def message_content(spark, sf_dir):
     def block(column):
         return {"type": "text", "text": text_slot(F.col(column))}
 
     kind = F.col("doc_id") % 4
-    body = F.when(kind == 0, render({"content": [block("source"), block("lang")]})) \
+    body = F.when(kind == 0, render({"content": [block("text"), block("lang")]})) \
         .when(kind == 1, render({"content": [{"type": "tool_use"}, block("lang")]})) \
         .when(kind == 2, render({"content": []})).otherwise(render({"content": [{"type": "tool_use"}]}))
     return documents_of(spark, sf_dir).select("doc_id", rs.message_content(body).alias("content"))
@@ -151,7 +151,7 @@ def message_content(spark, sf_dir):
 
 @query("e10_response_fields", f"""
 SELECT doc_id, CAST({an.CHAT_STATUS_SQL} AS INTEGER) AS status,
-  CASE WHEN doc_id % 10 IN (0, 1, 2, 4) THEN source || ' ' || lang END AS content,
+  CASE WHEN doc_id % 10 IN (0, 1, 2, 4) THEN text || ' ' || lang END AS content,
   CASE WHEN doc_id % 10 = 8 THEN 'Invalid response object' ELSE {an.CHAT_ERROR_SQL} END AS error_msg
 FROM documents""")
 def response_fields(spark, sf_dir):
@@ -199,10 +199,10 @@ def embedding_lines(spark, sf_dir):
 
 @query("e16_completion_lines", f"""
 SELECT {an.LINE_ID_SQL} AS custom_id,
-  CASE WHEN doc_id % 10 NOT IN (3, 5, 6, 7) THEN source || '/' || lang END AS content,
+  CASE WHEN doc_id % 10 NOT IN (3, 5, 6, 7) THEN text || '/' || lang END AS content,
   doc_id % 10 IN (3, 5, 6) AS error, {an.CHAT_LINE_ERROR_SQL} AS error_msg FROM documents""")
 def completion_lines(spark, sf_dir):
-    lines = an.chat_lines(documents_of(spark, sf_dir), F.concat_ws("/", "source", "lang"))
+    lines = an.chat_lines(documents_of(spark, sf_dir), F.concat_ws("/", "text", "lang"))
     return results.parse_lines(lines, "completions")
 
 
@@ -211,14 +211,14 @@ SELECT {an.LINE_ID_SQL} AS custom_id, doc_id % 10 IN (3, 5, 6, 7) AS error,
   CASE WHEN doc_id % 10 = 7 THEN 'Bad request ' || lang ELSE {an.CHAT_LINE_ERROR_SQL} END AS error_msg
 FROM documents""")
 def completion_lines_strict(spark, sf_dir):
-    lines = an.chat_lines(documents_of(spark, sf_dir), F.col("source"))
+    lines = an.chat_lines(documents_of(spark, sf_dir), F.col("text"))
     return results.parse_lines(lines, "completions", strict=True).drop("content")
 
 
 MESSAGE_LINES_SQL = """
 SELECT CASE WHEN kind = 6 THEN '__PARSE_ERROR_LINE_' || (doc_id + 1)
     ELSE CAST(doc_id AS VARCHAR) END AS custom_id,
-  CASE WHEN kind NOT IN (2, 3, 4, 5, 6, 7) THEN source || ' ' || lang END AS content,
+  CASE WHEN kind NOT IN (2, 3, 4, 5, 6, 7) THEN text || ' ' || lang END AS content,
   kind IN (3, 4, 5, 6, 7) AS error,
   CASE kind WHEN 3 THEN 'Invalid ' || lang WHEN 4 THEN 'Unknown error' WHEN 5 THEN 'canceled'
     WHEN 6 THEN 'Failed to parse JSONL line ' || (doc_id + 1) WHEN 7 THEN 'expired' END AS error_msg,
@@ -234,15 +234,20 @@ def message_lines(spark, sf_dir):
     return results.parse_lines(an.message_lines(documents_of(spark, sf_dir)), "messages")
 
 
-@query("e18_empty_content", """
-SELECT CAST(NULL AS VARCHAR) AS custom_id, CAST(NULL AS VARCHAR) AS content, false AS error,
-  CAST(NULL AS VARCHAR) AS error_msg, CAST(NULL AS VARCHAR) AS stop_reason,
-  CAST(NULL AS BIGINT) AS input_tokens, CAST(NULL AS BIGINT) AS output_tokens
-FROM documents WHERE false""")
+@query("e18_empty_content", f"""
+SELECT * REPLACE (CASE WHEN error AND starts_with(custom_id, '__') THEN '__PARSE_ERROR_LINE_1'
+                       ELSE custom_id END AS custom_id,
+                  CASE WHEN starts_with(custom_id, '__') THEN 'Failed to parse JSONL line 1'
+                       ELSE error_msg END AS error_msg)
+FROM ({MESSAGE_LINES_SQL}) WHERE NOT blank""".replace("FROM (SELECT *,", ", doc_id % 3 = 0 AS blank FROM (SELECT *,")
+       .replace("SELECT * REPLACE", "SELECT * EXCLUDE (blank) REPLACE"))
 def empty_content(spark, sf_dir):
-    newlines = F.repeat(F.lit("\n"), (F.col("doc_id") % 3).cast("int"))
-    blank = documents_of(spark, sf_dir).select(newlines.alias("body"))
-    return results.parse_lines(split_lines(blank, "body"), "messages")
+    """Files without content among files of one line: no rows for those, and no errors."""
+    newlines = F.repeat(F.lit("\n"), (F.col("doc_id") % 4).cast("int"))
+    files = an.message_lines(documents_of(spark, sf_dir)).select(
+        F.when(F.col("doc_id") % 3 == 0, newlines).otherwise(F.concat(newlines, "line", newlines))
+        .alias("body"))
+    return results.parse_lines(split_lines(files, "body"), "messages")
 
 
 @query("e19_http_dates", """

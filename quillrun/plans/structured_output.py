@@ -92,11 +92,44 @@ def nested_violations(spark, sf_dir):
     return texts.select("event_id", F.array_join("violations", "; ").alias("problems"))
 
 
+TYPED = js.JsonSchema("typed", js.object_(
+    k=js.enum([10, 20, 30, 40, 50], type="integer"), half=js.enum([2.5, 7, 20.5], type="number"),
+    seen=js.boolean()))
+
+
+@query("f5_f6_booleans_and_enums", """
+SELECT event_id, CAST((k NOT IN (10, 20, 30, 40, 50))::INT + (k / 2 NOT IN (2.5, 7, 20.5))::INT
+  + (event_id % 3 = 1)::INT AS INTEGER) AS n_violations
+FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""")
+def booleans_and_enums(spark, sf_dir):
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    content = F.concat(F.lit('{"k":'), k, F.lit(',"half":'), (k / 2).cast("string"), F.lit(',"seen":'),
+                       F.when(F.col("event_id") % 3 == 1, '"yes"').when(F.col("event_id") % 3 == 0, "true")
+                       .otherwise("false"), F.lit("}"))
+    events = table(spark, sf_dir, "events").select("event_id", content.alias("content"))
+    return st.validate_content(events, TYPED).select(
+        "event_id", F.size("violations").alias("n_violations"))
+
+
+@query("f12_require_all", """
+SELECT doc_id, CAST(CASE doc_id % 8 WHEN 0 THEN 0 WHEN 7 THEN 2 ELSE 1 END
+  + CASE WHEN doc_id % 3 = 0 AND doc_id % 8 NOT IN (6, 7) THEN 2 ELSE 0 END AS INTEGER) AS n_violations
+FROM documents""")
+def require_all(spark, sf_dir):
+    """Reviews of which a third have ``tags`` under another name: missing for the strict form, one key
+    too many for any, and its items are no longer looked at."""
+    without = F.regexp_replace("content", r'"tags":', '"tags_":')
+    rows = reviews(spark, sf_dir).withColumn("content", F.when(
+        F.col("doc_id") % 3 == 0, without).otherwise(F.col("content")))
+    return st.validate_content(rows, an.REVIEW.require_all()).select(
+        "doc_id", F.size("violations").alias("n_violations"))
+
+
 @query("f11_parse_and_validate", f"""
 SELECT doc_id, doc_id % 8 = 0 AS valid, CASE WHEN doc_id % 8 = 0 THEN lang END AS lang,
   CASE WHEN doc_id % 8 = 0 THEN n_chars END AS n_chars,
   CASE WHEN doc_id % 8 = 0 THEN CAST({GRADE_SQL} AS DOUBLE) END AS grade,
-  CASE WHEN doc_id % 8 = 6 THEN 'no json: ' || source END AS raw FROM documents""")
+  CASE WHEN doc_id % 8 = 6 THEN 'no json: ' || text END AS raw FROM documents""")
 def parse_and_validate(spark, sf_dir):
     parsed = st.parse_content(reviews(spark, sf_dir).drop("lang", "n_chars"), an.REVIEW)
     raw = F.when(~F.col("valid") & F.col("content").startswith("no json"), F.col("content"))
@@ -117,7 +150,7 @@ def unnest_content(spark, sf_dir):
 
 
 @query("e13_unnest_objects", """
-SELECT doc_id, source AS name, CAST(0.5 AS DOUBLE) AS weight FROM documents WHERE doc_id % 8 <> 6
+SELECT doc_id, text AS name, CAST(0.5 AS DOUBLE) AS weight FROM documents WHERE doc_id % 8 <> 6
 UNION ALL
 SELECT doc_id, CAST(n_chars AS VARCHAR), 2 FROM documents WHERE doc_id % 8 = 7""")
 def unnest_objects(spark, sf_dir):
@@ -127,7 +160,7 @@ def unnest_objects(spark, sf_dir):
 
 
 @query("e13_unnest_objects_outer", """
-SELECT doc_id, CASE WHEN doc_id % 8 <> 6 THEN source END AS name FROM documents
+SELECT doc_id, CASE WHEN doc_id % 8 <> 6 THEN text END AS name FROM documents
 UNION ALL SELECT doc_id, CAST(n_chars AS VARCHAR) FROM documents WHERE doc_id % 8 = 7""")
 def unnest_objects_outer(spark, sf_dir):
     parsed = reviews(spark, sf_dir).select(

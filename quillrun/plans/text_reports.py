@@ -18,7 +18,7 @@ from quillrun.plans.registry import query, table
 
 
 def answered(spark, sf_dir):
-    return parse_lines(an.chat_lines(table(spark, sf_dir, "documents"), F.col("source")),
+    return parse_lines(an.chat_lines(table(spark, sf_dir, "documents"), F.col("text")),
                        "completions")
 
 
@@ -129,7 +129,7 @@ def request_chars(spark, sf_dir):
 # --- joins and sets ----------------------------------------------------------------------------
 
 @query("j1_attach_results", """
-SELECT doc_id, lang, CASE WHEN doc_id % 10 IN (0, 1, 2, 4, 8, 9) THEN source END AS content,
+SELECT doc_id, lang, CASE WHEN doc_id % 10 IN (0, 1, 2, 4, 8, 9) THEN text END AS content,
   CASE WHEN doc_id % 10 <> 6 THEN doc_id % 10 IN (3, 5) END AS error FROM documents""")
 def attach_results(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang")
@@ -220,8 +220,7 @@ SELECT CAST(ceil(position / 250.0) AS INTEGER) AS chunk,
   count(*) FILTER (doc_id % 10 IN (3, 5, 6, 7, 8)) AS failed
 FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS position FROM documents) GROUP BY 1""")
 def chunk_summary(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    placed = batching.with_chunk(documents, 250, "doc_id")
+    placed = batching.with_chunk(table(spark, sf_dir, "documents"), 250)
     responses = an.chat_answers(placed).select(
         "doc_id", "chunk", F.struct("status", "body", "failure").alias("response"))
     return reports.chunk_summary(inf.tidy_responses(responses, inf.messages_task()))
@@ -315,7 +314,8 @@ def slice_rows(spark, sf_dir):
     return tables.slice_rows(orders, ["o_totalprice", "o_orderkey"], 501, 1500)
 
 
-@query("k4_sample")
+@query("k4_sample", """
+SELECT doc_id, lang FROM documents ORDER BY md5(doc_id || ':7'), doc_id LIMIT 200""")
 def sample_rows(spark, sf_dir):
     return tables.sample_rows(table(spark, sf_dir, "documents").select("doc_id", "lang"),
                               "doc_id", 200, seed=7)

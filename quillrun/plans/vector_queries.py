@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quillrun.functions.vectors import as_doubles, cosine
 from quillrun.operators import joining, search, similarity
 from quillrun.plans.registry import query, table
+from quillrun.session import materialise
 
 DIMENSIONS = 64
 
@@ -50,10 +51,59 @@ def query_corpus_scores(spark, sf_dir):
         F.round(cosine(F.col("q"), as_doubles(F.col("embedding"))), 9).alias("score"))
 
 
-@query("n1_clusters")
+@query("n1_clusters", """
+SELECT vec_id, vec_id % 50 <> 7 AS clustered, CASE WHEN vec_id % 50 <> 7 THEN true END AS at_nearest
+FROM embeddings""")
 def clusters(spark, sf_dir):
-    return similarity.cluster(table(spark, sf_dir, "embeddings"), 2).select(
-        "vec_id", "label", "cluster")
+    """Settled clusters: every row is at the nearest of the means of the clusters' members."""
+    missing = F.when(F.col("vec_id") % 50 != 7, F.col("embedding"))
+    rows = materialise(similarity.cluster(
+        table(spark, sf_dir, "embeddings").withColumn("embedding", missing), 2, max_iter=300, tol=0.0),
+        "clusters")
+    vector = as_doubles(F.col("embedding"))
+    # one row per cluster
+    means = rows.where("cluster IS NOT NULL").groupBy("cluster").agg(
+        F.array(*[F.avg(F.get(vector, F.lit(i))) for i in range(DIMENSIONS)]).alias("mean"))
+    other = rows.select("vec_id", vector.alias("v"), F.explode(F.array(F.lit(0), F.lit(1))).alias("there"))
+    gap = F.aggregate(F.zip_with("v", "mean", lambda x, y: (x - y) * (x - y)), F.lit(0.0),
+                      lambda s, x: s + x)
+    nearest = other.join(F.broadcast(means), F.col("there") == F.col("cluster")).groupBy("vec_id").agg(
+        F.min_by("there", F.struct(gap, "there")).alias("nearest"))
+    return rows.select("vec_id", "cluster").join(nearest, "vec_id").select(
+        "vec_id", F.col("cluster").isNotNull().alias("clustered"),
+        (F.col("nearest") == F.col("cluster")).alias("at_nearest"))
+
+
+ODD_SQL = """CASE vec_id % 40 WHEN 3 THEN 'missing' WHEN 5 THEN 'size 63' WHEN 9 THEN 'not finite'
+  WHEN 11 THEN 'not finite' END"""
+
+
+def with_odd_vectors(embeddings):
+    kind, vector = F.col("vec_id") % 40, as_doubles(F.col("embedding"))
+    odd = F.when(kind == 5, F.slice(vector, 1, DIMENSIONS - 1)) \
+        .when(kind == 9, F.concat(F.slice(vector, 1, DIMENSIONS - 1), F.array(F.lit(float("nan"))))) \
+        .when(kind == 11, F.concat(F.array(F.lit(None).cast("double")), F.slice(vector, 2, DIMENSIONS - 1))) \
+        .when(kind != 3, vector)
+    return embeddings.withColumn("embedding", odd)
+
+
+@query("k1_odd_vectors", f"""
+WITH means AS ({MEANS_SQL}),
+scored AS (
+  SELECT query_id, vec_id,
+    round(list_cosine_similarity(q, CAST(embedding AS DOUBLE[])), 9) AS score
+  FROM means, embeddings WHERE {ODD_SQL} IS NULL)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(NULL AS VARCHAR) AS reason FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+UNION ALL SELECT NULL, NULL, vec_id, {ODD_SQL} FROM embeddings WHERE {ODD_SQL} IS NOT NULL""")
+def odd_vectors(spark, sf_dir):
+    """A search that leaves odd vectors out, and the list of them."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    corpus = with_odd_vectors(embeddings)
+    found = search.semantic_search(label_means(embeddings), corpus, 5, on_odd="leave_out")
+    return joining.bind_rows(found.drop("score"), search.odd_vectors(corpus, DIMENSIONS)).select(
+        "query_id", "rank", "vec_id", "reason")
 
 
 @query("n2_near_duplicates", """
