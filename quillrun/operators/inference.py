@@ -13,12 +13,15 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
+from itertools import accumulate, islice
 from typing import Any, NamedTuple
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +29,7 @@ from pyspark.sql import types as T
 from quillrun.functions import requests as rq
 from quillrun.functions import responses as rs
 from quillrun.operators.batching import with_chunk
-from quillrun.operators.exploding import computed_once
+from quillrun.operators.exploding import computed_once, each
 from quillrun.operators.tables import INVALID_TEXT, apply_invalid_policy, require_columns
 from quillrun.schema import JsonSchema
 from quillrun.session import fresh_dir
@@ -38,6 +41,9 @@ BackendFactory = Callable[[], Backend]
 RESPONSE = "struct<status:int,body:string,failure:string,tries:int>"
 UNREADABLE = "Error processing response"
 WRONG_COUNT = "Response does not hold one result per text"
+NO_ANSWER = "No answer within the time for all tries"
+ANSWERS_AT_ONCE = 256  # bodies a task holds, and rows of the batches it passes on
+GRACE_SECONDS = 1.0
 
 _ARROW_RESPONSE = pa.struct([("status", pa.int32()), ("body", pa.string()),
                              ("failure", pa.string()), ("tries", pa.int32())])
@@ -88,20 +94,52 @@ def call_with_retry(backend: Backend, request: str | None, retry: Retry) -> Answ
         tries += 1
 
 
-def _call_all(backend: Backend, pool: ThreadPoolExecutor | None, requests: Sequence[str | None],
-              retry: Retry) -> pa.Array:
-    def call(request):
-        return call_with_retry(backend, request, retry)
+class Caller:
+    """Answers requests in order, ``concurrency`` of them at a time.
 
-    answers = list(map(call, requests) if pool is None else pool.map(call, requests))
+    Twice as many are waiting or under way, so a slow one holds up no more than that. A client that
+    ignores its timeout is given up once all tries could have run: its row is an error, and fresh
+    threads take over.
+    """
+
+    def __init__(self, backend: Backend, concurrency: int, retry: Retry) -> None:
+        self._backend, self._concurrency, self._retry = backend, concurrency, retry
+        waits = sum(retry.backoff ** i for i in range(1, retry.max_tries))
+        self._patience = retry.max_tries * retry.timeout + waits + GRACE_SECONDS
+        self._pool = ThreadPoolExecutor(concurrency)
+
+    def answers(self, requests: Iterable[str | None]) -> Iterator[Answer]:
+        waiting: deque[Future] = deque()
+        for request in requests:
+            waiting.append(self._pool.submit(call_with_retry, self._backend, request, self._retry))
+            if len(waiting) >= 2 * self._concurrency:
+                yield self._answer(waiting.popleft())
+        while waiting:
+            yield self._answer(waiting.popleft())
+
+    def _answer(self, call: Future) -> Answer:
+        try:
+            return call.result(timeout=self._patience)
+        except TimeoutError:
+            self._pool.shutdown(wait=False)
+            self._pool = ThreadPoolExecutor(self._concurrency)
+            return Answer(None, None, NO_ANSWER, self._retry.max_tries)
+
+    def close(self) -> None:
+        self._pool.shutdown(wait=False, cancel_futures=True)
+
+
+def _answer_array(answers: Sequence[Answer]) -> pa.Array:
     columns = zip(*answers) if answers else [()] * len(_ARROW_RESPONSE)
     return pa.StructArray.from_arrays(
         [pa.array(values, field.type) for values, field in zip(columns, _ARROW_RESPONSE)],
         fields=list(_ARROW_RESPONSE))
 
 
-def _pool(concurrency: int) -> ThreadPoolExecutor | None:
-    return ThreadPoolExecutor(concurrency) if concurrency > 1 else None
+def _in_parts(answers: Iterator[Answer], count: int) -> Iterator[tuple[int, pa.Array]]:
+    """Answers as arrays of at most ``ANSWERS_AT_ONCE``, each with the place of its first."""
+    for start in range(0, count, ANSWERS_AT_ONCE):
+        yield start, _answer_array(list(islice(answers, min(ANSWERS_AT_ONCE, count - start))))
 
 
 def perform(requests: DataFrame, backend: BackendFactory, concurrency: int = 5,
@@ -116,15 +154,16 @@ def perform(requests: DataFrame, backend: BackendFactory, concurrency: int = 5,
     carried = [c for c in requests.columns if c != request]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call, pool = backend(), _pool(concurrency)
+        caller = Caller(backend(), concurrency, retry)
         try:
             for batch in batches:
-                answers = _call_all(call, pool, batch.column(request).to_pylist(), retry)
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in carried], answers], [*carried, "response"])
+                answers = caller.answers(r.as_py() for r in batch.column(request))
+                for start, part in _in_parts(answers, batch.num_rows):
+                    rows = batch.slice(start, len(part))
+                    yield pa.RecordBatch.from_arrays(
+                        [*[rows.column(c) for c in carried], part], [*carried, "response"])
         finally:
-            if pool is not None:
-                pool.shutdown(cancel_futures=True)
+            caller.close()
 
     schema = T.StructType([*requests.select(*carried).schema.fields,
                            T.StructField("response", T._parse_datatype_string(RESPONSE))])
@@ -144,30 +183,31 @@ def perform_batched(df: DataFrame, text: str, backend: BackendFactory,
         raise ValueError("batch_size and concurrency must be positive integers")
     carried = [c for c in df.columns if c != text]
 
+    def request_of(texts: pa.Array, group: list[int]) -> str | None:
+        sent = [texts[i].as_py() for i in group]
+        return json.dumps({texts_key: sent, **body}, ensure_ascii=False,
+                          separators=(",", ":")) if sent[0] else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call, pool = backend(), _pool(concurrency)
+        caller = Caller(backend(), concurrency, retry)
         try:
             for batch in batches:
-                texts = batch.column(text).to_pylist()
-                full = [i for i, t in enumerate(texts) if t]
-                empty = [i for i, t in enumerate(texts) if not t]
+                texts = batch.column(text)
+                sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+                full = [i for i, n in enumerate(sizes) if n]
                 groups = [full[i:i + batch_size] for i in range(0, len(full), batch_size)]
-                requests: list[str | None] = [json.dumps(
-                    {texts_key: [texts[i] for i in g], **body}, ensure_ascii=False,
-                    separators=(",", ":")) for g in groups]
-                groups += [[i] for i in empty]
-                requests += [None] * len(empty)
-                rows = pa.StructArray.from_arrays(
-                    [batch.column(c) for c in carried], carried).take(pa.array(full + empty))
-                offsets = [0]
-                for g in groups:
-                    offsets.append(offsets[-1] + len(g))
-                items = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)
-                yield pa.RecordBatch.from_arrays(
-                    [items, _call_all(call, pool, requests, retry)], ["items", "response"])
+                groups += [[i] for i, n in enumerate(sizes) if not n]
+                answers = caller.answers(request_of(texts, g) for g in groups)
+                for start, part in _in_parts(answers, len(groups)):
+                    own = groups[start:start + len(part)]
+                    rows = pa.StructArray.from_arrays(
+                        [batch.column(c) for c in carried], carried).take(
+                        pa.array([i for g in own for i in g], pa.int64()))
+                    offsets = list(accumulate((len(g) for g in own), initial=0))
+                    items = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)
+                    yield pa.RecordBatch.from_arrays([items, part], ["items", "response"])
         finally:
-            if pool is not None:
-                pool.shutdown(cancel_futures=True)
+            caller.close()
 
     row = T.StructType(df.select(*carried).schema.fields)
     schema = T.StructType([T.StructField("items", T.ArrayType(row)),
@@ -280,15 +320,23 @@ def tidy_batched(responses: DataFrame, result: str, many: Callable[[Column], Col
     """
     response = F.col("response")
     failed = response["status"].isNull() | (response["status"] >= 400)
-    parsed = responses.withColumn("__results", F.when(~failed, many(response["body"])))
+    parsed = computed_once(responses, "__results", F.when(~failed, many(response["body"])))
     wrong = ~failed & (F.coalesce(F.size("__results"), F.lit(-1)) != F.size("items"))
-    usable = parsed.withColumn("__results", F.when(~wrong, F.col("__results"))).withColumn(
-        "__wrong", wrong)
-    rows = usable.select("*", F.posexplode("items").alias("__at", "__item"))
-    value = F.get(F.col("__results"), F.col("__at"))
-    unreadable = F.col("__wrong") | (~failed & value.isNull())
-    return rows.select("__item.*", value.alias(result),
-                       *error_columns(response, unreadable, WRONG_COUNT))
+    # what a row needs of its request, made before the rows are: no body is copied onto them
+    usable = ~wrong & F.col("__results").isNotNull()
+    values = F.when(usable, F.col("__results")).otherwise(F.transform("items", lambda x: F.lit(None)))
+    error, message, status = error_columns(response, wrong, WRONG_COUNT)
+    requests = parsed.select(
+        error.alias("__failed"), message.alias("__message"), status.alias("__status"),
+        F.arrays_zip(F.col("items").alias("item"), values.alias("value"))
+        .alias("__rows"))
+    rows = each(requests, "__rows", ["__failed", "__message", "__status"], "__row", "__at")
+    lost = ~F.col("__failed") & F.col("__row.value").isNull()
+    return rows.select(
+        "__row.item.*", F.col("__row.value").alias(result),
+        (F.col("__failed") | lost).alias("error"),
+        F.when(lost, F.lit(WRONG_COUNT)).otherwise(F.col("__message")).alias("error_msg"),
+        F.col("__status").alias("status"))
 
 
 def text_rows(df: DataFrame, text: str, id: str, chunk_size: int | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillrun.functions import responses as rs
 from quillrun.operators.exploding import computed_once
+from quillrun.session import materialise
 from quillrun.sources.jsonl import line_numbers, read_lines
 
 KINDS = ("embeddings", "completions", "messages")
@@ -37,6 +38,10 @@ def parse_lines(lines: DataFrame, kind: str, id: str = "custom_id", strict: bool
     """
     parsed = lines if "__json" in lines.columns else with_json(lines)
     read = parsed.select(*keep, _line(kind, F.col("__json"), F.col("line_no"), strict).alias("__r"))
+    return _columns(read, kind, id, keep)
+
+
+def _columns(read: DataFrame, kind: str, id: str, keep: Sequence[str]) -> DataFrame:
     value = "embedding" if kind == "embeddings" else "content"
     usage = ["stop_reason", "input_tokens", "output_tokens"] if kind == "messages" else []
     return read.select(
@@ -47,13 +52,21 @@ def parse_lines(lines: DataFrame, kind: str, id: str = "custom_id", strict: bool
 
 def parse_placed_lines(lines: DataFrame, kind: str, id: str = "custom_id", strict: bool = False,
                        keep: Sequence[str] = ()) -> DataFrame:
-    """Rows of lines read from files. Only unreadable lines need, and get, a line number."""
-    good = with_json(lines).where(F.col("__json").isNotNull())
-    bad = line_numbers(lines, rs.parse_json(F.col("line")).isNull())
-    columns = ["file", "line_no", "line", "__json"]
-    return parse_lines(
-        good.withColumn("line_no", F.lit(None).cast("int")).select(*columns)
-        .unionByName(with_json(bad).select(*columns)), kind, id, strict, keep)
+    """Rows of lines read from files: each line is read and parsed once, and its row stored.
+
+    Only unreadable lines need, and get, a line number, from the places of the stored rows.
+    """
+    place = ["file", "split", "row"]
+    rest = [c for c in keep if c not in place]
+    nowhere = F.lit(None).cast("int")
+    read = with_json(lines).select(
+        *place, *rest, F.col("__json").isNull().alias("__bad"),
+        _line(kind, F.col("__json"), nowhere, strict).alias("__r"))
+    stored = materialise(read, "parsed")
+    bad = line_numbers(stored, F.col("__bad"), rest).withColumn("__json", F.lit(None).cast("variant"))
+    failed = bad.select("file", *rest, _line(kind, F.col("__json"), F.col("line_no"), strict).alias("__r"))
+    return _columns(stored.where("NOT __bad").select("file", *rest, "__r").unionByName(failed),
+                    kind, id, keep)
 
 
 def parse_files(spark: SparkSession, path: str | list[str], kind: str, id: str = "custom_id",

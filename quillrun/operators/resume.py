@@ -43,7 +43,7 @@ def run_digest(df: DataFrame, text: str, id: str, task: Task, keep: Sequence[str
 
 
 def run_in_waves(df: DataFrame, text: str, id: str, task: Task, backend: BackendFactory,
-                 run_dir: str, *, chunk_size: int = 5000, chunks_per_wave: int = 1000,
+                 run_dir: str, *, chunk_size: int = 5000, chunks_per_wave: int = 20,
                  concurrency: int = 5, retry: Retry = Retry(), on_invalid: str = "error_row",
                  keep: Sequence[str] = ()) -> DataFrame:
     """Inference that loses at most the running wave when it is cut off.

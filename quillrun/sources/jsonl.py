@@ -33,7 +33,8 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return file_lines(spark.read.text(path))
 
 
-def line_numbers(lines: DataFrame, wanted: Column | None = None) -> DataFrame:
+def line_numbers(lines: DataFrame, wanted: Column | None = None,
+                 keep: Sequence[str] = ("line",)) -> DataFrame:
     """Number lines from 1 within their file, optionally only the ``wanted`` ones.
 
     Lines per split are counted first (one row per split), so only the wanted lines are
@@ -48,7 +49,7 @@ def line_numbers(lines: DataFrame, wanted: Column | None = None) -> DataFrame:
     chosen = lines if wanted is None else lines.where(wanted)
     number = F.col("__earlier") + F.col("row") - F.col("__first") + 1
     return chosen.join(starts, ["file", "split"]).select(
-        "file", number.cast("int").alias("line_no"), "line")
+        "file", number.cast("int").alias("line_no"), *keep)
 
 
 def write_batches(df: DataFrame, line: str, path: str, batch: str = "batch",

@@ -60,9 +60,10 @@ def test_pool_is_bounded_and_keeps_order():
 
     for size in (1, 4):
         most[0] = 0
-        pool = inf._pool(size)
-        got = inf._call_all(backend, pool, [str(i) for i in range(50)], inf.Retry())
-        assert [r["body"] for r in got.to_pylist()] == [str(i) for i in range(50)]
+        caller = inf.Caller(backend, size, inf.Retry())
+        got = list(caller.answers(str(i) for i in range(50)))
+        caller.close()
+        assert [r.body for r in got] == [str(i) for i in range(50)]
         assert most[0] <= size and (size == 1 or most[0] > 1)
 
 
@@ -352,3 +353,58 @@ def test_chunks_in_stored_order_move_no_text(spark, documents):
     plan = requests._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
     assert requests.groupBy("chunk").count().where("count = 50").count() == documents.count() // 50
+
+
+def test_a_client_that_ignores_its_timeout_costs_one_row(monkeypatch):
+    monkeypatch.setattr(inf, "GRACE_SECONDS", 0.0)
+    released = threading.Event()
+
+    def backend(request, timeout):
+        if request == "3":
+            released.wait(20)
+        return 200, request
+
+    caller = inf.Caller(backend, 2, inf.Retry(1, timeout=0.3))
+    got = list(caller.answers(str(i) for i in range(30)))
+    released.set()
+    caller.close()
+    assert [a.body for a in got] == [str(i) if i != 3 else None for i in range(30)]
+    assert (got[3].status, got[3].failure) == (None, inf.NO_ANSWER)
+
+
+def test_requests_are_drawn_as_they_are_answered():
+    drawn, ahead = [0], [0]
+
+    def requests():
+        for i in range(400):
+            drawn[0] += 1
+            yield str(i)
+
+    caller = inf.Caller(lambda r, t: (200, r), 4, inf.Retry())
+    for done, _ in enumerate(caller.answers(requests())):
+        ahead[0] = max(ahead[0], drawn[0] - done)
+    caller.close()
+    assert ahead[0] <= 9
+
+
+def test_batched_answers_copy_no_body(spark):
+    responses = spark.createDataFrame(
+        [([(1, "a"), (2, "b")], (200, "[[1.0],[2.0]]", None, 1)), ([(3, "c")], (200, "[[1.0],[2.0]]", None, 1)),
+         ([(4, "d")], (500, "x", None, 2)), ([(5, "e"), (6, "f")], (200, "[[1.0],[]]", None, 1))],
+        f"items array<struct<id:int,k:string>>, response {inf.RESPONSE}")
+    got = inf.tidy_batched(responses, "v", inf.rs.embedding_vectors)
+    above = got._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "response" not in above
+    assert [(r["id"], r["v"], r["error"], r["status"]) for r in got.orderBy("id").collect()] == [
+        (1, [1.0], False, None), (2, [2.0], False, None), (3, None, True, None), (4, None, True, 500),
+        (5, None, True, None), (6, None, True, None)]
+
+
+def test_result_files_are_read_once(spark, folder):
+    from quillrun.operators.results import parse_files
+
+    write_lines(spark, folder, ['{"custom_id":"a","error":{"message":"no"}}', "broken"])
+    got = parse_files(spark, folder, "completions")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan  # read, parsed and stored before
+    assert sorted(r["custom_id"] for r in got.collect()) == ["__PARSE_ERROR_LINE_2", "a"]
