@@ -30,10 +30,16 @@ MIN_LINES = 3
 
 
 def _ranked(pairs: DataFrame, key: list[str], label: str) -> DataFrame:
-    """Positions whose ``key`` another position has too, with the least of them as ``rank``."""
+    """Positions whose ``key`` another position has too, with the least of them as ``rank``.
+
+    Most positions are alone in their interval; a Bloom filter of the others' keys lets few of them
+    into the join.
+    """
     intervals = materialise(pairs.groupBy(*key).agg(F.min("at").alias("rank"), F.count("*").alias("n"))
-                            .where("n > 1").drop("n"), label)
-    return materialise(pairs.join(intervals, key).drop(*key), label)
+                            .where("n > 1").drop("n").withColumn("name", F.xxhash64(*key)), label)
+    test, cells = bitmaps.filter_of(intervals, "name", intervals.count(), label)
+    maybe = bitmaps.with_test(pairs, F.xxhash64(*key), test, cells, "maybe").where("maybe").drop("maybe")
+    return materialise(maybe.join(intervals.drop("name"), key).drop(*key), label)
 
 
 def repeated_windows(lines: DataFrame, min_lines: int) -> DataFrame:
