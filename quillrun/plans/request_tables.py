@@ -97,6 +97,20 @@ def chat_request_list(spark, sf_dir):
                          on_invalid="fail")
 
 
+@query("b6_invalid_text_refused", "SELECT count(*) AS n_rows, true AS refused FROM documents")
+def invalid_text_refused(spark, sf_dir):
+    """With the refusing policy, one row without text stops the whole list, and says which it is."""
+    documents = table(spark, sf_dir, "documents")
+    blanked = documents.withColumn("text", F.when(F.col("doc_id") % 1000 != 8, F.col("text")))
+    requests = request_table(blanked, "text", "doc_id", chat_task(), on_invalid="fail")
+    try:
+        requests.agg(F.max(F.length("request"))).collect()
+        refused = False
+    except Exception as error:  # raised in a task, and so wrapped in one of several types
+        refused = tables.INVALID_TEXT in str(error) and "row " in str(error)
+    return documents.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("refused", F.lit(refused))
+
+
 @query("b7_messages_requests", f"""
 SELECT {TURN_ID} AS turn_id,
   '{{"model":"claude-haiku-4-5","messages":[{{"role":"user","content":' || to_json(text)

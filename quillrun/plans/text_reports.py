@@ -278,17 +278,24 @@ WITH d AS (
   SELECT l_extendedprice AS y, CAST(l_quantity AS DOUBLE) AS a, CAST(l_discount AS DOUBLE) AS b
   FROM lineitem),
 s AS (
-  SELECT avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS aa, var_pop(b) AS bb,
-    covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb FROM d),
-c AS (SELECT *, (bb * ay - ab * yb) / (aa * bb - ab * ab) AS ba,
-             (aa * yb - ab * ay) / (aa * bb - ab * ab) AS be FROM s)
-SELECT '(Intercept)' AS term, round(my - ba * ma - be * mb, 3) AS estimate FROM c
-UNION ALL SELECT 'l_quantity', round(ba, 3) FROM c
-UNION ALL SELECT 'l_discount', round(be, 3) FROM c""")
+  SELECT count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(y) AS yy, var_pop(a) AS aa,
+    var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb FROM d),
+c AS (SELECT *, aa * bb - ab * ab AS det, (bb * ay - ab * yb) / (aa * bb - ab * ab) AS ba,
+             (aa * yb - ab * ay) / (aa * bb - ab * ab) AS be FROM s),
+v AS (SELECT *, (yy - ba * ay - be * yb) / (n - 3) AS noise FROM c),
+terms AS (
+  SELECT '(Intercept)' AS term, my - ba * ma - be * mb AS estimate,
+    sqrt(noise * (1 + (ma * ma * bb - 2 * ma * mb * ab + mb * mb * aa) / det)) AS std_error FROM v
+  UNION ALL SELECT 'l_quantity', ba, sqrt(noise * bb / det) FROM v
+  UNION ALL SELECT 'l_discount', be, sqrt(noise * aa / det) FROM v)
+SELECT term, round(estimate, 3) AS estimate, round(std_error, 4) AS std_error,
+  round(estimate / std_error, 3) AS statistic FROM terms""")
 def linear_model(spark, sf_dir):
     fit = reports.linear_model(table(spark, sf_dir, "lineitem"), "l_extendedprice",
                                ["l_quantity", "l_discount"])
-    return fit.select("term", F.round("estimate", 3).alias("estimate"))
+    return fit.select("term", F.round("estimate", 3).alias("estimate"),
+                      F.round("std_error", 4).alias("std_error"),
+                      F.round("statistic", 3).alias("statistic"))
 
 
 # --- order, slices, samples --------------------------------------------------------------------
