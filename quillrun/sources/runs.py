@@ -10,6 +10,7 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillrun.session import fresh_dir
 
@@ -20,6 +21,8 @@ METADATA = ("run_id string, output_dir string, endpoint_url string, model string
             "concurrent_requests int, timeout double, max_retries int, key_name string, "
             "rows_processed bigint, elapsed_time double, timestamp string")
 STAMP = "%d%m%Y_%H%M%S"
+FOLDER = "chunk_folder"
+CHUNKS_PER_FOLDER = 200
 
 
 def output_dir(spark: SparkSession, given: str | None = None,
@@ -44,18 +47,31 @@ def output_file(spark: SparkSession, given: str | None = None,
 
 
 def write_chunks(results: DataFrame, path: str, mode: str = "errorifexists",
-                 single_file: bool = True) -> None:
-    """Results as parquet, one folder per chunk.
+                 single_file: bool = True, chunks_per_folder: int = CHUNKS_PER_FOLDER) -> None:
+    """Results as parquet, in folders of ``chunks_per_folder`` consecutive chunks.
 
-    ``single_file`` brings a chunk's rows together in one file; without it nothing is shuffled.
+    ``single_file`` brings a chunk's rows together in one file (which may hold more chunks); without
+    it nothing is shuffled.
     """
-    rows = results.repartition("chunk") if single_file else results
-    rows.write.mode(mode).partitionBy("chunk").parquet(path)
-
-
-def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """All chunks of a run as one lazy table; a filter on ``chunk`` reads only those."""
-    return spark.read.parquet(path)
+    number = F.floor((F.col("chunk") - 1) / F.lit(chunks_per_folder)).cast("int")
+    rows = results.withColumn(FOLDER, number)
+    if single_file:
+        rows = rows.repartition("chunk").sortWithinPartitions(FOLDER, "chunk")
+    rows.write.mode(mode).partitionBy(FOLDER).parquet(path)
+
+
+def read_chunks(spark: SparkSession, path: str, first: int | None = None, last: int | None = None,
+                chunks_per_folder: int = CHUNKS_PER_FOLDER) -> DataFrame:
+    """The chunks of a run, or those from ``first`` to ``last``, as one lazy table. Only folders that
+    may hold them are listed, and only the row groups that do are read."""
+    rows = spark.read.parquet(path)
+    if first is not None:
+        folder = (first - 1) // chunks_per_folder
+        rows = rows.where((F.col("chunk") >= first) & (F.col(FOLDER) >= folder))
+    if last is not None:
+        folder = (last - 1) // chunks_per_folder
+        rows = rows.where((F.col("chunk") <= last) & (F.col(FOLDER) <= folder))
+    return rows.drop(FOLDER)
 
 
 def write_metadata(spark: SparkSession, run_dir: str, values: Mapping[str, Any]) -> None:

@@ -213,6 +213,11 @@ def test_chunk_files_and_run_log(spark, folder):
     results = batching.with_chunk(spark.range(10), 4, "id")
     runs.write_chunks(results, f"{folder}/results")
     assert runs.read_chunks(spark, f"{folder}/results").where("chunk = 3").count() == 2
+    runs.write_chunks(batching.with_chunk(spark.range(90), 4, "id"), f"{folder}/ranged", chunks_per_folder=5)
+    some = runs.read_chunks(spark, f"{folder}/ranged", 5, 11, chunks_per_folder=5)
+    assert some.columns == ["id", "chunk"] and len(some.inputFiles()) > 0
+    assert sorted(r["id"] for r in some.collect()) == list(range(16, 44))
+    assert "chunk_folder#" in some._jdf.queryExecution().executedPlan().toString()
     runs.write_metadata(spark, folder, {"model": "m", "chunk_size": 4, "schema": {"a": 1}})
     row = runs.run_log(spark, folder).first()
     assert (row["model"], row["chunk_size"], row["schema"]) == ("m", 4, '{"a": 1}')
