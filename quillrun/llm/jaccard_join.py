@@ -195,7 +195,9 @@ def _linked_sets(docs: DataFrame, census: DataFrame, width: int) -> tuple[DataFr
 def _candidate_groups(sets: DataFrame, percent: int) -> DataFrame:
     """``sid``, ``g``: sets that share an indexed shingle, directly or by a chain, have the same g."""
     entries = sets.select("sid", "n", F.explode("shingles").alias("token"))
-    counts = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # counts and heads are written, so that joins deal both sides out anew and can split a shingle
+    # that a third of all sets has
+    counts = materialise(entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "counts")
     ranked = (entries.join(counts, "token").groupBy("sid", "n")
               .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")))
     # shingles that no other set has come first in the order and match nothing
@@ -203,8 +205,9 @@ def _candidate_groups(sets: DataFrame, percent: int) -> DataFrame:
     index = materialise(
         ranked.select("sid", F.explode(F.slice("tokens", F.lit(1), F.greatest(length, F.lit(0)))).alias("t"))
         .select("sid", F.col("t.token").alias("token")), "index")
-    heads = index.groupBy("token").agg(F.min("sid").alias("head"), F.count("*").alias("n")).where("n > 1")
-    edges = index.join(heads.select("token", "head"), "token").where("sid <> head").select(
+    heads = materialise(index.groupBy("token").agg(F.min("sid").alias("head"), F.count("*").alias("n"))
+                        .where("n > 1").drop("n"), "heads")
+    edges = index.join(heads, "token").where("sid <> head").select(
         F.col("sid").alias("a"), F.col("head").alias("b"))
     return components(edges).select(F.col("node").alias("sid"), F.col("label").alias("g"))
 
@@ -319,7 +322,7 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(size // BYTES_PER_RANGE).bit_length())
-    census = materialise(docs.mapInArrow(_census(width, percent, bits), CENSUS), "census", ("kind",))
+    census = materialise(docs.mapInArrow(_census(width, percent, bits), CENSUS), "census")
     classes, sets = _linked_sets(docs, census, width)
     labels = components(_verified(sets, _candidate_groups(sets, percent), percent))
     known = sets.select("sid", *KEY).join(labels.select(F.col("node").alias("sid"), "label"), "sid")

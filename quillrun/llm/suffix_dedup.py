@@ -222,7 +222,8 @@ def removed_stretches(docs: DataFrame) -> DataFrame:
     whole = contexts.where("n > 1").select("hash", "ctx", F.lit(None).cast("long").alias("lo"),
                                            F.lit(None).cast("long").alias("hi"))
     mixed = contexts.where("mixed")
-    sizes = mixed.groupBy("hash").agg(F.count("*").alias("n"))
+    # written, so that the join deals both sides out anew and can split an anchor with many contexts
+    sizes = materialise(mixed.groupBy("hash").agg(F.count("*").alias("n")), "sizes")
     asked = materialise(
         mixed.select("hash", "ctx", "one.*").join(sizes, "hash").groupBy(*TEXT)
         .agg(F.collect_list(F.struct("hash", "ctx", "at", "s0", "s1", "n")).alias("asked"))
