@@ -37,14 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrun.llm import bitmaps, words
+from quillrun.llm.arrow_batches import batches_of
 from quillrun.llm.components import components
 from quillrun.session import materialise
 
 WIDTH, PERCENT = 5, 75
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 18
 SETS_PER_PACK = 1 << 15
-TOKENS_PER_PACK = 1 << 21
+TOKENS_PER_PACK = 1 << 20
 BYTES_PER_RANGE = 16 << 20   # text per hash range of the census
+TEXTS_PER_BATCH = 1000
 SMALL_SET = 64               # sets up to this size send all their shingles
 CELL = 1024
 
@@ -118,6 +120,7 @@ def _census(width: int, percent: int, bits: int):
                 if len(sent) >= SETS_PER_PACK or tokens >= TOKENS_PER_PACK or len(rows) >= 4 * SETS_PER_PACK:
                     yield from flush()
         yield from flush()
+        pa.default_memory_pool().release_unused()  # workers stay for the next stages
 
     return run
 
@@ -185,11 +188,13 @@ def _linked_sets(docs: DataFrame, census: DataFrame, width: int) -> tuple[DataFr
                 [pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64()),
                  pa.array([len(s) for s in sets], pa.int32()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=[*KEY, "shingles"])
+        pa.default_memory_pool().release_unused()
 
     sets = (found.mapInArrow(build, "sum1 long, sum2 long, n int, shingles array<long>")
             .groupBy(*KEY).agg(F.first("shingles").alias("shingles"))
             .withColumn("sid", F.monotonically_increasing_id()))
-    return classes, materialise(sets, "sets")
+    with batches_of(docs.sparkSession, TEXTS_PER_BATCH):
+        return classes, materialise(sets, "sets")
 
 
 def _candidate_groups(sets: DataFrame, percent: int) -> DataFrame:
@@ -322,7 +327,8 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(size // BYTES_PER_RANGE).bit_length())
-    census = materialise(docs.mapInArrow(_census(width, percent, bits), CENSUS), "census")
+    with batches_of(docs.sparkSession, TEXTS_PER_BATCH):
+        census = materialise(docs.mapInArrow(_census(width, percent, bits), CENSUS), "census")
     classes, sets = _linked_sets(docs, census, width)
     labels = components(_verified(sets, _candidate_groups(sets, percent), percent))
     known = sets.select("sid", *KEY).join(labels.select(F.col("node").alias("sid"), "label"), "sid")

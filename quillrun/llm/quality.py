@@ -35,6 +35,7 @@ SAMPLE_ROWS = 8000
 FEATURE_BUDGET = 1 << 25
 ROUNDS = 12
 FOLDS = 4
+BYTES_AT_ONCE = 1 << 18
 
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[48:58] = 1   # digits
@@ -81,7 +82,7 @@ def indicators(column: pa.Array) -> Iterator[np.ndarray]:
     """For each text the sorted cells of its n-grams."""
     data, offsets = words.text_bytes(column)
     seen = np.zeros(CELLS, dtype=bool)
-    for a, b in words.cut(offsets, 1 << 21):
+    for a, b in words.cut(offsets, BYTES_AT_ONCE):
         part, at = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
         wide = part.astype(np.uint32)
         grams = np.zeros(max(0, len(part) - 2), dtype=np.uint32)

@@ -38,9 +38,15 @@ def powers(count: int, _cache: list = [np.ones(1, dtype=np.uint64)]) -> np.ndarr
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a column of texts, and where each text starts (one more than texts). Null: empty."""
-    column = pc.fill_null(column, "").cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    """All bytes of a column of texts (not copied), and where each text starts (one more than texts).
+    Null: empty."""
+    if column.null_count:
+        column = pc.fill_null(column, "")
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], dtype=width)[column.offset:column.offset + len(column) + 1]
+    offsets = offsets.astype(np.int64)
     data = column.buffers()[2]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
