@@ -10,7 +10,8 @@ the later ones cover are deleted.
 
 Rounds work on narrow tables of positions that are still repeated, each written, so a lost executor
 repeats one round. Intervals are found by aggregates that combine before the shuffle; a line that a
-third of all texts holds is only ever a key of those and of joins that can be split.
+third of all texts holds is only ever a key of those and of joins that can be split. Both sides of
+these joins grow with the table, so neither is broadcast.
 
 Defined cases: lines end at ``\\n``; a null or empty text is one empty line; runs never cross texts;
 runs are judged on the input, so copies that overlap within a run of equal lines leave what comes
@@ -39,7 +40,7 @@ def _ranked(pairs: DataFrame, key: list[str], label: str) -> DataFrame:
                             .where("n > 1").drop("n").withColumn("name", F.xxhash64(*key)), label)
     test, cells = bitmaps.filter_of(intervals, "name", intervals.count(), label)
     maybe = bitmaps.with_test(pairs, F.xxhash64(*key), test, cells, "maybe").where("maybe").drop("maybe")
-    return materialise(maybe.join(intervals.drop("name"), key).drop(*key), label)
+    return materialise(maybe.hint("merge").join(intervals.drop("name"), key).drop(*key), label)
 
 
 def repeated_windows(lines: DataFrame, min_lines: int) -> DataFrame:
@@ -50,7 +51,7 @@ def repeated_windows(lines: DataFrame, min_lines: int) -> DataFrame:
         step = min(reach, min_lines - reach)
         ahead = level.select((F.col("at") - step).alias("at"), F.col("row").alias("row_"),
                              F.col("rank").alias("next"))
-        pairs = materialise(level.join(ahead, "at").where("row = row_").drop("row_"), "pairs")
+        pairs = materialise(level.hint("merge").join(ahead, "at").where("row = row_").drop("row_"), "pairs")
         level = _ranked(pairs.withColumnRenamed("rank", "this"), ["this", "next"], "level")
         reach += step
     return level
@@ -70,7 +71,7 @@ def deleted_lines(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "do
                 F.xxhash64("words").alias("line"), F.monotonically_increasing_id().alias("at")), "lines")
     windows = repeated_windows(lines, min_lines)
     firsts = materialise(windows.groupBy("rank").agg(F.min("place").alias("first")), "firsts")
-    later = windows.join(firsts, "rank").where("place <> first")
+    later = windows.hint("merge").join(firsts, "rank").where("place <> first")
     covered = later.select("row", F.explode(F.sequence(
         F.col("place.line_no"), F.col("place.line_no") + (min_lines - 1))).alias("line_no")).distinct()
     return rows, materialise(covered, "covered")
@@ -88,7 +89,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_
         "id", "text", F.size(F.split("text", "\n")).alias("n_lines"), F.lit(0).alias("n_removed"),
         F.lit(0).alias("n_runs"))
     lines = (tested.where("maybe").select("row", "id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-             .join(covered.withColumn("gone", F.lit(True)), ["row", "line_no"], "left"))
+             .hint("merge").join(covered.withColumn("gone", F.lit(True)), ["row", "line_no"], "left"))
     cut = lines.groupBy("row", "id").agg(
         F.sort_array(F.collect_list(F.struct("line_no", "line", F.coalesce("gone", F.lit(False)).alias("gone"))))
         .alias("lines"))
