@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillrun.session import materialise
+
 # \z and not $: in Java a $ also matches before a trailing newline.
 MESSAGES_ID = r"^[a-zA-Z0-9_-]{1,64}\z"
 EXAMPLES = 3
@@ -17,7 +19,7 @@ def duplicate_ids(df: DataFrame, id: str) -> DataFrame:
 
 def duplicate_report(df: DataFrame, id: str, examples: int = EXAMPLES) -> DataFrame:
     """The first few duplicated ids and, on each row, how many there are in all."""
-    found = duplicate_ids(df, id)
+    found = materialise(duplicate_ids(df, id), "duplicates")  # one scan and count for both
     shown = found.orderBy(id).limit(examples)
     return shown.withColumn("n_duplicates", found.agg(F.count(F.lit(1))).scalar())
 

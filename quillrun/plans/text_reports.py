@@ -13,6 +13,7 @@ from quillrun.operators.results import parse_lines
 from quillrun.plans import answers as an
 from quillrun.plans.parsing import SIZE, wide_sql
 from quillrun.plans.registry import query, table
+from quillrun.session import materialise
 
 # --- filters -----------------------------------------------------------------------------------
 
@@ -27,7 +28,7 @@ SELECT CASE WHEN doc_id % 10 = 6 THEN '__PARSE_ERROR_LINE_' || (doc_id + 1)
   ELSE CAST(doc_id AS VARCHAR) END AS custom_id,
   CASE WHEN doc_id % 10 IN (3, 5, 6) THEN 'failed' ELSE 'succeeded' END AS outcome FROM documents""")
 def successes_and_failures(spark, sf_dir):
-    results = answered(spark, sf_dir)
+    results = materialise(answered(spark, sf_dir), "answered")  # read and parsed once for both
     kept = results.where(~F.col("error")).select("custom_id", F.lit("succeeded").alias("outcome"))
     lost = results.where("error").select("custom_id", F.lit("failed").alias("outcome"))
     return joining.bind_rows(kept, lost)
