@@ -6,19 +6,21 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillrun.functions.vectors import as_doubles, finite
-from quillrun.session import fresh_dir, materialise
+from quillrun.session import materialise
 
-# A block of query vectors is broadcast; a larger query set is searched block by block.
+# A block of query vectors is broadcast; a larger query set is cut into blocks of this size.
 QUERY_BLOCK_BYTES = 16_000_000
 QUERY_OVERHEAD = 64
 SCORES_AT_ONCE = 4_000_000
 SCORE_DIGITS = 9
+SLICE_ROWS = 16_384
 
 
 def matrix(vectors: pa.Array, size: int) -> np.ndarray:
@@ -120,8 +122,8 @@ def semantic_search(queries: DataFrame, corpus: DataFrame, k: int = 5, id: str =
     """The ``k`` corpus vectors nearest to each query by cosine, ties to the lowest id.
 
     The corpus is read in place, scored a batch at a time against a block of query vectors, and
-    each task passes on only its own best ``k`` per query. Query sets above ``block_bytes`` are
-    stored and cut into blocks, one pass over the corpus each. A corpus row without a vector is left
+    each task passes on only its own best ``k`` per query. Query sets above ``block_bytes`` meet the
+    corpus, which is still read once, in cells of a block of them and a slice of it. A corpus row without a vector is left
     out; one of another size, or with a NULL, NaN or infinite part, raises, or is left out with
     ``on_odd="leave_out"`` (``odd_vectors`` lists them). Such a query always raises.
     """
@@ -146,14 +148,51 @@ def semantic_search(queries: DataFrame, corpus: DataFrame, k: int = 5, id: str =
     blocks = math.ceil(total * (size * 8 + QUERY_OVERHEAD) / block_bytes)
     if blocks <= 1:
         return _search_block(corpus, vectors.collect(), size, k, id, vector, query_field)
-    # stored with a block that has nothing to do with the id, so that repeated ids spread too;
-    # twice the blocks, so that uneven hashing still keeps each under the bound
-    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2 * blocks))
-    vectors = materialise(vectors.withColumn("__block", block), "queries", ("__block",))
-    path = fresh_dir(spark, "search")
-    for number in range(2 * blocks):
-        part = vectors.where(F.col("__block") == number).drop("__block").collect()
-        if part:
-            _search_block(corpus, part, size, k, id, vector, query_field) \
-                .write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    return _search_cells(corpus, vectors, size, k, id, vector, query_field, blocks)
+
+
+def _search_cells(corpus: DataFrame, vectors: DataFrame, size: int, k: int, id: str, vector: str,
+                  query_field: T.StructField, blocks: int) -> DataFrame:
+    """Many queries: the corpus is read once and cut into slices, the queries into blocks; both are
+    packed, one row each, and every block goes to every slice. A slice keeps ``k`` rows a query."""
+    query_id, spark = query_field.name, corpus.sparkSession
+    # a block has nothing to do with the id, so that repeated ids spread too
+    numbered = materialise(vectors.withColumn("query_no", F.monotonically_increasing_id()), "queries")
+    rows = corpus.select(id, as_doubles(F.col(vector)).alias(vector))
+    slices = max(1, -(-corpus.count() // SLICE_ROWS))
+
+    def pack(frame: pd.DataFrame, group: str, names: list[str], numbers: str) -> pd.DataFrame:
+        units = unit_rows(np.array(frame[numbers].tolist(), dtype=float).reshape(-1, size))
+        return pd.DataFrame([{group: frame[group].iloc[0], **{f"{n}s": frame[n].tolist() for n in names},
+                              f"{group}_units": units.tobytes()}])
+
+    id_type, query_type = (x.simpleString() for x in (corpus.schema[id].dataType, query_field.dataType))
+    sliced = rows.withColumn("slice", F.pmod(F.xxhash64(id, vector), F.lit(slices))).groupBy("slice") \
+        .applyInPandas(lambda f: pack(f, "slice", [id], vector),
+                       f"slice long, `{id}s` array<{id_type}>, slice_units binary")
+    packed = numbered.withColumn("block", F.pmod(F.xxhash64("query_no"), F.lit(blocks))).groupBy("block") \
+        .applyInPandas(lambda f: pack(f, "block", ["query_no", query_id], "__q"),
+                       f"block long, query_nos array<long>, `{query_id}s` array<{query_type}>, "
+                       "block_units binary")
+    every = packed.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                            F.lit(slices - 1).cast("long"))))
+
+    def search(frame: pd.DataFrame) -> pd.DataFrame:
+        cell = frame.iloc[0]
+        ids = np.array(cell[f"{id}s"])
+        units = np.frombuffer(cell["slice_units"]).reshape(-1, size)
+        targets = np.frombuffer(cell["block_units"]).reshape(-1, size)
+        usable = np.linalg.norm(units, axis=1) > 0  # a zero vector is near nothing
+        ids, units = ids[usable], units[usable]
+        found = []
+        for number, name, target in zip(cell["query_nos"], cell[f"{query_id}s"], targets):
+            scores = np.round(units @ target, SCORE_DIGITS)
+            top = best(scores, ids, k)
+            found.append(pd.DataFrame({"query_no": number, query_id: name, id: ids[top], "score": scores[top]}))
+        return pd.concat(found)
+
+    cells = sliced.hint("merge").join(every, "slice").groupBy("slice", "block").applyInPandas(
+        search, f"query_no long, `{query_id}` {query_type}, `{id}` {id_type}, score double")
+    ranked = Window.partitionBy("query_no").orderBy(F.desc("score"), id)
+    return cells.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k) \
+        .select(query_id, "rank", id, "score")
