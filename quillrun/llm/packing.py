@@ -42,7 +42,8 @@ class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes.
 
     With a file of merge ranks of the same vocabulary, texts go through the faster reader of such
-    files; a text that holds a special token's string always goes through ``tokenizers`` itself.
+    files; a text that holds a special token's string always goes through ``tokenizers`` itself, and
+    so does one that the faster reader fails on (it panics on a million blanks in a row).
     """
 
     def __init__(self, path: str, ranks: str | None, pattern: str | None):
@@ -61,7 +62,12 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         if self.plain is not None and not any(s in text for s in self.special):
-            return array("I", self.plain.encode_ordinary(text)).tobytes()
+            try:
+                return array("I", self.plain.encode_ordinary(text)).tobytes()
+            except (KeyboardInterrupt, SystemExit, GeneratorExit):
+                raise
+            except BaseException:  # a panic is no Exception
+                pass
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 

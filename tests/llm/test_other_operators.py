@@ -92,6 +92,19 @@ def test_packing_is_a_round_trip(spark, texts):
     assert len(room) == -(-total // 2048)
 
 
+def test_packing_of_millions_of_blanks(spark):
+    files = [public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")]
+    tokenizer = Tokenizer.from_file(files[0])
+    texts = [" " * 2_000_000, "a" + "\n" * 1_500_000, " \t" * 600_000 + "z", "one  two"]
+    encode = packing.Encoder(*files, public_tokenizers.PATTERN)
+    wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(encode(t), "<u4").tolist() for t in texts] == wanted
+    pieces = pack(frame(spark, list(enumerate(texts)))).collect()
+    for i, ids in enumerate(wanted):
+        own = [p for p in pieces if p.doc_id == i]
+        assert sum(p.length for p in own) == len(ids) + 1 == own[0].doc_tokens
+
+
 def test_packing_goes_to_the_cheapest_sequence_with_room():
     pieces = packing.assign(np.array([60, 50, 40, 30, 20]), 100, 1.0, 0.01)
     # 60 | 50, then 40 and 30 go to the cheaper one with room; 20 fits neither whole and is cut
