@@ -32,7 +32,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix_sources(docs, margins(), BUDGET, SEED)
+    return mix_sources(docs, margins(), BUDGET, SEED, whole=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

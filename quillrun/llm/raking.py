@@ -9,9 +9,14 @@ Categories are those that the targets name, one for all other names and one for
 cells has at most the product of the margins' sizes plus two each (checked against ``MAX_CELLS``)
 whatever the data; it is broadcast and raked as one row.
 
-Defined cases: a category without documents leaves its share to the margin's others; other names and
-nulls get the share that the targets leave over, or none if there is none; a null text has no tokens
-and probability zero; copies with the same id and text are drawn together; an empty table gives an
+With ``whole``, names that no target lists and nulls keep the share of tokens that they have, and the
+named categories share the rest in proportion to their targets; so nothing with words in a named or
+unnamed category of positive target has probability zero. Without it (the law of op5's SQL) they get
+what the targets leave over.
+
+Defined cases: a category without documents leaves its share to the margin's others; without ``whole``, other
+names and nulls get the share that the targets leave over, or none if there is none; a null text has no
+tokens and probability zero; copies with the same id and text are drawn together; an empty table gives an
 empty result. A cell whose budget exceeds its tokens is taken whole.
 """
 
@@ -19,7 +24,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from quillrun.session import materialise
@@ -63,12 +68,26 @@ def _rake(names: list[str], targets: list[dict[str, float]], sweeps: int) -> str
             f"transform(array({steps}), w -> {unit})[0])")
 
 
+def _check_size(targets: list[dict[str, float]]) -> None:
+    most = math.prod(len({*t, OTHER, NONE}) for t in targets)
+    if most > MAX_CELLS:
+        raise ValueError(f"the targets span {most} cells, more than {MAX_CELLS}")
+
+
+def with_unnamed(cells: list[Row], name: str, target: dict[str, float]) -> dict[str, float]:
+    """``target`` with the share of tokens that other names and nulls have, the rest scaled to fit."""
+    total = sum(c["tokens"] for c in cells)
+    own = {k: sum(c["tokens"] for c in cells if c[name] == k) / total if total else 0.0
+           for k in (OTHER, NONE)}
+    named = sum(target.values())
+    scale = (1.0 - sum(own.values())) / named if named else 0.0
+    return {**{k: v * scale for k, v in target.items()}, **own}
+
+
 def raked_cells(cells: DataFrame, names: list[str], targets: list[dict[str, float]],
                 sweeps: int = SWEEPS) -> DataFrame:
     """``cells`` (categories and ``tokens``) with ``share``: the raked share of tokens, summing to 1."""
-    most = math.prod(len(t) + 2 for t in targets)
-    if most > MAX_CELLS:
-        raise ValueError(f"the targets span {most} cells, more than {MAX_CELLS}")
+    _check_size(targets)
     lists = cells.agg(F.sort_array(F.collect_list(F.struct(*names, F.col("tokens").cast("double")
                                                            .alias("tokens")))).alias("cells"))
     arrays = lists.select("cells", *[F.col(f"cells.{n}").alias(n) for n in [*names, "tokens"]])
@@ -86,7 +105,8 @@ def drawn(id_col: str, text_col: str, seed: int) -> Column:
 
 
 def calibrated(docs: DataFrame, margins: dict[str, tuple[Column, dict[str, float]]], budget: float,
-               seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
+               whole: bool = False) -> DataFrame:
     """``row`` (the whole document), its categories, ``tokens``, ``probability``, ``drawn``, ``kept``.
 
     ``margins`` maps a name to a column and its target shares; ``budget`` is the share of all tokens
@@ -99,6 +119,11 @@ def calibrated(docs: DataFrame, margins: dict[str, tuple[Column, dict[str, float
         *[_category(c, t).alias(n) for n, (c, t) in zip(names, margins.values())],
         token_count(F.col(text_col)).alias("tokens"), drawn(id_col, text_col, seed).alias("drawn"))
     cells = rows.groupBy(*names).agg(F.sum("tokens").alias("tokens"))
+    if whole:
+        _check_size(targets)
+        cells = materialise(cells, "cells")
+        found = cells.collect()
+        targets = [with_unnamed(found, n, t) for n, t in zip(names, targets)]
     shares = materialise(raked_cells(cells, names, targets), "raked")
     total = shares.agg(F.sum("tokens")).first()[0] or 0.0
     chance = F.when(F.col("cell_tokens") > 0, F.least(
@@ -110,6 +135,7 @@ def calibrated(docs: DataFrame, margins: dict[str, tuple[Column, dict[str, float
 
 
 def mix_sources(docs: DataFrame, margins: dict[str, tuple[Column, dict[str, float]]], budget: float,
-                seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
+                whole: bool = False) -> DataFrame:
     """The documents drawn, all columns as they were."""
-    return calibrated(docs, margins, budget, seed, id_col, text_col).where("kept").select("row.*")
+    return calibrated(docs, margins, budget, seed, id_col, text_col, whole).where("kept").select("row.*")

@@ -11,6 +11,7 @@ from conftest import frame, prose
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from quillrun.llm import packing, pivot_search
 from quillrun.llm.chat_format import rotate_perspectives
 from quillrun.llm.hilbert_shards import by_name, by_size, hilbert_index, hilbert_shards, shard_ranges
@@ -219,6 +220,18 @@ def test_mixture(spark, texts, docs):
                            "b": (F.col("source"), {str(i): 0.001 for i in range(200)})}, 0.4)
 
 
+def test_the_pipeline_draws_from_categories_that_no_target_names(spark, sf_dir):
+    rows = [(i, prose(i, 40), lang, source, 0) for i, (lang, source) in enumerate(
+        [("en", "src0"), ("it", "src1"), (None, "web"), ("de", None)] * 100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {}
+    for r in corpus_pipeline.mixture(spark, df, sf_dir).collect():
+        kept[r.lang] = kept.get(r.lang, 0) + 1
+    assert set(kept) == {"en", "it", None, "de"} and 150 < sum(kept.values()) < 250
+    fifth = corpus_pipeline.mixture(spark, df.where("lang = 'it'"), sf_dir).count()
+    assert 30 < fifth < 70
+
+
 def test_classifier_on_rows_it_has_not_seen(spark, sf_dir):
     docs = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet")
     labels = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/labels.parquet")
