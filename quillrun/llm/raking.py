@@ -9,7 +9,13 @@ Categories are those that the targets name, one for all other names and one for
 cells has at most the product of the margins' sizes plus two each (checked against ``MAX_CELLS``)
 whatever the data; it is broadcast and raked as one row.
 
-With ``whole``, names that no target lists and nulls keep the share of tokens that they have, and the
+With ``whole``, the raking is bounded: no cell gets more than its tokens, and what a full cell can't
+supply goes to the margin's other cells. Each step multiplies a category's cells by the factor at which
+they, cut at their tokens, sum to its goal; steps go on until no cell changes (``MAX_SWEEPS`` at most).
+The few cells come to the driver for it. Goals that no weights reach, alone or together, are named in a
+warning and in ``margin_report``; what a margin's full categories can't supply goes to its others.
+
+With ``whole`` also, names that no target lists and nulls keep the share of tokens that they have, and the
 named categories share the rest in proportion to their targets; so nothing with words in a named or
 unnamed category of positive target has probability zero. Without it (the law of op5's SQL) they get
 what the targets leave over.
@@ -22,8 +28,11 @@ empty result. A cell whose budget exceeds its tokens is taken whole.
 
 from __future__ import annotations
 
+import json
 import math
+import warnings
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -31,6 +40,9 @@ from quillrun.session import materialise
 
 MAX_CELLS = 10_000
 SWEEPS = 25
+MAX_SWEEPS = 2_000
+SETTLED = 1e-9       # of the tokens drawn
+REACHED = 1e-4       # as a share
 OTHER, NONE = "(other)", "(none)"
 
 
@@ -84,6 +96,106 @@ def with_unnamed(cells: list[Row], name: str, target: dict[str, float]) -> dict[
     return {**{k: v * scale for k, v in target.items()}, **own}
 
 
+def _filled(caps: np.ndarray, target: np.ndarray, budget: float) -> np.ndarray:
+    """Goals in the ratio of ``target`` that sum to ``budget``, none above its cap."""
+    goal, open_ = np.zeros(len(caps)), (target > 0) & (caps > 0)
+    left = budget
+    while open_.any() and left > 0:
+        share = left * target / target[open_].sum()
+        full = open_ & (share >= caps)
+        if not full.any():
+            goal[open_] = share[open_]
+            break
+        goal[full] = caps[full]
+        left -= caps[full].sum()
+        open_ &= ~full
+    return goal
+
+
+def _factor(x: np.ndarray, caps: np.ndarray, goal: float) -> float:
+    """The factor at which ``min(caps, factor * x)`` sums to ``goal``."""
+    at = caps / x
+    order = np.argsort(at)
+    at, x, caps = at[order], x[order], caps[order]
+    full = np.concatenate([[0.0], np.cumsum(caps)])      # by number of cells that are full
+    rest = np.concatenate([np.cumsum(x[::-1])[::-1], [0.0]])
+    reached = full[:-1] + rest[:-1] * at                 # the sum when the next cell fills up
+    k = int(np.searchsorted(reached, goal * (1 - 1e-13)))
+    return float(at[-1]) if k == len(x) else (goal - full[k]) / float(rest[k])
+
+
+def bounded_chances(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray],
+                    budget: float) -> np.ndarray:
+    """Probability per cell. ``codes`` hold each margin's category per cell, ``targets`` its shares."""
+    live = tokens > 0
+    for code, target in zip(codes, targets):
+        live &= target[code] > 0
+    goals = [_filled(np.bincount(c[live], tokens[live], len(t)), t, budget) for c, t in zip(codes, targets)]
+    members = [[np.flatnonzero(live & (code == j)) for j in range(len(goal))] for code, goal in zip(codes, goals)]
+    x, drawn = np.where(live, tokens, 0.0), np.zeros(len(tokens))
+    for _ in range(MAX_SWEEPS):
+        for lists, goal in zip(members, goals):
+            for j, cells in enumerate(lists):
+                if len(cells):
+                    scaled = x[cells] * _factor(x[cells], tokens[cells], goal[j])
+                    # kept in range where goals contradict each other
+                    x[cells] = np.clip(scaled, tokens[cells] * 1e-100, tokens[cells] * 1e100)
+        before, drawn = drawn, np.minimum(tokens, x)
+        if np.abs(drawn - before).max(initial=0.0) <= SETTLED * budget:
+            break
+    chance = np.divide(drawn, tokens, out=np.zeros(len(tokens)), where=live)
+    return np.where(chance > 1 - 1e-9, 1.0, chance)
+
+
+def _bounded(cells: DataFrame, names: list[str], targets: list[dict[str, float]], budget: float
+             ) -> tuple[list[Row], np.ndarray, list[tuple[str, str, float, float]]]:
+    """Cells, their probabilities, and (margin, category, share wanted, share reached)."""
+    _check_size(targets)
+    found = sorted(cells.collect(), key=lambda r: tuple(r[n] for n in names))
+    tokens = np.array([r["tokens"] or 0 for r in found], dtype=float)
+    whole = [with_unnamed(found, n, t) for n, t in zip(names, targets)]
+    kinds = [list(t) for t in whole]
+    codes = [np.array([k.index(r[n]) for r in found], dtype=np.int64) for n, k in zip(names, kinds)]
+    chances = bounded_chances(tokens, codes, [np.array(list(t.values())) for t in whole], budget * tokens.sum())
+    drawn = tokens * chances
+    total = budget * tokens.sum() or 1.0
+    report = [(n, k, share, float(s) / total) for n, c, t in zip(names, codes, whole)
+              for (k, share), s in zip(t.items(), np.bincount(c, drawn, len(t)))]
+    return found, chances, report
+
+
+def _missed(report: list[tuple[str, str, float, float]]) -> list[tuple[str, str, float, float]]:
+    return [r for r in report if abs(r[2] - r[3]) > REACHED]
+
+
+def margin_report(docs: DataFrame, margins: dict[str, tuple[Column, dict[str, float]]], budget: float,
+                  text_col: str = "text") -> DataFrame:
+    """``margin``, ``category``, ``wanted`` and ``expected`` shares of the token budget with ``whole``,
+    and ``reached``: false where no weights within the cells' tokens meet all goals."""
+    names = [f"margin_{m}" for m in margins]
+    targets = [t for _, t in margins.values()]
+    cells = docs.select(*[_category(c, t).alias(n) for n, (c, t) in zip(names, margins.values())],
+                        token_count(F.col(text_col)).alias("tokens")).groupBy(*names).agg(
+        F.sum("tokens").alias("tokens"))
+    report = _bounded(cells, names, targets, budget)[2]
+    missed = {r[:2] for r in _missed(report)}
+    return docs.sparkSession.createDataFrame(
+        [(n.removeprefix("margin_"), k, float(w), float(e), (n, k) not in missed) for n, k, w, e in report],
+        "margin string, category string, wanted double, expected double, reached boolean")
+
+
+def _chances(cells: DataFrame, names: list[str], targets: list[dict[str, float]], budget: float) -> DataFrame:
+    """The cells' categories and ``chance``, as a constant of the plan."""
+    found, chances, report = _bounded(cells, names, targets, budget)
+    if found and (missed := [r for r in _missed(report) if r[3] < r[2]]):
+        warnings.warn("mixing goals not reached: " + ", ".join(
+            f"{n.removeprefix('margin_')} {k} {e:.4f} of {w:.4f}" for n, k, w, e in missed), stacklevel=2)
+    rows = json.dumps([{**{n: r[n] for n in names}, "chance": float(p)} for r, p in zip(found, chances)])
+    shape = "array<struct<" + ", ".join([*[f"`{n}`: string" for n in names], "chance: double"]) + ">>"
+    return cells.sparkSession.range(1, numPartitions=1).select(
+        F.explode(F.from_json(F.lit(rows), shape)).alias("c")).select("c.*")
+
+
 def raked_cells(cells: DataFrame, names: list[str], targets: list[dict[str, float]],
                 sweeps: int = SWEEPS) -> DataFrame:
     """``cells`` (categories and ``tokens``) with ``share``: the raked share of tokens, summing to 1."""
@@ -120,15 +232,14 @@ def calibrated(docs: DataFrame, margins: dict[str, tuple[Column, dict[str, float
         token_count(F.col(text_col)).alias("tokens"), drawn(id_col, text_col, seed).alias("drawn"))
     cells = rows.groupBy(*names).agg(F.sum("tokens").alias("tokens"))
     if whole:
-        _check_size(targets)
-        cells = materialise(cells, "cells")
-        found = cells.collect()
-        targets = [with_unnamed(found, n, t) for n, t in zip(names, targets)]
-    shares = materialise(raked_cells(cells, names, targets), "raked")
-    total = shares.agg(F.sum("tokens")).first()[0] or 0.0
-    chance = F.when(F.col("cell_tokens") > 0, F.least(
-        F.lit(1.0), F.col("share") * F.lit(budget * total) / F.col("cell_tokens"))).otherwise(0.0)
-    placed = rows.join(F.broadcast(shares.withColumnRenamed("tokens", "cell_tokens")), names)
+        placed = rows.join(F.broadcast(_chances(cells, names, targets, budget)), names)
+        chance = F.col("chance")
+    else:
+        shares = materialise(raked_cells(cells, names, targets), "raked")
+        total = shares.agg(F.sum("tokens")).first()[0] or 0.0
+        chance = F.when(F.col("cell_tokens") > 0, F.least(
+            F.lit(1.0), F.col("share") * F.lit(budget * total) / F.col("cell_tokens"))).otherwise(0.0)
+        placed = rows.join(F.broadcast(shares.withColumnRenamed("tokens", "cell_tokens")), names)
     return (placed.withColumn("probability", F.when(F.col("tokens") > 0, chance).otherwise(0.0))
             .withColumn("kept", F.col("drawn") < F.col("probability"))
             .select("row", *names, "tokens", "probability", "drawn", "kept"))

@@ -17,7 +17,7 @@ from quillrun.llm.chat_format import rotate_perspectives
 from quillrun.llm.hilbert_shards import by_name, by_size, hilbert_index, hilbert_shards, shard_ranges
 from quillrun.llm.model_queries import pack
 from quillrun.llm.quality import fit_quality, fit_rows, indicators, keep_good, score_quality, scorer
-from quillrun.llm.raking import calibrated, mix_sources, raked_cells
+from quillrun.llm.raking import bounded_chances, calibrated, margin_report, mix_sources, raked_cells
 
 TALK = "conv_id long, turn long, role string, text string, part int, speaker int, assistant int"
 
@@ -220,6 +220,43 @@ def test_mixture(spark, texts, docs):
                            "b": (F.col("source"), {str(i): 0.001 for i in range(200)})}, 0.4)
 
 
+def test_bounded_raking_meets_its_margins():
+    pick = np.random.default_rng(4)
+    codes = [np.repeat(np.arange(4), 5), np.tile(np.arange(5), 4)]
+    tokens = pick.integers(50, 1000, 20).astype(float)
+    targets = [np.array([0.55, 0.15, 0.15, 0.15]), np.array([0.3, 0.3, 0.2, 0.1, 0.1])]
+    chances = bounded_chances(tokens, codes, targets, 0.5 * tokens.sum())
+    drawn = chances * tokens
+    assert (chances == 1).any() and chances.max() <= 1 and chances.min() > 0
+    assert abs(drawn.sum() - 0.5 * tokens.sum()) < 1e-6 * tokens.sum()
+    for code, target in zip(codes, targets):
+        assert np.allclose(np.bincount(code, drawn) / drawn.sum(), target, atol=1e-6)
+    # cells that are not full are products of one factor per category, as in plain raking
+    free = chances < 1
+    rows, cols = codes[0][free], codes[1][free]
+    design = np.zeros((free.sum(), 9))
+    design[np.arange(free.sum()), rows] = design[np.arange(free.sum()), 4 + cols] = 1
+    logs = np.log(chances[free])
+    fit = design @ np.linalg.lstsq(design, logs, rcond=None)[0]
+    assert free.sum() > 9 and np.allclose(fit, logs, atol=1e-4)
+
+
+def test_what_full_cells_lack_goes_to_others_and_missed_goals_are_named(spark, sf_dir):
+    rows = [(i, prose(i, 50), "en" if i % 10 else "de", "src0" if i % 4 == 0 else f"src{1 + i % 3}")
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    margins = {"source": (F.col("source"), {f"src{i}": 0.25 for i in range(4)}),
+               "lang": (F.col("lang"), {"en": 0.5, "de": 0.5})}
+    with pytest.warns(UserWarning, match="lang de 0.2000 of 0.5000"):
+        found = calibrated(df, margins, 0.5, whole=True).collect()
+    drawn = sum(r.probability * r.tokens for r in found)
+    assert abs(drawn - 0.5 * sum(r.tokens for r in found)) < 1e-6 * drawn
+    assert all(r.kept for r in found if r.row.lang == "de")
+    report = {(r.margin, r.category): r for r in margin_report(df, margins, 0.5).collect()}
+    assert not report["lang", "de"].reached and not report["lang", "en"].reached
+    assert all(report["source", f"src{i}"].reached for i in range(4))
+
+
 def test_the_pipeline_draws_from_categories_that_no_target_names(spark, sf_dir):
     rows = [(i, prose(i, 40), lang, source, 0) for i, (lang, source) in enumerate(
         [("en", "src0"), ("it", "src1"), (None, "web"), ("de", None)] * 100)]
