@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillrun.llm.exact_dedup import exact_dedup
-from quillrun.llm.jaccard_join import jaccard_classes, one_per_class
+from quillrun.llm.jaccard_join import one_row_per_class
 from quillrun.llm.mixing_query import BUDGET, SEED, margins
 from quillrun.llm.model_queries import learnt_quality, pack
 from quillrun.llm.quality import keep_good
@@ -28,7 +28,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return one_per_class(docs, jaccard_classes(docs))
+    return one_row_per_class(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,7 @@ CELL = 1024
 CENSUS = ("kind int, doc_id long, pack long, place int, n int, need int, sum1 long, sum2 long, "
           "hash_range int, hashes binary, places binary")
 KEY = ["sum1", "sum2", "n"]
+ROW_KEY = "__row_key"
 
 
 def least_overlap(n: np.ndarray | int, percent: int):
@@ -355,10 +356,36 @@ def one_per_class(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -
         classes.where("doc_id IS NOT NULL").groupBy("doc_id")
         .agg(F.min(F.col("doc_id") != F.col("component_id")).alias("gone")).where("gone")
         .select(F.col("doc_id").alias("id")), "gone")
+    return _without(docs, gone, id_col)
+
+
+def _without(docs: DataFrame, gone: DataFrame, key_col: str) -> DataFrame:
+    """``docs`` without the rows whose key is an ``id`` of ``gone``."""
     test, cells = bitmaps.filter_of(gone, "id", gone.count(), "gone-filter")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                         F.col(id_col).cast("long").alias("key"))
+                         F.col(key_col).cast("long").alias("key"))
     tested = bitmaps.with_test(packed, F.col("key"), test, cells, "maybe")
     sure = tested.where("NOT maybe OR key IS NULL").select("row")
     left = tested.where("maybe AND key IS NOT NULL").join(gone, F.col("key") == F.col("id"), "left_anti").select("row")
     return sure.unionByName(left).select("row.*")
+
+
+def one_row_per_class(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """One row of each class, that of the smallest id (null last), all columns as they were.
+
+    The rows are stored with a key of their own, which the join takes for their id; so rows without an
+    id, or with the id of others, are members of classes like all others. A text without words stays.
+    """
+    keyed = materialise(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed")
+    classes = materialise(
+        jaccard_classes(keyed, width, percent, ROW_KEY, text_col).where("n_shingles > 0")
+        .select(F.col("doc_id").alias("key"), F.col("component_id").alias("class")), "classes")
+    shared = materialise(classes.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "shared")
+    places = keyed.select(F.col(ROW_KEY).alias("key"), F.struct(
+        F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(ROW_KEY).alias("key")).alias("place"))
+    members = materialise(classes.hint("merge").join(shared, "class").hint("merge").join(places, "key"), "members")
+    firsts = materialise(members.groupBy("class").agg(F.min("place").alias("first")), "firsts")
+    gone = materialise(members.hint("merge").join(firsts, "class").where("place <> first")
+                       .select(F.col("key").alias("id")), "gone")
+    return _without(keyed, gone, ROW_KEY).drop(ROW_KEY)

@@ -9,6 +9,7 @@ import pytest
 from conftest import edited, frame, prose
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quillrun.llm import jaccard_join, suffix_dedup, words
 from quillrun.llm.components import components
 from quillrun.llm.exact_dedup import exact_dedup, exact_groups
@@ -79,6 +80,18 @@ def test_jaccard_with_null_and_repeated_ids(spark):
     assert kept.where("doc_id = 8").count() == 3
 
 
+def test_the_pipeline_keeps_one_row_of_each_class(spark, sf_dir):
+    base = prose(3, 60)
+    rows = [(None, base), (None, edited(base, 2, 1)), (8, edited(base, 1, 1)), (8, edited(base, 3, 1)), (8, "else"),
+            (8, "else"), (None, "other"), (None, "other"), (None, None), (2, ""), (2, "")]
+    df = frame(spark, rows)
+    kept = corpus_pipeline.near_copies(spark, df, sf_dir)
+    assert kept.columns == df.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert [x for x in found if x[1] and len(x[1]) > 9] in ([(8, rows[2][1])], [(8, rows[3][1])])
+    assert [x for x in found if not x[1] or len(x[1]) < 9] == [(2, ""), (2, ""), (8, "else"), (None, "other"), (None, None)]
+
+
 def test_cell_links_agree_with_pairs():
     pick = random.Random(4)
     base = list(range(200))
