@@ -86,3 +86,78 @@ def exact_groups(rows):
         groups.setdefault(re.sub(f"[{SPACE}]", "", text or ""), []).append((-len(text or ""), doc_id))
     return {doc_id: (min(members)[1], len(members), hashlib.sha256(key.encode()).hexdigest())
             for key, members in groups.items() for _, doc_id in members}
+
+
+def digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(fields):
+    return digest(*["-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields])
+
+
+def tree(nodes):
+    """Root of a list of digests, and the siblings of each, level by level."""
+    siblings = [[] for _ in nodes]
+    own = [[i] for i in range(len(nodes))]
+    while len(nodes) > 1:
+        grown, holders = [], []
+        for a in range(0, len(nodes), 8):
+            run = nodes[a:a + 8]
+            for j, members in enumerate(own[a:a + 8]):
+                for i in members:
+                    siblings[i].append((run[:j], run[j + 1:]))
+            grown.append(digest(*run))
+            holders.append([i for members in own[a:a + 8] for i in members])
+        nodes, own = grown, holders
+    return nodes[0] if nodes else None, siblings
+
+
+def manifest(rows, fields=lambda r: r):
+    """(group, leaf, subroot, root, siblings) per row number; a row is (id, group, fields)."""
+    groups = {}
+    for n, (doc_id, group, own) in enumerate(rows):
+        groups.setdefault(group, []).append(((doc_id is not None, doc_id or 0), leaf(own), n))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    found, tops = {}, []
+    for group in order:
+        members = sorted(groups[group])
+        top, siblings = tree([m[1] for m in members])
+        tops.append(top)
+        for (_, own, n), path in zip(members, siblings):
+            found[n] = [group, own, top, path]
+    root, over = tree(tops)
+    for n in found:
+        group, own, top, path = found[n]
+        found[n] = (group, own, top, root, path + over[order.index(group)])
+    return found
+
+
+def terms(text):
+    return re.findall("[0-9a-z\x80-\U0010ffff]+", lower(text))
+
+
+def ranked(items, docs, k=10):
+    """[(item_id, rank, doc_id, score)] of lists of (id, text)."""
+    import math
+    from collections import Counter
+
+    counts = [Counter(terms(t)) for _, t in docs]
+    sizes = [sum(c.values()) for c in counts]
+    n_docs, total = sum(1 for s in sizes if s), sum(sizes)
+    df = Counter(t for c in counts for t in c)
+    out = []
+    for item_id, text in items:
+        scores = []
+        for (doc_id, _), own, n in zip(docs, counts, sizes):
+            score = 0
+            for t in set(terms(text)):
+                if t in own:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    m = 10 + 90 * n * n_docs // total
+                    score += w * (1_000_000_000 * own[t] // (1000 * own[t] + 8 * m))
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0))
+        for rank, (score, none, doc_id) in enumerate(sorted(scores)[:k], 1):
+            out.append((item_id, rank, None if none else doc_id, -score))
+    return out
