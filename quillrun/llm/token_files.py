@@ -23,7 +23,7 @@ import re
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ WORDS_KEPT = 1 << 18
 # stand for bytes in its merges: printable ones for themselves, the others from U+0100 on.
 _LETTERS, _DIGITS = ("".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == kind)
                      for kind in "LN")
-PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}]+")
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\t-\r \x85\xa0]+")
 BYTE_LETTER = {b: 256 + n for n, b in enumerate(
     b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 ENCODINGS = {
@@ -52,46 +52,71 @@ ENCODINGS = {
 }
 
 
-class WordIds(dict):
-    """The ids of a word as little-endian unsigned 32-bit bytes; words that come again are kept.
+class Kept(dict):
+    """What ``find`` gives for a string, as little-endian unsigned 32-bit bytes; short strings that come
+    again are looked up. The last ``WORDS_KEPT`` strings stay until as many new ones have come."""
 
-    The vocabulary's rules never look past a blank or a line end, and drop both, so the ids of a text
-    are those of its words. A word of Latin letters, digits and marks is cut and put in lower case here
-    as the rules say and goes to the merges at once; any other goes through the tokenizer as a whole.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        super().__init__({"": b""})
-        self.before: dict[str, bytes] = {}  # kept until as many new words have come
-        self.tokenizer = Tokenizer.from_file(path)
-        self.merge = self.tokenizer.model.tokenize
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
+    def __init__(self, find: Callable[[str], list[int]]):
+        super().__init__()
+        self.find, self.before = find, {}
 
     def __missing__(self, word: str) -> bytes:
         found = self.before.get(word)
         if found is None:
-            found = array("I", self.ids(word)).tobytes()
+            found = array("I", self.find(word)).tobytes()
         if len(word) <= WORD_CHARS:
             if len(self) >= WORDS_KEPT:
                 self.before = dict(self)
                 self.clear()
-                self[""] = b""
             self[word] = found
         return found
 
-    def ids(self, word: str) -> list[int]:
-        if not word.isprintable() or max(word) > "\u00ff" or self.special.search(word):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        pieces = PIECES.findall(word.lower())
-        if not word.isascii():
-            pieces = [p.encode().decode("latin-1").translate(BYTE_LETTER) for p in pieces]
-        return [t.id for piece in pieces for t in self.merge(piece)]
+
+class WordIds:
+    """Ids of a text, piece by piece.
+
+    The vocabulary's rules put a text in lower case and cut it into runs of letters, digits and marks,
+    each of which is merged for itself; they never look past a blank. A text (or else a word) of Latin
+    letters is cut here as the rules say, any other word goes through the tokenizer as a whole, and so
+    does a text that holds a special token's string.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces, self.words = Kept(self._merged), Kept(self._encoded)
+
+    def _merged(self, piece: str) -> list[int]:
+        if not (piece.isascii() and piece.isprintable()):
+            piece = piece.encode().decode("latin-1").translate(BYTE_LETTER)
+        return [t.id for t in self.merge(piece)]
+
+    def _encoded(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _latin(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
 
     def of_text(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        if any(special in text for special in self.special):
+            return array("I", self._encoded(text)).tobytes()
+        if _is_latin(text):
+            return self._latin(text)
+        return b"".join(self._latin(word) if _is_latin(word) else self.words[word]
+                        for word in text.replace("\n", " ").split(" "))
+
+
+def _is_latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 _WORDS: dict[str, WordIds] = {}
