@@ -7,14 +7,15 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrun.operators.positions import (ROWS_PER_BUCKET, with_position, with_stored_numbers,
+from quillrun.operators.filling import filled, with_batch
+from quillrun.operators.positions import (ROWS_PER_BUCKET, arrangement, stored_totals, with_position,
                                           with_stored_position)
+from quillrun.session import materialise
 
 # What the providers accept in one batch.
 CHAT_BATCH_ROWS = 50_000
 MESSAGES_BATCH_ROWS = 100_000
 BATCH_FILE_BYTES = 200_000_000
-SHORT_SHARE = 0.125  # of a batch file: a longer line has a file of its own
 
 OrderBy = str | Sequence[str] | None
 
@@ -29,17 +30,30 @@ def piece_number(position: Column, size: int) -> Column:
     return F.floor((position - 1) / F.lit(size)) + 1
 
 
+def settled(df: DataFrame, order_by: OrderBy, fallback: OrderBy) -> tuple[DataFrame, OrderBy]:
+    """The rows and the columns that they are numbered by, None for the order they are stored in.
+
+    Without ``order_by`` a plain read of files keeps its stored order, however many files it has, and a
+    table that was sorted keeps that order: it is written once, which fixes it. Rows in no such order go
+    by ``fallback``, and are refused without one.
+    """
+    if order_by is not None:
+        return df, order_by
+    how = arrangement(df)
+    if how == "sorted":
+        return materialise(df, "sorted"), None
+    if how == "other":
+        if fallback is None:
+            raise ValueError("these rows have no stored order: name the columns to order by")
+        return df, fallback
+    return df, None
+
+
 def _placed(df: DataFrame, order_by: OrderBy, position: str, fallback: OrderBy,
             rows_per_bucket: int) -> DataFrame:
-    """Positions in the order of columns, or in stored order for None, or ``fallback``'s order where
-    rows aren't read from files."""
+    df, order_by = settled(df, order_by, fallback)
     if order_by is None:
-        stored = with_stored_position(df, position)
-        if stored is not None:
-            return stored
-        if fallback is None:
-            raise ValueError("these rows have no stored order: name the columns to order by")
-        order_by = fallback
+        return with_stored_position(df, position)
     return with_position(df, order_by, position, rows_per_bucket=rows_per_bucket)
 
 
@@ -48,8 +62,8 @@ def with_chunk(df: DataFrame, chunk_size: int, order_by: OrderBy = None, chunk:
                fallback: OrderBy = None) -> DataFrame:
     """Number rows into consecutive chunks of at most ``chunk_size``; ``index`` keeps the position.
 
-    Without ``order_by`` rows are numbered as they are stored, which moves nothing; rows that don't
-    come from files are then ordered by ``fallback``.
+    Without ``order_by`` rows are numbered as they are stored, which moves nothing, or as they were
+    sorted; see `settled`.
     """
     _positive("chunk_size", chunk_size)
     kept = index or "__position"
@@ -84,10 +98,8 @@ def with_batches(df: DataFrame, line: str | Column, order_by: OrderBy = None,
     ``line`` may be an expression over ``df``: then only its length is used here and the line
     itself is best built afterwards, so that a shuffle moves texts and not whole requests.
 
-    Lines up to ``SHORT_SHARE`` of ``max_bytes`` are numbered by the bytes of such lines before
-    them, with room left for one more, whatever other lines there are. A longer line is a batch of
-    its own; one over ``max_bytes`` is refused. Every part of the number only grows along the order,
-    so the sum changes whenever one of them does.
+    Batches are filled in order: a row starts a new one only if it doesn't fit the one before. A line
+    that is longer than ``max_bytes`` by itself is refused.
     """
     _positive("max_bytes", max_bytes)
     if max_rows is not None:
@@ -95,29 +107,18 @@ def with_batches(df: DataFrame, line: str | Column, order_by: OrderBy = None,
     size = F.octet_length(F.col(line) if isinstance(line, str) else line) + 1
     refuse = F.raise_error(F.concat(F.lit("a line of "), size.cast("string"),
                                     F.lit(f" bytes does not fit a {max_bytes}-byte batch file")))
-    checked = F.when(size > max_bytes, refuse.cast("int")).otherwise(size)
-    short = max(1, int(max_bytes * SHORT_SHARE))
-    measures = {"short_bytes": F.when(size <= short, size).otherwise(0),
-                "long_lines": F.when(checked > short, 1).otherwise(0)}
-
-    def number(known) -> Column:
-        made = F.floor(known["short_bytes"] / (max_bytes - short)) + 2 * known["long_lines"] \
-            + known["own_long_lines"] + 1
-        return made if max_rows is None else made + piece_number(known["position"], max_rows) - 1
-
+    checked = F.coalesce(F.when(size > max_bytes, refuse.cast("int")).otherwise(size), F.lit(1))
+    df, order_by = settled(df, order_by, fallback)
     if order_by is None:
-        stored = with_stored_numbers(df, batch, measures, number)
-        if stored is not None:
-            return stored
-        order_by = fallback
-        if order_by is None:
-            raise ValueError("these rows have no stored order: name the columns to order by")
-    placed = with_position(df, order_by, "__position",
-                           {f"__{n}": e for n, e in measures.items()}, rows_per_bucket=rows_per_bucket)
-    known = {"position": F.col("__position"), **{n: F.col(f"__{n}") for n in measures},
-             **{f"own_{n}": e for n, e in measures.items()}}
-    return placed.withColumn(batch, number(known).cast("bigint")) \
-        .drop("__position", *[f"__{n}" for n in measures])
+        totals = stored_totals(df, checked)
+        placed = with_stored_position(df, "__position")
+    else:  # written, since rows with equal keys may come in another order each time
+        placed = materialise(with_position(df, order_by, "__position", {"__before": checked},
+                                           rows_per_bucket=rows_per_bucket), "placed")
+        totals = placed.select(F.col("__position").alias("position"), checked.cast("bigint").alias("size"),
+                               F.col("__before").alias("before"))
+        placed = placed.drop("__before")
+    return with_batch(placed, "__position", filled(totals, max_bytes, max_rows), batch).drop("__position")
 
 
 def multi_text_requests(df: DataFrame, text: str, build: Callable[[Column], Column],

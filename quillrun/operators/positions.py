@@ -17,8 +17,11 @@ The rows cross the network once and nothing has to be checkpointed.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
-from collections.abc import Callable, Mapping, Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
@@ -198,81 +201,80 @@ def with_position(df: DataFrame, order_by: str | Sequence[str], position: str =
 # --- stored order ------------------------------------------------------------------------------
 
 FILE, SPLIT, SEQUENCE = "__file", "__split", "__sequence"
-# one row of 40 bytes per split is broadcast, or per change of batch
-MAX_SPLITS = 1 << 20
+# Up to so many splits, of 40 bytes a row, their prefix sum is one task's and their table is broadcast;
+# beyond, both are dealt out and give the same numbers.
+MAX_SPLITS = 1 << 18
+
+_PASSED = ("Project", "Filter", "SubqueryAlias", "View")
+
+
+def arrangement(df: DataFrame) -> str:
+    """``stored``: a plain read of files, perhaps filtered; ``sorted``: the last thing that arranged the
+    rows is a sort of the whole table; ``other``: rows in no order that could be read off."""
+    told = io.StringIO()
+    with contextlib.redirect_stdout(told):
+        df.explain(mode="extended")
+    analysed = told.getvalue().split("== Analyzed Logical Plan ==", 1)[-1].split("== Optimized", 1)[0]
+    for line in analysed.splitlines()[2:]:  # the first two are the title's end and the schema
+        node = re.match(r"\s*(?:\+- )?(\w+)(.*)", line)
+        if node is None or node[1] in _PASSED:
+            continue
+        if node[1] == "Sort":
+            return "sorted" if node[2].rstrip().endswith("true") else "other"
+        if node[1] != "Relation":
+            return "other"
+        try:
+            df.select("_metadata.file_path").schema  # resolves the plan
+        except AnalysisException:
+            return "other"
+        return "stored"
+    return "other"
+
+
+def _split_starts(splits: DataFrame, totals: Sequence[str]) -> DataFrame:
+    """Splits in order with, for each of ``totals``, its sum over the splits before."""
+    kept = [FILE, SPLIT, "__first"]
+    if splits.count() <= MAX_SPLITS:
+        before = Window.orderBy("__path", SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+        return F.broadcast(splits.select(
+            *kept, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in totals]))
+    summed = with_position(splits, ["__path", SPLIT], "__at", {f"__b{n}": F.col(n) for n in totals})
+    return materialise(summed.select(*kept, *[F.col(f"__b{n}").alias(n) for n in totals]), "starts")
 
 
 def stored_rows(df: DataFrame, measures: Mapping[str, Column] | None = None
-                ) -> tuple[DataFrame, DataFrame] | None:
-    """Rows with the file, split and sequence they are read at, and a table of splits in order:
-    ``__first`` (its least sequence), ``__start`` (rows before it) and, for each measure, the total
-    before it. None where ``df`` isn't a plain read of files, or has too many splits to broadcast.
-    """
+                ) -> tuple[DataFrame, DataFrame]:
+    """Rows (of a table that is `arrangement` ``stored``) with the file, split and sequence they are
+    read at, and a table of splits: ``__first`` (its least sequence), ``__rows`` (rows before it) and
+    each measure's total before it."""
     measures = dict(measures or {})
-    try:
-        read = df.select("*", F.xxhash64("_metadata.file_path").alias(FILE),
-                         F.col("_metadata.file_path").alias("__path"),
-                         F.col("_metadata.file_block_start").alias(SPLIT))
-        read.schema  # resolves the plan
-    except AnalysisException:
-        return None
-    read = read.withColumn(SEQUENCE, F.monotonically_increasing_id())
-    splits = read.groupBy(FILE, SPLIT).agg(
+    read = df.select("*", F.xxhash64("_metadata.file_path").alias(FILE),
+                     F.col("_metadata.file_path").alias("__path"),
+                     F.col("_metadata.file_block_start").alias(SPLIT)) \
+        .withColumn(SEQUENCE, F.monotonically_increasing_id())
+    splits = materialise(read.groupBy(FILE, SPLIT).agg(
         F.min("__path").alias("__path"), F.min(SEQUENCE).alias("__first"),
-        F.max(SEQUENCE).alias("__last"), F.count(F.lit(1)).alias("__rows"),
-        *[F.sum(e).alias(n) for n, e in measures.items()])
-    splits = materialise(splits, "splits")
-    shape = splits.agg(F.count(F.lit(1)), F.count_if(
-        F.col("__last") - F.col("__first") + 1 != F.col("__rows"))).first()
-    if shape[0] > MAX_SPLITS or shape[1]:  # rows of a split have been moved apart
-        return None
-    before = Window.orderBy("__path", SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select(
-        FILE, SPLIT, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"),
-        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in measures])
-    return read.drop("__path"), starts
-
-
-def with_stored_position(df: DataFrame, position: str = "position") -> DataFrame | None:
-    """Add the 1-based position of each row in stored order; None as for ``stored_rows``."""
-    found = stored_rows(df)
-    if found is None:
-        return None
-    rows, starts = found
-    at = F.col("__start") + F.col(SEQUENCE) - F.col("__first") + 1
-    return rows.join(F.broadcast(starts), [FILE, SPLIT]).select(
-        *[F.col(f"`{c}`") for c in df.columns], at.cast("bigint").alias(position))
+        F.count(F.lit(1)).alias("__rows"), *[F.sum(e).alias(n) for n, e in measures.items()]), "splits")
+    return read.drop("__path"), _split_starts(splits, ["__rows", *measures])
+
 
+def with_stored_position(df: DataFrame, position: str = "position") -> DataFrame:
+    """Add the 1-based position of each row in stored order, which moves no row (with very many splits,
+    rows meet their split's start in a join by split)."""
+    rows, starts = stored_rows(df)
+    at = F.col("__rows") + F.col(SEQUENCE) - F.col("__first") + 1
+    return rows.join(starts, [FILE, SPLIT]).select(
+        *[F.col(f"`{c}`") for c in df.columns], at.cast("bigint").alias(position))
 
-def with_stored_numbers(df: DataFrame, number: str, measures: Mapping[str, Column],
-                        build: Callable[[Mapping[str, Column]], Column]) -> DataFrame | None:
-    """Add a number that never falls along the stored order.
 
-    ``build`` makes it from the row's ``position``, from each measure's total before the row, and
-    from ``df``'s columns that the measures use, given under their names. Only the measures shuffle,
-    by split; the rows look their number up among the changes within their split.
-    """
-    found = stored_rows(df, measures)
-    if found is None:
-        return None
-    rows, starts = found
-    narrow = rows.select(FILE, SPLIT, SEQUENCE, *[e.alias(f"own_{n}") for n, e in measures.items()])
+def stored_totals(df: DataFrame, measure: Column) -> DataFrame:
+    """``position``, ``size`` (the measure) and ``before`` (its total over the rows before) of each row
+    in stored order. Only measures shuffle, by split."""
+    rows, starts = stored_rows(df, {"__before": measure})
     inside = Window.partitionBy(FILE, SPLIT).orderBy(SEQUENCE).rowsBetween(
         Window.unboundedPreceding, -1)
-    running = narrow.withColumns({
-        f"run_{n}": F.coalesce(F.sum(f"own_{n}").over(inside), F.lit(0)) for n in measures})
-    known = {n: F.col(n) + F.col(f"run_{n}") for n in measures}
-    known |= {f"own_{n}": F.col(f"own_{n}") for n in measures}
-    known["position"] = F.col("__start") + F.col(SEQUENCE) - F.col("__first") + 1
-    changes = materialise(
-        running.join(F.broadcast(starts), [FILE, SPLIT])
-        .select(FILE, SPLIT, SEQUENCE, build(known).alias("__number"))
-        .groupBy(FILE, SPLIT, "__number").agg(F.min(SEQUENCE).alias("__from")), "changes")
-    if changes.count() > MAX_SPLITS:
-        return None
-    lists = changes.groupBy(FILE, SPLIT).agg(
-        F.array_sort(F.collect_list(F.struct("__from", "__number"))).alias("__changes"))
-    passed = F.filter("__changes", lambda c: c["__from"] <= F.col(SEQUENCE))
-    return rows.join(F.broadcast(lists), [FILE, SPLIT]).select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.element_at(passed, -1)["__number"].cast("bigint").alias(number))
+    running = rows.select(FILE, SPLIT, SEQUENCE, measure.cast("bigint").alias("size")).withColumn(
+        "__run", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    return running.join(starts, [FILE, SPLIT]).select(
+        (F.col("__rows") + F.col(SEQUENCE) - F.col("__first") + 1).cast("bigint").alias("position"),
+        "size", (F.col("__before") + F.col("__run")).alias("before"))

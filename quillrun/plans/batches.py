@@ -55,36 +55,57 @@ def row_batches(spark, sf_dir):
     return batching.with_row_batches(items, ["l_orderkey", "l_linenumber"])
 
 
-def batch_number_sql(size: str, cap: int, max_rows: int | None = None, source: str = "documents") -> str:
-    """Rows of ``source`` with ``batch``: short lines by bytes, long lines one to a batch."""
-    short = int(cap * batching.SHORT_SHARE)
-    rows = "" if max_rows is None else f" + (position - 1) // {max_rows}"
+def batch_number_sql(size: str, cap: int, max_rows: int = 1 << 62, source: str = "documents") -> str:
+    """Rows of ``source`` with ``batch``: filled row by row, in the order of doc_id."""
     return f"""
-SELECT *, CAST(short_before // {cap - short} + 2 * long_before + CAST(size > {short} AS INTEGER) + 1{rows}
-               AS BIGINT) AS batch
-FROM (SELECT *,
-        coalesce(sum(CASE WHEN size <= {short} THEN size ELSE 0 END) OVER earlier, 0) AS short_before,
-        coalesce(sum(CASE WHEN size > {short} THEN 1 ELSE 0 END) OVER earlier, 0) AS long_before,
-        row_number() OVER (ORDER BY doc_id) AS position
-      FROM (SELECT *, {size} AS size FROM {source})
-      WINDOW earlier AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+WITH RECURSIVE sized AS (
+  SELECT *, {size} AS size, row_number() OVER (ORDER BY doc_id) AS position FROM {source}),
+fill AS (
+  SELECT position, size AS bytes, 1 AS n, 1 AS batch FROM sized WHERE position = 1
+  UNION ALL
+  SELECT s.position, CASE WHEN f.bytes + s.size > {cap} OR f.n >= {max_rows} THEN s.size ELSE f.bytes + s.size END,
+         CASE WHEN f.bytes + s.size > {cap} OR f.n >= {max_rows} THEN 1 ELSE f.n + 1 END,
+         CASE WHEN f.bytes + s.size > {cap} OR f.n >= {max_rows} THEN f.batch + 1 ELSE f.batch END
+  FROM fill f JOIN sized s ON s.position = f.position + 1)
+SELECT s.*, CAST(f.batch AS BIGINT) AS batch FROM sized s JOIN fill f ON s.position = f.position"""
 
 
-BATCH_BYTES = 250_000  # an eighth is less than the longest text, which has a batch of its own
+# four times the longest line, so that batches are many whatever the table
+SMALL_CAP = "(SELECT 4 * (max(strlen(text)) + 1) FROM documents)"
+
+
+def small_cap(documents) -> int:
+    return 4 * (documents.agg(F.max(F.octet_length("text"))).first()[0] + 1)
 
 
 @query("c5_byte_batches",
-       f"SELECT doc_id, batch FROM ({batch_number_sql('strlen(text) + 1', BATCH_BYTES)})")
+       f"SELECT doc_id, batch FROM ({batch_number_sql('strlen(text) + 1', batching.BATCH_FILE_BYTES)})")
 def byte_batches(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return batching.with_batches(documents, "text", max_bytes=BATCH_BYTES).drop("text")
+    return batching.with_batches(documents, "text").drop("text")
+
+
+@query("c5_small_batches",
+       f"SELECT doc_id, batch FROM ({batch_number_sql('strlen(text) + 1', SMALL_CAP, 30)})")
+def small_batches(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return batching.with_batches(documents, "text", None, 30, small_cap(documents)).drop("text")
 
 
 @query("c5_keyed_byte_batches",
-       f"SELECT doc_id, batch FROM ({batch_number_sql('strlen(text) + 1', BATCH_BYTES)})")
+       f"SELECT doc_id, batch FROM ({batch_number_sql('strlen(text) + 1', SMALL_CAP)})")
 def keyed_byte_batches(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return batching.with_batches(documents, "text", "doc_id", max_bytes=BATCH_BYTES).drop("text")
+    return batching.with_batches(documents, "text", "doc_id", max_bytes=small_cap(documents)).drop("text")
+
+
+@query("c2_sorted_chunks", """
+SELECT l_orderkey, l_linenumber, CAST(row_number() OVER ranked AS BIGINT) AS index,
+       CAST(ceil(row_number() OVER ranked / 700.0) AS INTEGER) AS chunk
+FROM lineitem WINDOW ranked AS (ORDER BY l_shipdate DESC, l_orderkey, l_linenumber)""")
+def sorted_chunks(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").orderBy(F.desc("l_shipdate"), "l_orderkey", "l_linenumber")
+    return batching.with_chunk(items.select("l_orderkey", "l_linenumber"), 700, index="index")
 
 
 @query("c6_id_violations", """
@@ -103,18 +124,19 @@ def id_format(spark, sf_dir):
     return ids.id_violations(table(spark, sf_dir, "pages"), "url", messages_rules=True)
 
 
-@query("c7_split_and_merge", """
-WITH placed AS (
-  SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS position FROM documents)
-SELECT CAST((position - 1) // 50000 + 1 AS INTEGER) AS batch, count(*) AS total,
+@query("c7_split_and_merge", f"""
+SELECT CAST(batch AS INTEGER) AS batch, count(*) AS total,
   count(*) FILTER (doc_id % 10 NOT IN (3, 5, 6)) AS succeeded,
   count(*) FILTER (doc_id % 10 IN (3, 5, 6)) AS failed,
   round(100.0 * count(*) FILTER (doc_id % 10 NOT IN (3, 5, 6)) / count(*), 1) AS succeeded_pct,
   round(100.0 * count(*) FILTER (doc_id % 10 IN (3, 5, 6)) / count(*), 1) AS failed_pct
-FROM placed GROUP BY 1""")
+FROM ({batch_number_sql('strlen(text) + 1', SMALL_CAP, 30)}) GROUP BY 1""")
 def split_and_merge(spark, sf_dir):
-    answered = chat_lines(table(spark, sf_dir, "documents"), F.col("text"))
-    placed = batching.with_row_batches(answered, "doc_id")
+    documents = table(spark, sf_dir, "documents")
+    answered = chat_lines(documents, F.col("text"))
+    # answers come back under the batch that their requests were sent in, which keeps both caps
+    sent = batching.with_batches(documents.select("doc_id", "text"), "text", None, 30, small_cap(documents)).drop("text")
+    placed = answered.join(sent, "doc_id")
     path = fresh_dir(spark, "answers")
     jsonl.write_batches(placed, "line", path, order_by="doc_id")
     results = parse_files(spark, path, "completions", keep=["file"])

@@ -1,3 +1,5 @@
+import itertools
+import random
 import json
 
 import numpy as np
@@ -8,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillrun.functions import requests as rq
-from quillrun.operators import batching, ids, joining, pieces, positions, reports, search, similarity
+from quillrun.operators import batching, filling, ids, joining, pieces, positions, reports, search, similarity
 from quillrun.operators import structured, tables
 from quillrun.operators.results import job_progress, parse_files, parse_lines, status_table
 from quillrun.plans import answers as an
@@ -122,6 +124,17 @@ def test_row_cap(spark):
         batching.with_row_batches(rows, "id", 10, on_excess="fail")
 
 
+def greedy(sizes, max_bytes, max_rows=None):
+    """Batch of each row, filled one after the other."""
+    batch, used, n, out = 0, max_bytes, 0, []
+    for size in sizes:
+        if used + size > max_bytes or n == max_rows:
+            batch, used, n = batch + 1, 0, 0
+        used, n = used + size, n + 1
+        out.append(batch)
+    return out
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(0, 60), min_size=1, max_size=60), st.integers(62, 200),
        st.integers(1, 12))
@@ -134,7 +147,7 @@ def test_batches_keep_both_caps(spark, sizes, max_bytes, max_rows):
     assert sum(r["n"] for r in per_batch) == len(sizes)
     assert all(r["n"] <= max_rows and r["b"] <= max_bytes for r in per_batch)
     in_order = [r["batch"] for r in got.orderBy("id").collect()]
-    assert in_order == sorted(in_order)
+    assert in_order == greedy([2 * (n // 2) + n % 2 + 1 for n in sizes], max_bytes, max_rows)
 
 
 def test_a_line_over_the_cap_is_refused(spark):
@@ -511,10 +524,52 @@ def test_stored_and_keyed_batches_are_the_same(stored, max_rows):
     ours = batching.with_batches(lines, "text", None, max_rows, 1000)
     keyed = batching.with_batches(lines, "text", "id", max_rows, 1000, rows_per_bucket=100)
     assert ours.select("id", "batch").exceptAll(keyed.select("id", "batch")).count() == 0
-    sizes = ours.groupBy("batch").agg(F.sum(F.length("text") + 1).alias("b"), F.count("*").alias("n")).collect()
-    assert max(r["b"] for r in sizes) <= 1000 and max(r["n"] for r in sizes) <= (max_rows or 3000)
-    if max_rows is None:  # 3,000 lines of 20 bytes: the long one costs two batches more at most
-        assert len(sizes) <= 3000 * 20.5 / 875 + 4
+    rows = ours.orderBy("id").collect()
+    assert [r.batch for r in rows] == greedy([len(r.text) + 1 for r in rows], 1000, max_rows)
+
+
+@pytest.mark.parametrize("width", [1, 3, 16])
+@pytest.mark.parametrize("max_rows", [None, 40])
+def test_batches_are_filled_over_many_chunks(spark, monkeypatch, width, max_rows):
+    monkeypatch.setattr(filling, "CHUNK_BATCHES", width)
+    monkeypatch.setattr(filling, "BLOCK_ROWS", 700)
+    pick = random.Random(width)
+    sizes = [pick.choice([1, 2, 30, 500, 501, 999, 1000]) if pick.random() < .2 else pick.randrange(1, 40)
+             for _ in range(6000)]
+    before = [0, *itertools.accumulate(sizes)]
+    rows = spark.createDataFrame([(i + 1, n, before[i]) for i, n in enumerate(sizes)],
+                                 "position long, size long, before long").repartition(5)
+    got = filling.with_batch(rows, "position", filling.filled(rows, 1000, max_rows), "batch")
+    assert [r.batch for r in got.orderBy("position").collect()] == greedy(sizes, 1000, max_rows)
+
+
+@pytest.mark.parametrize("files", [1, 8, 300])
+@pytest.mark.parametrize("limit", [positions.MAX_SPLITS, 4])
+def test_numbers_do_not_depend_on_files_or_the_limit(spark, folder, monkeypatch, files, limit):
+    monkeypatch.setattr(positions, "MAX_SPLITS", limit)
+    rows = spark.range(3000).withColumn("k", F.hash("id"))
+    rows.repartitionByRange(files, "id").sortWithinPartitions("id").write.parquet(folder)
+    table = spark.read.parquet(folder)
+    stored = batching.with_chunk(table, 7, index="at")
+    assert stored.where("at <> id + 1 OR chunk <> id div 7 + 1").count() == 0
+    ranked = {r.id: n + 1 for n, r in enumerate(sorted(rows.collect(), key=lambda r: (-r.k, r.id)))}
+    by_k = table.orderBy(F.desc("k"), "id")  # a sorted table keeps its order, whatever the files
+    for got in (batching.with_chunk(by_k, 7, index="at"),
+                batching.with_chunk(by_k.where("id >= 0").select("id"), 7, index="at", fallback="id")):
+        assert {r.id: r.at for r in got.collect()} == ranked
+    lines = batching.with_batches(table.withColumn("text", F.repeat(F.lit("x"), F.col("id").cast("int") % 40)), "text",
+                                  None, 90, 1000)
+    rows = lines.orderBy("id").collect()
+    assert [r.batch for r in rows] == greedy([len(r.text) + 1 for r in rows], 1000, 90)
+
+
+def test_rows_in_no_order_are_refused_or_go_by_the_fallback(spark, stored):
+    for moved in (stored.repartition(3), stored.distinct(), stored.join(stored.select("id"), "id"),
+                  stored.sortWithinPartitions("text"), stored.orderBy("text").limit(9).distinct()):
+        with pytest.raises(ValueError, match="no stored order"):
+            batching.with_chunk(moved, 10)
+    joined = batching.with_chunk(stored.join(stored.select("id"), "id"), 10, index="at", fallback="id")
+    assert joined.where("at <> id + 1").count() == 0
 
 
 def test_equal_rows_are_spread(spark):
