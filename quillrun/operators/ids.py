@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from quillrun.session import materialise
 # \z and not $: in Java a $ also matches before a trailing newline.
 MESSAGES_ID = r"^[a-zA-Z0-9_-]{1,64}\z"
 EXAMPLES = 3
+LARGE_RUN = 10_000  # fixed value: requests from which on a run is said to be large
+
+
+class LargeRun(UserWarning):
+    """A run of many requests."""
 
 
 def duplicate_ids(df: DataFrame, id: str) -> DataFrame:
@@ -43,8 +50,9 @@ def id_violations(df: DataFrame, id: str, messages_rules: bool = False) -> DataF
 
 
 def enforce_ids(df: DataFrame, id: str, messages_rules: bool = False) -> DataFrame:
-    """The table unchanged, or an error naming how many ids break a rule and the first three."""
-    broken = id_violations(df, id, messages_rules)
+    """The table unchanged, or an error naming how many ids break a rule and the first three. Ids are
+    counted once, and what breaks a rule is stored."""
+    broken = materialise(id_violations(df, id, messages_rules), "violations")
     counts = {r["rule"]: r["k"] for r in
               broken.groupBy("rule").agg(F.count(F.lit(1)).alias("k")).collect()}
     for rule, text in (("missing", "kind of row has no id, and every request needs an id"),
@@ -55,3 +63,12 @@ def enforce_ids(df: DataFrame, id: str, messages_rules: bool = False) -> DataFra
                      .orderBy("custom_id").limit(EXAMPLES).collect()]
             raise ValueError(f"{counts[rule]} {text}, for example {', '.join(map(str, shown))}")
     return df
+
+
+def notice_size(n_requests: int) -> bool:
+    """Whether so many requests take a provider long, which a warning then says."""
+    if n_requests <= LARGE_RUN:
+        return False
+    warnings.warn(f"{n_requests:,} requests are a lot for one run: a provider may need hours for them",
+                  LargeRun, stacklevel=3)
+    return True

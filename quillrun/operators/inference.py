@@ -1,7 +1,7 @@
 """Applying a model to a text column.
 
-The model is a *backend*: ``backend(request_json, timeout) -> (status, body)``. A picklable
-factory builds one per task. Everything around the call is declarative: requests are Catalyst
+The model is a *backend*: ``backend(request_json, timeout) -> (status, body)``, or with the wait
+that the provider asks for as a third part. A picklable factory builds one per task. Everything around the call is declarative: requests are Catalyst
 projections, responses are parsed by Catalyst projections, and only the call itself runs in
 Python, in Arrow batches with a thread pool of ``concurrency`` calls in flight per task.
 
@@ -12,6 +12,7 @@ Spark may plan a Python map once per branch that reads it, and a model call is e
 from __future__ import annotations
 
 import json
+import threading
 import time
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
@@ -35,7 +36,8 @@ from quillrun.schema import JsonSchema
 from quillrun.session import fresh_dir
 from quillrun.sources.runs import write_metadata
 
-Backend = Callable[[str, float], tuple[int, str]]
+# (status, body), or with a third part: the seconds a provider asks to wait before the next try
+Backend = Callable[[str, float], tuple[int, str] | tuple[int, str, float | None]]
 BackendFactory = Callable[[], Backend]
 
 RESPONSE = "struct<status:int,body:string,failure:string,tries:int>"
@@ -44,6 +46,7 @@ WRONG_COUNT = "Response does not hold one result per text"
 NO_ANSWER = "No answer within the time for all tries"
 ANSWERS_AT_ONCE = 256  # bodies a task holds, and rows of the batches it passes on
 GRACE_SECONDS = 1.0
+TOO_MANY = (429, 529)  # fixed values: what providers answer when they get too many calls
 
 _ARROW_RESPONSE = pa.struct([("status", pa.int32()), ("body", pa.string()),
                              ("failure", pa.string()), ("tries", pa.int32())])
@@ -51,19 +54,54 @@ _ARROW_RESPONSE = pa.struct([("status", pa.int32()), ("body", pa.string()),
 
 @dataclass(frozen=True)
 class Retry:
-    """Try again on a retryable status or when no response came, waiting 2, 4, 8, ... seconds."""
+    """Try again on a retryable status or when no response came, waiting as long as the provider asks
+    (up to ``longest_wait``), or else 2, 4, 8, ... seconds."""
 
     max_tries: int = 5
     statuses: tuple[int, ...] = (429, 503)
     backoff: float = 2.0
     timeout: float = 30.0
     sleep: Callable[[float], None] = time.sleep
+    longest_wait: float = 600.0
 
     def __post_init__(self) -> None:
         if self.max_tries < 1:
             raise ValueError("max_tries must be a positive integer")
         if self.timeout <= 0:
-            raise ValueError("timeout must be a positive number")
+            raise ValueError(f"a call needs time to be answered, not {self.timeout} seconds")
+
+    def wait(self, tries: int, asked: float | None) -> float:
+        if asked is None or not asked >= 0:  # also where it isn't a number
+            return self.backoff ** tries
+        return min(float(asked), self.longest_wait)
+
+
+class Throttle:
+    """How many calls run at once: half as many after a provider says they are too many, and one more
+    after as many good answers in a row as may run, up to ``most``. Calls that were under way when the
+    limit fell don't lower it again."""
+
+    def __init__(self, most: int, limit: int | None = None) -> None:
+        self.most, self.limit = most, limit or most
+        self._running, self._good, self._falls = 0, 0, 0
+        self._free = threading.Condition()
+
+    def enter(self) -> int:
+        with self._free:
+            self._free.wait_for(lambda: self._running < self.limit)
+            self._running += 1
+            return self._falls
+
+    def leave(self, entered: int, too_many: bool, good: bool) -> None:
+        with self._free:
+            self._running -= 1
+            if too_many and entered == self._falls:
+                self.limit, self._good, self._falls = max(1, self.limit // 2), 0, self._falls + 1
+            elif good:
+                self._good += 1
+                if self._good >= self.limit and self.limit < self.most:
+                    self.limit, self._good = self.limit + 1, 0
+            self._free.notify_all()
 
 
 class Answer(NamedTuple):
@@ -75,55 +113,74 @@ class Answer(NamedTuple):
     tries: int
 
 
-def call_with_retry(backend: Backend, request: str | None, retry: Retry) -> Answer:
-    """One request to one answer. Never raises: a failure is a value."""
+def call_with_retry(backend: Backend, request: str | None, retry: Retry,
+                    throttle: Throttle | None = None, granted: list[float] | None = None) -> Answer:
+    """One request to one answer. Never raises: a failure is a value. ``granted`` gets every wait that
+    a provider asks for."""
     if request is None:
         return Answer(None, None, INVALID_TEXT, 0)
+    throttle = throttle or Throttle(1)
     tries = 1
     while True:
+        asked, status = None, None
+        entered = throttle.enter()
         try:
-            status, body = backend(request, retry.timeout)
+            status, body, *more = backend(request, retry.timeout)
+            asked = more[0] if more else None
             answer = Answer(int(status), body, None, tries)
-            if status not in retry.statuses:
-                return answer
         except Exception as error:  # any failure of the caller's client becomes a row
             answer = Answer(None, None, str(error) or type(error).__name__, tries)
-        if tries >= retry.max_tries:
+        finally:
+            throttle.leave(entered, status in TOO_MANY, status is not None and status < 400)
+        if tries >= retry.max_tries or (answer.failure is None and status not in retry.statuses):
             return answer
-        retry.sleep(retry.backoff ** tries)
+        wait = retry.wait(tries, asked)
+        if granted is not None and asked is not None:
+            granted.append(wait)
+        retry.sleep(wait)
         tries += 1
 
 
 class Caller:
-    """Answers requests in order, ``concurrency`` of them at a time.
+    """Answers requests in order, at most ``concurrency`` of them at a time.
 
     Twice as many are waiting or under way, so a slow one holds up no more than that. A client that
-    ignores its timeout is given up once all tries could have run: its row is an error, and fresh
-    threads take over.
+    ignores its timeout is given up once all tries and the waits its provider asked for could have run:
+    its row is an error, and fresh threads take over.
     """
 
     def __init__(self, backend: Backend, concurrency: int, retry: Retry) -> None:
         self._backend, self._concurrency, self._retry = backend, concurrency, retry
         waits = sum(retry.backoff ** i for i in range(1, retry.max_tries))
         self._patience = retry.max_tries * retry.timeout + waits + GRACE_SECONDS
+        self.throttle = Throttle(concurrency)
         self._pool = ThreadPoolExecutor(concurrency)
 
     def answers(self, requests: Iterable[str | None]) -> Iterator[Answer]:
-        waiting: deque[Future] = deque()
+        waiting: deque[tuple[Future, list[float]]] = deque()
         for request in requests:
-            waiting.append(self._pool.submit(call_with_retry, self._backend, request, self._retry))
+            granted: list[float] = []
+            waiting.append((self._pool.submit(call_with_retry, self._backend, request, self._retry,
+                                              self.throttle, granted), granted))
             if len(waiting) >= 2 * self._concurrency:
-                yield self._answer(waiting.popleft())
+                yield self._answer(*waiting.popleft())
         while waiting:
-            yield self._answer(waiting.popleft())
-
-    def _answer(self, call: Future) -> Answer:
-        try:
-            return call.result(timeout=self._patience)
-        except TimeoutError:
-            self._pool.shutdown(wait=False)
-            self._pool = ThreadPoolExecutor(self._concurrency)
-            return Answer(None, None, NO_ANSWER, self._retry.max_tries)
+            yield self._answer(*waiting.popleft())
+
+    def _answer(self, call: Future, granted: list[float]) -> Answer:
+        waited = 0.0
+        while True:
+            allowed = self._patience + sum(granted)
+            try:
+                return call.result(timeout=allowed - waited)
+            except TimeoutError:
+                waited = allowed
+                if self._patience + sum(granted) > allowed:
+                    continue
+                self._pool.shutdown(wait=False)
+                self._pool = ThreadPoolExecutor(self._concurrency)
+                self.throttle = Throttle(self._concurrency, self.throttle.limit)
+                return Answer(None, None, NO_ANSWER, self._retry.max_tries)
 
     def close(self) -> None:
         self._pool.shutdown(wait=False, cancel_futures=True)
@@ -403,14 +460,25 @@ def infer_batched(df: DataFrame, text: str, id: str, backend: BackendFactory, *,
                   many: Callable[[Column], Column], body: Mapping[str, Any] | None = None,
                   texts_key: str = "inputs", batch_size: int = 8, concurrency: int = 5,
                   retry: Retry = Retry(), include_texts: bool = False,
-                  run_dir: str | None = None) -> DataFrame:
-    """As ``infer`` with many texts per request; ``include_texts`` keeps the text column."""
-    require_columns(df, id, text)
+                  on_invalid: str = "error_row", keep: Sequence[str] = (),
+                  partitions: int | None = None, run_dir: str | None = None) -> DataFrame:
+    """As ``infer`` with many texts per request; ``include_texts`` keeps the text column. A given
+    ``run_dir`` also gets the run's metadata."""
     sent = {"parameters": []} if body is None else dict(body)
-    rows = df.select(id, text)
-    if include_texts:
+    spark = df.sparkSession
+    rows = text_rows(df, text, id, None, on_invalid, keep)
+    if partitions is not None:
+        rows = rows.repartition(partitions)
+    carried = include_texts or text in keep
+    if carried:
         rows = rows.withColumn("__sent", F.col(text))
-    path = f"{(run_dir or fresh_dir(df.sparkSession, 'batched')).rstrip('/')}/responses"
-    perform_batched(rows, "__sent" if include_texts else text, backend, sent, texts_key,
-                    batch_size, concurrency, retry).write.parquet(path)
-    return tidy_batched(df.sparkSession.read.parquet(path), result, many)
+    folder = (run_dir or fresh_dir(spark, "batched")).rstrip("/")
+    perform_batched(rows, "__sent" if carried else text, backend, sent, texts_key,
+                    batch_size, concurrency, retry).write.parquet(f"{folder}/responses")
+    results = tidy_batched(spark.read.parquet(f"{folder}/responses"), result, many)
+    if run_dir is not None:
+        write_metadata(spark, folder, {
+            "inference_parameters": sent, "model": sent.get("model"), "dimensions": sent.get("dimensions"),
+            "batch_size": batch_size, "n_texts": results.count(), "concurrent_requests": concurrency,
+            "max_retries": retry.max_tries, "timeout": retry.timeout})
+    return results

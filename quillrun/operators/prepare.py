@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillrun.functions import requests as rq
 from quillrun.operators.batching import (BATCH_FILE_BYTES, CHAT_BATCH_ROWS, MESSAGES_BATCH_ROWS,
                                          with_batches)
-from quillrun.operators.ids import enforce_ids
+from quillrun.operators.ids import enforce_ids, notice_size
 from quillrun.operators.tables import require_columns
 
 ROW_CAPS = {"embeddings": CHAT_BATCH_ROWS, "completions": CHAT_BATCH_ROWS,
@@ -33,12 +33,13 @@ def prepare_batches(df: DataFrame, text: str, id: str, kind: str, *, max_rows: i
 
     Ids must be unique, and well formed for messages; the schema in ``settings`` is serialised
     once. Batches follow the stored order, or that of the id for rows that don't come from files.
-    An empty table gives an empty one. Write the result with ``sources.jsonl.write_batches``.
+    More than 10,000 requests give a `LargeRun` warning; an empty table gives an empty one. Write the result with ``sources.jsonl.write_batches``.
     """
     require_columns(df, id, text)
     rows = df.select(id, text)
     if check_ids:
         enforce_ids(rows, id, messages_rules=kind == "messages")
+    notice_size(rows.count())
     line = batch_line(kind, F.col(id), F.col(text), **settings)
     placed = with_batches(rows, line, None, max_rows or ROW_CAPS[kind], max_bytes, fallback=id)
     return placed.select(id, line.alias("line"), "batch")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quillrun.operators.inference import (BackendFactory, Retry, Task, infer, perform,
                                           text_rows, tidy_responses, with_request,
                                           write_run_metadata)
-from quillrun.sources.runs import read_metadata
+from quillrun.sources.runs import AS_TASKS_END, by_chunk, read_metadata
 
 
 def written(spark: SparkSession, path: str) -> DataFrame | None:
@@ -42,16 +42,17 @@ def run_digest(df: DataFrame, text: str, id: str, task: Task, keep: Sequence[str
     return hashlib.sha256(json.dumps(facts, sort_keys=True, default=str).encode()).hexdigest()
 
 
-def run_in_waves(df: DataFrame, text: str, id: str, task: Task, backend: BackendFactory,
-                 run_dir: str, *, chunk_size: int = 5000, chunks_per_wave: int = 20,
-                 concurrency: int = 5, retry: Retry = Retry(), on_invalid: str = "error_row",
-                 keep: Sequence[str] = ()) -> DataFrame:
-    """Inference that loses at most the running wave when it is cut off.
+def run_in_chunks(df: DataFrame, text: str, id: str, task: Task, backend: BackendFactory,
+                  run_dir: str, *, chunk_size: int = 5000, concurrency: int = 5,
+                  retry: Retry = Retry(), on_invalid: str = "error_row",
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """Inference that loses at most the chunks under way when it is cut off.
 
-    The texts are written once, by wave, so each wave reads its own only; the run's metadata is
-    written after them and marks them complete. A wave calls what has no response yet and
-    appends. Calling again with the same ``run_dir`` goes on where the last run stopped; with another
-    table, task or other settings that decide the result it is refused.
+    The texts are written once with their chunks; the run's metadata is written after them and marks
+    them complete. One job calls all chunks, a chunk to a task, and a chunk's responses are in place the
+    moment its task ends: the files are the ledger of what is done. Calling again with the same
+    ``run_dir`` calls the chunks that have no file; with another table, task or other settings that
+    decide the result it is refused.
     """
     spark = df.sparkSession
     texts_path, responses_path = f"{run_dir}/texts", f"{run_dir}/responses"
@@ -60,28 +61,24 @@ def run_in_waves(df: DataFrame, text: str, id: str, task: Task, backend: Backend
     if known is not None and known.get("run_digest") != of_run:
         raise ValueError(f"{run_dir} holds a run of another table, task or settings")
     if known is None:
-        wave = F.floor((F.col("chunk") - 1) / F.lit(chunks_per_wave)).cast("int")
         text_rows(df, text, id, chunk_size, on_invalid, keep, index="row_index") \
-            .withColumn("wave", wave).write.mode("overwrite").partitionBy("wave") \
-            .parquet(texts_path)
+            .write.mode("overwrite").parquet(texts_path)
         stored = written(spark, texts_path)
         n_texts = 0 if stored is None else stored.count()
         write_run_metadata(spark, run_dir, task, n_texts, chunk_size, concurrency, retry,
                            run_digest=of_run)
     texts = written(spark, texts_path)
-    if texts is None:  # nothing to call: an empty table, or no text that may be sent
+    if texts is None or texts.isEmpty():  # nothing to call: an empty table, or no text that may be sent
         return infer(df.limit(0), text, id, task, backend, chunk_size=chunk_size, keep=keep,
                      concurrency=concurrency, retry=retry)
-    waves = sorted(r["wave"] for r in texts.select("wave").distinct().collect())
-    for wave in waves:
-        done = written(spark, f"{responses_path}/wave={wave}")  # this wave's folder alone
-        # rows are told apart by position, so a repeated id is no row's stand-in
-        todo = pending(texts.where(F.col("wave") == wave), done, "row_index")
-        if done is not None and todo.isEmpty():
-            continue
-        perform(with_request(todo, text, task, keep), backend, concurrency, retry) \
-            .write.mode("append").partitionBy("wave").parquet(responses_path)
-    return tidy_responses(spark.read.parquet(responses_path).drop("wave", "row_index"), task)
+    done = written(spark, responses_path)
+    # a chunk is there as a whole or not at all, so few numbers tell what is left
+    todo = pending(texts, None if done is None else done.select("chunk").distinct(), "chunk")
+    if done is None or not todo.isEmpty():
+        dealt = by_chunk(todo, texts.agg(F.max("chunk")).first()[0])
+        perform(with_request(dealt, text, task, keep), backend, concurrency, retry) \
+            .write.mode("append").options(**AS_TASKS_END).parquet(responses_path)
+    return tidy_responses(spark.read.parquet(responses_path).drop("row_index"), task)
 
 
 def latest_attempt(attempts: DataFrame, id: str, attempt: str = "attempt") -> DataFrame:

@@ -168,15 +168,16 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, id: str = "vec_id",
         raise ValueError("threshold must be in (0, 1]")
     # vectors are alike only with vectors as long as they are; unusable ones are alike with none
     rows = df.select(id, as_doubles(F.col(vector)).alias("v")).where(finite(F.col("v")))
-    sizes = [r[0] for r in rows.select(F.size("v")).distinct().orderBy(F.size("v")).limit(2).collect()]
-    if len(sizes) > 1:
-        raise ValueError("vectors of several lengths: search each length by itself")
     first = materialise(exact_copies(rows, id, "v").withColumn("u", _unit(F.col("v"))), "distinct")
-    distinct = first.where("u is not null").select(id, "u")
-    total = distinct.count()
+    directions = first.where("u is not null")
+    counts = {r["size"]: r["n"] for r in directions.groupBy(F.size("u").alias("size"))
+              .agg(F.count(F.lit(1)).alias("n")).orderBy("size").collect()}
     n_rows = first.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    # without any direction only identical vectors are left to find
-    lowest = _matches(distinct, total, threshold, id, pivots, block_rows) if total else None
+    lowest = None  # without any direction only identical vectors are left to find
+    for size, total in counts.items():  # a table holds vectors of few models, each of one length
+        found = _matches(directions.where(F.size("u") == size).select(id, "u"), total, threshold, id, pivots,
+                         block_rows)
+        lowest = found if lowest is None else lowest.unionAll(found)
     return _with_copies(rows, first, lowest, n_rows, id)
 
 

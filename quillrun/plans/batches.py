@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import functions as F
 
 from quillrun.functions import requests as rq
 from quillrun.operators import batching, ids, reports
+from quillrun.operators.prepare import prepare_batches
 from quillrun.operators.results import parse_files
 from quillrun.plans.answers import chat_lines
 from quillrun.plans.registry import query, table
@@ -70,6 +73,22 @@ fill AS (
 SELECT s.*, CAST(f.batch AS BIGINT) AS batch FROM sized s JOIN fill f ON s.position = f.position"""
 
 
+@query("c6_large_run_notice", """
+SELECT 'orders' AS source, count(*) AS n_requests, count(*) > 10000 AS noticed FROM orders
+UNION ALL SELECT 'pages', count(*), count(*) > 10000 FROM pages""")
+def large_run_notice(spark, sf_dir):
+    """Whether building a table's requests warns that they are many."""
+    found = []
+    for name, id_, text in (("orders", "o_orderkey", "o_orderpriority"), ("pages", "page_id", "html")):
+        with warnings.catch_warnings(record=True) as said:
+            warnings.simplefilter("always")
+            lines = prepare_batches(table(spark, sf_dir, name), text, id_, "embeddings")
+        noticed = any(issubclass(w.category, ids.LargeRun) for w in said)
+        found.append(lines.agg(F.count(F.lit(1)).alias("n_requests")).select(
+            F.lit(name).alias("source"), "n_requests", F.lit(noticed).alias("noticed")))
+    return found[0].unionByName(found[1])
+
+
 # four times the longest line, so that batches are many whatever the table
 SMALL_CAP = "(SELECT 4 * (max(strlen(text)) + 1) FROM documents)"
 

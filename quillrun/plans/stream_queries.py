@@ -60,3 +60,27 @@ def infer_arrivals(spark, sf_dir):
         files_per_batch=2)
     rest = [c for c in results.columns if c != "embedding"]
     return results.select(*rest, *widen(F.col("embedding"), 3))
+
+
+REPEATED = "CASE WHEN page_id % 5 = 4 THEN page_id - 4 ELSE page_id END"
+
+
+@query("w2_arrivals_once_per_id", embedded_sql(f"""
+  (SELECT page_id, html FROM (
+     SELECT {REPEATED} AS page_id, html, row_number() OVER (PARTITION BY {REPEATED} ORDER BY page_id) AS nth
+     FROM pages) WHERE nth = 1)""", "html", "page_id"))
+def arrivals_once_per_id(spark, sf_dir):
+    """Ids come again in later files, first of all the newest; each is answered once."""
+    folder = fresh_dir(spark, "arrivals")
+    pages = table(spark, sf_dir, "pages")
+    firsts, repeats = pages.where("page_id % 5 <> 4"), pages.where("page_id % 5 = 4")
+    settings = dict(retry=an.FAST_RETRY, files_per_batch=2, once_per_id=True, remember="1 hour", state_partitions=4)
+    results = None
+    for part in (firsts, repeats):
+        part.select(F.expr(REPEATED).alias("page_id"), "html").repartition(3).write.mode("append") \
+            .parquet(f"{folder}/landing")
+        results = ingest.infer_arrivals(
+            spark, f"{folder}/landing", pages.select("page_id", "html").schema, "html", "page_id", inf.embed_task(),
+            an.EmbedBackend, f"{folder}/responses", f"{folder}/checkpoint", **settings)
+    rest = [c for c in results.columns if c != "embedding"]
+    return results.select(*rest, *widen(F.col("embedding"), 3))

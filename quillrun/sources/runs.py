@@ -23,6 +23,9 @@ METADATA = ("run_id string, output_dir string, endpoint_url string, model string
 STAMP = "%d%m%Y_%H%M%S"
 FOLDER = "chunk_folder"
 CHUNKS_PER_FOLDER = 200
+MAX_TASKS = 100_000  # of a job that writes chunks
+# a task's file is moved into its place when the task is done, not when the job is
+AS_TASKS_END = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
 def output_dir(spark: SparkSession, given: str | None = None,
@@ -46,18 +49,26 @@ def output_file(spark: SparkSession, given: str | None = None,
     return given
 
 
+def by_chunk(rows: DataFrame, n_chunks: int, chunk: str = "chunk") -> DataFrame:
+    """Rows dealt out so that a task holds one chunk, or a few consecutive ones of very many."""
+    each = -(-n_chunks // MAX_TASKS)
+    task = F.floor((F.col(chunk) - 1) / F.lit(max(1, each))).cast("int")
+    return rows.repartitionById(max(1, -(-n_chunks // max(1, each))), task)
+
+
 def write_chunks(results: DataFrame, path: str, mode: str = "errorifexists",
                  single_file: bool = True, chunks_per_folder: int = CHUNKS_PER_FOLDER) -> None:
     """Results as parquet, in folders of ``chunks_per_folder`` consecutive chunks.
 
-    ``single_file`` brings a chunk's rows together in one file (which may hold more chunks); without
-    it nothing is shuffled.
+    With ``single_file`` a task writes the file of one chunk and puts it in its place as it ends, so
+    chunks can be read while others are still being made, and a task that runs again replaces its own
+    file. ``results`` is then read for its last chunk too. Without it nothing is shuffled.
     """
     number = F.floor((F.col("chunk") - 1) / F.lit(chunks_per_folder)).cast("int")
     rows = results.withColumn(FOLDER, number)
     if single_file:
-        rows = rows.repartition("chunk").sortWithinPartitions(FOLDER, "chunk")
-    rows.write.mode(mode).partitionBy(FOLDER).parquet(path)
+        rows = by_chunk(rows, results.agg(F.max("chunk")).first()[0] or 1).sortWithinPartitions(FOLDER, "chunk")
+    rows.write.mode(mode).options(**AS_TASKS_END).partitionBy(FOLDER).parquet(path)
 
 
 def read_chunks(spark: SparkSession, path: str, first: int | None = None, last: int | None = None,

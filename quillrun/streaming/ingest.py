@@ -104,12 +104,15 @@ def infer_arrivals(spark: SparkSession, source: str, schema, text: str, id: str,
                    concurrency: int = 5, retry: Retry = Retry(), on_invalid: str = "error_row",
                    keep: Sequence[str] = (), files_per_batch: int = 1000,
                    trigger: dict | None = None, once_per_id: bool = False,
+                   remember: str | None = "30 days",
                    state_partitions: int | None = None) -> DataFrame:
     """Call the model for the rows of parquet files arriving in ``source``, one result per row.
 
     ``once_per_id`` leaves out rows whose id an earlier row has had, in any file; rows without an id
-    are never each other's repeats. It remembers every id for as long as the checkpoint lives, spread
-    over ``state_partitions`` (fixed by its first run); without it the stream keeps nothing.
+    are never each other's repeats. An id is remembered for the time ``remember`` after its row was read,
+    by the clock of the stream, so that no file is ever too old to be read; then its state is dropped and
+    the id counts as new. None: for as long as the checkpoint lives. State is spread over
+    ``state_partitions`` (fixed by the first run); without ``once_per_id`` the stream keeps nothing.
     """
     def responses(rows: DataFrame) -> DataFrame:
         requests = request_table(rows, text, id, task, on_invalid=on_invalid, keep=keep)
@@ -120,8 +123,13 @@ def infer_arrivals(spark: SparkSession, source: str, schema, text: str, id: str,
     if once_per_id:
         place = F.concat_ws(":", F.lit("row"), "_metadata.file_path", "_metadata.row_index")
         known = F.concat(F.lit("id:"), F.col(id).cast("string"))
-        arrivals = arrivals.select("*", F.coalesce(known, place).alias("__key")) \
-            .dropDuplicates(["__key"]).drop("__key")
+        arrivals = arrivals.select("*", F.coalesce(known, place).alias("__key"))
+        if remember is None:
+            arrivals = arrivals.dropDuplicates(["__key"])
+        else:
+            arrivals = arrivals.withColumn("__read", F.current_timestamp()).withWatermark("__read", remember) \
+                .dropDuplicatesWithinWatermark(["__key"]).drop("__read")
+        arrivals = arrivals.drop("__key")
     _run(arrivals, lambda batch, epoch: _write_epoch(responses(batch), target, epoch),
          checkpoint, trigger, state_partitions)
     found = _read_epochs(spark, target)

@@ -1,3 +1,4 @@
+import os
 import json
 import threading
 import time
@@ -5,6 +6,7 @@ import time
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillrun.functions import responses as rs
 from quillrun.operators import inference as inf
@@ -144,42 +146,113 @@ def test_tidy_may_be_an_arrow_function(spark):
     assert [r["embedding"] for r in sorted(got)] == [[len("[[2.0, 1.0, 1.0]]")]] * 4
 
 
-def test_waves_go_on_where_they_stopped(spark, folder):
-    class Stop(BaseException):
-        pass
+def test_a_cut_off_run_calls_only_open_chunks_again(spark, folder, tmp_path):
+    """A worker that dies in the middle takes the job with it, but no chunk that had ended."""
+    source = texts(spark, 300).where("text is not null and text <> ''")
+    log, marker = tmp_path / "calls", tmp_path / "died"
 
-    source = texts(spark, 40)
-    calls = spark.sparkContext.accumulator(0)
-
-    def counting():
+    def fatal():
         def backend(request, timeout):
-            calls.add(1)
-            return 200, json.dumps([an.vector_of(json.loads(request)["inputs"])])
+            text = json.loads(request)["inputs"]
+            with open(log, "a") as calls:
+                calls.write(f"{text}\n")
+            time.sleep(0.005)
+            if text.startswith("row 150") and not marker.exists():
+                marker.write_text("")
+                os._exit(1)
+            return 200, json.dumps([an.vector_of(text)])
         return backend
 
-    settings = dict(chunk_size=5, chunks_per_wave=2, retry=an.FAST_RETRY)
-    task = inf.embed_task()
-    real = resume.perform
-    done = []
-
-    def cut_off(requests, *args, **kwargs):
-        if len(done) == 2:
-            raise Stop
-        done.append(1)
-        return real(requests, *args, **kwargs)
-
-    resume.perform = cut_off
-    try:
-        with pytest.raises(Stop):
-            resume.run_in_waves(source, "text", "id", task, counting, folder, **settings)
-    finally:
-        resume.perform = real
-    assert calls.value == 20
-    got = resume.run_in_waves(source, "text", "id", task, counting, folder, **settings)
-    assert got.count() == 40 and got.select("id").distinct().count() == 40
-    assert calls.value == 40
-    whole = inf.infer(source, "text", "id", task, counting, chunk_size=5)
-    assert got.exceptAll(whole).count() == 0
+    source = source.withColumn("text", F.concat(F.lit("row "), F.col("id").cast("string")))
+    settings = dict(chunk_size=5, retry=an.FAST_RETRY, concurrency=1)
+    with pytest.raises(Exception):
+        resume.run_in_chunks(source, "text", "id", inf.embed_task(), fatal, folder, **settings)
+    before = log.read_text().splitlines()
+    kept = spark.read.parquet(f"{folder}/responses")
+    assert kept.groupBy("chunk").count().where("count <> 5").count() <= 1  # the last chunk may be shorter
+    done = {r.id for r in kept.select("id").collect()}
+    got = resume.run_in_chunks(source, "text", "id", inf.embed_task(), fatal, folder, **settings)
+    again = log.read_text().splitlines()[len(before):]
+    everything = {r.id for r in source.collect()}
+    assert sorted(int(t.split()[1]) for t in again) == sorted(everything - done) and done
+    assert len(set(before) & set(again)) <= 5 * 8  # a chunk of each task that was cut off
+    assert {r.id for r in got.collect()} == everything and got.where("error").count() == 0
+    calls = len(log.read_text().splitlines())
+    assert resume.run_in_chunks(source, "text", "id", inf.embed_task(), fatal, folder, **settings).count() == len(everything)
+    assert len(log.read_text().splitlines()) == calls
+
+
+def test_a_provider_is_waited_for_as_long_as_it_asks():
+    waits, tries = [], iter([(429, "", 3.0), (503, "", None), (429, "", 1e9), (200, "ok")])
+    retry = inf.Retry(sleep=waits.append, longest_wait=50.0)
+    assert inf.call_with_retry(lambda *_: next(tries), "{}", retry) == inf.Answer(200, "ok", None, 4)
+    assert waits == [3.0, 4.0, 50.0]
+    assert [retry.wait(2, asked) for asked in (None, -1.0, float("nan"), 0.0)] == [4.0, 4.0, 4.0, 0.0]
+
+
+def test_a_client_that_waits_as_asked_is_not_given_up(monkeypatch):
+    monkeypatch.setattr(inf, "GRACE_SECONDS", 0.05)
+    tries = iter([(429, "", 1.0), (200, "ok")])
+    caller = inf.Caller(lambda *_: next(tries), 1, inf.Retry(max_tries=2, timeout=0.1, backoff=0.01))
+    assert [a.body for a in caller.answers(["{}"])] == ["ok"]
+
+
+def test_throttle_halves_once_a_burst_and_recovers():
+    throttle = inf.Throttle(8)
+    burst = [throttle.enter() for _ in range(4)]
+    for entered in burst:
+        throttle.leave(entered, True, False)
+    assert throttle.limit == 4
+    throttle.leave(throttle.enter(), True, False)
+    assert throttle.limit == 2
+    for _ in range(2):
+        throttle.leave(throttle.enter(), False, True)
+    assert throttle.limit == 3
+    for _ in range(60):
+        throttle.leave(throttle.enter(), False, True)
+    assert throttle.limit == 8
+    for _ in range(9):
+        throttle.leave(throttle.enter(), True, False)
+    assert throttle.limit == 1
+
+
+def test_fewer_calls_run_after_too_many_requests():
+    running, most, refused = [0], [], [4]
+    lock = threading.Lock()
+
+    def backend(request, timeout):
+        with lock:
+            running[0] += 1
+            most.append(running[0])
+        time.sleep(0.01)
+        with lock:
+            running[0] -= 1
+            if refused[0]:
+                refused[0] -= 1
+                return 429, ""
+        return 200, "ok"
+
+    caller = inf.Caller(backend, 8, inf.Retry(max_tries=20, backoff=0.0))
+    assert {a.body for a in caller.answers(["{}"] * 60)} == {"ok"}
+    assert max(most) <= 8 and caller.throttle.limit > 1
+
+
+def test_remembered_ids_are_forgotten_in_time(spark, folder):
+    def arrive(*rows):
+        spark.createDataFrame(rows, "id long, text string").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        return ingest.infer_arrivals(
+            spark, f"{folder}/in", T.StructType.fromDDL("id long, text string"), "text", "id", inf.embed_task(),
+            an.EmbedBackend, f"{folder}/out", f"{folder}/checkpoint", files_per_batch=1, once_per_id=True,
+            remember="4 seconds", state_partitions=2, retry=an.FAST_RETRY)
+
+    assert arrive((1, "a"), (1, "b"), (None, "c"), (None, "c")).count() == 3
+    time.sleep(6)
+    arrive((2, "d"))            # moves the clock on
+    arrive((3, "e"))            # and drops what is past it
+    state = spark.read.format("statestore").load(f"{folder}/checkpoint")
+    held = {r["k"] for r in state.selectExpr("key.__key AS k").collect()}
+    assert "id:1" not in held and "id:3" in held
+    assert arrive((1, "again")).where("id = 1").count() == 2
 
 
 def test_failed_rows_get_a_second_try(spark):
@@ -272,8 +345,8 @@ def test_a_given_run_folder_gets_metadata(spark, folder):
 
 def test_waves_keep_repeated_ids(spark, folder):
     rows = spark.createDataFrame([(1, "abc"), (1, "abcd"), (2, "x")], "id int, text string")
-    got = resume.run_in_waves(rows, "text", "id", inf.embed_task(), an.EmbedBackend, folder,
-                              chunk_size=2, chunks_per_wave=1, retry=an.FAST_RETRY)
+    got = resume.run_in_chunks(rows, "text", "id", inf.embed_task(), an.EmbedBackend, folder,
+                              chunk_size=2, retry=an.FAST_RETRY)
     assert sorted(r["id"] for r in got.collect()) == [1, 1, 2]
 
 
@@ -281,7 +354,7 @@ def test_empty_tables_give_empty_results(spark, folder):
     nothing = texts(spark, 5).where("false")
     for got in (
             inf.infer(nothing, "text", "id", inf.chat_task(), an.ChatBackend),
-            resume.run_in_waves(nothing, "text", "id", inf.chat_task(), an.ChatBackend, folder)):
+            resume.run_in_chunks(nothing, "text", "id", inf.chat_task(), an.ChatBackend, folder)):
         assert got.count() == 0
         assert got.columns == ["id", "content", "error", "error_msg", "status", "chunk"]
 
@@ -312,10 +385,10 @@ def test_arrivals_without_an_id_are_not_each_others_repeats(spark, folder, once,
 
 
 def test_waves_refuse_another_run(spark, folder):
-    settings = dict(chunk_size=4, chunks_per_wave=1, retry=an.FAST_RETRY)
+    settings = dict(chunk_size=4, retry=an.FAST_RETRY)
     rows = texts(spark, 10)
-    resume.run_in_waves(rows, "text", "id", inf.embed_task(), an.EmbedBackend, folder, **settings)
-    again = resume.run_in_waves(rows.repartition(3), "text", "id", inf.embed_task(), an.EmbedBackend,
+    resume.run_in_chunks(rows, "text", "id", inf.embed_task(), an.EmbedBackend, folder, **settings)
+    again = resume.run_in_chunks(rows.repartition(3), "text", "id", inf.embed_task(), an.EmbedBackend,
                                 folder, **settings)
     assert again.count() == 10
     for other, task, more in (
@@ -323,13 +396,13 @@ def test_waves_refuse_another_run(spark, folder):
             (rows, inf.chat_task(), {}), (rows, inf.embed_task({"truncate": False}), {}),
             (rows, inf.embed_task(), {"chunk_size": 5}), (rows.limit(9), inf.embed_task(), {})):
         with pytest.raises(ValueError, match="another table, task or settings"):
-            resume.run_in_waves(other, "text", "id", task, an.EmbedBackend, folder,
+            resume.run_in_chunks(other, "text", "id", task, an.EmbedBackend, folder,
                                 **{**settings, **more})
 
 
 def test_waves_of_texts_that_are_all_dropped(spark, folder):
     rows = spark.createDataFrame([(1, ""), (2, None)], "id int, text string")
-    got = resume.run_in_waves(rows, "text", "id", inf.embed_task(), an.EmbedBackend, folder,
+    got = resume.run_in_chunks(rows, "text", "id", inf.embed_task(), an.EmbedBackend, folder,
                               on_invalid="drop")
     assert got.count() == 0 and "embedding" in got.columns
 

@@ -1,3 +1,6 @@
+import time
+import threading
+import pathlib
 import itertools
 import random
 import json
@@ -14,6 +17,7 @@ from quillrun.operators import batching, filling, ids, joining, pieces, position
 from quillrun.operators import structured, tables
 from quillrun.operators.results import job_progress, parse_files, parse_lines, status_table
 from quillrun.plans import answers as an
+from quillrun.session import materialise
 from quillrun.sources import jsonl, runs
 
 
@@ -237,6 +241,35 @@ def test_chunk_files_and_run_log(spark, folder):
     assert row["output_dir"] == folder and row["max_retries"] is None
 
 
+def test_a_chunk_is_there_before_the_others_are_done(spark, folder, tmp_path):
+    go = tmp_path / "go"
+
+    @F.pandas_udf("long")
+    def held_up(ids):
+        while not go.exists() and (ids == 35).any():
+            time.sleep(0.05)
+        return ids
+
+    rows = batching.with_chunk(spark.range(40), 10, "id", index="at")
+    rows = materialise(rows, "rows").withColumn("id", held_up("id"))
+    writing = threading.Thread(target=runs.write_chunks, args=(rows.withColumn("chunk", F.col("chunk")), folder))
+    count = runs.by_chunk  # the slow rows are dealt out before they are made
+    runs.by_chunk = lambda df, n: materialise(batching.with_chunk(spark.range(40), 10, "id"), "r").withColumn(
+        runs.FOLDER, F.lit(0)).repartitionById(4, F.col("chunk") - 1).withColumn("id", held_up("id"))
+    try:
+        writing.start()
+        seen, until = set(), time.time() + 60
+        while len(seen) < 3 and time.time() < until:
+            time.sleep(0.2)
+            seen = {f.name for f in pathlib.Path(folder.removeprefix("file:")).glob("chunk_folder=0/part-*.parquet")}
+        assert len(seen) == 3 and writing.is_alive()
+    finally:
+        go.write_text("")
+        writing.join(60)
+        runs.by_chunk = count
+    assert sorted(r.id for r in runs.read_chunks(spark, folder).collect()) == list(range(40))
+
+
 def test_output_paths(spark):
     import datetime
 
