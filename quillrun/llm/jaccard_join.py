@@ -377,15 +377,18 @@ def one_row_per_class(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     The rows are stored with a key of their own, which the join takes for their id; so rows without an
     id, or with the id of others, are members of classes like all others. A text without words stays.
     """
-    keyed = materialise(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed")
+    row_key = ROW_KEY
+    while row_key.lower() in [c.lower() for c in docs.columns]:
+        row_key += "_"
+    keyed = materialise(docs.withColumn(row_key, F.monotonically_increasing_id()), "keyed")
     classes = materialise(
-        jaccard_classes(keyed, width, percent, ROW_KEY, text_col).where("n_shingles > 0")
+        jaccard_classes(keyed, width, percent, row_key, text_col).where("n_shingles > 0")
         .select(F.col("doc_id").alias("key"), F.col("component_id").alias("class")), "classes")
     shared = materialise(classes.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "shared")
-    places = keyed.select(F.col(ROW_KEY).alias("key"), F.struct(
-        F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(ROW_KEY).alias("key")).alias("place"))
+    places = keyed.select(F.col(row_key).alias("key"), F.struct(
+        F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(row_key).alias("key")).alias("place"))
     members = materialise(classes.hint("merge").join(shared, "class").hint("merge").join(places, "key"), "members")
     firsts = materialise(members.groupBy("class").agg(F.min("place").alias("first")), "firsts")
     gone = materialise(members.hint("merge").join(firsts, "class").where("place <> first")
                        .select(F.col("key").alias("id")), "gone")
-    return _without(keyed, gone, ROW_KEY).drop(ROW_KEY)
+    return _without(keyed, gone, row_key).drop(row_key)

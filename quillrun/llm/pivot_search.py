@@ -12,8 +12,8 @@ rows of the table with the least hashes (at most ``PIVOTS`` vectors on the drive
 random vectors where a length has too few: any point is a valid pivot.
 
 Defined cases: a vector that is null or holds a null, NaN or infinity takes no part, nor does a row
-with a null id; equal rows (id and vector) are one candidate and one query; rows that share an id but
-not a vector are candidates and queries of their own, and no query meets rows of its own id; vectors
+with a null id; rows that share an id, or an id and a vector, are candidates and queries of their own
+each, and no query meets rows of its own id; vectors
 are compared with those of their length only; ties go to the smaller id. A score beyond 64 bits is an
 error. An empty table gives an empty result.
 """
@@ -142,7 +142,7 @@ def pivot_search(vectors: DataFrame, is_query: Column, k: int = 20, scale: float
         vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                        F.col(vector_col).cast("array<double>").alias("vector"))
         .where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite)
-        .withColumn("hash", F.xxhash64("vector")).dropDuplicates(["vec_id", "hash", "vector"])
+        .withColumn("hash", F.xxhash64("vector", F.monotonically_increasing_id()))  # each row's own
         .withColumn("size", F.size("vector")), "vectors")
     total = rows.count()
     asked = rows.where(is_query)

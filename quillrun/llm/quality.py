@@ -182,16 +182,23 @@ MODEL = T.StructType([
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, id_col: str = "doc_id",
-                text_col: str = "text", label_col: str = "quality") -> dict:
-    """Fit on a bounded sample of the rows of ``docs`` whose id ``labels`` marks 0 or 1."""
+                text_col: str = "text", label_col: str = "quality", budget: int = FEATURE_BUDGET) -> dict:
+    """Fit on a bounded sample of the rows of ``docs`` whose id ``labels`` marks 0 or 1.
+
+    The sample is about ``sample`` ids with at most ``budget`` indicators in all, both drawn by a hash
+    of the id. Of rows that share an id, that of the least text digest (then label) is learnt, so a
+    table gives one model however it is laid out.
+    """
     marked = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
               .where("id IS NOT NULL AND label IN (0, 1)"))
     count = marked.count()
     scale = 1 << 24
     share = int(scale * min(1.0, sample / max(1, count)))
     chosen = marked.where(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(scale)) < share)
-    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-             .join(F.broadcast(chosen), "id"))  # about `sample` rows of an id and a label
+    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+            .join(F.broadcast(chosen), "id"))  # about `sample` rows of an id and a label
+    first = F.struct(F.sha2(F.coalesce("text", F.lit("")), 256), "label")
+    texts = rows.groupBy("id").agg(F.min_by(F.struct("text", "label"), first).alias("one")).select("id", "one.*")
 
     def cells(batches):
         for batch in batches:
@@ -200,12 +207,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, i
                 [batch.column("id").cast(pa.int64()), batch.column("label").cast(pa.int32()),
                  pa.array(kept, pa.binary())], names=["id", "label", "cells"])
 
-    found = texts.mapInArrow(cells, "id long, label int, cells binary").dropDuplicates(["id"])
+    found = texts.mapInArrow(cells, "id long, label int, cells binary")
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("id", kind="stable")
-        within = frame["cells"].map(len).cumsum() // 4 <= FEATURE_BUDGET
-        frame = frame[within]
+        drawn = words.mix(frame["id"].to_numpy().astype(np.int64).view(np.uint64))
+        frame = frame.iloc[np.argsort(drawn, kind="stable")]
+        frame = frame[frame["cells"].map(len).cumsum() // 4 <= budget].sort_values("id", kind="stable")
         rows = [np.frombuffer(c, dtype=np.int32) for c in frame["cells"]]
         return pd.DataFrame([fit_rows(rows, frame["label"].to_numpy())])
 

@@ -39,4 +39,7 @@ def op7_repeated_line_runs(spark, sf_dir):
 @query("op8_repeated_strings")
 def op8_repeated_strings(spark, sf_dir):
     return (remove_repeats(table(spark, sf_dir, "documents"))
-            .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                    F.octet_length("kept").cast("long").alias("n_kept"),
+                    # a cut may fall inside a character, whose rest then reads as the replacement one
+                    F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text")))

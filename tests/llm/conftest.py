@@ -8,7 +8,7 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
 
 WORDS = [a + b for a in ("ba", "ke", "lo", "mi", "nu", "ra", "so", "ti") for b in ("n", "r", "st", "v", "", "x")]
 CLASHES = ["id", "row", "digest", "maybe", "kept", "key", "n", "at", "rank", "tokens", "probability",
-           "drawn", "shard", "score", "size", "place", "bitmap_bits1", "doc_id_", "Text_"]
+           "drawn", "shard", "score", "size", "place", "bitmap_bits1", "doc_id_", "Text_", "__row_key"]
 
 
 def prose(seed, count):

@@ -228,3 +228,45 @@ def test_short_buckets_are_left_out():
     norm_buckets._search_bucket(best, np.array([0, 1]), np.array([0]), np.array([100.0, 5.0]), postings,
                                 np.array([10, 11]), np.zeros(2, bool))
     assert seen == [[10]]
+
+
+# --- mended in the same round ------------------------------------------------------------------
+
+
+def test_equal_vectors_are_candidates_each(spark):
+    from quillrun.llm.pivot_search import pivot_search
+
+    rows = [(20, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.0])]
+    found = pivot_search(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3),
+                         F.col("vec_id") % 20 == 0)
+    assert sorted(tuple(r) for r in found.collect()) == [(20, 1, 1, 4096), (20, 2, 1, 4096), (20, 3, 2, 2048)]
+
+
+def test_one_table_gives_one_model_however_it_is_laid_out(spark):
+    from quillrun.llm.quality import fit_quality
+
+    rows = [(n % 40, prose(n, 30) if n % 2 else "!! " + prose(n, 5)) for n in range(160)]  # ids come again
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(n, n % 2) for n in range(40)] + [(3, 0)], "doc_id long, quality int")
+    models = [fit_quality(d, lab) for d, lab in ((docs, labels), (docs.repartition(7), labels.repartition(3)),
+                                                 (docs.orderBy(F.desc("text")), labels.orderBy("quality")))]
+    assert models[0] == models[1] == models[2] and models[0]["weights"]
+    fewer = fit_quality(docs, labels, budget=300)
+    assert fewer["weights"] and fewer != models[0]
+
+
+def test_a_column_named_like_the_row_key_stays(spark):
+    from quillrun.llm.jaccard_join import one_row_per_class
+
+    docs = frame(spark, [(1, prose(1, 60)), (2, prose(1, 60)), (3, prose(2, 60))], extra=False).withColumn(
+        "__Row_Key", F.col("doc_id") * 10)
+    kept = one_row_per_class(docs)
+    assert kept.columns == docs.columns and sorted(r["__Row_Key"] for r in kept.collect()) == [10, 30]
+
+
+def test_what_is_left_of_repeats_is_returned(spark, sf_dir):
+    from quillrun.llm.repeat_queries import op8_repeated_strings
+
+    rows = op8_repeated_strings(spark, sf_dir)
+    assert rows.where("n_kept <> n_bytes - n_removed").count() == 0
+    assert rows.where("n_removed = 0 AND sha2(kept_text, 256) <> kept_sha256").count() == 0
