@@ -652,12 +652,14 @@ def test_clusters_keep_rows_without_a_vector(spark):
     assert [r["cluster"] for r in nothing] == [None]
 
 
-def test_duplicates_skip_unusable_vectors_and_refuse_mixed_lengths(spark):
+def test_duplicates_skip_unusable_vectors_and_keep_lengths_apart(spark):
     rows = frame(spark, [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [float("nan"), 1.0])],
                  "vec_id long, embedding array<double>")
     assert [tuple(r) for r in similarity.near_duplicates(rows, 0.99).collect()] == [(2, 1)]
-    with pytest.raises(ValueError, match="lengths"):
-        similarity.near_duplicates(rows.union(rows.select(F.lit(9), F.array(F.lit(1.0)))), 0.99)
+    mixed = rows.unionByName(frame(spark, [(5, [1.0, 0.0, 0.0]), (6, [0.999, 0.001, 0.0]), (7, [0.999, 0.001]),
+                                           (8, [0.0]), (9, [2.0])], "vec_id long, embedding array<double>"))
+    found = sorted(map(tuple, similarity.near_duplicates(mixed, 0.99).collect()))
+    assert found == [(2, 1), (6, 5), (7, 1)]
 
 
 def test_results_with_the_sources_column_names(spark):
