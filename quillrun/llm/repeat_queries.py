@@ -14,13 +14,18 @@ WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no
   FROM documents),
+counted AS (
+  SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words FROM lines),
 ahead AS (
-  SELECT *, lead(line, 1) OVER d AS line1, lead(line, 2) OVER d AS line2 FROM lines
-  WINDOW d AS (PARTITION BY doc_id ORDER BY line_no)),
-firsts AS (
-  SELECT doc_id, line_no, row_number() OVER (PARTITION BY line, line1, line2 ORDER BY doc_id, line_no) AS nth
-  FROM ahead WHERE line2 IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, line_no + k AS line_no FROM firsts, (VALUES (0), (1), (2)) v(k) WHERE nth > 1),
+  SELECT *, lead(line, 1) OVER d AS line1, lead(line, 2) OVER d AS line2, lead(words, 1) OVER d AS words1
+  FROM counted WINDOW d AS (PARTITION BY doc_id ORDER BY line_no)),
+runs AS (
+  SELECT doc_id, line_no, 1 AS n, [line] AS run FROM ahead WHERE words >= 50
+  UNION ALL SELECT doc_id, line_no, 2, [line, line1] FROM ahead WHERE line1 IS NOT NULL AND words + words1 >= 50
+  UNION ALL SELECT doc_id, line_no, 3, [line, line1, line2] FROM ahead WHERE line2 IS NOT NULL),
+placed AS (
+  SELECT doc_id, line_no, n, row_number() OVER (PARTITION BY run ORDER BY doc_id, line_no) AS nth FROM runs),
+gone AS (SELECT DISTINCT doc_id, unnest(range(line_no, line_no + n)) AS line_no FROM placed WHERE nth > 1),
 marked AS (
   SELECT l.*, g.line_no IS NOT NULL AS gone,
          lag(g.line_no IS NOT NULL, 1, false) OVER (PARTITION BY l.doc_id ORDER BY l.line_no) AS gone_before

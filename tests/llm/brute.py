@@ -65,17 +65,21 @@ def removed(texts, length=400):
     return out
 
 
-def kept_lines(rows, need=3):
-    """Lines left of (id, text) rows in order of id; all runs judged on the input."""
+def kept_lines(rows, need=3, words=50):
+    """Lines left of (id, text) rows in order of id; every run judged on the input, whatever its length."""
     lines = [(t or "").split("\n") for _, t in rows]
     first, gone = {}, [set() for _ in rows]
     for r, own in enumerate(lines):
-        for i in range(len(own) - need + 1):
-            run = tuple(own[i:i + need])
-            if run in first:
-                gone[r].update(range(i, i + need))
-            else:
-                first[run] = (r, i)
+        counts = [len(re.findall(f"[^{SPACE}]+", line)) for line in own]
+        for i in range(len(own)):
+            for j in range(i + 1, len(own) + 1):
+                if j - i < need and sum(counts[i:j]) < words:
+                    continue
+                run = tuple(own[i:j])
+                if run in first:
+                    gone[r].update(range(i, j))
+                else:
+                    first[run] = (r, i)
     return [[line for i, line in enumerate(own) if i not in gone[r]] for r, own in enumerate(lines)]
 
 

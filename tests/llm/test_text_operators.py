@@ -165,6 +165,26 @@ def test_repeated_lines(spark, texts):
         assert found[i].n_lines - found[i].n_removed == len(kept)
 
 
+@pytest.mark.parametrize("need, words", [(3, 50), (1, 0), (5, 12)])
+def test_repeated_runs_of_any_length(spark, need, words):
+    pick = random.Random(need)
+    lines = [prose(s, 1 + s % 7) for s in range(6)] + ["", prose(7, 49), prose(8, 50)]
+    two = f"{prose(20, 90)}\n{prose(21, 90)}"
+    rows = [two, two, prose(8, 50), f"{prose(9, 20)}\n{prose(10, 29)}", f"{prose(9, 20)}\n{prose(10, 29)}\nx"]
+    rows += ["\n".join(pick.choice(lines) for _ in range(pick.randrange(1, 14))) for _ in range(40)]
+    keyed = list(enumerate(rows))
+    found = {r.id: r for r in dedup_lines(frame(spark, keyed), need, words).collect()}
+    for i, kept in enumerate(brute.kept_lines(keyed, need, words)):
+        assert found[i].text == "\n".join(kept) and found[i].n_removed == len(rows[i].split("\n")) - len(kept)
+
+
+def test_copies_of_two_long_lines_lose_the_later_one(spark):
+    two = f"{prose(20, 90)}\n{prose(21, 90)}"
+    found = {r.id: r for r in dedup_lines(frame(spark, [(2, two), (1, two), (3, "x\n" + prose(20, 90))])).collect()}
+    assert (found[1].text, found[2].text, found[3].text) == (two, "", "x")
+    assert found[2].n_runs == found[3].n_runs == 1
+
+
 def test_lines_of_rows_that_repeat_an_id(spark):
     rows = [(None, "a\nb\nc")] * 3 + [(4, "a\nb\nc\nd")]
     found = dedup_lines(frame(spark, rows)).collect()
