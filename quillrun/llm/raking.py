@@ -9,19 +9,19 @@ Categories are those that the targets name, one for all other names and one for
 cells has at most the product of the margins' sizes plus two each (checked against ``MAX_CELLS``)
 whatever the data; it is broadcast and raked as one row.
 
-With ``whole``, the raking is bounded: no cell gets more than its tokens, and what a full cell can't
+The raking is bounded (``whole``, as is unless set otherwise): no cell gets more than its tokens, and what a full cell can't
 supply goes to the margin's other cells. Each step multiplies a category's cells by the factor at which
 they, cut at their tokens, sum to its goal; steps go on until no cell changes (``MAX_SWEEPS`` at most).
 The few cells come to the driver for it. Goals that no weights reach, alone or together, are named in a
 warning and in ``margin_report``; what a margin's full categories can't supply goes to its others.
 
-With ``whole`` also, names that no target lists and nulls keep the share of tokens that they have, and the
+Names that no target lists and nulls keep the share of tokens that they have, and the
 named categories share the rest in proportion to their targets; so nothing with words in a named or
-unnamed category of positive target has probability zero. Without it (the law of op5's SQL) they get
-what the targets leave over.
+unnamed category of positive target has probability zero. ``whole=False`` is plain raking, ``SWEEPS`` times,
+for targets that are meant to the letter: other names and nulls get what the targets leave over, a cell
+whose share exceeds its tokens is cut, and what it lacks is drawn nowhere.
 
-Defined cases: a category without documents leaves its share to the margin's others; without ``whole``, other
-names and nulls get the share that the targets leave over, or none if there is none; a null text has no
+Defined cases: a category without documents leaves its share to the margin's others; a null text has no
 tokens and probability zero; copies with the same id and text are drawn together; an empty table gives an
 empty result. A cell whose budget exceeds its tokens is taken whole.
 """
@@ -218,7 +218,7 @@ def drawn(id_col: str, text_col: str, seed: int) -> Column:
 
 def calibrated(docs: DataFrame, margins: dict[str, tuple[Column, dict[str, float]]], budget: float,
                seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
-               whole: bool = False) -> DataFrame:
+               whole: bool = True) -> DataFrame:
     """``row`` (the whole document), its categories, ``tokens``, ``probability``, ``drawn``, ``kept``.
 
     ``margins`` maps a name to a column and its target shares; ``budget`` is the share of all tokens
@@ -247,6 +247,6 @@ def calibrated(docs: DataFrame, margins: dict[str, tuple[Column, dict[str, float
 
 def mix_sources(docs: DataFrame, margins: dict[str, tuple[Column, dict[str, float]]], budget: float,
                 seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
-                whole: bool = False) -> DataFrame:
+                whole: bool = True) -> DataFrame:
     """The documents drawn, all columns as they were."""
     return calibrated(docs, margins, budget, seed, id_col, text_col, whole).where("kept").select("row.*")

@@ -3,7 +3,9 @@
 import random
 import zlib
 
+import duckdb
 import numpy as np
+import oracle
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -15,6 +17,7 @@ import corpus_pipeline
 from quillrun.llm import packing, pivot_search
 from quillrun.llm.chat_format import rotate_perspectives
 from quillrun.llm.hilbert_shards import by_name, by_size, hilbert_index, hilbert_shards, shard_ranges
+from quillrun.llm.mixing_query import op5_raked_mixture, raking_sql
 from quillrun.llm.model_queries import pack
 from quillrun.llm.quality import fit_quality, fit_rows, indicators, keep_good, score_quality, scorer
 from quillrun.llm.raking import bounded_chances, calibrated, margin_report, mix_sources, raked_cells
@@ -203,18 +206,18 @@ def test_raking_matches_a_plain_loop(spark):
     assert all(abs(found[k] - v / total) < 1e-9 for k, v in share.items())
 
 
-def test_mixture(spark, texts, docs):
+def test_plain_mixture(spark, texts, docs):
     margins = {"source": (F.col("source"), TARGETS), "lang": (F.col("lang"), {"en": 0.6, "de": 0.4})}
-    rows = calibrated(docs, margins, 0.4).collect()
+    rows = calibrated(docs, margins, 0.4, whole=False).collect()
     assert len(rows) == len(texts)
     assert all(r.probability == 0 for r in rows if not r.tokens)
     assert all(r.kept == (r.drawn < r.probability) for r in rows)
     # nulls and unlisted names have no share of a margin that the targets use up
     assert all(r.probability == 0 for r in rows if r.row.lang is None)
-    kept = mix_sources(docs, margins, 0.4)
+    kept = mix_sources(docs, margins, 0.4, whole=False)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.row.doc_id for r in rows if r.kept)
-    assert mix_sources(docs.where("doc_id < 0"), margins, 0.4).count() == 0
+    assert mix_sources(docs.where("doc_id < 0"), margins, 0.4, whole=False).count() == 0
     with pytest.raises(ValueError, match="cells"):
         mix_sources(docs, {"a": (F.col("lang"), {str(i): 0.001 for i in range(200)}),
                            "b": (F.col("source"), {str(i): 0.001 for i in range(200)})}, 0.4)
@@ -257,6 +260,26 @@ def test_what_full_cells_lack_goes_to_others_and_missed_goals_are_named(spark, s
     assert all(report["source", f"src{i}"].reached for i in range(4))
 
 
+def test_the_query_draws_its_budget_from_all_names(spark, folder):
+    langs, sources = ["en", "en", "en", "de", "it", None, "fr", "xx"], ["src0", "src3", "web", None, "src7"]
+    rows = [(i, None if i % 97 == 5 else prose(i, 5 + i % 60), langs[i * (i + 1) // 2 % 8], sources[i % 5], 0) for i in range(600)]
+    path = f"{folder}/documents.parquet"
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(path)
+    found = op5_raked_mixture(spark, folder)
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert not oracle.compare(found, base, raking_sql())
+    held = found.collect()
+    expected = sum(r.tokens * r.probability for r in held)
+    assert abs(expected / sum(r.tokens for r in held) - 0.5) < 1e-4
+    assert all((r.probability > 0) == (r.tokens > 0) for r in held)
+    shares = {lang: sum(r.tokens * r.probability for r in held if r.lang == lang) / expected
+              for lang in ("(other)", "(none)")}
+    own = {lang: sum(r.tokens for r in held if r.lang == lang) / sum(r.tokens for r in held) for lang in shares}
+    # at least their own share of the tokens: the named ones that have no documents leave theirs to all
+    assert all(shares[k] > own[k] - 1e-3 for k in shares)
+
+
 def test_the_pipeline_draws_from_categories_that_no_target_names(spark, sf_dir):
     rows = [(i, prose(i, 40), lang, source, 0) for i, (lang, source) in enumerate(
         [("en", "src0"), ("it", "src1"), (None, "web"), ("de", None)] * 100)]
