@@ -11,8 +11,8 @@ The join runs on distinct sets in three steps, none of which drops a possible li
    every pair must share are indexed. Sets that share an index entry are candidates; chains of them
    (each list joined to its least member, so lists never become pairs) are candidate groups.
 3. *Cells.* A group is joined in cells of about ``CELL`` sets, in order of size. Index lists hold the
-   positions of their sets in that order, so a list is skipped up to the block of sizes that can
-   match. A set that is much like the one before it doesn't count its overlaps anew: they are the other
+   positions of their sets in that order. Lists are counted whole, and of the counts those of sets too
+   small to match are skipped, up to the first position that can match. A set that is much like the one before it doesn't count its overlaps anew: they are the other
    set's, plus the lists of shingles it has more, less the lists of those it has fewer. A cell returns
    a spanning forest of its links. A larger group first has each block joined with itself and with its
    first block; then only sets outside the class that most sets are in meet all blocks of the group.
