@@ -64,10 +64,9 @@ class Encoder:
         if self.plain is not None and not any(s in text for s in self.special):
             try:
                 return array("I", self.plain.encode_ordinary(text)).tobytes()
-            except (KeyboardInterrupt, SystemExit, GeneratorExit):
-                raise
-            except BaseException:  # a panic is no Exception
-                pass
+            except BaseException as error:  # a panic is no Exception, and its class has no name to import
+                if type(error).__name__ != "PanicException":
+                    raise
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
