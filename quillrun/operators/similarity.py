@@ -16,8 +16,17 @@ from quillrun.functions.vectors import as_doubles, finite, norm
 from quillrun.operators.search import unit_rows
 from quillrun.session import materialise
 
-PIVOTS = 64
-BLOCK_ROWS = 4_096
+MOST_PIVOTS = 4_096
+PIVOT_BYTES = 16_000_000     # what a task holds of pivots
+BLOCK_ROWS = 16_384
+BLOCK_BYTES = 32_000_000     # what a task holds of candidates
+LOW_BLOCKS = 16              # blocks of lowest ids that every vector is compared with first
+RINGS = 32
+PROBES = 256                 # sampled rows that the cost of a cover is counted on
+COPY_COST = 1_000            # a row shuffled, in comparisons
+SCORES_AT_ONCE = 4_000_000
+ROWS_AT_ONCE = 512
+SLACK = 1e-7                 # above the rounding of a distance
 
 
 def cluster(df: DataFrame, k: int, vector: str = "embedding", seed: int = 42,
@@ -51,28 +60,90 @@ def exact_copies(df: DataFrame, id: str = "vec_id", vector: str = "embedding") -
         F.min(id).alias(id), F.count(F.lit(1)).alias("copies"))
 
 
-def _cells(pivots: np.ndarray, reach: float):
-    """Home cell of a unit vector, and every cell that can hold one within ``reach`` of it.
+def _squares(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Squared distances of unit rows to unit pivots."""
+    return np.maximum(0.0, 2 - 2 * rows @ pivots.T)
 
-    If two vectors are within ``reach``, the distance from one to the other's nearest pivot
-    exceeds the distance to its own nearest pivot by at most twice ``reach``.
+
+def _open(rows: np.ndarray, pivots: np.ndarray, radii: np.ndarray, reach: float
+          ) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of rows to pivots, and which cells can hold a vector within ``reach`` of each row.
+
+    A cell is closed to a row that is farther from its pivot than the cell's radius and the reach, and
+    to one that is farther than the reach from the plane between the cell's pivot and the row's own.
     """
-    slack = 2 * reach + 1e-9
+    square = _squares(rows, pivots)
+    home = square.argmin(axis=1)
+    far, reach = np.sqrt(square), reach + SLACK
+    apart = np.sqrt(_squares(pivots[home], pivots))
+    beyond = square - square[np.arange(len(rows)), home][:, None]
+    return far, (far <= radii + reach) & ((beyond <= 2 * reach * apart) | (apart < 1e-3))
 
-    @F.pandas_udf("struct<home:int,cells:array<int>>")
+
+def _home(pivots: np.ndarray):
+    """The cell of a unit vector, which is that of its nearest pivot, and the distance to it."""
+    @F.pandas_udf("struct<home:int,near:double>")
     def place(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, pivots.shape[1]))
-            far = np.sqrt(np.maximum(0.0, 2 - 2 * rows @ pivots.T))
-            near = far.min(axis=1)
+            parts = [_squares(np.stack(batch.iloc[at:at + ROWS_AT_ONCE].to_numpy()), pivots)
+                     for at in range(0, len(batch), ROWS_AT_ONCE)]
             yield pd.DataFrame({
-                "home": far.argmin(axis=1).astype("int32"),
-                "cells": [np.flatnonzero(row <= low + slack).astype("int32")
-                          for row, low in zip(far, near)]})
+                "home": np.concatenate([x.argmin(axis=1) for x in parts] or [[]]).astype("int32"),
+                "near": np.sqrt(np.concatenate([x.min(axis=1) for x in parts] or [[]]))})
+
+    return place
+
+
+def _reached(pivots: np.ndarray, radii: np.ndarray, reach: float):
+    """The cells that can hold a vector within ``reach``, each with the distance to its pivot."""
+    @F.pandas_udf("array<struct<cell:int,far:double>>")
+    def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            cells = []
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                far, open_ = _open(np.stack(batch.iloc[at:at + ROWS_AT_ONCE].to_numpy()), pivots, radii, reach)
+                cells += [[{"cell": int(c), "far": float(row[c])} for c in np.flatnonzero(o)]
+                          for row, o in zip(far, open_)]
+            yield pd.Series(cells, dtype=object)
 
     return place
 
 
+def _spread(pool: np.ndarray, most: int, apart: float) -> np.ndarray:
+    """Rows of ``pool``, each the farthest from those before it, until the next is within ``apart`` of one."""
+    order, near = [0], _squares(pool, pool[:1])[:, 0]
+    while len(order) < most and near.max() > apart * apart:
+        order.append(int(near.argmax()))
+        near = np.minimum(near, _squares(pool, pool[order[-1:]])[:, 0])
+    return pool[order]
+
+
+def cover(pool: np.ndarray, total: int, reach: float, block_rows: int, most: int) -> np.ndarray:
+    """Pivots out of ``pool``, a sample of the unit vectors: as many as make the work least.
+
+    More pivots leave fewer candidates to compare and copy a probe to more cells. Both are counted on the
+    sample, for ever larger sets of pivots, so vectors in groups get a cover that grows with the table, and
+    vectors without any, on which bounds hardly tell cells apart, get few. It steers work, never the result.
+    """
+    probes = pool[-PROBES:]
+    centres = _spread(pool, max(1, min(most, len(pool) // 4)), reach)
+    least, chosen, wanted = math.inf, centres[:1], 1
+    while wanted < 4 * len(centres):
+        pivots = centres[:wanted]
+        count = len(pivots)
+        parts = [_squares(pool[at:at + ROWS_AT_ONCE], pivots) for at in range(0, len(pool), ROWS_AT_ONCE)]
+        home = np.concatenate([x.argmin(axis=1) for x in parts])
+        radii = np.zeros(count)
+        np.maximum.at(radii, home, np.sqrt(np.concatenate([x.min(axis=1) for x in parts])))
+        rows = np.bincount(home, minlength=count) * (total / len(pool))
+        open_ = _open(probes, pivots, radii, reach)[1]
+        cost = (open_ @ (rows + COPY_COST * np.ceil(rows / block_rows))).mean() + 3 * count
+        if cost < least:
+            least, chosen = cost, pivots
+        wanted *= 4
+    return chosen
+
+
 def _first_match(id: str, threshold: float):
     """Streams sorted (block, candidates then probes) rows; keeps one block of candidates."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,13 +165,16 @@ def _first_match(id: str, threshold: float):
                     names, matrix = np.concatenate(ids), np.concatenate(rows)
                     order = np.argsort(names, kind="stable")
                     names, matrix = names[order], matrix[order]
-                probe_ids = probes[id].to_numpy()
-                scores = np.stack(probes["u"].to_numpy()) @ matrix.T
-                hit = (scores >= threshold) & (names[None, :] < probe_ids[:, None])
-                found = hit.any(axis=1)
-                if found.any():
-                    first = hit.argmax(axis=1)[found]
-                    yield pd.DataFrame({id: probe_ids[found], "duplicate_of": names[first]})
+                step = max(1, SCORES_AT_ONCE // len(names))
+                for at in range(0, len(probes), step):
+                    some = probes.iloc[at:at + step]
+                    probe_ids = some[id].to_numpy()
+                    scores = np.stack(some["u"].to_numpy()) @ matrix.T
+                    hit = (scores >= threshold) & (names[None, :] < probe_ids[:, None])
+                    found = hit.any(axis=1)
+                    if found.any():
+                        first = hit.argmax(axis=1)[found]
+                        yield pd.DataFrame({id: probe_ids[found], "duplicate_of": names[first]})
     return run
 
 
@@ -115,20 +189,28 @@ def _low_cut(distinct: DataFrame, id: str, wanted: int, total: int):
     return drawn[min(len(drawn) - 1, len(drawn) * wanted // total)]
 
 
-def _lowest_match(candidates: DataFrame, probes: DataFrame, id: str, threshold: float,
-                  block_rows: int) -> DataFrame:
-    """For each probe, the lowest candidate id that is below its own and similar enough.
+def _meetings(candidates: DataFrame, probes: DataFrame, id: str, reach: float, block_rows: int) -> DataFrame:
+    """Candidates and probes in the blocks where they meet: ``cell``, ``slice`` and ``lane``.
 
-    A cell's candidates are cut into slices of about ``block_rows``, its probes into lanes. A
-    task holds one slice and streams a lane past it.
+    A cell's candidates are cut into rings by their distance to the pivot, of about ``block_rows`` each
+    (at most ``RINGS``, and these by hash into parts); a probe goes to the rings that its own distance to
+    the pivot leaves open. Probes are cut into lanes, and candidates go to every lane of their slice.
     """
-    open_cells = probes.select(id, "u", F.explode("cells").alias("cell"))
-    sized = candidates.select(F.col("home").alias("cell"), F.lit(1).alias("c"), F.lit(0).alias("p")) \
-        .unionAll(open_cells.select("cell", F.lit(0).alias("c"), F.lit(1).alias("p"))) \
-        .groupBy("cell").agg(
-            F.greatest(F.lit(1), F.ceil(F.sum("c") / block_rows)).cast("int").alias("slices"),
-            F.greatest(F.lit(1), F.ceil(F.sum("p") / (64 * block_rows))).cast("int").alias("lanes"))
-    sized = F.broadcast(sized)  # one row per pivot
+    tried = probes.select(id, "u", F.explode("cells").alias("at")).select(id, "u", "at.cell", "at.far")
+    rings = F.greatest(F.lit(1), F.least(F.lit(RINGS), F.ceil(F.col("c") / block_rows))).cast("int")
+    cut = F.percentile_approx("near", F.array(*[F.lit(i / RINGS) for i in range(1, RINGS)]), 1_000)
+    held = candidates.groupBy(F.col("home").alias("cell")).agg(F.count(F.lit(1)).alias("c"), cut.alias("cut"))
+    sized = held.join(tried.groupBy("cell").agg(F.count(F.lit(1)).alias("p")), "cell") \
+        .withColumn("rings", rings).select(
+            "cell", "rings",
+            F.filter("cut", lambda _, i: F.floor((i + 1) * F.col("rings") / RINGS)
+                     > F.floor(i * F.col("rings") / RINGS)).alias("cuts"),  # rings - 1 of them
+            F.greatest(F.lit(1), F.ceil(F.col("c") / (F.col("rings") * block_rows))).cast("int").alias("parts"),
+            F.greatest(F.lit(1), F.ceil(F.col("p") / (16 * block_rows))).cast("int").alias("lanes"))
+    sized = F.broadcast(materialise(sized, "cells"))  # one row per pivot, at most RINGS numbers each
+
+    def ring(distance: Column) -> Column:
+        return F.size(F.filter("cuts", lambda c: c < distance))
 
     def some(n: str) -> Column:
         return F.pmod(F.xxhash64(id), F.col(n)).cast("int")
@@ -136,21 +218,35 @@ def _lowest_match(candidates: DataFrame, probes: DataFrame, id: str, threshold:
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    held = candidates.withColumnRenamed("home", "cell").join(sized, "cell").select(
-        "cell", some("slices").alias("slice"), every("lanes").alias("lane"),
+    def slice_of(ring: Column, part: Column) -> Column:
+        return ring * F.col("parts") + part
+
+    stay = candidates.withColumnRenamed("home", "cell").join(sized, "cell").select(
+        "cell", slice_of(ring(F.col("near")), some("parts")).alias("slice"), every("lanes").alias("lane"),
         F.lit(False).alias("probe"), id, "u")
-    streamed = open_cells.join(sized, "cell").select(
-        "cell", every("slices").alias("slice"), some("lanes").alias("lane"),
+    span = F.sequence(ring(F.col("far") - (reach + SLACK)) * F.col("parts"),
+                      (ring(F.col("far") + (reach + SLACK)) + 1) * F.col("parts") - 1)
+    go = tried.join(sized, "cell").select(
+        "cell", F.explode(span).alias("slice"), some("lanes").alias("lane"),
         F.lit(True).alias("probe"), id, "u")
+    return stay.unionAll(go)
+
+
+def _lowest_match(candidates: DataFrame, probes: DataFrame, id: str, threshold: float,
+                  reach: float, block_rows: int) -> DataFrame:
+    """For each probe, the lowest candidate id that is below its own and similar enough.
+
+    A task holds one slice of a cell's candidates and streams a lane of probes past it.
+    """
     id_type = candidates.schema[id].dataType.simpleString()
-    return held.unionAll(streamed).repartition("cell", "slice", "lane") \
+    return _meetings(candidates, probes, id, reach, block_rows).repartition("cell", "slice", "lane") \
         .sortWithinPartitions("cell", "slice", "lane", "probe") \
-        .mapInPandas(_first_match(id, threshold - 1e-12), f"`{id}` {id_type}, duplicate_of {id_type}") \
+        .mapInPandas(_first_match(id, threshold), f"`{id}` {id_type}, duplicate_of {id_type}") \
         .groupBy(id).agg(F.min("duplicate_of").alias("duplicate_of"))
 
 
 def near_duplicates(df: DataFrame, threshold: float = 0.95, id: str = "vec_id",
-                    vector: str = "embedding", pivots: int = PIVOTS,
+                    vector: str = "embedding", pivots: int | None = None,
                     block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, duplicate_of): each vector that has an earlier one with cosine >= ``threshold``.
 
@@ -158,8 +254,9 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, id: str = "vec_id",
     copies a group holds, and no pair is ever emitted. Exact, in four steps:
 
     * identical vectors collapse to their first id (partial aggregation, no hot group),
-    * distinct vectors go to the cell of their nearest pivot and are compared only with cells
-      the triangle inequality leaves open,
+    * distinct vectors go to the cell of their nearest pivot and are compared only with cells, and
+      rings within cells, that their bounds leave open. ``cover`` chooses the pivots (``pivots`` sets
+      their number),
     * all are compared with the lowest ids first. A vector matched there is done, because every
       other candidate has a higher id; so the members of a large group of near copies leave here,
     * the rest are compared with the remaining candidates.
@@ -181,24 +278,44 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, id: str = "vec_id",
     return _with_copies(rows, first, lowest, n_rows, id)
 
 
-def _matches(distinct: DataFrame, total: int, threshold: float, id: str, pivots: int,
+def _sample(distinct: DataFrame, id: str, total: int, wanted: int) -> np.ndarray:
+    """About ``wanted`` unit vectors (never more), the same ones whatever the layout."""
+    parts = 1 << 30
+    share = min(1.0, wanted / total)
+    mark = F.pmod(F.xxhash64(id, F.lit("pivot")), F.lit(parts))
+    rows = distinct.where(mark < F.lit(math.ceil(share * parts))).select(mark.alias("mark"), "u").collect()
+    if not rows:
+        rows = distinct.select(mark.alias("mark"), "u").limit(1).collect()
+    rows.sort(key=lambda r: (r["mark"], r["u"]))
+    return unit_rows(np.array([r["u"] for r in rows[:wanted]]))
+
+
+def _matches(distinct: DataFrame, total: int, threshold: float, id: str, pivots: int | None,
              block_rows: int) -> DataFrame:
     """The lowest similar id of each distinct vector that has one."""
-    wanted = max(1, min(pivots, math.isqrt(total)))
-    chosen = distinct.select("u").orderBy(F.xxhash64(id)).limit(wanted).collect()
-    places = _cells(unit_rows(np.array([r[0] for r in chosen])),
-                    math.sqrt(max(0.0, 2 - 2 * threshold)))
-    placed = materialise(distinct.withColumn("at", places("u")).select(
-        id, "u", "at.home", "at.cells"), "cells")
-
-    low_rows = block_rows * wanted
+    size = distinct.select(F.size("u")).first()[0]
+    threshold -= 1e-12
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold))
+    block_rows = min(block_rows, max(1, BLOCK_BYTES // (8 * size)))
+    most = min(pivots or MOST_PIVOTS, max(1, PIVOT_BYTES // (8 * size)))
+    if pivots is None:
+        centres = cover(_sample(distinct, id, total, 4 * most), total, reach, block_rows, most)
+    else:
+        centres = _sample(distinct, id, total, most)
+    homes = materialise(distinct.withColumn("at", _home(centres)("u")).select(
+        id, "u", "at.home", "at.near"), "homes")
+    radii = np.zeros(len(centres))
+    for row in homes.groupBy("home").agg(F.max("near").alias("radius")).collect():  # one row per pivot
+        radii[row["home"]] = row["radius"]
+    placed = materialise(homes.withColumn("cells", _reached(centres, radii, reach)("u")), "open")
+
+    low_rows = LOW_BLOCKS * block_rows
     if total <= low_rows:
-        return materialise(_lowest_match(placed, placed, id, threshold, block_rows), "lowest")
+        return materialise(_lowest_match(homes, placed, id, threshold, reach, block_rows), "lowest")
     cut = _low_cut(distinct, id, low_rows, total)
-    low, high = placed.where(F.col(id) <= F.lit(cut)), placed.where(F.col(id) > F.lit(cut))
-    early = materialise(_lowest_match(low, placed, id, threshold, block_rows), "early")
-    late = _lowest_match(high, high.join(early.select(id), id, "left_anti"), id, threshold,
-                         block_rows)
+    low, high = homes.where(F.col(id) <= F.lit(cut)), homes.where(F.col(id) > F.lit(cut))
+    early = materialise(_lowest_match(low, placed, id, threshold, reach, block_rows), "early")
+    late = _lowest_match(high, placed.join(early.select(id), id, "left_anti"), id, threshold, reach, block_rows)
     return materialise(early.unionAll(late), "lowest")
 
 

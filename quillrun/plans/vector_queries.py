@@ -115,6 +115,28 @@ def near_duplicates(spark, sf_dir):
     return similarity.near_duplicates(table(spark, sf_dir, "embeddings"), 0.4)
 
 
+SHIFT = 1_000_000_000
+
+
+@query("n2_planted_near_copies", f"""
+WITH rows AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  UNION ALL
+  SELECT vec_id + {SHIFT}, list_transform(range(1, len(embedding) + 1),
+    lambda i: CAST(embedding[i] AS DOUBLE) + CASE WHEN i = vec_id % 64 + 1 THEN (vec_id % 8) / 16.0 ELSE 0 END)
+  FROM embeddings)
+SELECT b.vec_id, min(a.vec_id) AS duplicate_of FROM rows a JOIN rows b
+ON a.vec_id < b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95
+GROUP BY b.vec_id""")
+def planted_near_copies(spark, sf_dir):
+    """Every vector again with one number moved, by eight steps: the small ones are found."""
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", as_doubles(F.col("embedding")).alias("embedding"))
+    moved = F.transform("embedding", lambda x, i: F.when(
+        i == F.col("vec_id") % DIMENSIONS, x + (F.col("vec_id") % 8) / F.lit(16.0)).otherwise(x))
+    return similarity.near_duplicates(embeddings.unionAll(
+        embeddings.select((F.col("vec_id") + SHIFT).alias("vec_id"), moved)), 0.95)
+
+
 @query("n3_run_difference", """
 SELECT vec_id, CAST(CASE WHEN vec_id % 3 = 0 THEN 0.25 ELSE 0 END AS DOUBLE) AS max_abs_diff FROM embeddings""")
 def run_difference(spark, sf_dir):

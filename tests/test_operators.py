@@ -424,14 +424,15 @@ def brute_first_duplicate(rows, threshold):
     return found
 
 
-@pytest.mark.parametrize("threshold, block_rows", [(0.9, 4096), (0.9, 5), (0.99, 16), (0.5, 16)])
-def test_near_duplicates_equal_brute_force(spark, threshold, block_rows):
+@pytest.mark.parametrize("threshold, block_rows, pivots", [
+    (0.9, 4096, None), (0.9, 5, 40), (0.99, 1, 16), (0.99, 16, None), (0.5, 16, 64), (1.0, 2, 30)])
+def test_near_duplicates_equal_brute_force(spark, threshold, block_rows, pivots):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(20, 6))
     rows = [(int(i), centres[rng.integers(20)] + rng.normal(size=6) * rng.choice([0, 0.05, 0.5]))
             for i in rng.permutation(300)]
     rows += [(1000 + i, np.zeros(6)) for i in range(2)] + [(2000 + i, rows[0][1] * 3) for i in range(3)]
-    got = similarity.near_duplicates(vectors(spark, rows), threshold, block_rows=block_rows)
+    got = similarity.near_duplicates(vectors(spark, rows), threshold, pivots=pivots, block_rows=block_rows)
     expected = brute_first_duplicate(rows, threshold)
     for i in (1000, 1001):  # a zero vector has no direction, but equals its copy
         expected.pop(i, None)
@@ -440,6 +441,51 @@ def test_near_duplicates_equal_brute_force(spark, threshold, block_rows):
     assert found == expected
 
 
+def grouped_units(rng, n, groups, size=24):
+    centres = rng.normal(size=(groups, size))
+    rows = centres[np.arange(n) % groups] + rng.normal(size=(n, size)) * 0.1
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def test_cover_grows_with_the_table_where_vectors_form_groups():
+    rng, reach = np.random.default_rng(5), np.sqrt(0.1)
+    grown = [len(similarity.cover(grouped_units(rng, min(n, 16_384), n // 40), n, reach, 16_384, 4_096))
+             for n in (2_000, 40_000, 10 ** 7)]
+    assert grown == sorted(grown) and grown[0] < grown[-1]
+    scattered = rng.normal(size=(16_384, 64))
+    scattered /= np.linalg.norm(scattered, axis=1, keepdims=True)
+    assert len(similarity.cover(scattered, 10 ** 5, reach, 16_384, 4_096)) <= 16
+
+
+@pytest.mark.parametrize("reach", [0.05, 0.3, 1.0])
+def test_no_pair_within_reach_is_in_a_closed_cell(reach):
+    rng = np.random.default_rng(9)
+    units = grouped_units(rng, 1_500, 60, 6)
+    pivots = units[:50]
+    near = np.sqrt(similarity._squares(units, pivots))
+    home = near.argmin(axis=1)
+    radii = np.array([near[home == c, c].max(initial=0) for c in range(50)])
+    open_ = similarity._open(units, pivots, radii, reach)[1]
+    close = np.sqrt(similarity._squares(units, units)) <= reach
+    assert open_[:, home][close].all() and not open_.all()
+
+
+def test_rows_shuffled_per_vector_stay_few(spark, monkeypatch):
+    seen, count = [], similarity._meetings
+
+    def counted(candidates, probes, *rest):
+        met = count(candidates, probes, *rest)
+        seen.append(met.count() / candidates.count())
+        return met
+
+    monkeypatch.setattr(similarity, "_meetings", counted)
+    rng = np.random.default_rng(2)
+    for n in (1_000, 8_000):
+        rows = [(i, v) for i, v in enumerate(grouped_units(rng, n, n // 20))]
+        assert similarity.near_duplicates(vectors(spark, rows), 0.95).count() > n / 2
+    assert max(seen) < 6  # with 64 pivots, whatever the vectors, it was up to 65
+
+
 def test_near_duplicates_with_one_huge_group(spark):
     rows = spark.range(3000).select(
         F.col("id").alias("vec_id"),
