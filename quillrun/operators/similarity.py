@@ -7,13 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrun.functions.vectors import as_doubles, finite, norm
-from quillrun.operators.search import unit_rows
+from quillrun.operators.search import matrix, unit_rows
 from quillrun.session import materialise
 
 MOST_PIVOTS = 4_096
@@ -80,31 +81,43 @@ def _open(rows: np.ndarray, pivots: np.ndarray, radii: np.ndarray, reach: float
     return far, (far <= radii + reach) & ((beyond <= 2 * reach * apart) | (apart < 1e-3))
 
 
+def _nearest(rows: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's nearest pivot and the distance to it; no more than ``ROWS_AT_ONCE`` rows of distances exist."""
+    home, near = np.zeros(len(rows), np.int32), np.zeros(len(rows))
+    for at in range(0, len(rows), ROWS_AT_ONCE):
+        square = _squares(rows[at:at + ROWS_AT_ONCE], pivots)
+        home[at:at + ROWS_AT_ONCE] = square.argmin(axis=1)
+        near[at:at + ROWS_AT_ONCE] = np.sqrt(square.min(axis=1))
+    return home, near
+
+
 def _home(pivots: np.ndarray):
     """The cell of a unit vector, which is that of its nearest pivot, and the distance to it."""
-    @F.pandas_udf("struct<home:int,near:double>")
-    def place(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<home:int,near:double>")
+    def place(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = [_squares(np.stack(batch.iloc[at:at + ROWS_AT_ONCE].to_numpy()), pivots)
-                     for at in range(0, len(batch), ROWS_AT_ONCE)]
-            yield pd.DataFrame({
-                "home": np.concatenate([x.argmin(axis=1) for x in parts] or [[]]).astype("int32"),
-                "near": np.sqrt(np.concatenate([x.min(axis=1) for x in parts] or [[]]))})
+            home, near = _nearest(matrix(batch, pivots.shape[1]), pivots)
+            yield pa.StructArray.from_arrays([pa.array(home), pa.array(near)], ["home", "near"])
 
     return place
 
 
 def _reached(pivots: np.ndarray, radii: np.ndarray, reach: float):
     """The cells that can hold a vector within ``reach``, each with the distance to its pivot."""
-    @F.pandas_udf("array<struct<cell:int,far:double>>")
-    def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<struct<cell:int,far:double>>")
+    def place(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            cells = []
-            for at in range(0, len(batch), ROWS_AT_ONCE):
-                far, open_ = _open(np.stack(batch.iloc[at:at + ROWS_AT_ONCE].to_numpy()), pivots, radii, reach)
-                cells += [[{"cell": int(c), "far": float(row[c])} for c in np.flatnonzero(o)]
-                          for row, o in zip(far, open_)]
-            yield pd.Series(cells, dtype=object)
+            rows = matrix(batch, pivots.shape[1])
+            counts, cells, distances = [np.zeros(1, np.int64)], [], []
+            for at in range(0, len(rows), ROWS_AT_ONCE):
+                far, open_ = _open(rows[at:at + ROWS_AT_ONCE], pivots, radii, reach)
+                counts.append(open_.sum(axis=1))
+                cells.append(np.nonzero(open_)[1].astype(np.int32))
+                distances.append(far[open_])
+            met = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate(cells or [np.zeros(0, np.int32)])),
+                 pa.array(np.concatenate(distances or [np.zeros(0)]))], ["cell", "far"])
+            yield pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(counts)).astype(np.int32)), met)
 
     return place
 
@@ -131,10 +144,9 @@ def cover(pool: np.ndarray, total: int, reach: float, block_rows: int, most: int
     while wanted < 4 * len(centres):
         pivots = centres[:wanted]
         count = len(pivots)
-        parts = [_squares(pool[at:at + ROWS_AT_ONCE], pivots) for at in range(0, len(pool), ROWS_AT_ONCE)]
-        home = np.concatenate([x.argmin(axis=1) for x in parts])
+        home, near = _nearest(pool, pivots)
         radii = np.zeros(count)
-        np.maximum.at(radii, home, np.sqrt(np.concatenate([x.min(axis=1) for x in parts])))
+        np.maximum.at(radii, home, near)
         rows = np.bincount(home, minlength=count) * (total / len(pool))
         open_ = _open(probes, pivots, radii, reach)[1]
         cost = (open_ @ (rows + COPY_COST * np.ceil(rows / block_rows))).mean() + 3 * count
