@@ -14,6 +14,9 @@ def attach_results(source: DataFrame, results: DataFrame, id: str, custom_id: st
 
     A result column named like a source column gets the ``suffix``. An id with several results gives
     a row for each; ``completeness`` finds such ids, ``resume.latest_attempt`` leaves one.
+
+    Both sides are sorted by id: Spark takes parsed lines for far less than they are, and would
+    gather all texts on the driver to broadcast them.
     """
     taken = {c.lower() for c in source.columns}
     renamed = {c: c + suffix for c in results.columns if c != custom_id and c.lower() in taken}
@@ -22,7 +25,7 @@ def attach_results(source: DataFrame, results: DataFrame, id: str, custom_id: st
         raise ValueError(f"both tables have {', '.join(clash)}: choose another suffix")
     keyed = source.withColumn("__key", F.col(id).cast("string"))
     right = results.withColumnsRenamed({**renamed, custom_id: "__key"})
-    return keyed.join(right, "__key", how).drop("__key")
+    return keyed.join(right.hint("merge"), "__key", how).drop("__key")
 
 
 def completeness(requests: DataFrame, results: DataFrame, id: str,

@@ -384,6 +384,19 @@ def test_attach_and_bind(spark):
     assert bound.columns == ["id", "t", "z"] and bound.count() == 3
 
 
+def test_no_texts_of_results_are_broadcast(spark, documents, capsys):
+    results = parse_lines(an.chat_lines(documents, F.col("text")), "completions")
+    got = joining.attach_results(documents.select("doc_id", "lang"), results, "doc_id")
+    got.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    assert got.count() == documents.count()
+    some = frame(spark, [(1, "x"), (None, "n"), (1, "y")], "id int, t string")
+    twice = frame(spark, [("1", "c"), (None, "d"), ("1", "e")], "custom_id string, content string")
+    assert sorted(map(str, joining.attach_results(some, twice, "id").collect())) == [
+        "Row(id=1, t='x', content='c')", "Row(id=1, t='x', content='e')", "Row(id=1, t='y', content='c')",
+        "Row(id=1, t='y', content='e')", "Row(id=None, t='n', content=None)"]
+
+
 def test_summary_of_nothing(spark):
     empty = frame(spark, [], "error boolean")
     assert tuple(reports.job_summary(empty).first()) == (0, 0, 0, None, None)
