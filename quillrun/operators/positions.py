@@ -252,9 +252,10 @@ def stored_rows(df: DataFrame, measures: Mapping[str, Column] | None = None
                      F.col("_metadata.file_path").alias("__path"),
                      F.col("_metadata.file_block_start").alias(SPLIT)) \
         .withColumn(SEQUENCE, F.monotonically_increasing_id())
-    splits = materialise(read.groupBy(FILE, SPLIT).agg(
-        F.min("__path").alias("__path"), F.min(SEQUENCE).alias("__first"),
-        F.count(F.lit(1)).alias("__rows"), *[F.sum(e).alias(n) for n, e in measures.items()]), "splits")
+    # grouped by the path too: a least string can't be hashed up, and would sort all rows of a split
+    splits = materialise(read.groupBy(FILE, SPLIT, "__path").agg(
+        F.min(SEQUENCE).alias("__first"), F.count(F.lit(1)).alias("__rows"),
+        *[F.sum(e).alias(n) for n, e in measures.items()]), "splits")
     return read.drop("__path"), _split_starts(splits, ["__rows", *measures])
 
 

@@ -384,6 +384,27 @@ def test_attach_and_bind(spark):
     assert bound.columns == ["id", "t", "z"] and bound.count() == 3
 
 
+def test_splits_are_counted_without_sorting_their_rows(spark, folder, monkeypatch, capsys):
+    twice = spark.range(3000).select(F.when(F.col("id") % 5 > 0, F.floor(F.col("id") / 2)).alias("id"), F.col("id").alias("at"))
+    twice.repartitionByRange(3, "at").sortWithinPartitions("at").write.parquet(folder)
+    stored = spark.read.parquet(folder)
+
+    def shown(df, label, *rest):
+        df.explain()
+        return materialise(df, label, *rest)
+
+    monkeypatch.setattr(positions, "materialise", shown)
+    numbered = positions.with_stored_position(stored)
+    told = capsys.readouterr().out
+    assert "HashAggregate" in told and "SortAggregate" not in told
+    assert numbered.where("position <> at + 1").isEmpty() and numbered.count() == 3000
+    totals = positions.stored_totals(stored, F.col("id"))
+    capsys.readouterr()
+    ids_ = [r["id"] for r in stored.orderBy("at").collect()]
+    before = list(itertools.accumulate((i or 0 for i in ids_), initial=0))
+    assert {(r["position"], r["before"]) for r in totals.collect()} == set(enumerate(before[:-1], 1))
+
+
 def test_no_texts_of_results_are_broadcast(spark, documents, capsys):
     results = parse_lines(an.chat_lines(documents, F.col("text")), "completions")
     got = joining.attach_results(documents.select("doc_id", "lang"), results, "doc_id")
