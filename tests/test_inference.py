@@ -490,11 +490,10 @@ def test_a_table_dealt_out_anew_is_read_by_as_many_tasks_as_it_needs(spark, fold
         .write.parquet(f"{folder}/documents.parquet")
     given, run = [], resume.run_in_chunks
     monkeypatch.setattr(resume, "run_in_chunks", lambda df, *a, **k: given.append(df) or run(df, *a, **k))
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size)
-    spark.conf.set(size, "16k")
+    small = "spark.sql.adaptive.coalescePartitions.enabled"  # which would put these few rows into one task
+    spark.conf.set(small, "false")
     try:
         assert tuple(model_calls.other_input_refused(spark, folder).first()) == (2000, True)
         assert given[1].rdd.getNumPartitions() > 3
     finally:
-        spark.conf.set(size, before)
+        spark.conf.unset(small)
