@@ -37,12 +37,12 @@ from quillrun.llm.arrow_batches import batches_of
 ROWS_AT_ONCE = 64           # texts in an Arrow batch
 IDS_AT_ONCE = 1 << 20       # ids in a batch that is handed on, unless one text has more
 WORD_CHARS = 64             # longer words are not kept
-WORDS_KEPT = 1 << 18
+WORDS_KEPT = 1 << 19
 # How the vocabulary cuts words (here for characters below U+0100), and the letters that
 # stand for bytes in its merges: printable ones for themselves, the others from U+0100 on.
 _LETTERS, _DIGITS = ("".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == kind)
                      for kind in "LN")
-PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\t-\r \x85\xa0]+")
+PIECES = re.compile(f"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\t-\r \x85\xa0]+")
 BYTE_LETTER = {b: 256 + n for n, b in enumerate(
     b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 ENCODINGS = {

@@ -118,6 +118,14 @@ def test_forgotten_words_come_back_alike(monkeypatch):
     assert len(words.pieces) <= 8
 
 
+def test_a_word_is_not_merged_again_after_half_a_million_others():
+    merged = []
+    kept = token_files.Kept(lambda word: merged.append(word) or [int(word)])
+    for i in range(600_000):
+        kept[str(i)]
+    assert kept["0"] == (0).to_bytes(4, "little") and len(merged) == 600_000
+
+
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_files_hold_what_the_tokenizer_gives(spark, docs, texts, encoding):
     path = fresh_dir(spark, "tokens")
