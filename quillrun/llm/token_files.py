@@ -19,11 +19,11 @@ nowhere; extra columns lie in ``meta``, whatever their names; an empty table giv
 
 from __future__ import annotations
 
-import re
 import unicodedata
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +35,14 @@ from pyspark.sql import types as T
 from quillrun.llm.arrow_batches import batches_of
 
 ROWS_AT_ONCE = 64           # texts in an Arrow batch
-IDS_AT_ONCE = 1 << 20       # ids in a batch that is handed on, unless one text has more
+CHARS_AT_ONCE = 1 << 20     # characters encoded at once and handed on as a batch, unless one text has more
 WORD_CHARS = 64             # longer words are not kept
 WORDS_KEPT = 1 << 19
 # How the vocabulary cuts words (here for characters below U+0100), and the letters that
 # stand for bytes in its merges: printable ones for themselves, the others from U+0100 on.
-_LETTERS, _DIGITS = ("".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == kind)
-                     for kind in "LN")
-PIECES = re.compile(f"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\t-\r \x85\xa0]+")
+BLANK, LETTER, DIGIT, MARK = range(4)
+KINDS = np.array([BLANK if chr(c) in "\t\n\v\f\r \x85\xa0" else {"L": LETTER, "N": DIGIT}.get(
+    unicodedata.category(chr(c))[0], MARK) for c in range(256)], dtype=np.uint8)
 BYTE_LETTER = {b: 256 + n for n, b in enumerate(
     b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 ENCODINGS = {
@@ -73,12 +73,13 @@ class Kept(dict):
 
 
 class WordIds:
-    """Ids of a text, piece by piece.
+    """Ids of texts, piece by piece.
 
     The vocabulary's rules put a text in lower case and cut it into runs of letters, digits and marks,
-    each of which is merged for itself; they never look past a blank. A text (or else a word) of Latin
-    letters is cut here as the rules say, any other word goes through the tokenizer as a whole, and so
-    does a text that holds a special token's string.
+    each of which is merged for itself; they never look past a blank. Texts (or else words) of Latin
+    letters are cut here as the rules say, many at once, and each of their different pieces is looked up
+    once; any other word goes through the tokenizer as a whole, and so does a text that holds a special
+    token's string.
     """
 
     def __init__(self, path: str):
@@ -97,16 +98,65 @@ class WordIds:
     def _encoded(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _latin(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
+    def _latin(self, runs: list[str]) -> list[bytes]:
+        data = np.frombuffer("\n".join(runs).lower().encode("latin-1"), dtype=np.uint8)
+        places, pieces = cut_pieces(data)
+        coded = pieces.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        _, bounds, letters = coded.dictionary.buffers()
+        letters = letters.to_pybytes().decode("latin-1") if letters else ""
+        bounds = np.frombuffer(bounds, dtype=np.int32)[:len(coded.dictionary) + 1].tolist()
+        found = [self.pieces[letters[a:b]] for a, b in zip(bounds, bounds[1:])]
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)])
+        count = np.diff(ends)[codes]
+        before = np.concatenate([[0], np.cumsum(count)])
+        ids = np.frombuffer(b"".join(found), dtype="<u4")[
+            np.arange(before[-1]) + np.repeat(ends[codes] - before[:-1], count)]
+        first = before[np.searchsorted(places, np.cumsum([0] + [len(run) + 1 for run in runs]))]
+        return [ids[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+
+    def of_texts(self, texts: list[str]) -> list[bytes]:
+        runs, parts = [], [[] for _ in texts]  # a text's parts: numbers of its Latin runs, or ids
+        for own, text in zip(parts, texts):
+            if any(special in text for special in self.special):
+                own.append(array("I", self._encoded(text)).tobytes())
+            elif _is_latin(text):
+                own.append(len(runs))
+                runs.append(text)
+            else:
+                for latin, words in groupby(text.replace("\n", " ").split(" "), _is_latin):
+                    if latin:
+                        own.append(len(runs))
+                        runs.append(" ".join(words))
+                    else:
+                        own += [self.words[word] for word in words]
+        found = self._latin(runs)
+        return [b"".join([found[part] if isinstance(part, int) else part for part in own]) for own in parts]
 
     def of_text(self, text: str) -> bytes:
-        if any(special in text for special in self.special):
-            return array("I", self._encoded(text)).tobytes()
-        if _is_latin(text):
-            return self._latin(text)
-        return b"".join(self._latin(word) if _is_latin(word) else self.words[word]
-                        for word in text.replace("\n", " ").split(" "))
+        return self.of_texts([text])[0]
+
+
+def cut_pieces(data: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Pieces of a lower-case Latin-1 text, and where they start: runs of letters, an apostrophe that begins
+    a run of marks with s, t, m, d, re, ve or ll after it, single digits, runs of marks."""
+    kind = KINDS[data]
+    start = kind != BLANK
+    start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    quote = np.flatnonzero(start & (data == ord("'")))
+    one, two = (np.concatenate([data, np.full(2, ord("\n"), np.uint8)])[quote + n] for n in (1, 2))
+    short = np.isin(one, list(b"stmd"))
+    long = np.zeros(len(quote), dtype=bool)
+    for a, b in (b"re", b"ve", b"ll"):
+        long |= (one == a) & (two == b)
+    start[quote[short | long] + 1] = False
+    rest = np.concatenate([quote[short] + 2, quote[long] + 3])
+    rest = rest[rest < len(data)]
+    start[rest[kind[rest] != BLANK]] = True
+    full = kind != BLANK
+    bounds = np.append(np.flatnonzero(start[full]), np.count_nonzero(full)).astype(np.int32)
+    return np.flatnonzero(start), pa.Array.from_buffers(
+        pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data[full])])
 
 
 def _is_latin(text: str) -> bool:
@@ -134,18 +184,31 @@ def _lists(parts: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches together, so that a piece is looked up once in many texts."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(b.nbytes for b in held) + batch.nbytes > CHARS_AT_ONCE:
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _encode(tokenizer: str, end_id: int):
     closing = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shard, place, before = word_ids(tokenizer), TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
-            first, parts, held = 0, [], 0
+        for batch in _joined(batches):
+            first, texts, held = 0, [], 0
             for row, text in enumerate(batch.column(2)):
-                parts.append(words.of_text(text.as_py() or "") + closing)
-                held += len(parts[-1]) // 4
-                if held < IDS_AT_ONCE and row + 1 < batch.num_rows:
+                texts.append(text.as_py() or "")
+                held += len(texts[-1])
+                if held < CHARS_AT_ONCE and row + 1 < batch.num_rows:
                     continue
+                parts = [ids + closing for ids in words.of_texts(texts)]
                 count = np.array([len(p) // 4 for p in parts], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, len(parts)), batch.column(1).slice(first, len(parts)),
@@ -153,8 +216,8 @@ def _encode(tokenizer: str, end_id: int):
                     pa.array(np.arange(place, place + len(parts), dtype=np.int64)),
                     pa.array(before + np.cumsum(count) - count), pa.array(count), _lists(parts),
                 ], names=["doc_id", "meta", "shard", "place", "before", "n_tokens", "ids"])
-                place, before = place + len(parts), before + held
-                first, parts, held = row + 1, [], 0
+                place, before = place + len(parts), before + int(count.sum())
+                first, texts, held = row + 1, [], 0
 
     return encode
 

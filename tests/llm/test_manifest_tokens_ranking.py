@@ -3,6 +3,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
@@ -109,6 +110,34 @@ def test_ids_by_word_are_those_of_the_text(word_ids, text):
     assert np.frombuffer(word_ids.of_text(text), dtype="<u4").tolist() == whole
 
 
+CUTS = ["'s", "'t", "'re", "'ve", "'ll", "'l", "'", "''", "!", "s", "re", "É", "ª", "²", "9", " ", "\n", "\x85", "\xa0", "\x1c",
+        "漢", "Σ", "<|endoftext|>", "don't", "l'été"]
+
+
+def test_texts_encoded_together_are_those_encoded_alone(word_ids):
+    pick = random.Random(4)
+    texts = ["", "漢", "'"] + ["".join(pick.choices(CUTS, k=pick.randrange(12))) for _ in range(600)]
+    got = [np.frombuffer(ids, dtype="<u4").tolist() for ids in word_ids.of_texts(texts)]
+    assert got == [word_ids.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert word_ids.of_texts([]) == []
+
+
+def test_a_piece_is_looked_up_once_for_many_texts():
+    words, asked = token_files.WordIds(WORD_BPE), []
+    words.pieces = type("Pieces", (), {"__getitem__": lambda self, piece: asked.append(piece) or b"\0\0\0\0"})()
+    words.of_texts(["To be, or not to be.", "To be or not 22", "ÊTRE ou ne pas être", "漢 to be"])
+    assert sorted(asked) == sorted(set(asked)) and {"to", "be", ",", ".", "2", "être"} <= set(asked)
+
+
+def test_small_batches_meet_and_long_texts_go_alone(monkeypatch):
+    monkeypatch.setattr(token_files, "CHARS_AT_ONCE", 100)
+    texts = ["a b " * n for n in (1, 2, 3, 200, 1, 1, 0)]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [n], "text": [t]}) for n, t in enumerate(texts)]
+    sizes = [b.num_rows for b in token_files._joined(iter(batches))]
+    assert sum(sizes) == len(texts) and len(sizes) == 3 and sizes[1] == 1
+    assert list(token_files._joined(iter([]))) == []
+
+
 def test_forgotten_words_come_back_alike(monkeypatch):
     monkeypatch.setattr(token_files, "WORDS_KEPT", 8)
     words = token_files.WordIds(WORD_BPE)
