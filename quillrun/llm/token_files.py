@@ -19,6 +19,7 @@ nowhere; extra columns lie in ``meta``, whatever their names; an empty table giv
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from array import array
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillrun.llm import words as word_bytes
 from quillrun.llm.arrow_batches import batches_of
 
 ROWS_AT_ONCE = 64           # texts in an Arrow batch
@@ -43,6 +45,7 @@ WORDS_KEPT = 1 << 19
 BLANK, LETTER, DIGIT, MARK = range(4)
 KINDS = np.array([BLANK if chr(c) in "\t\n\v\f\r \x85\xa0" else {"L": LETTER, "N": DIGIT}.get(
     unicodedata.category(chr(c))[0], MARK) for c in range(256)], dtype=np.uint8)
+PIECE_BEGINS = re.compile("[0-9\t-\r \x85\xa0]")  # no piece goes across the place before one of these
 BYTE_LETTER = {b: 256 + n for n, b in enumerate(
     b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 ENCODINGS = {
@@ -120,23 +123,32 @@ class WordIds:
         for own, text in zip(parts, texts):
             if any(special in text for special in self.special):
                 own.append(array("I", self._encoded(text)).tobytes())
-            elif _is_latin(text):
-                own.append(len(runs))
-                runs.append(text)
-            else:
-                for latin, words in groupby(text.replace("\n", " ").split(" "), _is_latin):
-                    if latin:
-                        own.append(len(runs))
-                        runs.append(" ".join(words))
-                    else:
-                        own += [self.words[word] for word in words]
-        found = self._latin(runs)
+                continue
+            for latin, words in [(True, [text])] if _is_latin(text) else groupby(
+                    text.replace("\n", " ").split(" "), _is_latin):
+                if not latin:
+                    own += [self.words[word] for word in words]
+                    continue
+                for run in _stretches(" ".join(words)):
+                    own.append(len(runs))
+                    runs.append(run)
+        offsets = np.cumsum([0] + [len(run) for run in runs])
+        found = [ids for a, b in word_bytes.cut(offsets, CHARS_AT_ONCE) for ids in self._latin(runs[a:b])]
         return [b"".join([found[part] if isinstance(part, int) else part for part in own]) for own in parts]
 
     def of_text(self, text: str) -> bytes:
         return self.of_texts([text])[0]
 
 
+def _stretches(run: str) -> Iterator[str]:
+    """A very long text in parts that no piece goes across."""
+    at = 0
+    while at + CHARS_AT_ONCE < len(run) and (begin := PIECE_BEGINS.search(run, at + CHARS_AT_ONCE)):
+        yield run[at:begin.start()]
+        at = begin.start()
+    yield run[at:]
+
+
 def cut_pieces(data: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """Pieces of a lower-case Latin-1 text, and where they start: runs of letters, an apostrophe that begins
     a run of marks with s, t, m, d, re, ve or ll after it, single digits, runs of marks."""

@@ -122,6 +122,16 @@ def test_texts_encoded_together_are_those_encoded_alone(word_ids):
     assert word_ids.of_texts([]) == []
 
 
+def test_a_very_long_text_is_encoded_in_parts(word_ids, monkeypatch):
+    monkeypatch.setattr(token_files, "CHARS_AT_ONCE", 10)
+    pick, parts = random.Random(5), []
+    monkeypatch.setattr(word_ids, "_latin", lambda runs: parts.extend(runs) or type(word_ids)._latin(word_ids, runs))
+    texts = ["".join(pick.choices(CUTS, k=60)) for _ in range(100)] + ["1" * 99, "x" * 99, "don't " * 9, "漢 " + "ab " * 30]
+    got = [np.frombuffer(ids, dtype="<u4").tolist() for ids in word_ids.of_texts(texts)]
+    assert got == [word_ids.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert parts.count("1" * 10) == 9 and "x" * 99 in parts
+
+
 def test_a_piece_is_looked_up_once_for_many_texts():
     words, asked = token_files.WordIds(WORD_BPE), []
     words.pieces = type("Pieces", (), {"__getitem__": lambda self, piece: asked.append(piece) or b"\0\0\0\0"})()
